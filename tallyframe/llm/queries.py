@@ -28,7 +28,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    pieces = pack(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (op3_byte_bpe, op8_packing)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
