@@ -35,7 +35,14 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op8_packing)}
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op3_byte_bpe, op8_packing, op9_simhash)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
