@@ -28,6 +28,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan, verdict
+
+    return verdict(scan(table(spark, sf_dir, "documents")))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -42,7 +48,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op8_packing, op9_simhash)}
+QUERIES = {f.__name__: f for f in (op3_byte_bpe, op6_license_scan, op8_packing, op9_simhash)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
