@@ -14,6 +14,22 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import held_out
+    from .quality import classify
+
+    scored = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out("doc_id"))
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import held_out, identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, train(docs.where(~held_out("doc_id"))))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -48,7 +64,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op6_license_scan, op8_packing, op9_simhash)}
+QUERIES = {f.__name__: f for f in (op1_quality_pu, op2_language_mixture, op3_byte_bpe, op6_license_scan, op8_packing, op9_simhash)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
