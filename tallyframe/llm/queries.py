@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality_rules
 from .common import table
 
 
@@ -50,6 +51,13 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdict(scan(table(spark, sf_dir, "documents")))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import clean
+
+    judged = clean(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -64,7 +72,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_pu, op2_language_mixture, op3_byte_bpe, op6_license_scan, op8_packing, op9_simhash)}
+QUERIES = {f.__name__: f for f in (op1_quality_pu, op2_language_mixture, op3_byte_bpe, op6_license_scan, op7_quality_rules, op8_packing, op9_simhash)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_quality_rules": quality_rules.ORACLE_SQL}
