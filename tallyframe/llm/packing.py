@@ -42,43 +42,57 @@ class ChunkTokenizer:
     """Ids of the chunks between white space, each distinct chunk encoded once per worker.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are its chunks' ids in order.  Chunks of Latin-1 letters are normalised and
-    split here in bulk and merged by the library's own model; any other chunk
-    goes through the whole library.
+    are its chunks' ids in order.  Chunks of Latin-1 characters are normalised
+    and split here in bulk, and the vocabulary's merges are replayed by rank
+    with a byte as the end-of-word mark; the result is the library's as long as
+    every token is what its own merges make of its characters (the tests hold
+    the vocabulary to that).  Any other chunk goes through the library itself.
     """
 
+    END = "\x01"
+
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer, pre_tokenizers
+        import tiktoken
+        from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
-        self.merge = Tokenizer(self.whole.model)
-        self.merge.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        pattern = next(r["pattern"]["Regex"] for r in _settings(path)["pre_tokenizer"]["pretokenizers"] if r["type"] == "Split")
+        settings = _settings(path)
+        pattern = next(r["pattern"]["Regex"] for r in settings["pre_tokenizer"]["pretokenizers"] if r["type"] == "Split")
         self.pieces = regex.compile(pattern + "|\n").findall
-        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in visible]
-        self.shown = {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)} | {32: " "}
-        self.mark = self.whole.encode("\n", add_special_tokens=False).ids or [self.whole.token_to_id(self.shown[10] + "</w>")]
+        ranks = end_ranks(settings["model"]["merges"])
+        ids = np.zeros(len(ranks), dtype=np.int64)
+        special = {t["content"] for t in settings["added_tokens"]}
+        for token, number in settings["model"]["vocab"].items():
+            if token not in special:
+                ids[ranks[_as_bytes(token)]] = number
         self.width = np.dtype(np.uint16 if self.whole.get_vocab_size() <= 1 << 16 else np.uint32)
+        self.ids = ids.astype(self.width)
+        self.mark = ranks[b"\n" + self.END.encode()]
+        self.merge = tiktoken.Encoding("chunks", pat_str="[^\x01]+\x01", mergeable_ranks=ranks, special_tokens={})
         self.cache: dict[str, bytes] = {}
 
     def learn(self, chunks: set[str]) -> None:
         if len(self.cache) + len(chunks) > CACHE_CHUNKS:
             self.cache.clear()
         missing = [c for c in chunks if c not in self.cache]
-        latin = [c for c in missing if _latin(c)]
-        for at in range(0, len(latin), 20_000):
-            part = latin[at : at + 20_000]
-            text = " ".join(self.pieces("\n".join(part).lower()))
-            ids = np.array(self.merge.encode(text.encode().decode("latin-1").translate(self.shown), add_special_tokens=False).ids, dtype=self.width)
-            cuts = np.flatnonzero(ids == self.mark[0])
-            starts, stops = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-            for chunk, a, b in zip(part, starts, stops, strict=True):
-                self.cache[chunk] = ids[a:b].tobytes()
-        for chunk in missing:
-            if chunk not in self.cache:
-                self.cache[chunk] = self.all(chunk)
+        size = self.width.itemsize
+        for at in range(0, len(missing), 20_000):
+            part = missing[at : at + 20_000]
+            text = "\n".join(part)
+            if not _latin(text):
+                for chunk in part:
+                    if not _latin(chunk):
+                        self.cache[chunk] = self.all(chunk)
+                part = [c for c in part if c not in self.cache]
+                text = "\n".join(part)
+            if not part:
+                continue
+            ranks = np.asarray(self.merge.encode_to_numpy(self.END.join(self.pieces(text.lower())) + self.END, disallowed_special=()))
+            ids = self.ids[ranks].tobytes()
+            cuts = (np.flatnonzero(ranks == self.mark) * size).tolist()
+            for chunk, a, b in zip(part, [0, *(c + size for c in cuts)], [*cuts, len(ids)], strict=True):
+                self.cache[chunk] = ids[a:b]
 
     def all(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=self.width).tobytes()
@@ -89,6 +103,8 @@ ODD = regex.compile("[\x1c-\x1f]")
 
 
 def _latin(chunk: str) -> bool:
+    if ChunkTokenizer.END in chunk:
+        return False
     try:
         chunk.encode("latin-1")
     except UnicodeEncodeError:
@@ -96,6 +112,29 @@ def _latin(chunk: str) -> bool:
     return True
 
 
+@lru_cache(maxsize=1)
+def _shown() -> dict[str, int]:
+    """The byte that each visible stand-in of byte-level vocabularies means."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+def _as_bytes(token: str, end: str = "</w>") -> bytes:
+    """A token's bytes, with the end mark as one byte more."""
+    body = token.removesuffix(end)
+    return bytes(map(_shown().__getitem__, body)) + (ChunkTokenizer.END.encode() if body != token else b"")
+
+
+def end_ranks(merges: list) -> dict[bytes, int]:
+    """Ranks by bytes: single bytes, bytes at a word's end, then the merges in their order."""
+    out = {bytes([b]): b for b in range(256)} | {bytes([b]) + ChunkTokenizer.END.encode(): 256 + b for b in range(256)}
+    for merge in merges:
+        left, right = merge.split(" ") if isinstance(merge, str) else merge
+        out.setdefault(_as_bytes(left) + _as_bytes(right), len(out))
+    return out
+
+
 @lru_cache(maxsize=2)
 def _settings(path: str) -> dict:
     import json

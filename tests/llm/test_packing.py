@@ -32,6 +32,27 @@ def test_chunks_equal_library(text):
     assert np.frombuffer(model.all(text), dtype=model.width).tolist() == want
 
 
+def test_every_token_is_what_its_own_merges_make():
+    """With this, replay by the ranks of joined bytes takes the listed pairs and no others."""
+    from tallyframe.llm.packing import _as_bytes, _settings
+
+    listed = {}
+    for k, merge in enumerate(_settings(PATH)["model"]["merges"]):
+        a, b = merge.split(" ") if isinstance(merge, str) else merge
+        assert listed.setdefault((_as_bytes(a), _as_bytes(b)), k) == k
+    tokens = {a + b for a, b in listed}
+    assert len(tokens) == len(listed)
+    for token in tokens:
+        parts = [bytes([c]) for c in token]
+        if token[-1:] == b"\x01":
+            parts[-2:] = [parts[-2] + parts[-1]]
+        while len(parts) > 1:
+            ranked = [(listed[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in listed]
+            assert ranked, token
+            _, i = min(ranked)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(st.integers(1, 90), min_size=1, max_size=6), min_size=1, max_size=5), st.sampled_from([4, 16, 64]), st.data())
 def test_schedule_places_each_token_once(queues, window, data):
