@@ -45,6 +45,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_wrappers import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_embedding_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .embedding_dedup import near_duplicates
 
@@ -84,7 +90,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_pu, op2_language_mixture, op3_byte_bpe, op5_embedding_itq, op6_license_scan, op7_quality_rules, op8_packing, op9_simhash, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality_pu, op2_language_mixture, op3_byte_bpe, op4_html_wrappers, op5_embedding_itq, op6_license_scan, op7_quality_rules, op8_packing, op9_simhash, op10_line_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {"op7_quality_rules": quality_rules.ORACLE_SQL, "op10_line_dedup": line_dedup.ORACLE_SQL}
