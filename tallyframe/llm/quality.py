@@ -27,7 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks, materialise
@@ -92,17 +92,18 @@ def features(texts: list[str | None]) -> np.ndarray:
     return np.hstack([shares, more, np.ones((len(texts), 1))])
 
 
-def featurise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id_col, x binary)``: the features of every whole text as little-endian 32-bit floats."""
+def featurise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: Column | None = None) -> DataFrame:
+    """``(id_col, train, x binary)``: the features of every whole text as little-endian 32-bit floats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
             x = features(batch.column("text").to_pylist()).astype("<f4")
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r.tobytes() for r in x], type=pa.binary())], ["id", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("train"), pa.array([r.tobytes() for r in x], type=pa.binary())], ["id", "train", "x"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, x binary").withColumnRenamed("id", id_col)
+    train = F.coalesce(F.lit(True) if train_rows is None else train_rows, F.lit(False))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), train.alias("train"))
+    return rows.mapInArrow(run, f"id {kind}, train boolean, x binary").withColumnRenamed("id", id_col)
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -239,14 +240,14 @@ def fit(rows: DataFrame) -> Model:
     return Model(_newton(start, risk), mean, scale, prior)
 
 
-def classify(docs: DataFrame, labels: DataFrame, train_rows, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """``(id_col, train boolean, score double)`` for every document.
 
-    ``train_rows`` is a Column over the id: only documents and labels where it
-    holds teach the model.  A row of ``labels`` with ``label_col`` = 1 is a
+    ``train_rows`` is a Column over ``docs``: only documents and labels where
+    it holds teach the model.  A row of ``labels`` with ``label_col`` = 1 is a
     trusted positive; other labels are not used.
     """
-    x = materialise(featurise(docs, id_col, text_col).withColumn("train", train_rows), "quality-features")
+    x = materialise(featurise(docs, id_col, text_col, train_rows), "quality-features")
     positives = labels.groupBy(F.col(id_col).alias("labelled")).agg(F.max(label_col).alias("q")).where("q = 1")
     rows = materialise(x.where("train").join(positives, F.col(id_col) == F.col("labelled"), "left").select("x", F.col("labelled").isNotNull().alias("positive")), "quality-training")
     model = fit(rows)

@@ -73,9 +73,9 @@ def _is(x: Column, wanted: str) -> Column:
     }[wanted]
 
 
-def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``(id, text, lines array<struct<text, n, failed>>)``; a line of no words never fails."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[F.col(c).alias(f"keep{k}") for k, c in enumerate(keep)])
     counted = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("text"), F.size(_words(x)).alias("n")))
     rules = ("marks", "punctuation", "navigation", "boilerplate")
 
@@ -115,20 +115,24 @@ def base_counts(rows: DataFrame) -> DataFrame:
     return rows.withColumn("n_repeat_words", F.coalesce(total, F.lit(0).cast("long"))).drop("at")
 
 
-def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_loss: float = MAX_LOSS) -> DataFrame:
-    """``(id_col, text, counts, base_failed, lost_words, kept)``; ``text`` holds the lines that passed."""
-    rows = base_counts(line_verdicts(docs, id_col, text_col))
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_loss: float = MAX_LOSS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(id_col, keep..., text, counts, base_failed, lost_words, kept)``; ``text`` holds the lines that passed."""
+    rows = base_counts(line_verdicts(docs, id_col, text_col, keep))
     lost = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + F.when(x["failed"], x["n"]).otherwise(0))
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     passed = F.array_join(F.transform(F.filter("lines", lambda x: ~x["failed"]), lambda x: x["text"]), "\n")
+    # a row number isn't deterministic, so a filter on the verdict stays above it; pushed
+    # into the steps below, it would compute the windows anew for every word
     return (
         rows.withColumn("lost_words", lost)
         .withColumn("base_failed", base)
+        .withColumn("row", F.monotonically_increasing_id())
         .select(
             F.col("id").alias(id_col),
+            *[F.col(f"keep{k}").alias(c) for k, c in enumerate(keep)],
             passed.alias(text_col),
             "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_words",
-            (~F.col("base_failed") & (F.col("lost_words") <= max_loss * F.col("n_words"))).alias("kept"),
+            ((F.col("row") >= 0) & ~F.col("base_failed") & (F.col("lost_words") <= max_loss * F.col("n_words"))).alias("kept"),
         )
     )
 
