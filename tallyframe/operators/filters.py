@@ -211,10 +211,12 @@ def downsample_counts(counts: DataFrame, group: str = "sample_id", seed: int = 0
 def trim_reads(reads: DataFrame, trim_5: int, min_length: int, min_quality: float, min_complexity: float) -> DataFrame:
     """Trims the start, then keeps reads long, good and complex enough (share of bases unlike the next one)."""
     rows = reads.withColumn("seq", F.expr(f"substring(seq, {trim_5 + 1})"))
-    n = F.length("seq")
-    same = F.aggregate(F.transform(F.sequence(F.lit(1), n - 1), lambda i: (F.substr("seq", i, F.lit(1)) != F.substr("seq", i + 1, F.lit(1))).cast("int")), F.lit(0), lambda a, x: a + x)
+    n, chars = F.length("seq"), F.split("seq", "")
+    pairs = F.greatest(n - 1, F.lit(0))
+    differ = F.zip_with(F.slice(chars, 1, pairs), F.slice(chars, 2, pairs), lambda x, y: (x != y).cast("int"))
     rows = rows.where((n >= min_length) & (F.col("qual") >= min_quality))
-    return rows.withColumn("complexity", F.when(n > 1, same / (n - 1)).otherwise(0.0)).where(F.col("complexity") >= min_complexity)
+    share = F.aggregate(differ, F.lit(0), lambda a, x: a + x) / F.nullif(pairs, F.lit(0))
+    return rows.withColumn("complexity", F.coalesce(share, F.lit(0.0))).where(F.col("complexity") >= min_complexity)
 
 
 def select_assembly(assemblies: DataFrame) -> DataFrame:

@@ -105,14 +105,11 @@ def kmers(text: Column, k: int) -> Column:
 def all_kmers(text: Column, k: int) -> Column:
     """Substrings of length k in order; none for shorter and null texts.
 
-    The characters are shifted against each other, which costs k steps a
-    character; cutting by place would count from the text's start each time.
+    An empty match looks ahead at each place, so a text is read once; places
+    inside a surrogate pair are no places.
     """
-    chars = F.split(text, "")
-    joined = chars
-    for i in range(1, k):
-        joined = F.zip_with(joined, F.slice(chars, i + 1, F.greatest(F.size(chars) - i, F.lit(0))), lambda a, b: F.concat(a, b))
-    return F.when(F.length(text) >= k, F.slice(joined, 1, F.greatest(F.size(chars) - (k - 1), F.lit(0)))).otherwise(F.array().cast("array<string>"))
+    found = F.regexp_extract_all(text, F.lit(rf"(?s)(?!\p{{InLow_Surrogates}})(?=(.{{{k}}}))"), 1)
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def ngram_screen(docs: DataFrame, panel: DataFrame, k: int) -> DataFrame:
