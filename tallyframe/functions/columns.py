@@ -102,7 +102,7 @@ def barcode_postfix(rows: DataFrame, mode: str, numbers: DataFrame | None = None
     if mode == "trimmed":
         return rows.withColumn("barcode", bases)
     keyed = rows.withColumn("number", F.expr("try_cast(split_part(barcode, '-', 2) AS bigint)"))
-    return keyed.join(F.broadcast(numbers), "number", "left").withColumn("barcode", F.concat(bases, F.lit("-"), F.coalesce("sample_id", post))).drop("number", "sample_id")
+    return keyed.join(numbers, "number", "left").withColumn("barcode", F.concat(bases, F.lit("-"), F.coalesce("sample_id", post))).drop("number", "sample_id")
 
 
 def strand_from_coords(start: Column, stop: Column) -> dict[str, Column]:
@@ -247,4 +247,4 @@ def demultiplex(pairs: DataFrame, primers: list[tuple[str, str, str]]) -> DataFr
 
 def dereplicate(seqs: DataFrame, floors: DataFrame) -> DataFrame:
     """Distinct (sequence, taxonomy) pairs at least as long as their domain's floor; ``floors`` has a row per domain."""
-    return seqs.join(F.broadcast(floors), "domain").where(F.length("seq") >= F.col("floor")).select("domain", "seq").distinct()
+    return seqs.join(floors, "domain").where(F.length("seq") >= F.col("floor")).select("domain", "seq").distinct()

@@ -49,7 +49,7 @@ def filter_cells(cells: DataFrame, flags: DataFrame, min_features: int, min_cell
     kept = cells.join(rich, "barcode", "left_semi")
     common = kept.where("value > 0").groupBy("feature").agg(F.countDistinct("barcode").alias("n")).where(F.col("n") >= min_cells)
     kept = kept.join(common, "feature", "left_semi")
-    marked = kept.join(F.broadcast(flags.where("mt").select("feature", F.lit(1).alias("mt"))), "feature", "left")
+    marked = kept.join(flags.where("mt").select("feature", F.lit(1).alias("mt")), "feature", "left")
     total = F.sum("value")
     good = marked.groupBy("barcode").agg(total.alias("total"), (100 * F.sum(F.when(F.col("mt") == 1, F.col("value")).otherwise(0)) / total).alias("pct"))
     good = good.where((F.col("pct") < max_pct_mt) & (F.col("total") > min_total) & (F.col("total") < max_total))

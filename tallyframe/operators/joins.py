@@ -5,6 +5,11 @@ A side is broadcast only by Spark's own size check or where its size is fixed.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +46,7 @@ def align_features(counts: DataFrame, features: DataFrame) -> DataFrame:
 def complete_grid(counts: DataFrame, fill: float = 0.0) -> DataFrame:
     """Every sample with every feature; absent values are ``fill``.  The result is as large as the wide matrix."""
     samples, features = counts.select("sample_id").distinct(), counts.select("feature_id").distinct()
-    return features.crossJoin(F.broadcast(samples)).join(counts, ["sample_id", "feature_id"], "left").fillna(fill, ["value"])
+    return features.crossJoin(samples).join(counts, ["sample_id", "feature_id"], "left").fillna(fill, ["value"])
 
 
 def merge_calls(calls: DataFrame, callers: list) -> DataFrame:
@@ -150,29 +155,48 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
 
 
+#: Queries that a nearest-neighbour pass compares with all rows at once.
+QUERY_BLOCK = 4096
+
+
 def knn(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """The k nearest of ``vectors(vec_id, embedding)`` to each query by cosine; ties go to the smaller id.
 
-    Queries are a stated set, compared with all rows in blocks: each task keeps
-    its own k best of every query before the shuffle.
+    Queries are a stated set, taken in blocks of about ``QUERY_BLOCK``: each
+    block is one pass over the vectors in which a task keeps its own k best of
+    every query.  With more than one block the passes' results are written, so
+    the driver holds one block at a time.
     """
-    import numpy as np
-    import pyarrow as pa
+    from ..scratch import folder
+
+    spark = vectors.sparkSession
+    n = -(-queries.count() // QUERY_BLOCK) or 1
+    parts = []
+    for part in range(n):
+        asked = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == part).select("vec_id", "embedding").toArrow()
+        found = _nearest(asked, vectors, k)
+        if n > 1:
+            path = folder(spark, "nearest")
+            found.write.parquet(path)
+            found = spark.read.schema(found.schema).parquet(path)
+        parts.append(found)
+    order = Window.partitionBy("vec_id").orderBy(F.desc(F.round("similarity", 9)), "neighbour")
+    return reduce(lambda a, b: a.union(b), parts).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
 
-    asked = queries.select("vec_id", "embedding").toArrow()  # the stated query set
+def _nearest(asked: pa.Table, vectors: DataFrame, k: int) -> DataFrame:
     ids = asked.column("vec_id").to_numpy()
     q = np.array(asked.column("embedding").to_pylist(), dtype=float).reshape(len(ids), -1)
     q = q / np.linalg.norm(q, axis=1, keepdims=True)
 
-    def best(batches):
-        top = {}
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top: dict[int, list] = {}
         for batch in batches:
             if not batch.num_rows or not len(ids):
                 continue
             x = np.array(batch.column("embedding").to_pylist(), dtype=float)
             names = batch.column("vec_id").to_numpy()
-            x = x / np.linalg.norm(x, axis=1, keepdims=True)
-            scores = q @ x.T
+            scores = q @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T
             for row, own in enumerate(ids):
                 s = np.where(names == own, -2.0, scores[row])
                 some = np.lexsort((names, -np.round(s, 9)))[:k]
@@ -180,9 +204,7 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
         rows = [(int(ids[r]), n, s) for r, found in top.items() for _, n, s in found]
         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], type=t) for c, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["vec_id", "neighbour", "similarity"])
 
-    found = vectors.select("vec_id", "embedding").mapInArrow(best, "vec_id long, neighbour long, similarity double")
-    order = Window.partitionBy("vec_id").orderBy(F.desc(F.round("similarity", 9)), "neighbour")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return vectors.select("vec_id", "embedding").mapInArrow(best, "vec_id long, neighbour long, similarity double")
 
 
 def merge_layers(a: DataFrame, b: DataFrame, keys: list[str], names: tuple[str, str]) -> DataFrame:

@@ -167,7 +167,7 @@ def ilr_balances(counts: DataFrame, tree: DataFrame, pseudocount: float = 1.0) -
     log = F.ln(F.col("value") + pseudocount)
     side = lambda s: (F.sum(F.when(F.col("side") == s, log)), F.count(F.when(F.col("side") == s, log)))
     (left, n), (right, m) = side("num"), side("den")
-    sums = counts.join(F.broadcast(tree), "feature_id").groupBy("sample_id", "node").agg(left.alias("l"), n.alias("n"), right.alias("r"), m.alias("m"))
+    sums = counts.join(tree, "feature_id").groupBy("sample_id", "node").agg(left.alias("l"), n.alias("n"), right.alias("r"), m.alias("m"))
     balance = F.sqrt(F.col("n") * F.col("m") / (F.col("n") + F.col("m"))) * (F.col("l") / F.col("n") - F.col("r") / F.col("m"))
     return sums.where("n > 0 and m > 0").select("sample_id", "node", balance.alias("balance"))
 
@@ -298,7 +298,7 @@ def permanova(coords: DataFrame, permutations: int = 99, seed: int = 1) -> DataF
     order = Window.partitionBy("run")
     shuffled = runs.withColumn("k", F.row_number().over(order.orderBy(draw, "sample_id")))
     plain = groups.withColumn("k", F.row_number().over(Window.orderBy("sample_id"))).select("k", F.col("grp").alias("new"))
-    relabelled = shuffled.join(F.broadcast(plain), "k").select("run", "sample_id", F.col("new").alias("grp"))
+    relabelled = shuffled.join(plain, "k").select("run", "sample_id", F.col("new").alias("grp"))
     rows = coords.drop("grp").join(relabelled, "sample_id")
     centred = rows.withColumn("w", F.col("value") - F.avg("value").over(Window.partitionBy("run", "grp", "axis"))).withColumn("t", F.col("value") - F.avg("value").over(Window.partitionBy("run", "axis")))
     sums = centred.groupBy("run").agg(F.sum(F.col("w") * F.col("w")).alias("within"), F.sum(F.col("t") * F.col("t")).alias("total"), F.countDistinct("grp").alias("g"), F.countDistinct("sample_id").alias("n"))
@@ -310,7 +310,7 @@ def permanova(coords: DataFrame, permutations: int = 99, seed: int = 1) -> DataF
 
 def fit_two_groups(counts: DataFrame, groups: DataFrame) -> DataFrame:
     """Per feature: log2-CPM difference of two groups ("a", "b"), pooled t and degrees of freedom, over the rows given."""
-    logged = cpm(counts, 0.5).withColumn("y", F.log2("cpm")).join(F.broadcast(groups), "sample_id")
+    logged = cpm(counts, 0.5).withColumn("y", F.log2("cpm")).join(groups, "sample_id")
     side = lambda g, f: f(F.when(F.col("grp") == g, F.col("y")))
     stats = logged.groupBy("feature_id").agg(
         *[side(g, f).alias(f"{n}_{g}") for g in ("a", "b") for n, f in (("n", F.count), ("mean", F.avg), ("var", F.var_samp))]
@@ -381,7 +381,7 @@ def explained_variance(variances: DataFrame, most: int = 20, least: int = 2, sha
 
 def module_profile(counts: DataFrame, modules: DataFrame) -> DataFrame:
     """``(module, sample_id, profile)``: a module's mean of its features' z-scores."""
-    return scale(counts).join(F.broadcast(modules), "feature_id").where("z is not null").groupBy("module", "sample_id").agg(F.avg("z").alias("profile"))
+    return scale(counts).join(modules, "feature_id").where("z is not null").groupBy("module", "sample_id").agg(F.avg("z").alias("profile"))
 
 
 def module_eigenvector(counts: DataFrame, modules: DataFrame) -> DataFrame:
@@ -398,7 +398,7 @@ def module_eigenvector(counts: DataFrame, modules: DataFrame) -> DataFrame:
         sign = 1.0 if np.dot(v[0], wide.mean().to_numpy()) >= 0 else -1.0
         return pd.DataFrame({"module": pdf["module"].iloc[0], "sample_id": wide.columns, "profile": sign * v[0]})
 
-    rows = scale(counts).join(F.broadcast(modules), "feature_id").where("z is not null").select("module", "feature_id", "sample_id", "z")
+    rows = scale(counts).join(modules, "feature_id").where("z is not null").select("module", "feature_id", "sample_id", "z")
     return rows.groupBy("module").applyInPandas(first, "module string, sample_id string, profile double")
 
 
@@ -410,7 +410,7 @@ def expression_summary(counts: DataFrame) -> DataFrame:
 
 def contrast_tables(counts: DataFrame, groups: DataFrame) -> DataFrame:
     """For each pair of group levels and each feature: base mean, group means of normalised counts, fold change (3 digits)."""
-    normal = counts.join(size_factors(counts), "sample_id").withColumn("normal", F.col("value") / F.col("size_factor")).join(F.broadcast(groups), "sample_id")
+    normal = counts.join(size_factors(counts), "sample_id").withColumn("normal", F.col("value") / F.col("size_factor")).join(groups, "sample_id")
     base = normal.groupBy("feature_id").agg(F.avg("normal").alias("base_mean"))
     means = normal.groupBy("feature_id", "grp").agg(F.avg("normal").alias("mean"))
     one = means.select("feature_id", F.col("grp").alias("level_a"), F.col("mean").alias("mean_a"))
@@ -447,7 +447,7 @@ def euclidean(counts: DataFrame) -> DataFrame:
 
 def set_score(cells: DataFrame, sets: DataFrame) -> DataFrame:
     """Per barcode: mean of each of two marker sets minus the mean of all features; the label is the larger positive one."""
-    rows = cells.join(F.broadcast(sets), "feature", "left")
+    rows = cells.join(sets, "feature", "left")
     mean = lambda s: F.avg(F.when(F.col("set") == s, F.col("value"))) - F.avg("value")
     scored = rows.groupBy("barcode").agg(F.coalesce(mean("s"), F.lit(0.0)).alias("s_score"), F.coalesce(mean("g2m"), F.lit(0.0)).alias("g2m_score"))
     s, g = F.round("s_score", 9), F.round("g2m_score", 9)

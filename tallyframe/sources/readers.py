@@ -104,20 +104,27 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(file, ordinal, name, seq, qual)``: four lines a record, numbered by place in the file.
 
-    A compressed file can't be split, so one task reads it as a stream of
-    lines; plain files are to be given in parts of whole records.
+    Lines are numbered within the block of the file that a task reads, and the
+    blocks' numbers of lines are added up; so a plain file is read in parallel
+    and a compressed one, which can't be split, as one stream.
     """
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                import gzip
-
-                data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-                lines = data.decode().splitlines()
-                n = len(lines) // 4
-                yield pa.RecordBatch.from_arrays([pa.array([file] * n), pa.array(range(n), type=pa.int64()), *(pa.array(lines[k : 4 * n : 4], type=pa.string()) for k in (0, 1, 3))], ["file", "ordinal", "name", "seq", "qual"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(records, "file string, ordinal long, name string, seq string, qual string")
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, int] = {}
+        for batch in batches:
+            places = []
+            for key in zip(batch.column("file").to_pylist(), batch.column("block").to_pylist()):
+                places.append(seen.get(key, 0))
+                seen[key] = places[-1] + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, type=pa.int64())], [*batch.schema.names, "k"])
+
+    source = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    lines = source.mapInArrow(number, "file string, block long, value string, k long")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    placed = lines.join(sizes, ["file", "block"]).withColumn("line", F.col("before") + F.col("k"))
+    part = lambda i: F.max(F.when(F.col("line") % 4 == i, F.col("value")))
+    return placed.groupBy("file", F.floor(F.col("line") / 4).alias("ordinal")).agg(part(0).alias("name"), part(1).alias("seq"), part(3).alias("qual")).where("qual is not null")
 
 
 def interleave(r1: DataFrame, r2: DataFrame, keys: list[str]) -> DataFrame:

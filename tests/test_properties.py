@@ -140,6 +140,12 @@ def test_fastq_mates_and_mtx(spark, tmp_path):
     one, two = (R.read_fastq(spark, f"file://{tmp_path}/r{k}.fastq").drop("file") for k in (1, 2))
     rows = R.interleave(one, two, ["ordinal"]).orderBy("ordinal", "mate").collect()
     assert [(r.ordinal, r.mate, r.name) for r in rows] == [(i, k, f"@r{i}/{k}") for i in range(3) for k in (1, 2)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    many = tmp_path / "many.fastq"
+    many.write_text("".join(f"@r{i}\nA{'C' * (i % 7)}\n+\n@{'I' * (i % 7)}\n" for i in range(100)))
+    got = R.read_fastq(spark, f"file://{many}").orderBy("ordinal").collect()
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.ordinal, r.name, len(r.seq), r.qual[0]) for r in got] == [(i, f"@r{i}", 1 + i % 7, "@") for i in range(100)]
     cells = spark.createDataFrame([("b1", "g1", 2.0), ("b2", "g1", 3.0), ("b2", "g2", 0.5)], "barcode string, feature string, value double")
     S.write_mtx(cells, f"file://{tmp_path}/mtx")
     assert {tuple(r) for r in R.read_mtx(spark, f"file://{tmp_path}/mtx").collect()} == {tuple(r) for r in cells.collect()}
