@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from fractions import Fraction
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import blocks, written
 
-#: Chunks between white space that a worker keeps with their ids; bounds memory only.
-CACHE_CHUNKS = 400_000
+#: Chunks between white space that a task keeps with their ids; bounds memory only.
+CACHE_CHUNKS = 200_000
 #: Queues with a place of their own; further sources share POOLED queues by hash.
 MAX_QUEUES = 256
 POOLED = 16
@@ -53,11 +53,8 @@ class ChunkTokenizer:
 
     def __init__(self, path: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        settings = _settings(path)
+        self.path, settings = path, _settings(path)
         pattern = next(r["pattern"]["Regex"] for r in settings["pre_tokenizer"]["pretokenizers"] if r["type"] == "Split")
         self.pieces = regex.compile(pattern + "|\n").findall
         ranks = end_ranks(settings["model"]["merges"])
@@ -66,12 +63,21 @@ class ChunkTokenizer:
         for token, number in settings["model"]["vocab"].items():
             if token not in special:
                 ids[ranks[_as_bytes(token)]] = number
-        self.width = np.dtype(np.uint16 if self.whole.get_vocab_size() <= 1 << 16 else np.uint32)
+        self.width = np.dtype(np.uint16 if max(settings["model"]["vocab"].values()) < 1 << 16 else np.uint32)
         self.ids = ids.astype(self.width)
         self.mark = ranks[b"\n" + self.END.encode()]
         self.merge = tiktoken.Encoding("chunks", pat_str="[^\x01]+\x01", mergeable_ranks=ranks, special_tokens={})
         self.cache: dict[str, bytes] = {}
 
+    @cached_property
+    def whole(self):
+        """The library's tokenizer, loaded where a text needs it."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
     def learn(self, chunks: set[str]) -> None:
         if len(self.cache) + len(chunks) > CACHE_CHUNKS:
             self.cache.clear()
@@ -135,7 +141,6 @@ def end_ranks(merges: list) -> dict[bytes, int]:
     return out
 
 
-@lru_cache(maxsize=2)
 def _settings(path: str) -> dict:
     import json
 
@@ -165,6 +170,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
             ids = [(model.all(t) if c is None else b"".join(map(find, c))) + end for t, c in zip(texts, chunks)]
             n = pa.array([len(i) // size for i in ids], type=pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("source"), n, pa.array(ids, type=pa.binary()), pa.array([size] * len(ids), type=pa.int32())], ["id", "source", "n", "ids", "width"])
+        model.cache.clear()  # workers live on after a task
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
