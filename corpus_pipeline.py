@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.llm import quality
 from tallyframe.llm.common import materialise, table
 from tallyframe.llm.language import held_out
 from tallyframe.llm.line_dedup import dedup_lines
 from tallyframe.llm.packing import pack
-from tallyframe.llm.quality import classify
 from tallyframe.llm.quality_rules import clean
 from tallyframe.llm.simhash import near_duplicates
 
@@ -27,12 +27,8 @@ def _with_text(rows: DataFrame) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that score 0.5 or more; rows without an id are scored too and stay or go by their score."""
-    numbered = materialise(docs.select(F.monotonically_increasing_id().alias("uid"), *COLUMNS), "pipeline-documents")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    known = numbered.select("uid", "doc_id").join(labels, "doc_id").select("uid", "quality")
-    scored = classify(numbered, known, ~held_out("doc_id"), id_col="uid")
-    good = scored.where("score >= 0.5").select("uid")
-    return numbered.join(good, "uid", "left_semi").select(*COLUMNS)
+    model = quality.train(docs.select(*COLUMNS), table(spark, sf_dir, "labels"), ~held_out("doc_id"))
+    return quality.score(docs.select(*COLUMNS), model).where("score >= 0.5").select(*COLUMNS)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

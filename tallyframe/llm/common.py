@@ -46,7 +46,7 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """As :func:`materialise`, with the folder, for :func:`discard`."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import blocks, materialise
 
@@ -240,6 +241,30 @@ def fit(rows: DataFrame) -> Model:
     return Model(_newton(start, risk), mean, scale, prior)
 
 
+def _trained(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str, text_col: str, label_col: str) -> tuple[DataFrame, Model]:
+    x = materialise(featurise(docs, id_col, text_col, train_rows), "quality-features")
+    positives = labels.groupBy(F.col(id_col).alias("labelled")).agg(F.max(label_col).alias("q")).where("q = 1")
+    rows = x.where("train").join(positives, F.col(id_col) == F.col("labelled"), "left")
+    return x, fit(materialise(rows.select("x", F.col("labelled").isNotNull().alias("positive")), "quality-training"))
+
+
+def train(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
+    """The model of :func:`classify`, to score rows that it leaves in place with :func:`score`."""
+    return _trained(docs, labels, train_rows, id_col, text_col, label_col)[1]
+
+
+def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``score``: every row is scored where it stands, whatever its id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, text_col):
+            found = model.score(features(batch.column(text_col).to_pylist()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, "score"])
+
+    rows = docs.drop("score")
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
+
+
 def classify(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """``(id_col, train boolean, score double)`` for every document.
 
@@ -247,15 +272,12 @@ def classify(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str
     it holds teach the model.  A row of ``labels`` with ``label_col`` = 1 is a
     trusted positive; other labels are not used.
     """
-    x = materialise(featurise(docs, id_col, text_col, train_rows), "quality-features")
-    positives = labels.groupBy(F.col(id_col).alias("labelled")).agg(F.max(label_col).alias("q")).where("q = 1")
-    rows = materialise(x.where("train").join(positives, F.col(id_col) == F.col("labelled"), "left").select("x", F.col("labelled").isNotNull().alias("positive")), "quality-training")
-    model = fit(rows)
+    x, model = _trained(docs, labels, train_rows, id_col, text_col, label_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = model.score(_matrix(batch)) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("train"), pa.array(score)], ["id", "train", "score"])
+            found = model.score(_matrix(batch)) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("train"), pa.array(found)], ["id", "train", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return x.withColumnRenamed(id_col, "id").mapInArrow(run, f"id {kind}, train boolean, score double").withColumnRenamed("id", id_col)
