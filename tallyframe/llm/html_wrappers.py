@@ -49,6 +49,13 @@ FURNITURE_WORDS = frozenset(
     " cookie cookies disqus footer form header hidden menu modal nav navbar navigation newsletter notice pager pagination popup promo"
     " related reply replies respond search share sharing sidebar social sponsor sponsored sponsors subscribe toolbar widget".split()
 )
+#: Words that may stand beside those in one hyphenated token (``site-header``, ``comment-list``).
+PLACE_WORDS = frozenset("area bar block body bottom box container global inner items left link links list main outer page posts primary right secondary section site thread top wrap wrapper".split())
+#: Elements that hold the page or its content and never open furniture.
+PAGE_ELEMENTS = frozenset("html body main article".split())
+#: Furniture in which articles are no content of the page.
+SHUT_ELEMENTS = frozenset("nav footer aside menu dialog".split())
+SHUT_WORDS = frozenset("comment comments disqus related replies reply respond".split())
 
 TOKEN = regex.compile(
     rf"""<!--.*?(?:-->|\Z)
@@ -63,27 +70,40 @@ WORD = regex.compile(r"[a-z]+")
 
 
 @lru_cache(maxsize=4096)
-def _region(name: str, rest: str) -> tuple[str, bool, bool]:
-    """A container's token, and whether it opens furniture or content."""
-    words = [w for m in ATTRIBUTE.finditer(rest) for w in WORD.findall((m[2] or m[3] or m[4] or "").lower())] if "=" in rest else []
-    content = name in ("article", "main") or "main" in words and "role" in rest.lower() or "articlebody" in words
-    return ".".join([name, *words]), name in FURNITURE or bool(FURNITURE_WORDS.intersection(words)), content
+def _region(name: str, rest: str) -> tuple[str, bool, bool, bool]:
+    """A container's token, and whether it opens furniture, content or furniture without content.
+
+    A class, id or role marks furniture as a whole token, or as one in which
+    all pieces are furniture or place words: ``site-header`` is, ``no-sidebar``
+    and ``search-results`` are not.
+    """
+    found = [(m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in ATTRIBUTE.finditer(rest)] if "=" in rest else []
+    words = [w for _, value in found for w in WORD.findall(value)]
+    pieces = [[w for w in WORD.findall(token) if len(w) > 1] for _, value in found for token in value.split()]
+    marked = [p for p in pieces if FURNITURE_WORDS.intersection(p) and FURNITURE_WORDS.union(PLACE_WORDS).issuperset(p)]
+    comment = any(SHUT_WORDS.intersection(p) for p in marked)
+    content = name in ("article", "main") or any(a == "role" and "main" in v.split() or a == "itemprop" and "articlebody" in v.split() for a, v in found)
+    furniture = name in FURNITURE or bool(marked) and name not in PAGE_ELEMENTS
+    shut = name in SHUT_ELEMENTS or comment and name not in ("html", "body", "main")
+    return ".".join([name, *words]), furniture, content, shut
 
 
 def stream(html: str) -> tuple[list[str], list[str]]:
     """Block tokens of a page and the text of each slot, in order.
 
     Slots are ``#a`` in content elements, ``#t`` elsewhere, ``#f`` in furniture.
+    Of furniture and content the innermost counts, but comments, related posts
+    and elements like ``aside`` hold no content.
     """
     tokens, texts, parts = [], [], []
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, bool, bool, bool]] = []
     at = 0
 
     def flush() -> None:
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, furniture, content = stack[-1] if stack else ("", False, False)
+            _, furniture, content, _ = stack[-1] if stack else ("", False, False, False)
             tokens.append("#f" if furniture else "#a" if content else "#t")
             texts.append(text)
 
@@ -104,9 +124,11 @@ def stream(html: str) -> tuple[list[str], list[str]]:
         elif name in CONTAINERS:
             flush()
             if not m["end"]:
-                key, furniture, content = _region(name, m["rest"])
-                _, in_furniture, in_content = stack[-1] if stack else ("", False, False)
-                stack.append((name, in_furniture or furniture, in_content or content))
+                key, furniture, content, shut = _region(name, m["rest"])
+                _, in_furniture, in_content, in_shut = stack[-1] if stack else ("", False, False, False)
+                shut = shut or in_shut
+                furniture = shut or not content and (furniture or in_furniture)
+                stack.append((name, furniture, in_content or content, shut))
                 tokens.append("<" + key)
             elif any(s[0] == name for s in stack):
                 while stack.pop()[0] != name:

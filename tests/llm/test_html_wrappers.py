@@ -58,3 +58,23 @@ def test_query_on_pages(spark):
 def test_most_pages_are_parsed_by_their_wrapper(spark):
     got = extract_pages(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
     assert got.where("parsed").count() >= 0.95 * got.count()
+
+
+def test_state_classes_do_not_hide_the_article():
+    pages = [
+        "<body class='has-sidebar'>{}</body>",
+        "<body class='search header'>{}</body>",
+        "<div class='layout no-sidebar'>{}</div>",
+        "<article class='post comments-open'><p>kept</p></article>",
+        "<main id='search-results'>{}</main>",
+        "<div class='hidden-xs content'>{}</div>",
+        "<form id='aspnetForm'><div class='widget'><article>{}</article></div></form>",
+    ]
+    for page in pages:
+        assert extract(page.format("<p>kept</p>"), None)[0] == "kept", page
+
+
+def test_articles_in_comments_and_asides_stay_out():
+    for wrapper in ("<ol class='comment-list'>{}</ol>", "<aside>{}</aside>", "<div class='related'>{}</div>", "<article class='comment'>{}</article>", "<div class='site-header'>{}</div>"):
+        inner = "gone" if "header" in wrapper else "<article>gone</article>"
+        assert extract(f"<main><p>kept</p>{wrapper.format(inner)}</main>", None)[0] == "kept", wrapper
