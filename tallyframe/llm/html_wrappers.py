@@ -9,10 +9,12 @@ first, and a host with many is aligned in bounded groups, then across them, so
 a host with a third of all pages is no large group.  Each page is then parsed
 with its host's expression, whose captured content slots are its text.
 
-A slot is content inside an ``article`` or ``main`` element, or, on pages
-without one, anywhere outside menus, headers, footers, sidebars, notices,
-adverts, forms and comments.  A page that its wrapper can't parse is read by
-its own stream with the same slots.
+A slot inside an ``article`` or ``main`` element is content.  On pages without
+one the aligned slots decide: a slot whose texts stand on most of the host's
+distinct pages is template, the others are content, and slots in menus,
+headers, footers, sidebars, notices, adverts, forms and comments are taken only
+where nothing else varies.  Where no slot of a page varies, and on a page that
+its wrapper can't parse, all slots outside such furniture are its text.
 
 Defined results: null or empty html gives empty text; ids and urls may be null
 or repeat; pages without a host share one wrapper; every row gives one row.
@@ -20,6 +22,7 @@ or repeat; pages without a host share one wrapper; every row gives one row.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 from collections.abc import Iterator
@@ -37,6 +40,8 @@ from .common import blocks, materialise
 GROUP = 64
 #: Longest run of tokens that is tried as a repeated group.
 LONGEST = 8
+#: Distinct pages that must show a slot before it can count as template.
+LEAST_PAGES = 3
 
 #: Elements of the HTML standard by how they are read.
 SKIPPED = "script|style|noscript|template|textarea|title|svg|iframe|object|select|button|math|canvas|audio|video"
@@ -241,27 +246,38 @@ def _marks(node) -> Iterator[str]:
 
 
 class Wrapper:
-    """A host's expression, compiled over one character per token, with its content slots captured."""
+    """A host's expression, compiled over one character per token, with its text slots captured by number."""
 
     def __init__(self, expression: list) -> None:
         self.codes: dict[str, str] = {}
+        self.kinds: list[str] = []
         self.pattern = regex.compile("".join(map(self._compile, expression)))
 
     def _compile(self, node) -> str:
         if isinstance(node, str):
             code = self.codes.setdefault(node, chr(0xE000 + len(self.codes)))
-            return f"(?P<{node[1]}>{code})" if node in ("#a", "#t") else code
+            if node[0] != "#":
+                return code
+            self.kinds.append(node)
+            return f"({code})"
         # possessive: a wrapper is read once, without trying other divisions
         return f"(?:{''.join(map(self._compile, node[1]))}){'+' if node[0] == '+' else '?'}+"
 
-    def slots(self, tokens: list[str]) -> list[int] | None:
-        """Places of the tokens in content slots; None if the wrapper can't parse the stream."""
-        match = self.pattern.fullmatch("".join(self.codes.get(t, "") for t in tokens))
+    def places(self, tokens: list[str]) -> list[tuple[int, int]] | None:
+        """Number of the slot and place of every text token; None if the wrapper can't parse the stream."""
+        match = self.pattern.fullmatch("".join(self.codes.get(t, "") for t in tokens))
         if match is None:
             return None
-        groups = match.capturesdict()
-        name = "a" if groups.get("a") else "t"
-        return [s for s, _ in match.spans(name)] if groups.get(name) else []
+        return [(slot, at) for slot in range(len(self.kinds)) for at, _ in match.spans(slot + 1)]
+
+    def slots(self, tokens: list[str], template: frozenset[int] = frozenset()) -> list[int] | None:
+        """Places of the tokens in content slots; None if the wrapper can't parse the stream."""
+        places = self.places(tokens)
+        if places is None:
+            return None
+        of = lambda kind, left_out=frozenset(): sorted(at for slot, at in places if self.kinds[slot] == kind and slot not in left_out)
+        varying = of("#t", template) or (template and of("#f", template))
+        return of("#a") or varying or of("#t")
 
 
 @lru_cache(maxsize=512)
@@ -269,10 +285,10 @@ def _wrapper(expression: str | None) -> Wrapper | None:
     return Wrapper(json.loads(expression)) if expression is not None else None
 
 
-def extract(html: str | None, wrapper: Wrapper | None) -> tuple[str, bool]:
-    """Main text of a page, and whether the wrapper parsed it."""
+def extract(html: str | None, wrapper: Wrapper | None, template: frozenset[int] = frozenset()) -> tuple[str, bool]:
+    """Main text of a page, and whether the wrapper parsed it; ``template`` are the host's constant slots."""
     tokens, texts = stream(html or "")
-    found = wrapper.slots(tokens) if wrapper else None
+    found = wrapper.slots(tokens, template) if wrapper else None
     parsed = found is not None
     if found is None:
         kind = "#a" if "#a" in tokens else "#t"
@@ -313,17 +329,56 @@ def learn_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         found = materialise(aligned if most <= GROUP else aligned.distinct(), "wrappers")
 
 
+def _hash(*texts: str) -> int:
+    return int.from_bytes(hashlib.blake2b("\0".join(texts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def template_slots(joined: DataFrame) -> DataFrame:
+    """``(host, template)``: numbers of the slots whose texts stand, on average, on most distinct pages that show the slot.
+
+    Slots in ``article`` and ``main`` are content anyway and not counted.
+    """
+
+    def slot_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, "html"):
+            out = set()
+            for host, html, expression in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "expression"))):
+                tokens, texts = stream(html or "")
+                wrapper = _wrapper(expression)
+                places = wrapper and wrapper.places(tokens)
+                if not places:
+                    continue
+                number = {k: n for n, k in enumerate(k for k, t in enumerate(tokens) if t[0] == "#")}
+                page, seen = _hash(*texts), set()
+                for slot, at in places:
+                    if wrapper.kinds[slot] != "#a":
+                        row = (host, slot, _hash(texts[number[at]]), page)
+                        out.add((*row, slot not in seen))
+                        seen.add(slot)
+            columns = list(zip(*sorted(out))) or [()] * 5
+            types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], ["host", "slot", "text", "page", "lead"])
+
+    rows = joined.select("host", "html", "expression").mapInArrow(slot_texts, "host string, slot int, text long, page long, lead boolean")
+    once = rows.groupBy("host", "slot", "text", "page").agg(F.max("lead").alias("lead"))
+    texts = once.groupBy("host", "slot", "text").agg(F.count(F.lit(1)).alias("stands"), F.sum(F.col("lead").cast("long")).alias("pages"))
+    slots = texts.groupBy("host", "slot").agg(F.count(F.lit(1)).alias("texts"), F.sum("stands").alias("stands"), F.sum("pages").alias("pages"))
+    constant = slots.where((F.col("pages") >= LEAST_PAGES) & (2 * F.col("stands") > F.col("texts") * F.col("pages")))
+    return constant.groupBy("host").agg(F.sort_array(F.collect_set("slot")).alias("template"))
+
+
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(id_col, url_col, text, parsed)``: the main text of every whole page, read with its host's wrapper."""
     wrappers = learn_wrappers(pages, url_col, html_col)
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), _host(url_col).alias("host"))
+    template = materialise(template_slots(rows.join(wrappers, "host")), "template-slots")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "html"):
-            out = [extract(t, _wrapper(e)) for t, e in zip(batch.column("html").to_pylist(), batch.column("expression").to_pylist())]
+            out = [extract(t, _wrapper(e), frozenset(s or ())) for t, e, s in zip(*(batch.column(c).to_pylist() for c in ("html", "expression", "template")))]
             columns = [batch.column("id"), batch.column("url"), pa.array([t for t, _ in out], type=pa.string()), pa.array([p for _, p in out], type=pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "url", "text", "parsed"])
 
     kind = pages.schema[id_col].dataType.simpleString()
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), _host(url_col).alias("host"))
-    joined = rows.join(wrappers, "host", "left").select("id", "url", "html", "expression")
+    joined = rows.join(wrappers, "host", "left").join(template, "host", "left").select("id", "url", "html", "expression", "template")
     return joined.mapInArrow(read, f"id {kind}, url string, text string, parsed boolean").withColumnsRenamed({"id": id_col, "url": url_col})

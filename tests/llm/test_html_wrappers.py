@@ -78,3 +78,15 @@ def test_articles_in_comments_and_asides_stay_out():
     for wrapper in ("<ol class='comment-list'>{}</ol>", "<aside>{}</aside>", "<div class='related'>{}</div>", "<article class='comment'>{}</article>", "<div class='site-header'>{}</div>"):
         inner = "gone" if "header" in wrapper else "<article>gone</article>"
         assert extract(f"<main><p>kept</p>{wrapper.format(inner)}</main>", None)[0] == "kept", wrapper
+
+
+def test_constant_slots_are_template_on_pages_without_an_article(spark):
+    rows = [(k, f"http://a.org/{k}", f"<div class='top'>Home of news</div><div id='b2'><p>Our offer</p></div><div class='x'><p>story {k}</p><p>more {k}</p></div>") for k in range(6)]
+    rows += [(10 + k, f"http://copies.org/{k}", "<div>same page</div>") for k in range(5)]
+    rows += [(20 + k, f"http://flagged.org/{k}", f"<div>Top</div><div class='widget'><p>text {k}</p></div>") for k in range(4)]
+    rows += [(30 + k, f"http://few.org/{k}", f"<div>Top</div><p>text {k}</p>") for k in range(2)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == f"story {k} more {k}" for k in range(6))
+    assert all(got[10 + k] == "same page" for k in range(5))
+    assert all(got[20 + k] == f"text {k}" for k in range(4))
+    assert all(got[30 + k] == f"Top text {k}" for k in range(2))
