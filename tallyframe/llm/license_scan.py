@@ -4,9 +4,9 @@ A notice of ``m`` characters that may differ in ``k`` edits is split into
 ``k + 1`` pieces; by the pigeonhole principle one piece at least stands in any
 match unchanged.  All pieces of all notices are found in one pass of an
 Aho-Corasick automaton over the normalised text; each hit opens a window wide
-enough for the whole notice and its edits, windows that touch are joined, and
-the ``regex`` library's bounded-error matching verifies the notice there and
-reports its span and edits.
+enough for the whole notice and its edits but not for two copies, and the
+``regex`` library's best bounded-error match there gives a span and its edits.
+Of overlapping spans of one notice the one with the fewest edits stays.
 
 Text is normalised by lower-casing A-Z and joining the words, runs of ASCII
 letters, digits and any non-ASCII characters, by one space.
@@ -17,6 +17,7 @@ may be null or repeat; each input row gives one row.
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
@@ -100,24 +101,24 @@ class Scanner:
 
     def fuzzy(self, text: str) -> list[tuple]:
         """Verified places of the notices, each with its edits."""
-        windows: dict[int, list[list[int]]] = {}
+        windows: dict[int, set[tuple[int, int]]] = {}
         for end, (size, uses) in self.automaton.iter(text):
             for notice, offset in uses:
                 full, _, edits, _ = self.notices[notice]
                 start = end + 1 - size - offset
-                a, b = max(0, start - 2 * edits - 1), min(len(text), start + len(full) + 2 * edits + 1)
-                kept = windows.setdefault(notice, [])
-                if kept and a <= kept[-1][1]:
-                    kept[-1][1] = max(b, kept[-1][1])
-                else:
-                    kept.append([a, b])
+                windows.setdefault(notice, set()).add((max(0, start - 2 * edits - 1), min(len(text), start + len(full) + 2 * edits + 1)))
         found = []
         for notice, spans in windows.items():
             full, label, _, pattern = self.notices[notice]
-            for a, b in spans:
-                for m in pattern.finditer(text, a, b):
-                    first = text.count(" ", 0, m.start())
-                    found.append((label, first, first + text.count(" ", m.start(), m.end()) + 1, sum(m.fuzzy_counts), full))
+            places = {(sum(m.fuzzy_counts), m.start(), m.end()) for a, b in spans for m in pattern.finditer(text, a, b)}
+            taken: list[tuple[int, int]] = []  # in order and apart
+            for edits, a, b in sorted(places):
+                k = bisect(taken, (a, b))
+                if (k and taken[k - 1][1] > a) or (k < len(taken) and taken[k][0] < b):
+                    continue
+                taken.insert(k, (a, b))
+                first = text.count(" ", 0, a)
+                found.append((label, first, first + text.count(" ", a, b) + 1, edits, full))
         return sorted(found, key=lambda s: (s[1], s[2], s[0]))
 
 

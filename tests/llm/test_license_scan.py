@@ -77,3 +77,14 @@ def test_query_on_documents(spark):
     for r in rows:
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == plain(texts[r.doc_id])
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+
+
+def test_edited_copies_before_better_ones_are_found():
+    scanner = Scanner(PHRASES, NOTICES, CHARS_PER_EDIT)
+    notice = "licensed under the apache license version 2 0"
+    once, twice = notice.replace("licensed", "licenced"), notice.replace("licensed", "licenced").replace("apache", "apachy")
+    for copies in ([once, notice], [twice, once, notice], [notice, once, twice, once], [once, "and", notice], [twice] * 3 + [notice]):
+        words = " ".join(copies).split()
+        spans = [s for s in scanner.fuzzy(" ".join(words)) if s[4] == notice]
+        assert [" ".join(words[a:b]) for _, a, b, _, _ in spans] == [c for c in copies if c != "and"]
+        assert [e for *_, e, _ in spans] == [edits(c, notice) for c in copies if c != "and"]
