@@ -6,8 +6,10 @@ code is cut into chunks of about log2(rows) bits, one table for each; a vector
 stands in a table under its chunk and all chunks one bit away, so two vectors
 whose chunks differ in two bits or fewer meet.  The number of tables (and of
 further rotations, where one code has too few chunks) follows from the recall
-wanted at the threshold.  Every pair that meets is reranked with the original
-vectors in double precision.
+wanted at the threshold: a first number from the angle at the threshold, which
+grows until pairs at the threshold meet often enough in the codes of the
+sample, as centring widens angles where vectors share a direction.  Every pair
+that meets is reranked with the original vectors in double precision.
 
 Pairs are never rows.  A bucket is dealt into blocks of at most about
 ``BLOCK`` vectors, pairs of blocks are compared inside tasks, a pair is counted
@@ -38,6 +40,8 @@ BLOCK = 256
 #: Rows a task compares at once.
 FLUSH = 40_000
 WORD = 64
+#: Vectors of the sample whose pairs at the threshold measure the recall of a plan; bounds the driver's work only.
+PROBES = 2_000
 
 
 def learn_rotations(x: np.ndarray, words: int, rounds: int = 30, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -67,6 +71,65 @@ def plan_tables(rows: int, threshold: float, recall: float) -> tuple[int, int]:
     return bits, max(2, int(np.ceil(np.log(1 - recall) / np.log(1 - meet))))
 
 
+def threshold_pairs(x: np.ndarray, threshold: float, seed: int = 11) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sets of pairs of unit vectors at the threshold: the sample's own near it, and made ones.
+
+    Made pairs have a cosine of just ``threshold`` and differ in any direction
+    or as two vectors of the sample do; the sample's own reach half way from
+    the threshold to 1 and count if they are 100 or more.
+    """
+    rng = np.random.default_rng(seed)
+    n = len(x)
+    probe = x[rng.permutation(n)[:PROBES]]
+    sets, most = [], 20 * PROBES
+    left, right = [], []
+    for at in range(0, len(probe), 250):
+        cosine = probe[at : at + 250] @ x.T
+        i, j = np.nonzero((cosine >= threshold) & (cosine <= (1 + threshold) / 2))
+        if len(i) > most // 8:
+            some = rng.permutation(len(i))[: most // 8]
+            i, j = i[some], j[some]
+        left.append(probe[at + i])
+        right.append(x[j])
+    if sum(map(len, left)) >= 100:
+        sets.append((np.concatenate(left), np.concatenate(right)))
+    for step in (rng.normal(size=probe.shape), x[rng.integers(n, size=len(probe))] - x[rng.integers(n, size=len(probe))]):
+        step = step - np.einsum("ij,ij->i", step, probe)[:, None] * probe
+        size = np.linalg.norm(step, axis=1)
+        good = size > 1e-6
+        if good.any():
+            a = probe[good]
+            sets.append((a, threshold * a + np.sqrt(max(0.0, 1 - threshold**2)) * step[good] / size[good][:, None]))
+    return sets
+
+
+def measured_recall(pairs: list[tuple[np.ndarray, np.ndarray]], mean: np.ndarray, projection: np.ndarray, bits: int, tables: int) -> float:
+    """Share of pairs that meet in one table at least, in the set where it is smallest."""
+    per, worst = WORD // bits, 1.0
+    for a, b in pairs:
+        differ = ((a - mean) @ projection >= 0) != ((b - mean) @ projection >= 0)
+        meet = np.zeros(len(a), dtype=bool)
+        for k in range(tables):
+            at = WORD * (k // per) + bits * (k % per)
+            meet |= differ[:, at : at + bits].sum(axis=1) <= 2
+        worst = min(worst, float(meet.mean()))
+    return worst
+
+
+def plan_codes(x: np.ndarray, rows: int, threshold: float, recall: float) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Bits of a chunk, number of tables, mean and projection with the wanted recall measured on the sample ``x``."""
+    bits, tables = plan_tables(rows, threshold, recall)
+    per, pairs = WORD // bits, threshold_pairs(x, threshold)
+    while True:
+        mean, projection = learn_rotations(x, -(-tables // per))
+        found = measured_recall(pairs, mean, projection, bits, tables)
+        # no more tables than rows: with as many, all pairs could be compared
+        if found >= recall or tables >= rows:
+            return bits, tables, mean, projection
+        miss = np.log(1 - recall) / np.log(1 - found) if found > 0 else 2.0
+        tables = min(max(rows, tables + 1), int(np.ceil(tables * np.clip(miss, 1 + 1 / tables, 2))))
+
+
 def _vectors(column: pa.Array) -> list[np.ndarray | None]:
     """Valid vectors as doubles; None for those that link with nothing."""
     out = []
@@ -200,7 +263,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float =
 
     ``recall`` is that wanted of pairs exactly at ``threshold``; closer pairs
     are found more surely.  ``sample`` bounds the vectors the rotation is
-    learned on.
+    learned on and the number of tables is measured on.
     """
     kind = vectors.schema[id_col].dataType.simpleString()
 
@@ -219,9 +282,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float =
     else:
         valid = valid.where(F.octet_length("v") == dims["size"])
         some = valid.orderBy(F.xxhash64("v"), "uid").limit(sample).select("v").toArrow()
-        bits, tables = plan_tables(dims["count"], threshold, recall)
-        words = -(-tables // (WORD // bits))
-        mean, projection = learn_rotations(_unit(some.combine_chunks().to_batches()[0]), words)
+        bits, tables, mean, projection = plan_codes(_unit(some.combine_chunks().to_batches()[0]), dims["count"], threshold, recall)
 
         def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -64,3 +64,29 @@ def test_query_on_embeddings(spark):
     got = {r.vec_id: r for r in op5_embedding_itq(spark, sf).collect()}
     assert sum(r.n_links for r in got.values()) >= 0.9 * want.sum()
     assert all(got[i].component_id == ids[label[k]] for k, i in enumerate(ids)) or want.sum() > 0
+
+
+@pytest.mark.parametrize("shared", [0.5, 0.7])
+def test_recall_with_a_common_direction(spark, shared):
+    """Vectors with a large mean (mean cosine ``shared``) and pairs just above the threshold."""
+    rng = np.random.default_rng(5)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    dim = 64
+    x = unit(np.sqrt(shared) * unit(rng.normal(size=(1, dim))) + np.sqrt(1 - shared) * unit(rng.normal(size=(3000, dim))))
+    step = rng.normal(size=(600, dim))
+    step -= np.einsum("ij,ij->i", step, x[:600])[:, None] * x[:600]
+    near = 0.905 * x[:600] + np.sqrt(1 - 0.905**2) * unit(step)
+    x = np.vstack([x, near])
+    want, label = brute(x)
+    rows = near_duplicates(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    assert 0.93 * want.sum() <= sum(r.n_links for r in rows) <= want.sum()
+
+
+def test_query_finds_the_links_and_components(spark):
+    sf = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").orderBy("vec_id").toPandas()
+    want, label = brute(np.array(table.embedding.tolist(), dtype=float))
+    ids = table.vec_id.to_numpy()
+    got = {r.vec_id: r for r in op5_embedding_itq(spark, sf).collect()}
+    assert all(got[i].n_links <= want[k].sum() for k, i in enumerate(ids))
+    assert np.mean([got[i].component_id == ids[label[k]] for k, i in enumerate(ids)]) >= 0.95
