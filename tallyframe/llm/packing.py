@@ -33,9 +33,8 @@ from .common import blocks, written
 
 #: Chunks between white space that a task keeps with their ids; bounds memory only.
 CACHE_CHUNKS = 200_000
-#: Queues with a place of their own; further sources share POOLED queues by hash.
-MAX_QUEUES = 256
-POOLED = 16
+#: Numbers of a table of rounds and queues that a task holds at once; bounds memory only.
+TABLE = 1 << 20
 
 
 class ChunkTokenizer:
@@ -205,7 +204,7 @@ def _tail(tokens: int, window: int) -> list[int]:
 
 
 class Schedule:
-    """Where each token of each queue goes; all it holds is bounded by the number of queues."""
+    """Where each token of each queue goes; all it holds is numbers of each queue in each phase."""
 
     def __init__(self, totals: list[int], weights: list[Fraction], window: int) -> None:
         self.window, self.total = window, sum(totals)
@@ -225,6 +224,23 @@ class Schedule:
         earned = share * self.window
         return np.minimum(r * (earned // total) + r * (earned % total) // total, share)
 
+    def ahead(self, r: np.ndarray, queue: np.ndarray, sent: np.ndarray, total: int) -> np.ndarray:
+        """Tokens that stand before round ``r`` of ``queue``: all earlier rounds, and earlier queues' of this one."""
+        live = np.flatnonzero(sent)
+        shares = sent[live].astype(self.exact)
+        rounds, at = np.unique(r, return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        out, column = np.zeros(len(r), dtype=self.exact), np.searchsorted(live, queue)
+        size = max(1, TABLE // max(1, len(live)))
+        for k in range(0, len(rounds), size):
+            some = rounds[k : k + size].astype(self.exact)[:, None]
+            mine = order[np.searchsorted(at[order], k) : np.searchsorted(at[order], k + size)]
+            low = self.sent(some, shares, total)
+            inside = np.cumsum(self.sent(some + 1, shares, total) - low, axis=1)
+            base, row, c = low.sum(axis=1), at[mine] - k, column[mine]
+            out[mine] = base[row] + np.where(c > 0, inside[row, np.maximum(c - 1, 0)], 0)
+        return out
+
     def pieces(self, queue: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
         """Of documents at places ``first`` of their queues: document number, start, length, sequence and offset of each piece."""
         found, before, base = [], np.zeros(len(self.phases[0]), dtype=np.int64), 0
@@ -243,10 +259,7 @@ class Schedule:
                 share, q = share[part], queue[doc][part]
                 low, high = self.sent(r, share, total), self.sent(r + 1, share, total)
                 start, stop = np.maximum(low, a[part]), np.minimum(high, b[part])
-                ahead = np.zeros(len(part), dtype=self.exact)
-                for other, tokens in enumerate(sent):
-                    if tokens:
-                        ahead += self.sent(r + (q > other), np.array(tokens, dtype=self.exact), total)
+                ahead = self.ahead(r, q, sent_to, total)
                 keep = start < stop
                 where = (base + ahead + start - low)[keep].astype(np.int64)
                 found.append((doc[part][keep], (start + before[q] - first[doc][part])[keep].astype(np.int64), (stop - start)[keep].astype(np.int64), where))
@@ -277,24 +290,21 @@ def pack(
     ``ids`` holds the piece's ids as little-endian unsigned 32-bit numbers.
     ``weights`` are the target token proportions by source (missing sources: 0,
     packed last); None takes the corpus's own, which hold to the last window.
-    Only queue totals, at most ``MAX_QUEUES + POOLED`` numbers, reach the driver.
+    Every source is a queue; the driver holds one name and total for each.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     coded, _ = written(tokenize(docs, tokenizer_path, end_id, id_col, text_col, source_col).withColumn("uid", F.monotonically_increasing_id()), "tokens")
     meta = coded.select("uid", "source", "n", F.shiftright("uid", 33).alias("part"))
-    largest = meta.groupBy("source").agg(F.sum("n").alias("tokens")).orderBy(F.desc("tokens"), "source").limit(MAX_QUEUES)
-    names = [r.source for r in largest.collect()]
+    largest = meta.groupBy("source").agg(F.sum("n").alias("tokens")).orderBy(F.desc("tokens"), "source")
+    names, totals = zip(*((r.source, r.tokens) for r in largest.collect())) if coded.take(1) else ((), ())
     spark = docs.sparkSession
     if not names:
         return spark.createDataFrame([], f"{id_col} {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
-    known = F.broadcast(spark.createDataFrame(list(enumerate(names)), "queue int, name string"))  # at most MAX_QUEUES rows
-    pooled = (F.lit(len(names)) + F.pmod(F.xxhash64("source"), F.lit(POOLED))).cast("int")
-    meta = meta.join(known, F.col("source").eqNullSafe(F.col("name")), "left").select("uid", "n", "part", F.coalesce("queue", pooled).alias("queue"))
+    known = F.broadcast(spark.createDataFrame(list(enumerate(names)), "queue int, name string"))  # the driver holds it anyway
+    meta = meta.join(known, F.col("source").eqNullSafe(F.col("name"))).select("uid", "n", "part", "queue")
     parts = meta.groupBy("queue", "part").agg(F.sum("n").alias("n"))
-    sums = {r.queue: r.n for r in parts.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
-    totals = [sums.get(q, 0) for q in range(max(sums) + 1)]
-    given = [Fraction(t) if weights is None else Fraction(str(weights.get(names[q], 0) if q < len(names) else 0)) for q, t in enumerate(totals)]
-    plan = Schedule(totals, given, window)
+    given = [Fraction(t if weights is None else str(weights.get(name, 0))) for name, t in zip(names, totals)]
+    plan = Schedule(list(totals), given, window)
 
     earlier = (Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("n").over(Window.partitionBy("queue").orderBy("part").rowsBetween(*earlier)), F.lit(0))

@@ -127,3 +127,22 @@ def test_query_on_documents(spark):
     docs = sorted(spark.read.parquet(f"{sf}/documents.parquet").collect(), key=lambda r: r.doc_id)
     assert [d.doc_id for d in docs] == list(range(len(docs)))
     check([r.asDict() for r in op8_packing(spark, sf).collect()], [d.text for d in docs])
+
+
+def test_every_source_keeps_its_share_and_its_weight(spark):
+    """400 sources of near equal size, in table order one after the other: no window holds a run of one."""
+    rows = [(k, "word " * 60, f"s{k // 2:03d}") for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    name = {d: s for d, _, s in rows}
+    pieces = pack(docs, PATH, 1).select("doc_id", "length", "doc_tokens", "sequence_id").collect()
+    total = sum({r.doc_id: r.doc_tokens for r in pieces}.values())
+    share = defaultdict(Counter)
+    for r in pieces:
+        share[r.sequence_id][name[r.doc_id]] += r.length
+    for s in range(total // 2048):
+        for source in set(name.values()):
+            assert abs(share[s][source] - 2048 / 400) <= 2048 / 400 + 1  # deficits shift a round's start by up to one turn
+    small = spark.createDataFrame([*rows, (800, "word " * 50, "wanted")], "doc_id long, text string, source string")
+    rows = pack(small, PATH, 1, window=32, weights={"wanted": 1.0}).select("doc_id", "sequence_id", "offset").collect()
+    assert min(rows, key=lambda r: (r.sequence_id, r.offset)).doc_id == 800
+    assert {r.doc_id for r in rows if r.sequence_id == 0} == {800}
