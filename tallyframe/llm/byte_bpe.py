@@ -1,12 +1,19 @@
 """Byte-level BPE by corpus-level merge replay.
 
-Each task gathers the distinct pre-tokens of its texts into one block
-vocabulary, lays their bytes out in one linked sequence and keeps an inverted
-index from the rank of a token pair to the word positions where that pair
-stands.  Merges are applied in rank order over the whole vocabulary; a merge
-touches its two neighbours only, whose new pairs enter the index.  Documents
-are then put together from the finished words, so a frequent word is merged
-once per task, not once per occurrence.
+Texts are cut into pre-tokens by blocks, and a block's distinct words are dealt
+into buckets by hash, so that every distinct word of the corpus stands in one
+bucket.  A bucket is one vocabulary: its words' bytes lie in one linked
+sequence with an inverted index from the rank of a token pair to the word
+positions where that pair stands.  Merges are applied in rank order over the
+whole vocabulary; a merge touches its two neighbours only, whose new pairs
+enter the index.  So a word is merged once in a run, however often it occurs.
+The finished words go back to the blocks that hold them, where documents, kept
+as numbers of their block's words, are put together.
+
+What is shuffled is a block's distinct words, their ids, and the documents as
+word numbers (about a byte and a half for each pre-token); the number of
+buckets follows the number of input partitions, so buckets don't grow with the
+table.
 
 Defined results: null text is encoded as empty text (no ids); null or repeated
 ids stay as they are, one output row per input row; columns that are not named
@@ -16,20 +23,28 @@ are ignored, whatever their names.
 from __future__ import annotations
 
 import base64
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from .common import blocks
+from .common import BLOCK_BYTES, blocks, materialise
 
-#: Finished words a worker keeps; the memory bound of a task, not of the result.
-CACHE_WORDS = 400_000
+#: Characters of text whose distinct words are numbered together.
+BLOCK = 32_000_000
+#: Words a task replays at once; bounds its memory only.
+VOCABULARY = 200_000
 
 
 class Merges:
@@ -42,6 +57,10 @@ class Merges:
         self.tokens = [b""] * self.size
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
+        self.width = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.flat = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
+        self.sizes = np.array([len(t) for t in self.tokens], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.byte_ids = [self.ranks[bytes([b])] for b in range(256)]
         ranks, size = self.ranks, self.size
         self.pairs = {
@@ -129,44 +148,190 @@ def merges(path: str) -> Merges:
     return Merges(path)
 
 
-@lru_cache(maxsize=2)
-def _cache(path: str, pattern: str) -> dict[str, bytes]:
-    return {}
-
-
-def _encoder(path: str, pattern: str, text: str, decoded: bool):
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, split, cache = merges(path), regex.compile(pattern).findall, _cache(path, pattern)
-        tokens = model.tokens
-        for batch in blocks(batches, text):
-            texts = [[*split(t)] if t else [] for t in batch.column(text).to_pylist()]
-            new = set().union(*texts)
-            if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-            missing = [w for w in new if w not in cache]
-            for word, ids in zip(missing, model.replay([w.encode() for w in missing])):
-                cache[word] = np.array(ids, dtype=np.int32).tobytes()
-            rows = [b"".join(map(cache.__getitem__, words)) for words in texts]
-            flat = np.frombuffer(b"".join(rows), dtype=np.int32)
-            ends = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int64)
-            columns = [c for n, c in zip(batch.schema.names, batch.columns) if n != text]
-            columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)))
-            names = [n for n in batch.schema.names if n != text] + ["ids"]
-            if decoded:
-                ids, back = flat.tolist(), tokens.__getitem__
-                columns.append(pa.array([b"".join(map(back, ids[a:b])) for a, b in zip(ends, ends[1:])], type=pa.binary()))
-                names.append("decoded")
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return encode
-
-
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
-    """``(id_col, ids array<int>)`` of every whole text; with ``decoded`` also the bytes the ids stand for."""
+def to_varints(values: np.ndarray) -> bytes:
+    """Numbers below 2**28 as little-endian groups of seven bits, the high bit set on all but a number's last."""
+    size = 1 + sum((values >> 7 * k > 0).astype(np.int64) for k in (1, 2, 3))
+    at = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), dtype=np.uint8)
+    for k in range(4):
+        some = size > k
+        out[at[some] + k] = (values[some] >> 7 * k & 127) | np.where(size[some] > k + 1, 128, 0)
+    return out.tobytes()
+
+
+def from_varints(data: bytes) -> np.ndarray:
+    parts = np.frombuffer(data, dtype=np.uint8)
+    stop = np.flatnonzero(parts < 128)
+    start = np.concatenate([[0], stop[:-1] + 1]) if len(stop) else stop
+    out = np.zeros(len(stop), dtype=np.int64)
+    for k in range(4):
+        some = start + k <= stop
+        out[some] |= (parts[start[some] + k] & 127).astype(np.int64) << 7 * k
+    return out
+
+
+def _ragged(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces ``picks`` of ``flat`` one after the other, and where each ends."""
+    n = sizes[picks]
+    ends = np.cumsum(n)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[picks] - (ends - n), n)], ends
+
+
+class _Numbers(dict):
+    """Numbers of words in the order they first appear."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def _close(block: int, ids: list, docs: list[np.ndarray], numbers: _Numbers, buckets: int) -> Iterator[dict]:
+    """Rows of a finished block: its documents as numbers of its words, frequent words first, and its words by bucket."""
+    words = np.array([w.encode() for w in numbers] + [None], dtype=object)[:-1]
+    flat = np.concatenate([np.zeros(0, dtype=np.int64), *docs])
+    by_count = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+    number = np.empty(len(words), dtype=np.int64)
+    number[by_count] = np.arange(len(words))
+    yield {"block": block, "ids": ids, "docs": [to_varints(number[d]) for d in docs]}
+    words = words[by_count]
+    bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), dtype=np.int64, count=len(words))
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for a, b in zip(cuts, [*cuts[1:], len(order)]):
+        mine = order[a:b]
+        yield {"block": block, "bucket": int(bucket[mine[0]]), "at": mine.astype("<u4").tobytes(), "sizes": np.array([len(w) for w in words[mine]], dtype="<u4").tobytes(), "data": b"".join(words[mine])}
+
+
+def word_blocks(docs: DataFrame, pattern: str, limit: int = BLOCK) -> DataFrame:
+    """Of ``docs(id, text)``, cut into blocks of about ``limit`` characters, two kinds of rows.
+
+    Documents: ``(block, id, doc)``, the text as varints of its block's words.
+    Words, with a ``bucket``: ``(block, bucket, at, sizes, data)``, the numbers
+    of the block's words in that bucket, their lengths and their bytes.
+    """
+    kind = docs.schema["id"].dataType
+    buckets = max(1, docs.rdd.getNumPartitions())  # asks for the plan's partitions, runs nothing
+    schema = StructType().add("block", "long").add("id", kind).add("doc", "binary").add("bucket", "integer").add("at", "binary").add("sizes", "binary").add("data", "binary")
+    target = to_arrow_schema(schema)
+
+    def batch(ids: pa.Array | None, **columns) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        arrays = [ids if f.name == "id" and ids is not None else pa.array(columns.get(f.name, [None] * n), type=f.type) for f in target]
+        return pa.RecordBatch.from_arrays(arrays, schema=target)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, part = regex.compile(pattern).findall, TaskContext.get().partitionId()
+        ids, held, numbers, size, count = [], [], _Numbers(), 0, 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            rows = _close((part << 32) + count, ids, held, numbers, buckets)
+            first = next(rows)
+            yield batch(pa.concat_arrays(ids), block=[first["block"]] * len(held), doc=first["docs"])
+            words = list(rows)
+            if words:
+                yield batch(None, **{k: [w[k] for w in words] for k in words[0]})
+
+        for some in batches:
+            for k, text in enumerate(some.column("text")):
+                text = text.as_py() or ""
+                ids.append(some.column("id").slice(k, 1))
+                held.append(np.fromiter(map(numbers.__getitem__, split(text)), dtype=np.int64))
+                size += len(text)
+                if size >= limit:
+                    yield from close()
+                    ids, held, numbers, size, count = [], [], _Numbers(), 0, count + 1
+        if held:
+            yield from close()
+
+    return docs.select("id", "text").mapInArrow(run, schema)
+
+
+def replay_words(words: DataFrame, path: str) -> DataFrame:
+    """``(block, at, sizes, data, merged)``: the words' ids instead of their bytes.
+
+    Each bucket is one vocabulary, replayed once; ``merged`` counts the words
+    that a row is the first of its bucket to hold, so its sum is the number of
+    distinct words of the corpus.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        model, known, out = merges(path), {}, {"sizes": [], "data": [], "merged": []}
+        rows = []
+        for sizes, data in zip(table.column("sizes").to_pylist(), table.column("data").to_pylist()):
+            ends = np.cumsum(np.frombuffer(sizes, dtype="<u4")).tolist()
+            rows.append([data[a:b] for a, b in zip([0, *ends], ends)])
+            before = len(known)
+            known.update(dict.fromkeys(rows[-1]))
+            out["merged"].append(len(known) - before)
+        vocabulary = list(known)
+        for at in range(0, len(vocabulary), VOCABULARY):
+            part = vocabulary[at : at + VOCABULARY]
+            known.update(zip(part, model.replay(part)))
+        for row in rows:
+            ids = [known[w] for w in row]
+            out["sizes"].append(np.fromiter(map(len, ids), dtype="<u4", count=len(ids)).tobytes())
+            out["data"].append(np.fromiter(chain.from_iterable(ids), dtype=model.width).tobytes())
+        return pa.table({"block": table.column("block"), "at": table.column("at"), "sizes": pa.array(out["sizes"], type=pa.binary()), "data": pa.array(out["data"], type=pa.binary()), "merged": pa.array(out["merged"], type=pa.int64())})
+
+    return words.select("block", "bucket", "at", "sizes", "data").groupBy("bucket").applyInArrow(run, "block long, at binary, sizes binary, data binary, merged long")
+
+
+class _Dictionary:
+    """Ids of a block's words, by number."""
+
+    def __init__(self, rows: list[dict], width: np.dtype) -> None:
+        at, sizes, data = (b"".join(r[c] for r in rows) for c in ("at", "sizes", "data"))
+        at, sizes = np.frombuffer(at, dtype="<u4"), np.frombuffer(sizes, dtype="<u4").astype(np.int64)
+        self.flat = np.frombuffer(data, dtype=width).astype(np.int32)
+        self.starts, self.sizes = np.empty(len(at), dtype=np.int64), np.empty(len(at), dtype=np.int64)
+        self.starts[at], self.sizes[at] = np.cumsum(sizes) - sizes, sizes
+
+
+def _assembled(path: str, decoded: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = merges(path)
+        held: list[dict] = []
+        block = words = None
+        for batch in blocks(batches, "doc", BLOCK_BYTES // 2):
+            numbers = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                part = batch.slice(a, b - a)
+                if part.column("block")[0].as_py() != block:
+                    block, held, words = part.column("block")[0].as_py(), [], None
+                is_word = pc.is_valid(part.column("at"))
+                held += part.filter(is_word).select(["at", "sizes", "data"]).to_pylist()
+                docs = part.filter(pc.invert(is_word))
+                if not docs.num_rows:
+                    continue
+                if words is None:
+                    words, held = _Dictionary(held, model.width), []
+                found = [from_varints(d) for d in docs.column("doc").to_pylist()]
+                ids, ends = _ragged(words.flat, words.starts, words.sizes, np.concatenate(found))
+                stops = np.concatenate([[0], ends])[np.cumsum([0, *map(len, found)])]
+                columns = [docs.column("id"), pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(ids))]
+                if decoded:
+                    data, ends = _ragged(model.flat, model.starts, model.sizes, ids)
+                    ends = np.concatenate([[0], ends])[stops].astype(np.int32)
+                    columns.append(pa.Array.from_buffers(pa.binary(), docs.num_rows, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]))
+                yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "decoded"][: len(columns)])
+
+    return run
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, limit: int = BLOCK) -> DataFrame:
+    """``(id_col, ids array<int>)`` of every whole text; with ``decoded`` also the bytes the ids stand for.
+
+    ``limit`` is the size of a block in characters; a longer text is a block of its own.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    coded = materialise(word_blocks(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), pattern, limit), "word-blocks")
+    words = replay_words(coded.where("bucket is not null"), ranks_path)
+    texts = coded.where("bucket is null").select("block", "id", "doc")
+    # a block's words, then its documents, in one task
+    rows = words.select("block", "at", "sizes", "data").unionByName(texts, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", F.col("at").isNull())
     schema = f"id {kind}, ids array<int>" + (", decoded binary" if decoded else "")
-    return rows.mapInArrow(_encoder(ranks_path, pattern, "text", decoded), schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(_assembled(ranks_path, decoded), schema).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

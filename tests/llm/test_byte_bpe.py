@@ -1,13 +1,14 @@
 import base64
 import hashlib
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyframe.llm.byte_bpe import decode, encode, merges
+from tallyframe.llm.byte_bpe import decode, encode, from_varints, merges, replay_words, to_varints, word_blocks
 from tallyframe.llm.queries import op3_byte_bpe
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
@@ -41,6 +42,26 @@ def test_operator_and_edges(spark, reference):
     assert encode(docs.limit(0), PATH, P.PATTERN).count() == 0
 
 
+@given(st.lists(st.integers(0, 2**28 - 1)))
+def test_varints_round_trip(values):
+    assert from_varints(to_varints(np.array(values, dtype=np.int64))).tolist() == values
+
+
+def test_small_blocks_and_one_merge_a_word(spark, reference):
+    """Blocks of a few texts give the same ids, and each distinct word of the corpus is merged once."""
+    import regex
+
+    texts = [f"the cat {k % 7} sat on Wörter{k % 11} and strange{'xyz' * (k % 3)} {k}" for k in range(300)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.ids for r in encode(docs, PATH, P.PATTERN, limit=500).collect()}
+    assert got == {k: reference.encode_ordinary(t or "") for k, t in enumerate(texts)}
+    coded = word_blocks(docs.selectExpr("doc_id AS id", "text"), P.PATTERN, 500).cache()
+    assert coded.select("block").distinct().count() > 20
+    distinct = {w for t in texts for w in regex.findall(P.PATTERN, t or "")}
+    merged = replay_words(coded.where("bucket is not null"), PATH).agg({"merged": "sum"}).first()[0]
+    assert merged == len(distinct)
+
+
 def test_query_on_documents(spark, reference):
     sf = "/root/testdata/sf0.001"
     want = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
