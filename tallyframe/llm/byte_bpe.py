@@ -11,9 +11,9 @@ The finished words go back to the blocks that hold them, where documents, kept
 as numbers of their block's words, are put together.
 
 What is shuffled is a block's distinct words, their ids, and the documents as
-word numbers (about a byte and a half for each pre-token); the number of
-buckets follows the number of input partitions, so buckets don't grow with the
-table.
+compressed word numbers (about a byte and a half for each pre-token); the
+number of buckets follows the number of input partitions, so buckets don't grow
+with the table.
 
 Defined results: null text is encoded as empty text (no ids); null or repeated
 ids stay as they are, one output row per input row; columns that are not named
@@ -31,20 +31,20 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
-from .common import BLOCK_BYTES, blocks, materialise
+from .common import materialise
 
 #: Characters of text whose distinct words are numbered together.
 BLOCK = 32_000_000
-#: Words a task replays at once; bounds its memory only.
-VOCABULARY = 200_000
+#: Pre-tokens of documents that one row holds, and words that a task replays at once; bound its memory only.
+GROUP, VOCABULARY = 1 << 20, 200_000
 
 
 class Merges:
@@ -185,51 +185,49 @@ class _Numbers(dict):
         return number
 
 
-def _close(block: int, ids: list, docs: list[np.ndarray], numbers: _Numbers, buckets: int) -> Iterator[dict]:
-    """Rows of a finished block: its documents as numbers of its words, frequent words first, and its words by bucket."""
-    words = np.array([w.encode() for w in numbers] + [None], dtype=object)[:-1]
-    flat = np.concatenate([np.zeros(0, dtype=np.int64), *docs])
-    by_count = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+def _close(block: int, held: list[np.ndarray], numbers: _Numbers, buckets: int) -> Iterator[dict]:
+    """Rows of a finished block: groups of documents as numbers of its words, frequent words first, and its words by bucket."""
+    words = np.array([*(w.encode() for w in numbers), None], dtype=object)[:-1]
+    by_count = np.argsort(-np.bincount(np.concatenate(held), minlength=len(words)), kind="stable")
     number = np.empty(len(words), dtype=np.int64)
     number[by_count] = np.arange(len(words))
-    yield {"block": block, "ids": ids, "docs": [to_varints(number[d]) for d in docs]}
+    sizes, pack = np.array([len(d) for d in held]), zstandard.ZstdCompressor().compress
+    part = np.cumsum(sizes) // GROUP
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(held)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield {"block": block, "docs": (a, b), "sizes": to_varints(sizes[a:b]), "data": pack(to_varints(number[np.concatenate(held[a:b])]))}
     words = words[by_count]
     bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), dtype=np.int64, count=len(words))
     order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist()
     for a, b in zip(cuts, [*cuts[1:], len(order)]):
         mine = order[a:b]
-        yield {"block": block, "bucket": int(bucket[mine[0]]), "at": mine.astype("<u4").tobytes(), "sizes": np.array([len(w) for w in words[mine]], dtype="<u4").tobytes(), "data": b"".join(words[mine])}
+        yield {"block": block, "bucket": int(bucket[mine[0]]), "at": to_varints(np.diff(mine, prepend=0)), "sizes": to_varints(np.array([len(w) for w in words[mine]])), "data": b"".join(words[mine])}
 
 
 def word_blocks(docs: DataFrame, pattern: str, limit: int = BLOCK) -> DataFrame:
     """Of ``docs(id, text)``, cut into blocks of about ``limit`` characters, two kinds of rows.
 
-    Documents: ``(block, id, doc)``, the text as varints of its block's words.
+    Documents: ``(block, ids array, sizes, data)``, the words of each document
+    in order as numbers of the block's words, and how many each has.
     Words, with a ``bucket``: ``(block, bucket, at, sizes, data)``, the numbers
-    of the block's words in that bucket, their lengths and their bytes.
+    of the block's words in that bucket (as differences), their lengths and bytes.
     """
-    kind = docs.schema["id"].dataType
     buckets = max(1, docs.rdd.getNumPartitions())  # asks for the plan's partitions, runs nothing
-    schema = StructType().add("block", "long").add("id", kind).add("doc", "binary").add("bucket", "integer").add("at", "binary").add("sizes", "binary").add("data", "binary")
+    schema = StructType().add("block", "long").add("ids", ArrayType(docs.schema["id"].dataType)).add("bucket", "integer").add("at", "binary").add("sizes", "binary").add("data", "binary")
     target = to_arrow_schema(schema)
 
-    def batch(ids: pa.Array | None, **columns) -> pa.RecordBatch:
-        n = len(next(iter(columns.values())))
-        arrays = [ids if f.name == "id" and ids is not None else pa.array(columns.get(f.name, [None] * n), type=f.type) for f in target]
-        return pa.RecordBatch.from_arrays(arrays, schema=target)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, part = regex.compile(pattern).findall, TaskContext.get().partitionId()
         ids, held, numbers, size, count = [], [], _Numbers(), 0, 0
 
         def close() -> Iterator[pa.RecordBatch]:
-            rows = _close((part << 32) + count, ids, held, numbers, buckets)
-            first = next(rows)
-            yield batch(pa.concat_arrays(ids), block=[first["block"]] * len(held), doc=first["docs"])
-            words = list(rows)
-            if words:
-                yield batch(None, **{k: [w[k] for w in words] for k in words[0]})
+            names = pa.concat_arrays(ids)
+            rows = list(_close((part << 32) + count, held, numbers, buckets))
+            cuts = [r["docs"] for r in rows if "docs" in r]
+            lists = pa.ListArray.from_arrays(pa.array([0, *(b for _, b in cuts)], type=pa.int32()), names)
+            lists = pa.concat_arrays([lists, pa.nulls(len(rows) - len(cuts), lists.type)]).cast(target.field("ids").type)
+            yield pa.RecordBatch.from_arrays([lists if f.name == "ids" else pa.array([r.get(f.name) for r in rows], type=f.type) for f in target], schema=target)
 
         for some in batches:
             for k, text in enumerate(some.column("text")):
@@ -258,7 +256,7 @@ def replay_words(words: DataFrame, path: str) -> DataFrame:
         model, known, out = merges(path), {}, {"sizes": [], "data": [], "merged": []}
         rows = []
         for sizes, data in zip(table.column("sizes").to_pylist(), table.column("data").to_pylist()):
-            ends = np.cumsum(np.frombuffer(sizes, dtype="<u4")).tolist()
+            ends = np.cumsum(from_varints(sizes)).tolist()
             rows.append([data[a:b] for a, b in zip([0, *ends], ends)])
             before = len(known)
             known.update(dict.fromkeys(rows[-1]))
@@ -269,7 +267,7 @@ def replay_words(words: DataFrame, path: str) -> DataFrame:
             known.update(zip(part, model.replay(part)))
         for row in rows:
             ids = [known[w] for w in row]
-            out["sizes"].append(np.fromiter(map(len, ids), dtype="<u4", count=len(ids)).tobytes())
+            out["sizes"].append(to_varints(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))))
             out["data"].append(np.fromiter(chain.from_iterable(ids), dtype=model.width).tobytes())
         return pa.table({"block": table.column("block"), "at": table.column("at"), "sizes": pa.array(out["sizes"], type=pa.binary()), "data": pa.array(out["data"], type=pa.binary()), "merged": pa.array(out["merged"], type=pa.int64())})
 
@@ -280,40 +278,38 @@ class _Dictionary:
     """Ids of a block's words, by number."""
 
     def __init__(self, rows: list[dict], width: np.dtype) -> None:
-        at, sizes, data = (b"".join(r[c] for r in rows) for c in ("at", "sizes", "data"))
-        at, sizes = np.frombuffer(at, dtype="<u4"), np.frombuffer(sizes, dtype="<u4").astype(np.int64)
-        self.flat = np.frombuffer(data, dtype=width).astype(np.int32)
+        at = np.concatenate([np.cumsum(from_varints(r["at"])) for r in rows] or [np.zeros(0, dtype=np.int64)])
+        sizes = np.concatenate([from_varints(r["sizes"]) for r in rows] or [at])
+        self.flat = np.frombuffer(b"".join(r["data"] for r in rows), dtype=width).astype(np.int32)
         self.starts, self.sizes = np.empty(len(at), dtype=np.int64), np.empty(len(at), dtype=np.int64)
         self.starts[at], self.sizes[at] = np.cumsum(sizes) - sizes, sizes
 
 
 def _assembled(path: str, decoded: bool):
+    """Of each block its words' rows, then its documents' rows: one row for each document."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = merges(path)
-        held: list[dict] = []
-        block = words = None
-        for batch in blocks(batches, "doc", BLOCK_BYTES // 2):
-            numbers = batch.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts, cuts[1:]):
-                part = batch.slice(a, b - a)
-                if part.column("block")[0].as_py() != block:
-                    block, held, words = part.column("block")[0].as_py(), [], None
-                is_word = pc.is_valid(part.column("at"))
-                held += part.filter(is_word).select(["at", "sizes", "data"]).to_pylist()
-                docs = part.filter(pc.invert(is_word))
-                if not docs.num_rows:
+        model, unpack = merges(path), zstandard.ZstdDecompressor().decompress
+        block, held, words = None, [], None
+        for batch in batches:
+            for k in range(batch.num_rows):
+                if batch.column("block")[k].as_py() != block:
+                    block, held, words = batch.column("block")[k].as_py(), [], None
+                if batch.column("at")[k].is_valid:
+                    held.append({c: batch.column(c)[k].as_py() for c in ("at", "sizes", "data")})
                     continue
                 if words is None:
                     words, held = _Dictionary(held, model.width), []
-                found = [from_varints(d) for d in docs.column("doc").to_pylist()]
-                ids, ends = _ragged(words.flat, words.starts, words.sizes, np.concatenate(found))
-                stops = np.concatenate([[0], ends])[np.cumsum([0, *map(len, found)])]
-                columns = [docs.column("id"), pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(ids))]
+                names = batch.column("ids").slice(k, 1).flatten()
+                found = from_varints(unpack(batch.column("data")[k].as_py()))
+                ids, ends = _ragged(words.flat, words.starts, words.sizes, found)
+                counts = np.concatenate([[0], np.cumsum(from_varints(batch.column("sizes")[k].as_py()))])
+                stops = np.concatenate([[0], ends])[counts]
+                columns = [names, pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(ids))]
                 if decoded:
                     data, ends = _ragged(model.flat, model.starts, model.sizes, ids)
                     ends = np.concatenate([[0], ends])[stops].astype(np.int32)
-                    columns.append(pa.Array.from_buffers(pa.binary(), docs.num_rows, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]))
+                    columns.append(pa.Array.from_buffers(pa.binary(), len(names), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]))
                 yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "decoded"][: len(columns)])
 
     return run
@@ -327,7 +323,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     kind = docs.schema[id_col].dataType.simpleString()
     coded = materialise(word_blocks(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), pattern, limit), "word-blocks")
     words = replay_words(coded.where("bucket is not null"), ranks_path)
-    texts = coded.where("bucket is null").select("block", "id", "doc")
+    texts = coded.where("bucket is null").select("block", "ids", "sizes", "data")
     # a block's words, then its documents, in one task
     rows = words.select("block", "at", "sizes", "data").unionByName(texts, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", F.col("at").isNull())
     schema = f"id {kind}, ids array<int>" + (", decoded binary" if decoded else "")
