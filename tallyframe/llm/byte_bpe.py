@@ -202,7 +202,7 @@ def _close(block: int, held: list[np.ndarray], numbers: _Numbers, buckets: int)
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist()
     for a, b in zip(cuts, [*cuts[1:], len(order)]):
         mine = order[a:b]
-        yield {"block": block, "bucket": int(bucket[mine[0]]), "at": to_varints(np.diff(mine, prepend=0)), "sizes": to_varints(np.array([len(w) for w in words[mine]])), "data": b"".join(words[mine])}
+        yield {"block": block, "bucket": int(bucket[mine[0]]), "at": to_varints(np.diff(mine, prepend=0)), "sizes": to_varints(np.array([len(w) for w in words[mine]])), "data": pack(b"".join(words[mine]))}
 
 
 def word_blocks(docs: DataFrame, pattern: str, limit: int = BLOCK) -> DataFrame:
@@ -212,6 +212,7 @@ def word_blocks(docs: DataFrame, pattern: str, limit: int = BLOCK) -> DataFrame:
     in order as numbers of the block's words, and how many each has.
     Words, with a ``bucket``: ``(block, bucket, at, sizes, data)``, the numbers
     of the block's words in that bucket (as differences), their lengths and bytes.
+    ``data`` is compressed in both.
     """
     buckets = max(1, docs.rdd.getNumPartitions())  # asks for the plan's partitions, runs nothing
     schema = StructType().add("block", "long").add("ids", ArrayType(docs.schema["id"].dataType)).add("bucket", "integer").add("at", "binary").add("sizes", "binary").add("data", "binary")
@@ -254,9 +255,10 @@ def replay_words(words: DataFrame, path: str) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         model, known, out = merges(path), {}, {"sizes": [], "data": [], "merged": []}
+        pack, unpack = zstandard.ZstdCompressor().compress, zstandard.ZstdDecompressor().decompress
         rows = []
         for sizes, data in zip(table.column("sizes").to_pylist(), table.column("data").to_pylist()):
-            ends = np.cumsum(from_varints(sizes)).tolist()
+            ends, data = np.cumsum(from_varints(sizes)).tolist(), unpack(data)
             rows.append([data[a:b] for a, b in zip([0, *ends], ends)])
             before = len(known)
             known.update(dict.fromkeys(rows[-1]))
@@ -268,7 +270,7 @@ def replay_words(words: DataFrame, path: str) -> DataFrame:
         for row in rows:
             ids = [known[w] for w in row]
             out["sizes"].append(to_varints(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))))
-            out["data"].append(np.fromiter(chain.from_iterable(ids), dtype=model.width).tobytes())
+            out["data"].append(pack(np.fromiter(chain.from_iterable(ids), dtype=model.width).tobytes()))
         return pa.table({"block": table.column("block"), "at": table.column("at"), "sizes": pa.array(out["sizes"], type=pa.binary()), "data": pa.array(out["data"], type=pa.binary()), "merged": pa.array(out["merged"], type=pa.int64())})
 
     return words.select("block", "bucket", "at", "sizes", "data").groupBy("bucket").applyInArrow(run, "block long, at binary, sizes binary, data binary, merged long")
@@ -278,9 +280,10 @@ class _Dictionary:
     """Ids of a block's words, by number."""
 
     def __init__(self, rows: list[dict], width: np.dtype) -> None:
+        unpack = zstandard.ZstdDecompressor().decompress
         at = np.concatenate([np.cumsum(from_varints(r["at"])) for r in rows] or [np.zeros(0, dtype=np.int64)])
         sizes = np.concatenate([from_varints(r["sizes"]) for r in rows] or [at])
-        self.flat = np.frombuffer(b"".join(r["data"] for r in rows), dtype=width).astype(np.int32)
+        self.flat = np.frombuffer(b"".join(unpack(r["data"]) for r in rows), dtype=width).astype(np.int32)
         self.starts, self.sizes = np.empty(len(at), dtype=np.int64), np.empty(len(at), dtype=np.int64)
         self.starts[at], self.sizes[at] = np.cumsum(sizes) - sizes, sizes
 
