@@ -1,20 +1,28 @@
 """Embedding near-duplicates by iterative quantisation and multi-index Hamming tables.
 
 A rotation is learned on a bounded sample so that the signs of the rotated,
-centred unit vectors are balanced bits with a small quantisation error.  Each
-code is cut into chunks of about log2(rows) bits, one table for each; a vector
-stands in a table under its chunk and all chunks one bit away, so two vectors
-whose chunks differ in two bits or fewer meet.  The number of tables (and of
-further rotations, where one code has too few chunks) follows from the recall
-wanted at the threshold: a first number from the angle at the threshold, which
-grows until pairs at the threshold meet often enough in the codes of the
-sample, as centring widens angles where vectors share a direction.  Every pair
-that meets is reranked with the original vectors in double precision.
+centred unit vectors are balanced bits with a small quantisation error.  Codes
+are cut into chunks of about log2(rows) - 3 bits, one table for each; two
+vectors meet in a table if they agree on its chunk, as all pairs do that differ
+in fewer bits than there are chunks.  The number of tables (and of further
+rotations, where one code has too few chunks) follows from the recall wanted at
+the threshold: a first number from the angle at the threshold, which grows
+until pairs at the threshold meet often enough in the codes of the sample, as
+centring widens angles where vectors share a direction.
+
+Equal vectors are one: only distinct vectors are indexed, with the number of
+rows that hold each.  In a bucket codes are compared first, by the Hamming
+distance of all bits against the largest that pairs at the threshold show in
+the sample (all but a thousandth of them); only vectors with such a partner
+are joined with their components, and their pairs are reranked in double
+precision.
 
 Pairs are never rows.  A bucket is dealt into blocks of at most about
 ``BLOCK`` vectors, pairs of blocks are compared inside tasks, a pair is counted
-only in the first bucket it shares, and a task sends one row per vector: its
-number of links there and the smallest member of its linked group.
+only in the first table it shares, and a task sends one row per vector: its
+number of links there and the smallest member of its linked group.  The number
+of links of every vector is exact over the pairs found, so comparing a group of
+different vectors that are all linked takes the square of its size.
 
 Defined results: vectors that are null, zero or hold null or non-finite
 components, or whose length isn't the sample's, link with nothing; ids may be
@@ -27,7 +35,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +44,11 @@ from .components import components
 #: Vectors the rotation is learned on, chosen by hash; all vectors are indexed.
 SAMPLE = 20_000
 BLOCK = 256
-#: Rows a task compares at once.
-FLUSH = 40_000
+#: Rows a task compares at once, by their codes and with their components; bounds memory only.
+FLUSH_CODES, FLUSH_VECTORS = 40_000, 4_000
 WORD = 64
+#: Share of pairs at the threshold that the largest Hamming distance compared may leave out.
+FAR = 0.001
 #: Vectors of the sample whose pairs at the threshold measure the recall of a plan; bounds the driver's work only.
 PROBES = 2_000
 
@@ -64,10 +73,8 @@ def learn_rotations(x: np.ndarray, words: int, rounds: int = 30, seed: int = 7)
 
 def plan_tables(rows: int, threshold: float, recall: float) -> tuple[int, int]:
     """Bits of a chunk and number of tables for the wanted recall of pairs just at the threshold."""
-    bits = int(np.clip(np.ceil(np.log2(max(rows, 2))), 8, 32))
-    p = np.arccos(threshold) / np.pi
-    q = 1 - p
-    meet = q**bits + bits * p * q ** (bits - 1) + bits * (bits - 1) / 2 * p**2 * q ** (bits - 2)
+    bits = int(np.clip(np.ceil(np.log2(max(rows, 2))) - 3, 8, 32))
+    meet = (1 - np.arccos(threshold) / np.pi) ** bits
     return bits, max(2, int(np.ceil(np.log(1 - recall) / np.log(1 - meet))))
 
 
@@ -103,31 +110,41 @@ def threshold_pairs(x: np.ndarray, threshold: float, seed: int = 11) -> list[tup
     return sets
 
 
-def measured_recall(pairs: list[tuple[np.ndarray, np.ndarray]], mean: np.ndarray, projection: np.ndarray, bits: int, tables: int) -> float:
-    """Share of pairs that meet in one table at least, in the set where it is smallest."""
-    per, worst = WORD // bits, 1.0
+def measured(pairs: list[tuple[np.ndarray, np.ndarray]], mean: np.ndarray, projection: np.ndarray, bits: int, tables: int) -> tuple[float, int]:
+    """Share of pairs that meet in one table at least, in the set where it is smallest, and the distance to compare."""
+    per, worst, far = WORD // bits, 1.0, 0
     for a, b in pairs:
         differ = ((a - mean) @ projection >= 0) != ((b - mean) @ projection >= 0)
+        far = max(far, int(np.quantile(differ.sum(axis=1), 1 - FAR, method="higher")))
         meet = np.zeros(len(a), dtype=bool)
         for k in range(tables):
             at = WORD * (k // per) + bits * (k % per)
-            meet |= differ[:, at : at + bits].sum(axis=1) <= 2
+            meet |= ~differ[:, at : at + bits].any(axis=1)
         worst = min(worst, float(meet.mean()))
-    return worst
+    return worst, far
 
 
-def plan_codes(x: np.ndarray, rows: int, threshold: float, recall: float) -> tuple[int, int, np.ndarray, np.ndarray]:
-    """Bits of a chunk, number of tables, mean and projection with the wanted recall measured on the sample ``x``."""
-    bits, tables = plan_tables(rows, threshold, recall)
-    per, pairs = WORD // bits, threshold_pairs(x, threshold)
-    while True:
-        mean, projection = learn_rotations(x, -(-tables // per))
-        found = measured_recall(pairs, mean, projection, bits, tables)
-        # no more tables than rows: with as many, all pairs could be compared
-        if found >= recall or tables >= rows:
-            return bits, tables, mean, projection
-        miss = np.log(1 - recall) / np.log(1 - found) if found > 0 else 2.0
-        tables = min(max(rows, tables + 1), int(np.ceil(tables * np.clip(miss, 1 + 1 / tables, 2))))
+class Codes:
+    """A plan: bits of a chunk, number of tables, largest distance compared, mean and projection."""
+
+    def __init__(self, x: np.ndarray, rows: int, threshold: float, recall: float) -> None:
+        """Planned from the angle, then grown until the recall wanted is measured on the sample ``x``."""
+        self.bits, self.tables = plan_tables(rows, threshold, recall)
+        self.per, pairs = WORD // self.bits, threshold_pairs(x, threshold)
+        while True:
+            self.mean, self.projection = learn_rotations(x, -(-self.tables // self.per))
+            found, self.far = measured(pairs, self.mean, self.projection, self.bits, self.tables)
+            # no more tables than rows: with as many, all pairs could be compared
+            if found >= recall or self.tables >= rows:
+                return
+            miss = np.log(1 - recall) / np.log(1 - found) if found > 0 else 2.0
+            self.tables = min(max(rows, self.tables + 1), int(np.ceil(self.tables * np.clip(miss, 1 + 1 / self.tables, 2))))
+
+    def of(self, x: np.ndarray) -> list[bytes]:
+        return [r.tobytes() for r in np.packbits((x - self.mean) @ self.projection >= 0, axis=1, bitorder="little")]
+
+    def chunk(self, codes: np.ndarray, k: int) -> np.ndarray:
+        return codes[:, k // self.per] >> np.uint64(self.bits * (k % self.per)) & np.uint64((1 << self.bits) - 1)
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray | None]:
@@ -139,7 +156,7 @@ def _vectors(column: pa.Array) -> list[np.ndarray | None]:
     return out
 
 
-def _unit(batch: pa.RecordBatch) -> np.ndarray:
+def _unit(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
     x = np.frombuffer(b"".join(batch.column("v").to_pylist()), dtype="<f8").reshape(batch.num_rows, -1)
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -159,103 +176,116 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _compare(rows: pa.Table, bits: int, tables: int, threshold: float) -> pa.RecordBatch:
-    """Links inside each run of equal (t, variant, p, q) of sorted rows, each pair in the first bucket it shares only."""
-    get = lambda n: rows.column(n).to_numpy()
-    t, variant, p, q, own = (get(n).astype(np.int64) for n in ("t", "variant", "p", "q", "own"))
-    codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), dtype="<i8").reshape(len(t), -1).view(np.uint64)
-    uid = get("uid")
-    x = _unit(rows.combine_chunks().to_batches()[0]) if len(t) else np.zeros((0, 1))
-    change = np.flatnonzero((np.diff(t) != 0) | (np.diff(variant) != 0) | (np.diff(p) != 0) | (np.diff(q) != 0)) + 1
-    ends = np.repeat([*change, len(t)], np.diff([0, *change, len(t)]))
-    after = ends - np.arange(len(t)) - 1
-    per, mask = WORD // bits, np.uint64((1 << bits) - 1)
-    chunk = lambda i, k: codes[i, k // per] >> np.uint64(bits * (k % per)) & mask
-    left, right, step = [], [], 1
-    active = np.flatnonzero(after >= step)
+def _runs(rows: pa.Table, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of equal keys in sorted rows."""
+    n = rows.num_rows
+    change = np.zeros(max(n - 1, 0), dtype=bool)
+    for k in keys:
+        change |= np.diff(rows.column(k).to_numpy()) != 0
+    cuts = np.flatnonzero(change) + 1
+    return np.concatenate([[0], cuts]), np.concatenate([cuts, [n]])
+
+
+def _pairs(rows: pa.Table, plan: Codes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs inside each bucket of sorted rows whose codes are near enough, each in the first table it shares only."""
+    t, p, q, own = (rows.column(n).to_numpy().astype(np.int64) for n in ("t", "p", "q", "own"))
+    codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), dtype="<u8").reshape(len(t), -1)
+    starts, ends = _runs(rows, KEYS)
+    after = np.repeat(ends, ends - starts) - np.arange(len(t)) - 1
+    chunks = [plan.chunk(codes, k) for k in range(plan.tables)]
+    step, active = 1, np.flatnonzero(after >= 1)
     while len(active):
         i, j = active, active + step
-        cross = (p[i] == q[i]) | (own[i] != own[j])
-        i, j = i[cross], j[cross]
-        first = np.full(len(i), tables)
-        for k in reversed(range(tables)):
-            first[np.bitwise_count(chunk(i, k) ^ chunk(j, k)) <= 2] = k
+        far = sum(np.bitwise_count(codes[i, w] ^ codes[j, w]).astype(np.int32) for w in range(codes.shape[1]))
+        near = (far <= plan.far) & ((p[i] == q[i]) | (own[i] != own[j]))
+        i, j = i[near], j[near]
+        first = np.full(len(i), plan.tables)
+        for k in reversed(range(plan.tables)):
+            first[chunks[k][i] == chunks[k][j]] = k
         mine = first == t[i]
-        i, j = i[mine], j[mine]
-        if len(i):
-            word, shift = t[i] // per, (bits * (t[i] % per)).astype(np.uint64)
-            a, b = (codes[z, word] >> shift & mask for z in (i, j))
-            differ = a ^ b
-            low = differ & (~differ + np.uint64(1))
-            n = np.bitwise_count(differ)
-            place = np.where(n == 2, np.minimum(a ^ low, b ^ low), np.minimum(a, b))
-            mine = place.astype(np.int64) == variant[i]
-            i, j = i[mine], j[mine]
-            linked = np.einsum("ij,ij->i", x[i], x[j]) >= threshold
-            left.append(i[linked])
-            right.append(j[linked])
+        if mine.any():
+            yield i[mine], j[mine]
         step += 1
         active = active[after[active] >= step]
-    a, b = (np.concatenate(s) if s else np.zeros(0, dtype=np.int64) for s in (left, right))
-    names, at = np.unique(uid, return_inverse=True)
-    a, b = at[a], at[b]
-    count = np.bincount(np.concatenate([a, b]), minlength=len(names))
-    root = names[_forest(len(names), a, b)]
-    some = np.flatnonzero(count)
-    return pa.RecordBatch.from_arrays([pa.array(names[some]), pa.array(count[some].astype(np.int64)), pa.array(root[some])], ["uid", "links", "root"])
 
 
-def link_counts(coded: DataFrame, bits: int, tables: int, threshold: float) -> DataFrame:
-    """``(uid, links, root)`` rows from ``coded(uid, v binary, code binary)``: partial counts and linked group heads."""
-    per = WORD // bits
+KEYS = ["t", "chunk", "p", "q"]
+
+
+def _by_runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    """Tables of about ``least`` sorted rows that end with a run of equal keys."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for at in range(0, batch.num_rows, least):
+            held.append(batch.slice(at, least))
+            if sum(b.num_rows for b in held) < least:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            cut = int(_runs(table, KEYS)[0][-1])
+            if cut:
+                yield table.slice(0, cut).combine_chunks()
+                held = table.slice(cut).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def link_counts(distinct: DataFrame, coded: DataFrame, plan: Codes, threshold: float) -> DataFrame:
+    """``(uid, links, root)``: partial counts of linked rows and linked group heads.
 
-    def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``distinct(uid, weight, code)`` has one row of each vector, ``coded(uid, v)`` its components.
+    """
+    spark = distinct.sparkSession
+    shared = spark.sparkContext.broadcast(plan)  # a few numbers for each table and dimension
+
+    def chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan = shared.value
         for batch in batches:
             n = batch.num_rows
-            if not n:
-                continue
-            codes = np.frombuffer(b"".join(batch.column("code").to_pylist()), dtype="<u8").reshape(n, -1)
-            masks = np.array([0, *(1 << b for b in range(bits))], dtype=np.uint64)
-            chunks = np.stack([codes[:, k // per] >> np.uint64(bits * (k % per)) & np.uint64((1 << bits) - 1) for k in range(tables)], axis=1)
-            variants = (chunks[:, :, None] ^ masks).astype(np.int64)
-            uid = np.repeat(batch.column("uid").to_numpy(), tables * len(masks))
-            t = np.tile(np.repeat(np.arange(tables, dtype=np.int32), len(masks)), n)
-            yield pa.RecordBatch.from_arrays([pa.array(uid), pa.array(t), pa.array(variants.ravel())], ["uid", "t", "variant"])
-
-    placed = materialise(coded.select("uid", "code").mapInArrow(hash_rows, "uid long, t int, variant long"), "hamming-tables")
-    full = placed.groupBy("t", "variant").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("uid"), F.col("nb")).cast("int")
+            if n:
+                codes = np.frombuffer(b"".join(batch.column("code").to_pylist()), dtype="<u8").reshape(n, -1)
+                chunks = np.stack([plan.chunk(codes, k) for k in range(plan.tables)], axis=1).astype(np.int64)
+                which = pa.array(np.repeat(np.arange(n), plan.tables))
+                t = np.tile(np.arange(plan.tables, dtype=np.int32), n)
+                yield pa.RecordBatch.from_arrays([batch.column("uid").take(which), batch.column("code").take(which), pa.array(t), pa.array(chunks.ravel())], ["uid", "code", "t", "chunk"])
+
+    placed = distinct.select("uid", "code").mapInArrow(chunk_rows, "uid long, code binary, t int, chunk long")
+    full = placed.groupBy("t", "chunk").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     dealt = (
-        placed.join(full, ["t", "variant"])
-        .withColumn("nb", blocks)
-        .withColumn("own", own)
+        placed.join(full, ["t", "chunk"])
+        .withColumn("nb", F.ceil(F.col("c") / BLOCK).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("uid"), F.col("nb")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-        .select("uid", "t", "variant", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+        .select("t", "chunk", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "uid", "code")
     )
-    rows = dealt.join(coded, "uid")
-    keys = ["t", "variant", "p", "q"]
-    rows = rows.repartition(*keys).sortWithinPartitions(*keys)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) < FLUSH:
-                continue
-            table = pa.Table.from_batches(held).combine_chunks()
-            last = [table.column(k)[-1] for k in keys]
-            same = pc.equal(table.column(keys[0]), last[0])
-            for k, v in zip(keys[1:], last[1:]):
-                same = pc.and_(same, pc.equal(table.column(k), v))
-            cut = table.num_rows - pc.sum(same).as_py()
-            if cut:
-                yield _compare(table.slice(0, cut).combine_chunks(), bits, tables, threshold)
-                held = table.slice(cut).combine_chunks().to_batches()
-        if held:
-            yield _compare(pa.Table.from_batches(held).combine_chunks(), bits, tables, threshold)
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_runs(batches, FLUSH_CODES):
+            some = np.zeros(table.num_rows, dtype=bool)
+            for i, j in _pairs(table, shared.value):
+                some[i] = some[j] = True
+            yield from table.filter(pa.array(some)).to_batches()
 
-    return rows.select(*keys, "own", "uid", "code", "v").mapInArrow(compare, "uid long, links long, root long")
+    schema = "t int, chunk long, p int, q int, own int, uid long, code binary"
+    found = dealt.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInArrow(near, schema)
+    rows = found.join(coded.select("uid", "v"), "uid").join(distinct.select("uid", "weight"), "uid")
+    rows = rows.repartition(*KEYS).sortWithinPartitions(*KEYS)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_runs(batches, FLUSH_VECTORS):
+            x, left, right = _unit(table), [], []
+            for i, j in _pairs(table, shared.value):
+                linked = np.einsum("ij,ij->i", x[i], x[j]) >= threshold
+                left.append(i[linked])
+                right.append(j[linked])
+            a, b = (np.concatenate(s) if s else np.zeros(0, dtype=np.int64) for s in (left, right))
+            weight = table.column("weight").to_numpy()
+            names, at = np.unique(table.column("uid").to_numpy(), return_inverse=True)
+            count = np.bincount(np.concatenate([at[a], at[b]]), weights=np.concatenate([weight[b], weight[a]]), minlength=len(names)).astype(np.int64)
+            root = names[_forest(len(names), at[a], at[b])]
+            some = np.flatnonzero(count)
+            yield pa.RecordBatch.from_arrays([pa.array(names[some]), pa.array(count[some]), pa.array(root[some])], ["uid", "links", "root"])
+
+    return rows.select(*KEYS, "own", "uid", "code", "weight", "v").mapInArrow(compare, "uid long, links long, root long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = SAMPLE) -> DataFrame:
@@ -263,7 +293,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float =
 
     ``recall`` is that wanted of pairs exactly at ``threshold``; closer pairs
     are found more surely.  ``sample`` bounds the vectors the rotation is
-    learned on and the number of tables is measured on.
+    learned on and the number of tables is measured on.  Vectors are equal if
+    128 bits of hashes of their components are.
     """
     kind = vectors.schema[id_col].dataType.simpleString()
 
@@ -273,32 +304,35 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float =
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(v, type=pa.binary())], ["id", "v"])
 
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v")).mapInArrow(pack, f"id {kind}, v binary")
-    rows = materialise(rows.withColumn("uid", F.monotonically_increasing_id()), "vectors")
+    # rows without a vector get keys of their own, so that they are no hot key of the last joins
+    keys = {"h": F.when(F.col("v").isNull(), F.col("uid")).otherwise(F.xxhash64("v")), "g": F.when(F.col("v").isNull(), F.lit(0)).otherwise(F.xxhash64(F.lit(1), "v"))}
+    rows = materialise(rows.withColumn("uid", F.monotonically_increasing_id()).withColumns(keys), "vectors")
     valid = rows.where("v is not null")
     dims = valid.groupBy(F.octet_length("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
     spark = vectors.sparkSession
     if dims is None:
         found = spark.createDataFrame([], "uid long, links long, root long")
+        copies = spark.createDataFrame([], "h long, g long, rep long, weight long")
     else:
         valid = valid.where(F.octet_length("v") == dims["size"])
-        some = valid.orderBy(F.xxhash64("v"), "uid").limit(sample).select("v").toArrow()
-        bits, tables, mean, projection = plan_codes(_unit(some.combine_chunks().to_batches()[0]), dims["count"], threshold, recall)
+        copies = materialise(valid.groupBy("h", "g").agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("weight")), "distinct-vectors")
+        some = valid.join(copies, valid.uid == copies.rep, "left_semi").orderBy(F.xxhash64("v"), "uid").limit(sample).select("v").toArrow()
+        plan = Codes(_unit(some), copies.count(), threshold, recall)
 
         def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
-                    signs = (_unit(batch) - mean) @ projection >= 0
-                    packed = np.packbits(signs, axis=1, bitorder="little")
-                    yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("v"), pa.array([r.tobytes() for r in packed], type=pa.binary())], ["uid", "v", "code"])
+                    yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("weight"), batch.column("v"), pa.array(plan.of(_unit(batch)), type=pa.binary())], ["uid", "weight", "v", "code"])
 
-        coded = materialise(valid.select("uid", "v").mapInArrow(code, "uid long, v binary, code binary"), "codes")
-        found = materialise(link_counts(coded, bits, tables, threshold), "vector-links")
-    counts = found.groupBy("uid").agg(F.sum("links").alias("n_links"))
+        first = valid.join(copies, valid.uid == copies.rep).select("uid", "weight", "v")
+        coded = materialise(first.mapInArrow(code, "uid long, weight long, v binary, code binary"), "vector-codes")
+        found = materialise(link_counts(coded.select("uid", "weight", "code"), coded, plan, threshold), "vector-links")
+    counts = found.groupBy("uid").agg(F.sum("links").alias("n"))
     groups = materialise(components(found.select(F.col("uid").alias("a"), F.col("root").alias("b")), "vector-components"), "vector-groups")
-    ids = rows.select("uid", "id")
-    grouped = ids.join(groups, ids.uid == groups.node).select("uid", "id", "component")
-    smallest = grouped.groupBy("component").agg(F.min("id").alias("component_id"))
-    merged = grouped.select("uid", "component").join(smallest, "component").select("uid", "component_id")
-    out = ids.join(counts, "uid", "left").join(merged, "uid", "left")
+    # of each distinct vector: links of a row of it, and the smallest id of its component's rows
+    heads = copies.join(counts, copies.rep == counts.uid, "left").join(groups, copies.rep == groups.node, "left")
+    heads = heads.select("h", "g", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    ids = rows.join(heads, ["h", "g"], "left").select("id", "n_links", F.coalesce("component", "uid").alias("component"))
+    out = ids.join(ids.groupBy("component").agg(F.min("id").alias("component_id")), "component")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
