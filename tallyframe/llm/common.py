@@ -1,9 +1,7 @@
-"""Shared helpers: table access, shared scratch space and bounded Arrow blocks."""
+"""Shared helpers: table access, scratch tables and bounded Arrow blocks."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,6 +9,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ..scratch import discard, materialise, written
+
+__all__ = ["BLOCK_BYTES", "blocks", "discard", "materialise", "table", "written"]
+
 #: Characters of text that a Python task holds as Python objects at once.
 BLOCK_BYTES = 2_000_000
 
@@ -19,44 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's ``spark.checkpoint.dir``.
-
-    Where the session names none (tests, a laptop) a temporary folder is taken
-    and remembered for the session.
-    """
-    key = "spark.checkpoint.dir"
-    root = spark.sparkContext.getConf().get(key) or spark.conf.get(key, None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="tallyframe-")
-        spark.conf.set(key, root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch space and read it back.
-
-    Cuts the lineage with files every executor can read again, so a lost
-    executor costs the rerun of its own tasks only.
-    """
-    return written(df, name)[0]
-
-
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """As :func:`materialise`, with the folder, for :func:`discard`."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a folder made by :func:`written` once nothing reads it any more."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def blocks(batches: Iterable[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each piece holds about ``limit`` bytes of ``column``.
 

@@ -7,7 +7,8 @@ likelihood (BIC, over non-overlapping trigrams) rises.  The languages'
 distributions are counted over all labelled training documents.
 
 Only the model, languages x ``BUCKETS`` numbers, is gathered and broadcast; its
-size depends on the number of languages, not on the corpus.
+size depends on the number of languages, not on the corpus.  More labels than
+``MOST_LANGUAGES`` are no languages and raise an error before that.
 
 Defined results: text that is null or has no letter gives ``und`` with score 0
 and no proportions; a null id counts as held out, since it has no fold; rows
@@ -29,6 +30,8 @@ from .common import blocks
 #: Hash buckets of trigrams.
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
+#: Labels that a model may have: 256 MB of probabilities.
+MOST_LANGUAGES = (256 << 20) // (8 * BUCKETS)
 EM_ROUNDS = 8
 
 
@@ -79,6 +82,9 @@ def gram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages and their smoothed trigram probabilities, shape (languages, BUCKETS)."""
+    labels = docs.where(F.col(lang_col).isNotNull()).select(lang_col).distinct().limit(MOST_LANGUAGES + 1).count()
+    if labels > MOST_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MOST_LANGUAGES} values")
     counted = gram_counts(docs, text_col, lang_col).groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts"))
     rows = sorted(counted.toArrow().to_pylist(), key=lambda r: r["lang"])
     table = np.full((len(rows), BUCKETS), SMOOTHING)
