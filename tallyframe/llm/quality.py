@@ -6,8 +6,9 @@ positives and unlabelled text by the non-negative unbiased risk
     prior * E_p[l(f)] + max(0, E_u[l(-f)] - prior * E_p[l(-f)]).
 
 With the logistic loss the unbiased part is convex, so damped Newton steps fit
-it; a step that would push the negatives' risk below zero is halved until it
-does not.  The class prior is estimated before that from a positive-against-
+it.  Where the negatives' risk is below zero it counts as zero, and the next
+step goes up that risk's own gradient until it is positive again; the result is
+the best point seen whose negatives' risk is not clamped.  The class prior is estimated before that from a positive-against-
 unlabelled model, as the smallest ratio of unlabelled to positive mass above a
 score threshold, with a confidence margin for thin tails.
 
@@ -161,20 +162,36 @@ def _full(upper: np.ndarray) -> np.ndarray:
 
 
 def _newton(at, evaluate, steps: int = STEPS) -> np.ndarray:
-    """Minimise by damped Newton steps; ``evaluate(w)`` gives objective (inf: not allowed), gradient, curvature."""
-    value, grad, curve = evaluate(at)
-    size = 1.0
+    """Minimise by damped Newton steps; ``evaluate(w)`` gives objective, gradient, curvature and whether it is clamped.
+
+    From a clamped point the gradient is that of the correction, which is always
+    taken; the best point that isn't clamped is returned, the last one if all are.
+    """
+    state, size = evaluate(at), 1.0
+    best = None if state[3] else (state[0], at)
     for _ in range(steps):
+        value, grad, curve, clamped = state
         step = np.linalg.solve(curve, grad)
         if abs(grad @ step) < 1e-7:
             break
         new = at - size * step
-        new_value, new_grad, new_curve = evaluate(new)
-        if new_value < value:
-            at, value, grad, curve, size = new, new_value, new_grad, new_curve, min(1.0, 2 * size)
+        found = evaluate(new)
+        if clamped or found[3] or found[0] < value:
+            at, state, size = new, found, size / 2 if found[3] else min(1.0, 2 * size)
+            if not found[3] and (best is None or found[0] < best[0]):
+                best = found[0], new
         else:
             size /= 4
-    return at
+    return at if best is None else best[1]
+
+
+def nonnegative_risk(r: dict, w: np.ndarray, prior: float, ridge: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, bool]:
+    """Objective at ``w`` with the negatives' risk clamped at zero, and the step that descends it or, if clamped, corrects it."""
+    negative = r["soft_u"] - prior * r["soft_p"]
+    value = prior * (r["soft_p"] - r["f_p"]) + max(0.0, negative) + w @ ridge @ w / 2
+    if negative < 0:
+        return value, prior * r["s_p"] - r["s_u"], r["curve_u"] + prior * r["curve_p"] + ridge, True
+    return value, r["s_u"] - prior * r["x_p"] + ridge @ w, r["curve_u"] + ridge, False
 
 
 class Model:
@@ -225,16 +242,13 @@ def fit(rows: DataFrame) -> Model:
     def against(w: np.ndarray):
         r = _pass(rows, w, mean, scale)
         value = r["soft_p"] - r["f_p"] + r["soft_u"] + w @ ridge @ w / 2
-        return value, r["s_p"] - r["x_p"] + r["s_u"] + ridge @ w, r["curve_p"] + r["curve_u"] + ridge
+        return value, r["s_p"] - r["x_p"] + r["s_u"] + ridge @ w, r["curve_p"] + r["curve_u"] + ridge, False
 
     first = Model(_newton(np.zeros(DIM), against, 6), mean, scale, 0.5)
     prior = estimate_prior(rows, first)
 
     def risk(w: np.ndarray):
-        r = _pass(rows, w, mean, scale)
-        if r["soft_u"] - prior * r["soft_p"] < 0:  # the negatives' risk can't be negative
-            return np.inf, None, None
-        return r["soft_u"] - prior * r["f_p"] + w @ ridge @ w / 2, r["s_u"] - prior * r["x_p"] + ridge @ w, r["curve_u"] + ridge
+        return nonnegative_risk(_pass(rows, w, mean, scale), w, prior, ridge)
 
     start = np.zeros(DIM)
     start[-1] = np.log(prior / (1 - prior))

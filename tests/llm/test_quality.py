@@ -2,6 +2,7 @@ import numpy as np
 
 from pyspark.sql import functions as F
 
+from tallyframe.llm import quality
 from tallyframe.llm.quality import CLASSES, DIM, MARKS, classify, features, fit
 from tallyframe.llm.queries import op1_quality_pu
 
@@ -30,6 +31,33 @@ def test_prior_and_risk_on_known_mixture(spark):
     assert ((model.score(x.astype(float)) >= 0.5) == good).mean() > 0.95
 
 
+def test_negative_risk_is_clamped_and_corrected(spark, monkeypatch):
+    """With far too large a prior the negatives' risk falls below zero; steps correct it and the result keeps it above."""
+    rng = np.random.default_rng(4)
+    n = 2000
+    x = np.zeros((n, DIM), dtype="<f4")
+    good = np.arange(n) % 2 == 0
+    x[:, 0] = np.where(good, 2, -2) + rng.normal(size=n) / 4
+    x[:, -1] = 1
+    rows = spark.createDataFrame([(bytes(r.tobytes()), bool(p)) for r, p in zip(x, good & (rng.random(n) < 0.5))], "x binary, positive boolean").cache()
+    monkeypatch.setattr(quality, "estimate_prior", lambda *_: 0.8)
+    seen, real = [], quality.nonnegative_risk
+
+    def watched(r, w, prior, ridge):
+        out = real(r, w, prior, ridge)
+        seen.append((r["soft_u"] - prior * r["soft_p"], out))
+        return out
+
+    monkeypatch.setattr(quality, "nonnegative_risk", watched)
+    model = quality.fit(rows)
+    clamped = [k for k, (negative, out) in enumerate(seen) if negative < 0]
+    assert clamped and all(seen[k][1][3] for k in clamped)
+    assert any(seen[k + 1][0] > seen[k][0] for k in clamped[:-1] or clamped if k + 1 < len(seen))
+    last = quality._pass(rows, model.w, model.mean, model.scale)
+    assert last["soft_u"] - 0.8 * last["soft_p"] >= 0
+    assert ((model.score(x.astype(float)) >= 0.5) >= good).all()
+
+
 def test_edges(spark):
     rows = [(1, "good text here."), (2, None), (3, ""), (None, "no id"), (1, "good text again."), (4, "w " * 20_000)]
     docs = spark.createDataFrame([(*r, 5, 5) for r in rows], "doc_id long, text string, quality int, x int")
