@@ -101,14 +101,16 @@ def base_counts(rows: DataFrame) -> DataFrame:
         .withColumn("n_dup_lines", (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long"))
         .drop("worded")
     )
-    window = lambda j: F.concat_ws(" ", F.get("words", j), F.get("words", j + 1), F.get("words", j + 2))
+    # windows as hashes: two different ones of a text count as equal with a chance of 2**-64 a pair
+    window = lambda j: F.xxhash64(F.get("words", j), F.get("words", j + 1), F.get("words", j + 2))
     starts = F.when(F.col("n_words") >= 3, F.sequence(F.lit(0), F.col("n_words").cast("int") - 3)).otherwise(F.array().cast("array<int>"))
     rows = rows.withColumn("windows", F.transform(starts, window)).drop("words")
     # only texts in which a window repeats are sorted: equal windows then stand side by side
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     placed = F.sort_array(F.transform("windows", lambda w, j: F.struct(w.alias("w"), j.alias("j"))))
     rows = rows.withColumn("sorted", F.when(repeats, placed)).drop("windows")
-    twice = F.filter("sorted", lambda x, k: F.coalesce((x["w"] == F.get("sorted", k - 1)["w"]) | (x["w"] == F.get("sorted", k + 1)["w"]), (x["w"] == F.get("sorted", k - 1)["w"]), (x["w"] == F.get("sorted", k + 1)["w"]), F.lit(False)))
+    beside = lambda x, k: x["w"].eqNullSafe(F.get("sorted", k)["w"])
+    twice = F.filter("sorted", lambda x, k: beside(x, k - 1) | beside(x, k + 1))
     rows = rows.withColumn("at", F.sort_array(F.transform(twice, lambda x: x["j"]))).drop("sorted")
     covered = F.transform("at", lambda x, k: F.least(F.lit(3), F.coalesce(F.get("at", k + 1) - x, F.lit(3))))
     total = F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x)
