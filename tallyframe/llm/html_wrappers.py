@@ -14,7 +14,9 @@ one the aligned slots decide: a slot whose texts stand on most of the host's
 distinct pages is template, the others are content, and slots in menus,
 headers, footers, sidebars, notices, adverts, forms and comments are taken only
 where nothing else varies.  Where no slot of a page varies, and on a page that
-its wrapper can't parse, all slots outside such furniture are its text.
+its wrapper can't parse, all slots outside such furniture are its text.  A
+``header`` inside an article or ``main`` is the article's own and content; a
+paragraph, list item or the like whose class marks it is furniture.
 
 Defined results: null or empty html gives empty text; ids and urls may be null
 or repeat; pages without a host share one wrapper; every row gives one row.
@@ -58,6 +60,8 @@ FURNITURE_WORDS = frozenset(
 PLACE_WORDS = frozenset("area bar block body bottom box container global inner items left link links list main outer page posts primary right secondary section site thread top wrap wrapper".split())
 #: Elements that hold the page or its content and never open furniture.
 PAGE_ELEMENTS = frozenset("html body main article".split())
+#: Leaf blocks whose class, id or role can mark them as furniture; headings and cells can't.
+MARKED_LEAVES = frozenset("p li dt dd address figcaption center label legend".split())
 #: Furniture in which articles are no content of the page.
 SHUT_ELEMENTS = frozenset("nav footer aside menu dialog".split())
 SHUT_WORDS = frozenset("comment comments disqus related replies reply respond".split())
@@ -102,14 +106,14 @@ def stream(html: str) -> tuple[list[str], list[str]]:
     """
     tokens, texts, parts = [], [], []
     stack: list[tuple[str, bool, bool, bool]] = []
-    at = 0
+    at, leaf = 0, False
 
     def flush() -> None:
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
             _, furniture, content, _ = stack[-1] if stack else ("", False, False, False)
-            tokens.append("#f" if furniture else "#a" if content else "#t")
+            tokens.append("#f" if furniture or leaf else "#a" if content else "#t")
             texts.append(text)
 
     for m in TOKEN.finditer(html):
@@ -124,13 +128,16 @@ def stream(html: str) -> tuple[list[str], list[str]]:
             parts.append(" ")
         elif name in LEAVES:
             flush()
+            leaf = not m["end"] and name in MARKED_LEAVES and "=" in m["rest"] and _region(name, m["rest"])[1]
             if not m["end"]:
                 tokens.append(name)
         elif name in CONTAINERS:
             flush()
+            leaf = False
             if not m["end"]:
                 key, furniture, content, shut = _region(name, m["rest"])
                 _, in_furniture, in_content, in_shut = stack[-1] if stack else ("", False, False, False)
+                furniture = furniture and not (name == "header" and in_content)
                 shut = shut or in_shut
                 furniture = shut or not content and (furniture or in_furniture)
                 stack.append((name, furniture, in_content or content, shut))

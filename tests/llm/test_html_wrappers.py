@@ -90,3 +90,29 @@ def test_constant_slots_are_template_on_pages_without_an_article(spark):
     assert all(got[10 + k] == "same page" for k in range(5))
     assert all(got[20 + k] == f"text {k}" for k in range(4))
     assert all(got[30 + k] == f"Top text {k}" for k in range(2))
+
+
+def test_article_headers_and_marked_paragraphs():
+    pages = {
+        "<body class='single-post has-sidebar'><article><p>Hello world</p></article></body>": "Hello world",
+        "<main class='with-sidebar'><p>Hello</p></main>": "Hello",
+        "<article><div class='article-header'><h1>Title</h1></div><p>Body</p></article>": "Title Body",
+        "<article><header><h1>Title</h1></header><p>Body</p><p class='advert'>Buy now</p><ul><li class='share'>Tweet<li>One</ul><footer>tags</footer></article>": "Title Body One",
+        "<header><h1>Site</h1></header><article><h1 class='header'>Title</h1><p>Body</article>": "Title Body",
+    }
+    for page, text in pages.items():
+        assert extract(page, None)[0] == text, page
+
+
+def test_the_wrapper_decides_on_hosts_without_semantic_tags(spark):
+    """Menus, a slogan and a note in neutral elements: the learned wrapper leaves out what the region alone can't tell."""
+    page = "<div class='b1'><ul><li>Home<li>News<li>Shop</ul></div><div class='b2'><h2>{title}</h2><p>{one}</p>{more}</div><div class='b3'><p>Written by our staff</p></div>"
+    rows, want = [], {}
+    for k in range(12):
+        more = "".join(f"<p>part {j} of story {k}</p>" for j in range(k % 4))
+        rows.append((k, f"https://plain.org/{k}", page.format(title=f"Title {k}", one=f"Once {k}", more=more)))
+        want[k] = " ".join([f"Title {k}", f"Once {k}", *(f"part {j} of story {k}" for j in range(k % 4))])
+    got = {r.page_id: r for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(r.parsed for r in got.values())
+    assert {k: r.text for k, r in got.items()} == want
+    assert all(extract(html, None)[0] != want[k] for k, _, html in rows)
