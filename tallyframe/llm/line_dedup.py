@@ -9,12 +9,14 @@ common prefix is ``m`` lines at least, named by two overlapping ranks.
 
 A run counts as a passage from ``min_words`` words.  Each place is tested with
 the shortest window of so many words that starts there and the shortest that
-ends there; the windows of a longer run overlap to cover all of it, so maximal
-runs are found without ever growing the prefixes beyond ``min_words`` lines,
-however long the copies are.  In each interval the first copy, by id and then
-line, stays, and the lines of every later copy are deleted; a copy that
-overlaps the first one in the same document loses the lines beyond it.  So each
-distinct line stays at least once.
+ends there; a run of more words is repeated exactly if all such windows in it
+are, and they overlap to cover all of it, so maximal runs are found without
+growing the prefixes beyond ``min_words`` lines, however long the copies are
+(the tests hold this to a search for maximal runs; :func:`repeated_runs` names
+them).  In each interval the first copy, by id and then line, stays, and the
+lines of every later copy are deleted; a copy that overlaps the first one in
+the same document loses the lines beyond it.  So each distinct line stays at
+least once.
 
 No window, join or group gathers a frequent line: its places are counted before
 the shuffle, ranks are summed in value ranges, and joins have one row per rank
@@ -35,9 +37,10 @@ from .common import discard, materialise, written
 from .quality_rules import SPACE, _words
 
 MIN_WORDS = 50
-#: Value ranges in which ranks are summed up before the ranges themselves are.
-RANGES = 64
-KEY_RANGES = 4096
+#: Value ranges in which ranks are summed up before the ranges themselves are: at least so many, one more for
+#: each ``RANGE_ROWS`` places that repeat; and for keys.
+RANGES, RANGE_ROWS = 64, 100_000
+KEY_RANGES = 1 << 14
 
 _BEFORE = (Window.unboundedPreceding, -1)
 
@@ -128,11 +131,12 @@ def suffix_ranks(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     discard(spark, letters_path)
     longest = state.agg(F.max(F.array_max("windows.m"))).first()[0] or 0
     top = ranks.agg(F.max("rank")).first()[0]
+    ranges = RANGES + (top or 0) // RANGE_ROWS
     k = 0
     while 2 << k <= longest:
         pairs = state.select("uid", F.posexplode(F.transform("places", _pair(k))).alias("i", "s")).select("uid", "i", "s.*")
         counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
-        counted = counted.withColumn("range", F.floor((F.col("b") + 1.0) * RANGES / (top + 2.0)))
+        counted = counted.withColumn("range", F.floor((F.col("b") + 1.0) * ranges / (top + 2.0)))
         refined = _offsets(counted, ["a"], "range", ["b"], "c").select("a", "b", (F.col("a") + F.col("before")).alias("rank"))
         new = pairs.join(refined, ["a", "b"]).groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("i", "rank"))).alias("new"))
         longer = F.zip_with("places", "new", lambda x, y: F.struct(x["q"].alias("q"), x["p"].alias("p"), x["n"].alias("n"), F.concat(x["ranks"], F.array(y["rank"])).alias("ranks")))
@@ -143,8 +147,8 @@ def suffix_ranks(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return state
 
 
-def later_copies(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(uid, removed array<int>)``: line numbers of each document that belong to a later copy."""
+def _later_windows(base: DataFrame, min_words: int) -> DataFrame:
+    """``(uid, i, m, q, lines, first)``: windows of documents that stand at an earlier place ``first`` (doc, i, q, line) too."""
     state = suffix_ranks(base, min_words)
     window = F.explode("windows").alias("w")
     level = F.floor(F.log2(F.col("w.m") + 0.5)).cast("int")
@@ -156,6 +160,7 @@ def later_copies(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             "uid",
             F.col("w.i").alias("i"),
             F.col("w.m").alias("m"),
+            F.get("places", F.col("w.i"))["q"].alias("q"),
             rank(F.col("w.i")).alias("a"),
             rank(F.col("w.i") + F.col("w.m") - F.pow(F.lit(2), F.col("level")).cast("int")).alias("b"),
             F.transform(F.slice("places", F.col("w.i") + 1, F.col("w.m")), lambda x: x["p"]).alias("lines"),
@@ -163,13 +168,34 @@ def later_copies(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     order = base.select("uid", F.struct(F.col("id").isNull().alias("none"), "id", "uid").alias("doc"))
     named = materialise(named.join(order, "uid"), "line-windows")
-    first = named.groupBy("m", "a", "b").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "i")).alias("first")).where("copies > 1")
-    later = named.join(first, ["m", "a", "b"]).where(F.struct("doc", "i") > F.col("first"))
+    # windows of one name are an interval of the suffix array
+    first = named.groupBy("m", "a", "b").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "i", "q", F.col("lines")[0].alias("line"))).alias("first")).where("copies > 1")
+    return named.join(first, ["m", "a", "b"]).where(F.struct("doc", "i") > F.struct("first.doc", "first.i")).select("uid", "i", "m", "q", "lines", "first")
+
+
+def later_copies(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``(uid, removed array<int>)``: line numbers of each document that belong to a later copy."""
+    later = _later_windows(base, min_words)
     beyond = F.when(F.col("first.doc.uid") == F.col("uid"), F.greatest(F.lit(0), F.col("first.i") + F.col("m") - F.col("i"))).otherwise(0)
     gone = later.select("uid", F.explode(F.slice("lines", beyond + 1, F.col("m"))).alias("line"))
     return gone.groupBy("uid").agg(F.collect_set("line").alias("removed"))
 
 
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id_col, start_line, end_line, first_id, first_line)``: maximal runs of lines of a document that repeat those of a first copy.
+
+    Windows of a document whose first copies follow each other in one document
+    are one run.  Lines are numbered from 0.
+    """
+    base = materialise(docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text")), "line-input")
+    later = _later_windows(base, min_words).select("uid", "q", "m", "lines", F.col("first.doc").alias("from"), (F.col("first.q") - F.col("q")).alias("shift"), F.col("first.line").alias("first_line"))
+    group = Window.partitionBy("uid", "from", "shift").orderBy("q", "m")
+    begins = F.coalesce((F.col("q") > F.max(F.col("q") + F.col("m")).over(group.rowsBetween(*_BEFORE))).cast("int"), F.lit(1))
+    runs = later.withColumn("begins", begins).withColumn("run", F.sum("begins").over(group.rowsBetween(Window.unboundedPreceding, 0)))
+    found = runs.groupBy("uid", "from", "shift", "run").agg(F.min(F.col("lines")[0]).alias("start_line"), F.max(F.element_at("lines", -1)).alias("end_line"), F.min("first_line").alias("first_line"))
+    return found.join(base.select("uid", "id"), "uid").select(F.col("id").alias(id_col), "start_line", "end_line", F.col("from.id").alias("first_id"), "first_line")
+
+
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``(id_col, keep..., text_col, n_lines, n_removed)``: every document without its later copies of passages."""
     columns = [F.col(c).alias(f"keep{k}") for k, c in enumerate(keep)]

@@ -4,7 +4,7 @@ import re
 import duckdb
 import pytest
 
-from tallyframe.llm.line_dedup import ORACLE_SQL, dedup_lines
+from tallyframe.llm.line_dedup import ORACLE_SQL, dedup_lines, repeated_runs
 from tallyframe.llm.queries import op10_line_dedup
 
 SPACE = " \t\n\x0b\f\r"
@@ -56,6 +56,54 @@ def test_random_documents_equal_brute_force(spark, seed):
         assert got == brute(docs, min_words)
 
 
+def maximal(docs, min_words):
+    """Lines in runs of ``min_words`` words or more that an earlier document holds, each run grown as far as it goes."""
+    split = {d: t.split("\n") for d, t in docs.items()}
+    gone, runs = {d: set() for d in docs}, set()
+    for d, lines in split.items():
+        for e in (x for x in split if x < d):
+            other = {x: k for k, x in enumerate(split[e])}
+            for i, line in enumerate(lines):
+                j = other.get(line)
+                if j is None or i and j and lines[i - 1] == split[e][j - 1]:
+                    continue
+                n = 0
+                while i + n < len(lines) and j + n < len(split[e]) and lines[i + n] == split[e][j + n]:
+                    n += 1
+                if sum(len(x.split()) for x in lines[i : i + n]) >= min_words:
+                    gone[d] |= set(range(i, i + n))
+                    runs.add((d, i, i + n - 1, e, j))
+    return gone, runs
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_windows_cover_maximal_runs(spark, seed):
+    """Documents without repeats inside, cut from a few long texts: what goes is exactly the maximal repeated runs."""
+    rng = random.Random(seed)
+    sources = [[f"{'w ' * rng.randint(0, 6)}s{s}l{k}" for k in range(60)] for s in range(3)]
+    docs = {}
+    for d in range(30):
+        lines = []
+        for s in rng.sample(range(3), 2):
+            a = rng.randint(0, 50)
+            lines += sources[s][a : a + rng.randint(1, 40)]
+        docs[d] = "\n".join(lines)
+    rows = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    min_words = rng.randint(2, 70)
+    gone, runs = maximal(docs, min_words)
+    got = {r.doc_id: r for r in dedup_lines(rows, min_words).collect()}
+    assert {d: r.n_removed for d, r in got.items()} == {d: len(x) for d, x in gone.items()}
+    assert all(r.text == "\n".join(x for k, x in enumerate(docs[d].split("\n")) if k not in gone[d]) for d, r in got.items())
+    named = [tuple(r) for r in repeated_runs(rows, min_words).collect()]
+    covered = {d: set() for d in docs}
+    for d, a, b, e, j in named:
+        assert docs[d].split("\n")[a : b + 1] == docs[e].split("\n")[j : j + b - a + 1] and e < d
+        covered[d] |= set(range(a, b + 1))
+    assert covered == gone
+    two = spark.createDataFrame([(d, docs[d]) for d in (0, 1)], "doc_id long, text string")
+    assert {tuple(r) for r in repeated_runs(two, min_words).collect()} == maximal({d: docs[d] for d in (0, 1)}, min_words)[1]
+
+
 def test_edges(spark):
     passage = "\n".join(f"line {i} of the passage has these words" for i in range(8))
     many = "\n".join("w" for _ in range(5000))
