@@ -69,19 +69,30 @@ def gene_flags(name: Column) -> dict[str, Column]:
 def feature_class(name: Column) -> Column:
     """RNA class of an annotation name; ``a|b`` gives a, other names "unknown"."""
     return (
-        F.when(name.rlike("miR|let"), "miRNA")
-        .when(name.rlike("piR"), "piRNA")
+        F.when(name.contains("miR") | name.startswith("let"), "miRNA")
+        .when(name.contains("piR"), "piRNA")
         .when(name.rlike("tRNA|tRF|-tR"), "tRNA")
         .when(name.contains("|"), F.split_part(name, F.lit("|"), F.lit(1)))
         .otherwise("unknown")
     )
 
 
-def clean_annotation(name: Column) -> Column:
-    """Without `` (d-d)``, ``-(d)`` and ``(a->b)``; of tRNA names the core ``tRNA-XXX-YYY``."""
-    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(name, r" \(\d+-\d+\)", ""), r"-\(\d+\)", ""), r"\([^()]*->[^()]*\)", "")
-    core = F.regexp_extract(plain, r"(tRNA-[A-Za-z]+-[A-Za-z]+)", 1)
-    return F.when(core != "", core).otherwise(plain)
+def feature_name(name: Column) -> Column:
+    """The feature's own name: b of ``a|b`` where a is its class, else the whole name."""
+    split = name.contains("|") & ~(name.rlike("miR|piR|tRNA|tRF|-tR") | name.startswith("let"))
+    return F.when(split, F.split_part(name, F.lit("|"), F.lit(2))).otherwise(name)
+
+
+def clean_annotation(name: Column, simplify_trna: bool = True, simplify_mirna: bool = False) -> Column:
+    """Without `` (d-d)``, ``-(d)`` and ``(...->...)`` at the end; of tRNA names the core ``tRNA-XXX-YYY``.
+
+    The last rule is for miRNA names only if asked, the core only if not switched off.
+    """
+    plain = F.regexp_replace(F.regexp_replace(name, r"\s\(\d+-\d+\)$", ""), r"-\(\d+\)$", "")
+    short = F.regexp_replace(plain, r"\(.*->.*\)$", "")
+    out = short if simplify_mirna else F.when(plain.contains("miR"), plain).otherwise(short)
+    core = F.regexp_extract(out, r"^.*(tRNA-\w{3}-\w{3})", 1)
+    return F.when(name.contains("tRNA") & (core != ""), core).otherwise(out) if simplify_trna else out
 
 
 def rewrite_header(name: Column, kind: str) -> Column:
@@ -89,8 +100,9 @@ def rewrite_header(name: Column, kind: str) -> Column:
 
 
 def base_name(name: Column) -> Column:
-    """Without a trailing group in parentheses."""
-    return F.regexp_replace(name, r"\s*\([^()]*\)$", "")
+    """What stands before the last group in parentheses, without outer white space."""
+    before = F.when(name.rlike(r"\(.*\)"), F.regexp_extract(name, r"^(.*)\(.*\)", 1)).otherwise(name)
+    return F.btrim(before, F.lit(" \t\n\x0b\f\r"))
 
 
 def barcode_postfix(rows: DataFrame, mode: str, numbers: DataFrame | None = None) -> DataFrame:
@@ -110,11 +122,14 @@ def strand_from_coords(start: Column, stop: Column) -> dict[str, Column]:
 
 
 def read_strand(flag: Column, stranded_mate: int = 1) -> Column:
-    """Strand of the fragment from SAM flag bits; flipped for reads of the other mate."""
+    """Strand of the fragment from SAM flag bits; flipped for reads of the other mate.
+
+    Null for paired reads that are marked as neither mate or as both.
+    """
     bit = lambda b: flag.bitwiseAND(F.lit(b)) != 0
-    mate = F.when(~bit(0x1), stranded_mate).when(bit(0x40), 1).when(bit(0x80), 2)
+    mate = F.when(~bit(0x1), 1).when(bit(0x40) & ~bit(0x80), 1).when(bit(0x80) & ~bit(0x40), 2)
     reverse = bit(0x10) != (mate != stranded_mate)
-    return F.when(reverse, "-").otherwise("+")
+    return F.when(reverse, "-").when(~reverse, "+")
 
 
 def edge_run(seq: Column, letter: str = "N") -> dict[str, Column]:

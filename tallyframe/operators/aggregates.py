@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import overlap_join
+from .ranges import with_totals
 
 
 def collapse_junctions(junctions: DataFrame) -> DataFrame:
@@ -27,10 +28,10 @@ def counts_from_abundance(tx: DataFrame, mode: str = "scaledTPM") -> DataFrame:
     rows = tx
     raw = F.col("abundance")
     if mode == "lengthScaledTPM":
-        rows = tx.withColumn("mean_length", F.avg("length").over(Window.partitionBy("feature_id")))
+        rows = with_totals(tx, ["feature_id"], mean_length=F.avg("length"))
         raw = raw * F.col("mean_length")
-    w = Window.partitionBy("sample_id")
-    return rows.withColumn("scaled", raw * F.sum("count").over(w) / F.sum(raw).over(w)).drop("mean_length")
+    rows = with_totals(rows, ["sample_id"], all_counts=F.sum("count"), all_raw=F.sum(raw))
+    return rows.withColumn("scaled", raw * F.col("all_counts") / F.col("all_raw")).drop("mean_length", "all_counts", "all_raw")
 
 
 def biotype_totals(counts: DataFrame, features: DataFrame, rel: float = 0.01, frac: float = 0.5) -> DataFrame:
@@ -39,7 +40,7 @@ def biotype_totals(counts: DataFrame, features: DataFrame, rel: float = 0.01, fr
     shares = sums.withColumn("share", F.col("value") / F.sum("value").over(Window.partitionBy("sample_id")))
     n = counts.agg(F.floor(F.countDistinct("sample_id") * frac).alias("least"))
     kept = shares.groupBy("biotype").agg(F.count_if(F.col("share") >= rel).alias("k")).crossJoin(F.broadcast(n)).where("k > least").select("biotype", F.lit(True).alias("kept"))
-    named = shares.join(F.broadcast(kept), "biotype", "left").withColumn("biotype", F.when(F.col("kept"), F.col("biotype")).otherwise("other"))
+    named = shares.join(kept, "biotype", "left").withColumn("biotype", F.when(F.col("kept"), F.col("biotype")).otherwise("other"))
     return named.groupBy("sample_id", "biotype").agg(F.sum("value").alias("value"))
 
 
@@ -52,7 +53,7 @@ def top_features(counts: DataFrame, n: int = 10) -> DataFrame:
 
 def top_mean_percent(counts: DataFrame, n: int = 10) -> DataFrame:
     """Features by mean percentage over the samples that have them."""
-    share = counts.withColumn("p", 100 * F.col("value") / F.sum("value").over(Window.partitionBy("sample_id")))
+    share = with_totals(counts, ["sample_id"], total=F.sum("value")).withColumn("p", 100 * F.col("value") / F.col("total"))
     return share.groupBy("feature_id").agg(F.avg("p").alias("mean_percent")).orderBy(F.desc(F.round("mean_percent", 9)), "feature_id").limit(n)
 
 
@@ -61,9 +62,18 @@ def pivot_counts(rows: DataFrame, index: str, column: str, values: list, agg=F.a
     return rows.groupBy(index).pivot(column, values).agg(agg("value")).fillna(fill)
 
 
+#: Fixed value: the feature of sequences without an annotation.
+NO_ANNOTATION = "no-annotation"
+
+
 def fractional_counts(seqs: DataFrame, split: bool = True) -> DataFrame:
-    """``(feature, value)``: a sequence's count shared equally by its distinct annotations, or whole for each."""
-    rows = seqs.withColumn("annotations", F.array_distinct("annotations")).where(F.size("annotations") > 0)
+    """``(feature, value)``: a sequence's count shared equally by its distinct annotations, or whole for each.
+
+    Empty and null annotations don't count; a sequence without any other counts
+    for "no-annotation", so shared counts keep the total.
+    """
+    named = F.array_distinct(F.filter(F.coalesce("annotations", F.array().cast("array<string>")), lambda a: a != ""))
+    rows = seqs.withColumn("annotations", F.when(F.size(named) > 0, named).otherwise(F.array(F.lit(NO_ANNOTATION))))
     share = F.col("count") / F.size("annotations") if split else F.col("count").cast("double")
     return rows.select(share.alias("value"), F.explode("annotations").alias("feature")).groupBy("feature").agg(F.sum("value").alias("value"))
 
@@ -137,21 +147,27 @@ def first_level(reports: DataFrame, order: str = "SGFOCPKU") -> DataFrame:
     return reports.withColumn("place", place).where("place is not null").groupBy("sample_id").agg(F.min_by("rank", "place").alias("level"))
 
 
-def collapse_groups(rows: DataFrame, key: str, prefix: str) -> DataFrame:
+def _single_or_joined(column: str, order: str) -> Column:
+    """The only value of a group, else all its values with repeats in the order of the rows; nulls are left out."""
+    values = F.transform(F.array_sort(F.collect_list(F.when(F.col(column).isNotNull(), F.struct(order, column)))), lambda x: x[column])
+    return F.when(F.countDistinct(column) <= 1, F.min(column)).otherwise(F.array_join(values, ";"))
+
+
+def collapse_groups(rows: DataFrame, key: str, prefix: str, order: str = "line") -> DataFrame:
     """Rows of new groups collapsed: largest length, mean GC, voted biotype, joined names; other rows stay.
 
     A biotype wins with over 0.7 of the votes (0.5 or more if protein_coding);
-    otherwise all distinct ones are joined.  Names are joined with repeats,
-    unless only one is there.
+    otherwise all are joined, as names are, with repeats and in the order of the
+    rows (column ``order``), unless only one is there.  A group is a cluster of
+    transcripts whose joined text is the result, so it is gathered as one row.
     """
     new = rows.where(F.col(key).startswith(prefix))
-    votes = new.groupBy(key, "biotype").agg(F.count(F.lit(1)).alias("v"))
+    votes = new.where("biotype is not null").groupBy(key, "biotype").agg(F.count(F.lit(1)).alias("v"))
     share = F.col("v") / F.sum("v").over(Window.partitionBy(key))
     wins = (share > 0.7) | ((F.col("biotype") == "protein_coding") & (share >= 0.5))
-    winner = votes.withColumn("wins", wins).groupBy(key).agg(F.max(F.when(F.col("wins"), F.col("biotype"))).alias("winner"), F.array_join(F.sort_array(F.collect_set("biotype")), ";").alias("all"))
-    names = F.when(F.countDistinct("name") == 1, F.min("name")).otherwise(F.array_join(F.sort_array(F.collect_list("name")), ";"))
-    merged = new.groupBy(key).agg(F.max("length").alias("length"), F.avg("gc").alias("gc"), names.alias("name"))
-    merged = merged.join(winner, key).withColumn("biotype", F.coalesce("winner", "all"))
+    winner = votes.withColumn("wins", wins).groupBy(key).agg(F.max(F.when(F.col("wins"), F.col("biotype"))).alias("winner"))
+    merged = new.groupBy(key).agg(F.max("length").alias("length"), F.avg("gc").alias("gc"), _single_or_joined("name", order).alias("name"), _single_or_joined("biotype", order).alias("all"))
+    merged = merged.join(winner, key, "left").withColumn("biotype", F.coalesce("winner", "all"))
     columns = [key, "length", "gc", "name", "biotype"]
     return merged.select(*columns).unionByName(rows.where(~F.col(key).startswith(prefix)).select(*columns))
 

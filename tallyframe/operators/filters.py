@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import first_keys, running_sum
 
 def filter_junctions(junctions: DataFrame, min_unique: float = 3, min_overhang: float = 0, min_samples: float = 0.2) -> DataFrame:
     """All criteria are strict; below 1, ``min_samples`` is a fraction of the largest sample count, cut to an integer."""
@@ -146,13 +147,19 @@ def filter_flags(alignments: DataFrame, min_quality: int = 10, exclude: int = 38
     return alignments.where((F.col("mapq") >= min_quality) & (F.col("flag").bitwiseAND(F.lit(exclude)) == 0))
 
 
-def filter_residual(pairs: DataFrame, adapters: DataFrame, k: int = 10) -> DataFrame:
-    """Drops pairs of which a mate contains an adapter, or ends in k bases that occur in one."""
-    end = lambda m: F.expr(f"right({m}, {k})")
-    hit = F.lit(False)
-    for mate in ("r1", "r2"):
-        hit = hit | F.col(mate).contains(F.col("adapter")) | ((F.length(mate) >= k) & F.col("adapter").contains(end(mate)))
-    return pairs.join(adapters, hit, "left_anti")
+def filter_residual(pairs: DataFrame, adapters: DataFrame, key: str, k: int = 10) -> DataFrame:
+    """Drops pairs of which a mate contains an adapter, or ends in k bases that occur in one.
+
+    Both tests are equi joins on substrings; ``key`` tells the pairs apart.
+    """
+    from .joins import all_kmers, contains_join
+
+    reads = [pairs.select(F.struct(key, F.lit(m).alias("mate")).alias("read_id"), F.col(m).alias("text")) for m in ("r1", "r2")]
+    reads = reads[0].unionByName(reads[1])
+    inside = contains_join(reads, adapters.select(F.col("adapter").alias("probe"))).select(F.col(f"read_id.{key}").alias(key))
+    ends = reads.where(F.length("text") >= k).select(F.col(f"read_id.{key}").alias(key), F.expr(f"right(text, {k})").alias("end"))
+    known = adapters.select(F.explode(all_kmers(F.col("adapter"), k)).alias("end")).distinct()
+    return pairs.join(inside.unionByName(ends.join(known, "end", "left_semi").select(key)), key, "left_anti")
 
 
 def grep_headers(seqs: DataFrame, patterns: list[str], invert: bool = False) -> DataFrame:
@@ -186,9 +193,29 @@ def subset(rows: DataFrame, selectors: list[str]) -> DataFrame:
     return rows.where(kept & ~F.coalesce(gone, F.lit(False)))
 
 
-def subsample_reads(reads: DataFrame, fraction: float, key: str, seed: int = 0) -> DataFrame:
-    """Keeps a fraction of the keys, by hash, so that mates of a pair stay together."""
-    return reads.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < int(fraction * 1_000_000))
+def _draw(key: str, seed: int) -> Column:
+    """The order of a draw: md5 of seed and key, the same for mates of a pair and in any other engine."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+
+
+def subsample_reads(reads: DataFrame, key: str, fraction: float | None = None, n: int | None = None, order: str | None = None, seed: int = 0) -> DataFrame:
+    """Keeps a fraction of the keys, or ``n`` of them, by hash, so that mates of a pair stay together.
+
+    With a fraction and ``n``: the first ``n`` of the keys that the fraction
+    keeps, in the order of column ``order`` (the key itself without one), which
+    must be the same for all rows of a key.
+    """
+    rows = reads
+    if fraction is not None:
+        rows = reads.where(F.substring(_draw(key, seed), 1, 8) < f"{min(int(fraction * 2**32), 2**32 - 1):08x}") if fraction < 1 else reads
+    if n is None:
+        return rows
+    if fraction is None:
+        return first_keys(rows, key, _draw(key, seed), n)
+    if order is None:
+        return first_keys(rows, key, F.col(key), n)
+    keys = running_sum(rows.groupBy(key).agg(F.min(order).alias("place")), [], ["place", key], F.lit(1))
+    return rows.join(keys.where(F.col("before") < n).select(key), key, "left_semi")
 
 
 def subsample_every(reads: DataFrame, key: str, step: int) -> DataFrame:
@@ -198,14 +225,16 @@ def subsample_every(reads: DataFrame, key: str, step: int) -> DataFrame:
 def downsample_counts(counts: DataFrame, group: str = "sample_id", seed: int = 0) -> DataFrame:
     """Each group thinned to the smallest group's total without replacement.
 
-    Units are ranked by a hash; the rows are as many as the counts are large.
+    Units stand in the md5 order of their features and every total/least-th of
+    them is drawn, so a row is read once however large its count is.
     """
-    totals = counts.groupBy(group).agg(F.sum("value").alias("total"))
-    least = totals.agg(F.min("total").cast("long").alias("least"))
-    units = counts.where("value > 0").select(group, "feature_id", F.explode(F.sequence(F.lit(1).cast("long"), F.col("value").cast("long"))).alias("unit"))
-    order = Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), F.col(group), "feature_id", "unit"), "feature_id", "unit")
-    kept = units.withColumn("k", F.row_number().over(order)).crossJoin(F.broadcast(least)).where("k <= least")
-    return kept.groupBy(group, "feature_id").agg(F.count(F.lit(1)).cast("double").alias("value"))
+    from .normalise import drawn
+
+    rows = counts.where("value > 0").select(group, "feature_id", F.col("value").cast("long").alias("value"))
+    least = rows.groupBy(group).agg(F.sum("value").alias("t")).agg(F.min("t").alias("least"))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(group).cast("string"), F.col("feature_id").cast("string")))
+    placed = running_sum(rows.withColumn("draw", key), [group], ["draw"], "value").crossJoin(F.broadcast(least))
+    return drawn(placed, [group], F.col("least")).where("drawn > 0").select(group, "feature_id", F.col("drawn").cast("double").alias("value"))
 
 
 def trim_reads(reads: DataFrame, trim_5: int, min_length: int, min_quality: float, min_complexity: float) -> DataFrame:

@@ -44,9 +44,14 @@ def align_features(counts: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def complete_grid(counts: DataFrame, fill: float = 0.0) -> DataFrame:
-    """Every sample with every feature; absent values are ``fill``.  The result is as large as the wide matrix."""
-    samples, features = counts.select("sample_id").distinct(), counts.select("feature_id").distinct()
-    return features.crossJoin(samples).join(counts, ["sample_id", "feature_id"], "left").fillna(fill, ["value"])
+    """Every sample with every feature; absent values are ``fill``.  The result is as large as the wide matrix.
+
+    Samples, the columns of the wide form, are one row of names beside each feature.
+    """
+    samples = counts.agg(F.array_sort(F.collect_set("sample_id")).alias("samples"))
+    features = counts.select("feature_id").distinct()
+    grid = features.crossJoin(F.broadcast(samples)).select("feature_id", F.explode("samples").alias("sample_id"))
+    return grid.join(counts, ["sample_id", "feature_id"], "left").fillna(fill, ["value"])
 
 
 def merge_calls(calls: DataFrame, callers: list) -> DataFrame:
@@ -91,15 +96,42 @@ def point_in_interval(points: DataFrame, intervals: DataFrame, bin_size: int) ->
 
 
 def cluster_sizes(points: DataFrame, window: int) -> DataFrame:
-    """Adds ``near``: points of the same contig within ``window`` positions before and after, itself included."""
-    w = Window.partitionBy("contig").orderBy("pos").rangeBetween(-window, window)
-    sums = points.groupBy("contig", "pos").agg(F.count(F.lit(1)).alias("n")).withColumn("near", F.sum("n").over(w)).drop("n")
+    """Adds ``near``: points of the same contig within ``window`` positions before and after, itself included.
+
+    Positions are counted first; each meets those of its own and the two
+    neighbouring bins of ``window`` positions, so no window holds a contig.
+    """
+    per = points.groupBy("contig", "pos").agg(F.count(F.lit(1)).alias("n")).withColumn("bin", F.floor(F.col("pos") / (window or 1)))
+    other = per.select("contig", F.col("pos").alias("near_pos"), "n", F.explode(F.array(F.col("bin") - 1, "bin", F.col("bin") + 1)).alias("bin"))
+    sums = per.drop("n").join(other, ["contig", "bin"]).where(F.abs(F.col("pos") - F.col("near_pos")) <= window).groupBy("contig", "pos").agg(F.sum("n").alias("near"))
     return points.join(sums, ["contig", "pos"])
 
 
-def contains_join(reads: DataFrame, panel: DataFrame) -> DataFrame:
-    """``(read_id, probe)`` where a read's text contains a probe; the panel is the small side, by Spark's size check."""
-    return reads.join(panel, F.col("text").contains(F.col("probe")))
+#: Letters of a seed by which texts and probes of twice as many letters or more meet.
+SEED = 16
+
+
+def contains_join(reads: DataFrame, panel: DataFrame, seed: int = SEED) -> DataFrame:
+    """``(read_id, probe)`` where a read's text contains a probe, each pair of different ones once.
+
+    A probe of ``2 * seed - 1`` letters or more covers one of the consecutive
+    pieces of ``seed`` letters of a text that contains it, so texts and probes
+    meet on such pieces and are then compared.  Shorter probes meet the texts'
+    substrings of their own lengths, at most ``2 * seed - 1`` of them (the
+    lengths are asked for when the query is built).
+    """
+    probes = panel.select("probe").where("probe is not null").distinct()
+    short = F.length("probe") < 2 * seed - 1
+    pieces = F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?s).{{{seed}}}"), F.lit(0)))
+    mine = reads.select("read_id", F.explode(pieces).alias("piece"))
+    theirs = probes.where(~short).select("probe", F.explode(kmers(F.col("probe"), seed)).alias("piece"))
+    met = mine.join(theirs, "piece").select("read_id", "probe").distinct()
+    found = reads.join(met, "read_id").where(F.col("text").contains(F.col("probe"))).select("read_id", "probe")
+    for (n,) in probes.where(short).select(F.length("probe")).distinct().orderBy(F.length("probe")).collect():
+        some = probes.where(F.length("probe") == n)
+        cut = reads.select("read_id", F.explode(kmers(F.col("text"), n)).alias("probe")) if n else reads.where("text is not null").select("read_id", F.lit("").alias("probe"))
+        found = found.unionByName(cut.join(some, "probe").select("read_id", "probe"))
+    return found.distinct()
 
 
 def kmers(text: Column, k: int) -> Column:
@@ -118,16 +150,36 @@ def all_kmers(text: Column, k: int) -> Column:
 
 
 def ngram_screen(docs: DataFrame, panel: DataFrame, k: int) -> DataFrame:
-    """``(panel_id, hits, share)``: documents that share a k-mer with each panel entry."""
-    mine = docs.select("read_id", F.explode(kmers(F.col("text"), k)).alias("kmer"))
-    theirs = panel.select("panel_id", F.explode(kmers(F.col("text"), k)).alias("kmer"))
+    """``(panel_id, hits, share)``: documents that share a k-mer with each panel entry.
+
+    A shared k-mer covers one of the consecutive pieces of ``(k + 1) // 2``
+    letters of the document, so only pieces are shuffled: they meet the panel's
+    substrings of that length, and the letters around both decide.
+    """
+    size = (k + 1) // 2
+    piece = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    around = lambda p, x, i: F.struct(x.alias("piece"), F.coalesce(F.get(p, i - 1), F.lit("")).alias("left"), F.coalesce(F.get(p, i + 1), F.lit("")).alias("right"))
+    mine = docs.select("read_id", piece.alias("p")).select("read_id", F.explode(F.array_distinct(F.transform("p", lambda x, i: around(F.col("p"), x, i)))).alias("s")).select("read_id", "s.*").where(F.length("piece") == size)
+    cut = panel.select("panel_id", "text", all_kmers(F.col("text"), size).alias("p"))
+    before = lambda i: F.coalesce(F.get("p", i - size), F.substring(F.col("text"), F.lit(1), i))
+    after = lambda i: F.coalesce(F.get("p", i + size), F.substring(F.col("text"), i + size + 1, F.lit(size)))
+    placed = F.transform("p", lambda x, i: F.struct(x.alias("piece"), before(i).alias("before"), after(i).alias("after")))
+    theirs = cut.select("panel_id", F.explode(F.array_distinct(placed)).alias("s")).select("panel_id", "s.*")
+    rest = k - size
+    same = lambda a, b, n, side: (F.length(a) >= n) & (F.length(b) >= n) & (F.call_function(side, F.col(a), n) == F.call_function(side, F.col(b), n))
+    grown = F.exists(F.sequence(F.lit(0), F.lit(rest)), lambda n: same("left", "before", n, "right") & same("right", "after", F.lit(rest) - n, "left"))
     total = docs.agg(F.count(F.lit(1)).alias("n"))
-    hits = mine.join(theirs, "kmer").groupBy("panel_id").agg(F.countDistinct("read_id").alias("hits"))
+    hits = mine.join(theirs, "piece").where(grown).groupBy("panel_id").agg(F.countDistinct("read_id").alias("hits"))
     return hits.crossJoin(F.broadcast(total)).select("panel_id", "hits", (F.col("hits") / F.col("n")).alias("share"))
 
 
 def pairwise_self(counts: DataFrame) -> DataFrame:
-    """``(a, b, feature_id, x, y)`` for sample pairs a < b that share a feature; a feature has at most samples squared pairs."""
+    """``(a, b, feature_id, x, y)`` for sample pairs a < b that share a feature.
+
+    A feature has at most samples squared pairs, as distances have rows: for
+    tens or hundreds of samples, not for single cells.  Pairs are summed where
+    they are made, so what is shuffled after that is one row a task and pair.
+    """
     one = counts.select(F.col("sample_id").alias("a"), "feature_id", F.col("value").alias("x"))
     two = counts.select(F.col("sample_id").alias("b"), "feature_id", F.col("value").alias("y"))
     return one.join(two, "feature_id").where("a < b")
@@ -167,19 +219,14 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     every query.  With more than one block the passes' results are written, so
     the driver holds one block at a time.
     """
-    from ..scratch import folder
+    from ..scratch import materialise
 
-    spark = vectors.sparkSession
     n = -(-queries.count() // QUERY_BLOCK) or 1
     parts = []
     for part in range(n):
         asked = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == part).select("vec_id", "embedding").toArrow()
         found = _nearest(asked, vectors, k)
-        if n > 1:
-            path = folder(spark, "nearest")
-            found.write.parquet(path)
-            found = spark.read.schema(found.schema).parquet(path)
-        parts.append(found)
+        parts.append(materialise(found, "nearest") if n > 1 else found)
     order = Window.partitionBy("vec_id").orderBy(F.desc(F.round("similarity", 9)), "neighbour")
     return reduce(lambda a, b: a.union(b), parts).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import running_sum, with_totals
+
 
 def _over(column: Column, key: str) -> Column:
     return column.over(Window.partitionBy(key))
@@ -20,13 +22,14 @@ def _over(column: Column, key: str) -> Column:
 
 def share_of_sample(counts: DataFrame, scale: float = 1.0) -> DataFrame:
     """Adds ``share``: value over the sample's total, times ``scale``; null where the total is 0."""
-    return counts.withColumn("share", F.col("value") / F.nullif(_over(F.sum("value"), "sample_id"), F.lit(0.0)) * scale)
+    rows = with_totals(counts, ["sample_id"], total=F.sum("value"))
+    return rows.withColumn("share", F.col("value") / F.nullif(F.col("total"), F.lit(0.0)) * scale).drop("total")
 
 
 def cpm(counts: DataFrame, prior: float = 0.0) -> DataFrame:
     """Adds ``cpm``: counts per million of (value + prior)."""
     x = F.col("value") + prior
-    return counts.withColumn("cpm", x / _over(F.sum(x), "sample_id") * 1e6)
+    return with_totals(counts, ["sample_id"], total=F.sum(x)).withColumn("cpm", x / F.col("total") * 1e6).drop("total")
 
 
 def tpm(counts: DataFrame, features: DataFrame, fragment_length: float) -> DataFrame:
@@ -34,7 +37,7 @@ def tpm(counts: DataFrame, features: DataFrame, fragment_length: float) -> DataF
     effective = F.col("length") - F.lit(fragment_length) + 1
     rows = counts.join(features.select("feature_id", effective.alias("effective")), "feature_id").where("effective > 1")
     rate = F.col("value") / F.col("effective")
-    return rows.withColumn("tpm", rate / _over(F.sum(rate), "sample_id") * 1e6).drop("effective")
+    return with_totals(rows, ["sample_id"], total=F.sum(rate)).withColumn("tpm", rate / F.col("total") * 1e6).drop("effective", "total")
 
 
 def size_factors(counts: DataFrame, mode: str = "nonzero") -> DataFrame:
@@ -55,7 +58,7 @@ def size_factors(counts: DataFrame, mode: str = "nonzero") -> DataFrame:
 
 def log_normalise(cells: DataFrame, target: float = 1e6) -> DataFrame:
     """Adds ``log_value``: log1p of counts scaled to ``target`` per barcode."""
-    return cells.withColumn("log_value", F.log1p(F.col("value") / F.sum("value").over(Window.partitionBy("barcode")) * target))
+    return with_totals(cells, ["barcode"], total=F.sum("value")).withColumn("log_value", F.log1p(F.col("value") / F.col("total") * target)).drop("total")
 
 
 def variance_stabilise(counts: DataFrame, size: float | None = None) -> DataFrame:
@@ -91,9 +94,9 @@ def correlation(counts: DataFrame, method: str = "pearson") -> DataFrame:
     """``(a, b, r)`` for each pair of samples over the features both have."""
     x = counts
     if method == "spearman":
-        ranks = Window.partitionBy("sample_id").orderBy("value")
-        tied = F.count(F.lit(1)).over(Window.partitionBy("sample_id", "value"))
-        x = counts.withColumn("value", F.rank().over(ranks) + (tied - 1) / 2.0)
+        tied = counts.groupBy("sample_id", "value").agg(F.count(F.lit(1)).alias("t"))
+        ranks = running_sum(tied, ["sample_id"], ["value"], "t").select("sample_id", "value", (F.col("before") + (F.col("t") + 1) / 2.0).alias("rank"))
+        x = counts.join(ranks, ["sample_id", "value"]).select("sample_id", "feature_id", F.col("rank").alias("value"))
     from .joins import pairwise_self
 
     return pairwise_self(x).groupBy("a", "b").agg(F.corr("x", "y").alias("r"))
@@ -125,7 +128,7 @@ def beta_distance(counts: DataFrame, metric: str = "bray") -> DataFrame:
 def alpha_diversity(counts: DataFrame) -> DataFrame:
     """Observed features, Shannon index (base 2) and Chao1 (bias-corrected) of each sample."""
     p = F.col("value") / F.col("total")
-    rows = counts.where("value > 0").withColumn("total", _over(F.sum("value"), "sample_id"))
+    rows = with_totals(counts.where("value > 0"), ["sample_id"], total=F.sum("value"))
     agg = rows.groupBy("sample_id").agg(
         F.count(F.lit(1)).alias("observed"),
         F.sum(-p * F.log2(p)).alias("shannon"),
@@ -138,7 +141,7 @@ def alpha_diversity(counts: DataFrame) -> DataFrame:
 
 def rarefy_expected(counts: DataFrame, depths: list[int]) -> DataFrame:
     """``(sample_id, depth, expected)``: expected distinct features in a subsample of each depth (hypergeometric)."""
-    rows = counts.where("value > 0").withColumn("total", _over(F.sum("value"), "sample_id")).withColumn("depth", F.explode(F.array(*[F.lit(float(d)) for d in depths])))
+    rows = with_totals(counts.where("value > 0"), ["sample_id"], total=F.sum("value")).withColumn("depth", F.explode(F.array(*[F.lit(float(d)) for d in depths])))
     rows = rows.where("depth <= total")
     lg = lambda x: _log_factorial(x)
     missing = F.when(F.col("total") - F.col("value") < F.col("depth"), F.lit(0.0)).otherwise(
@@ -147,6 +150,44 @@ def rarefy_expected(counts: DataFrame, depths: list[int]) -> DataFrame:
     return rows.groupBy("sample_id", "depth").agg(F.sum(1 - missing).alias("expected"))
 
 
+def drawn(rows: DataFrame, group: list[str], depth: Column) -> DataFrame:
+    """Adds ``drawn``: of ``depth`` units drawn from the group, those of each row; whole numbers that add up to ``depth``.
+
+    ``rows`` has ``value`` (whole numbers), ``draw`` (the order of the draw) and
+    ``before``, the sum of earlier values in that order.  The draw takes every
+    total/depth-th unit, so a row is read once, however large its value is.
+    """
+    rows = with_totals(rows, group, total=F.sum("value"))
+    whole = lambda c: c.cast("decimal(19,0)")
+    upto = lambda x: F.call_function("div", whole(x) * whole(depth), whole(F.col("total")))
+    return rows.withColumn("drawn", upto(F.col("before") + F.col("value")) - upto(F.col("before"))).drop("total")
+
+
+def rarefaction_depths(counts: DataFrame, depth: int | None = None, steps: int = 20) -> list[int]:
+    """Depths from 1 to ``depth`` in equal steps; without one, half the median of the samples' totals.  Runs a query."""
+    if depth is None:
+        totals = counts.groupBy("sample_id").agg(F.sum("value").alias("t"))
+        depth = int((totals.agg(F.percentile("t", F.lit(0.5))).first()[0] or 0) / 2)
+    return sorted({round(1 + (depth - 1) * k / max(1, steps - 1)) for k in range(steps)} - {0}) if depth >= 1 else []
+
+
+def rarefy(counts: DataFrame, depths: list[int], iterations: int = 30, seed: int = 0) -> DataFrame:
+    """``(sample_id, depth, iteration, observed, shannon)`` of subsamples; depths above a sample's total are left out.
+
+    The order of a draw is the md5 of seed, iteration and feature, so that it
+    can be repeated elsewhere.
+    """
+    runs = counts.where("value > 0").select("sample_id", "feature_id", F.col("value").cast("long").alias("value"), F.explode(F.sequence(F.lit(1), F.lit(iterations))).alias("iteration"))
+    runs = runs.withColumn("draw", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("iteration").cast("string"), F.col("feature_id").cast("string"))))
+    group = ["sample_id", "iteration"]
+    placed = running_sum(runs, group, ["draw"], "value").withColumn("depth", F.explode(F.array(*[F.lit(d).cast("long") for d in depths])))
+    rows = drawn(placed, [*group, "depth"], F.col("depth"))
+    p = F.col("drawn") / F.col("depth")
+    some = rows.where("drawn > 0").groupBy("sample_id", "depth", "iteration").agg(F.count(F.lit(1)).alias("observed"), F.sum(-p * F.log2(p)).alias("shannon"), F.sum("drawn").alias("n"))
+    totals = counts.where("value > 0").groupBy("sample_id").agg(F.sum("value").alias("all_units"))
+    return some.join(totals, "sample_id").where("depth <= all_units").select("sample_id", "depth", "iteration", "observed", "shannon")
+
+
 def _log_factorial(n: Column) -> Column:
     """ln n! by Stirling's series, shifted by 8 for small n."""
     x = n + 9
@@ -159,7 +200,7 @@ def _log_factorial(n: Column) -> Column:
 def clr(counts: DataFrame, pseudocount: float = 1.0) -> DataFrame:
     """Adds ``clr``: log of (value + pseudocount) minus the sample's mean log."""
     log = F.ln(F.col("value") + pseudocount)
-    return counts.withColumn("clr", log - _over(F.avg(log), "sample_id"))
+    return with_totals(counts, ["sample_id"], mean_log=F.avg(log)).withColumn("clr", log - F.col("mean_log")).drop("mean_log")
 
 
 def ilr_balances(counts: DataFrame, tree: DataFrame, pseudocount: float = 1.0) -> DataFrame:
@@ -179,7 +220,7 @@ def rank_test(rows: DataFrame, group: str = "grp", value: str = "value") -> Data
     sequence; each value's rows are pre-aggregated.
     """
     per = rows.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("t"))
-    ranked = _running(per, "v", "t").withColumn("rank", F.col("before") + (F.col("t") + 1) / 2.0)
+    ranked = running_sum(per, [], ["v"], "t").withColumn("rank", F.col("before") + (F.col("t") + 1) / 2.0)
     sums = rows.join(ranked, rows[value] == ranked.v).groupBy(group).agg(F.sum("rank").alias("r"), F.count(F.lit(1)).alias("n"))
     ties = per.agg(F.sum("t").alias("total"), F.sum(F.col("t") * F.col("t") * F.col("t") - F.col("t")).alias("ties"))
     joined = sums.agg(F.sum(F.col("r") * F.col("r") / F.col("n")).alias("s"), (F.count(F.lit(1)) - 1).alias("df")).crossJoin(ties)
@@ -189,19 +230,6 @@ def rank_test(rows: DataFrame, group: str = "grp", value: str = "value") -> Data
     return out.withColumn("p", chi2_sf(F.col("h"), F.col("df")))
 
 
-def _running(rows: DataFrame, order: str, count: str, ranges: int = 256) -> DataFrame:
-    """Adds ``before``: the sum of ``count`` over smaller ``order`` values, summed in ranges first."""
-    low, high = rows.agg(F.min(order), F.max(order)).first()
-    width = ((high - low) / ranges or 1.0) if low is not None else 1.0
-    part = F.least(F.floor((F.col(order) - F.lit(low)) / width), F.lit(ranges - 1))
-    rows = rows.withColumn("part", part)
-    parts = rows.groupBy("part").agg(F.sum(count).alias("n"))
-    sums = parts.withColumn("earlier", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = Window.partitionBy("part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    within = F.coalesce(F.sum(count).over(inner), F.lit(0))
-    return rows.withColumn("within", within).join(F.broadcast(sums.drop("n")), "part").withColumn("before", F.col("earlier") + F.col("within")).drop("part", "earlier", "within")
-
-
 def _gamma_q(a: float, x: float) -> float:
     """Upper regularised incomplete gamma function."""
     if x <= 0:
@@ -276,31 +304,36 @@ def rank_correlation(alpha: DataFrame, metadata: DataFrame) -> DataFrame:
     ranked = rows
     for c in ("x", "y"):
         per = rows.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("t"))
-        ranks = _running(per, "v", "t").select("v", (F.col("before") + (F.col("t") + 1) / 2.0).alias(f"r{c}"))
+        ranks = running_sum(per, [], ["v"], "t").select("v", (F.col("before") + (F.col("t") + 1) / 2.0).alias(f"r{c}"))
         ranked = ranked.join(ranks, F.col(c) == F.col("v")).drop("v")
     return ranked.agg(F.corr("rx", "ry").alias("rho"), F.count(F.lit(1)).alias("n"))
 
 
 def permanova_f(coords: DataFrame) -> DataFrame:
     """Pseudo-F of ``coords(sample_id, grp, axis, value)``: between over within sums of squares."""
-    group = Window.partitionBy("grp", "axis")
-    centred = coords.withColumn("w", F.col("value") - F.avg("value").over(group)).withColumn("t", F.col("value") - F.avg("value").over(Window.partitionBy("axis")))
+    centred = with_totals(with_totals(coords, ["grp", "axis"], mean=F.avg("value")), ["axis"], all_mean=F.avg("value"))
+    centred = centred.withColumn("w", F.col("value") - F.col("mean")).withColumn("t", F.col("value") - F.col("all_mean"))
     sums = centred.agg(F.sum(F.col("w") * F.col("w")).alias("within"), F.sum(F.col("t") * F.col("t")).alias("total"), F.countDistinct("grp").alias("g"), F.countDistinct("sample_id").alias("n"))
     f = ((F.col("total") - F.col("within")) / (F.col("g") - 1)) / (F.col("within") / (F.col("n") - F.col("g")))
     return sums.select(f.alias("f"), "g", "n")
 
 
 def permanova(coords: DataFrame, permutations: int = 99, seed: int = 1) -> DataFrame:
-    """As :func:`permanova_f` with ``p``: the share of label permutations with an F as large (the real one included)."""
+    """As :func:`permanova_f` with ``p``: the share of label permutations with an F as large (the real one included).
+
+    A permutation sorts the samples by the md5 of sample, run and seed and deals
+    the labels in that order.
+    """
     groups = coords.select("sample_id", "grp").distinct()
     runs = groups.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(permutations))))
-    draw = F.when(F.col("run") == 0, F.col("sample_id")).otherwise(F.xxhash64("sample_id", "run", F.lit(seed)).cast("string"))
-    order = Window.partitionBy("run")
-    shuffled = runs.withColumn("k", F.row_number().over(order.orderBy(draw, "sample_id")))
-    plain = groups.withColumn("k", F.row_number().over(Window.orderBy("sample_id"))).select("k", F.col("grp").alias("new"))
+    named = F.col("sample_id").cast("string")
+    draw = F.when(F.col("run") == 0, F.lit("")).otherwise(F.md5(F.concat_ws(":", named, F.col("run").cast("string"), F.lit(str(seed)))))
+    shuffled = running_sum(runs.withColumn("draw", draw), ["run"], ["draw", "sample_id"], F.lit(1), "k")
+    plain = running_sum(groups, [], ["sample_id"], F.lit(1), "k").select("k", F.col("grp").alias("new"))
     relabelled = shuffled.join(plain, "k").select("run", "sample_id", F.col("new").alias("grp"))
     rows = coords.drop("grp").join(relabelled, "sample_id")
-    centred = rows.withColumn("w", F.col("value") - F.avg("value").over(Window.partitionBy("run", "grp", "axis"))).withColumn("t", F.col("value") - F.avg("value").over(Window.partitionBy("run", "axis")))
+    centred = with_totals(with_totals(rows, ["run", "grp", "axis"], mean=F.avg("value")), ["axis"], all_mean=F.avg("value"))
+    centred = centred.withColumn("w", F.col("value") - F.col("mean")).withColumn("t", F.col("value") - F.col("all_mean"))
     sums = centred.groupBy("run").agg(F.sum(F.col("w") * F.col("w")).alias("within"), F.sum(F.col("t") * F.col("t")).alias("total"), F.countDistinct("grp").alias("g"), F.countDistinct("sample_id").alias("n"))
     f = ((F.col("total") - F.col("within")) / (F.col("g") - 1)) / (F.col("within") / (F.col("n") - F.col("g")))
     tested = sums.select("run", f.alias("f"))
@@ -324,7 +357,7 @@ def fit_two_groups(counts: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def fit_features(rows: DataFrame, terms: list[str]) -> DataFrame:
-    """Least squares per feature of ``y`` on numeric design columns: coefficient, t and p of every term.
+    """Least squares per feature of ``y`` on numeric design columns: coefficient, t and p of every term, residual variance sigma.
 
     A feature's rows are its samples, so each group has as many rows as there
     are samples.
@@ -336,15 +369,22 @@ def fit_features(rows: DataFrame, terms: list[str]) -> DataFrame:
         df = len(y) - x.shape[1]
         out = {"feature_id": pdf["feature_id"].iloc[0], "term": ["intercept", *terms]}
         if df < 1 or np.linalg.matrix_rank(x) < x.shape[1]:
-            return pd.DataFrame(out | {"coefficient": np.nan, "t": np.nan, "p": np.nan})
+            return pd.DataFrame(out | {"coefficient": np.nan, "t": np.nan, "p": np.nan, "sigma": np.nan})
         inverse = np.linalg.inv(x.T @ x)
         beta = inverse @ x.T @ y
         sigma = ((y - x @ beta) ** 2).sum() / df
         t = beta / np.sqrt(np.maximum(np.diag(inverse) * sigma, 1e-300))
-        return pd.DataFrame(out | {"coefficient": beta, "t": t, "p": [_t_p(v, df) for v in t]})
+        return pd.DataFrame(out | {"coefficient": beta, "t": t, "p": [_t_p(v, df) for v in t], "sigma": sigma})
 
     kind = rows.schema["feature_id"].dataType.simpleString()
-    return rows.select("feature_id", "y", *terms).groupBy("feature_id").applyInPandas(fit, f"feature_id {kind}, term string, coefficient double, t double, p double")
+    return rows.select("feature_id", "y", *terms).groupBy("feature_id").applyInPandas(fit, f"feature_id {kind}, term string, coefficient double, t double, p double, sigma double")
+
+
+def significance_counts(results: DataFrame, group: str = "term", alpha: float = 0.05) -> DataFrame:
+    """``(group, down, not_significant, up)`` of ``(group, lfc, padj)``: features below alpha by the sign of their change."""
+    low = F.coalesce(F.col("padj") < alpha, F.lit(False))
+    up, down = low & (F.col("lfc") > 0), low & (F.col("lfc") < 0)
+    return results.groupBy(group).agg(F.count_if(down).alias("down"), F.count_if(~up & ~down).alias("not_significant"), F.count_if(up).alias("up"))
 
 
 def remove_batch(rows: DataFrame) -> DataFrame:
@@ -426,8 +466,12 @@ def wide_contrasts(results: DataFrame) -> DataFrame:
     return wide.fillna(0.0, [f"{c}_lfc" for c in contrasts]).fillna(1.0, [f"{c}_p" for c in contrasts])
 
 
-def design_checks(samples: DataFrame, column: str, reference: str | None = None) -> DataFrame:
-    """``(problem, level)``: levels without replicates, missing reference level, nulls in the design."""
+def design_checks(samples: DataFrame, column: str, reference: str | None = None, pairs: str | None = None) -> DataFrame:
+    """``(problem, level)``: levels without replicates, missing reference level, nulls in the design.
+
+    With a column of ``pairs``: pairs that aren't of two samples, and pairs that
+    hold a level more than once.
+    """
     levels = samples.groupBy(F.col(column).alias("level")).agg(F.count(F.lit(1)).alias("n"))
     single = levels.where("n < 2 and level is not null").select(F.lit("no replicates").alias("problem"), "level")
     nulls = levels.where("level is null").select(F.lit("null in design").alias("problem"), "level")
@@ -435,6 +479,11 @@ def design_checks(samples: DataFrame, column: str, reference: str | None = None)
     if reference is not None:
         seen = levels.agg(F.coalesce(F.max((F.col("level") == reference).cast("int")), F.lit(0)).alias("seen"))
         out = out.unionByName(seen.where("seen = 0").select(F.lit("missing reference").alias("problem"), F.lit(reference).alias("level")))
+    if pairs is not None:
+        inside = samples.groupBy(F.col(pairs).cast("string").alias("level"), F.col(column).alias("condition")).agg(F.count(F.lit(1)).alias("n"))
+        of_two = inside.groupBy("level").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+        for problem, broken in (("pair not of two", "n <> 2"), ("condition repeats in pair", "most > 1")):
+            out = out.unionByName(of_two.where(broken).select(F.lit(problem).alias("problem"), "level"))
     return out
 
 

@@ -7,26 +7,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import PART, by_range, numbered, ranged, running_sum, sum_before, with_totals
+
 
 def cumulative_share(rows: DataFrame, group: str, share: float = 0.9) -> DataFrame:
     """The largest values of a group until they cover the share, the one that crosses it included; ties by key."""
-    order = Window.partitionBy(group).orderBy(F.desc("value"), "key")
-    before = F.coalesce(F.sum("value").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return rows.withColumn("before", before).withColumn("total", F.sum("value").over(Window.partitionBy(group))).where(F.col("before") < share * F.col("total")).drop("before", "total")
+    placed = running_sum(rows.withColumn("low", -F.col("value")), [group], ["low", "key"], "value").drop("low")
+    return with_totals(placed, [group], total=F.sum("value")).where(F.col("before") < share * F.col("total")).drop("before", "total")
 
 
 def depth_profile(intervals: DataFrame) -> DataFrame:
     """``(contig, start, stop, depth)``: runs of equal depth of half-open intervals, depth 0 inside included."""
     ends = intervals.select("contig", F.col("start").alias("pos"), F.lit(1).alias("d")).unionByName(intervals.select("contig", F.col("stop").alias("pos"), F.lit(-1).alias("d")))
-    steps = ends.groupBy("contig", "pos").agg(F.sum("d").alias("d"))
-    w = Window.partitionBy("contig").orderBy("pos")
-    rows = steps.withColumn("depth", F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("stop", F.lead("pos").over(w))
+    parts = ranged(ends.groupBy("contig", "pos").agg(F.sum("d").alias("d")), "contig", "pos")
+    rows = sum_before(parts, ["contig"], ["pos"], "d", "before").withColumn("depth", F.col("before") + F.col("d"))
+    following = parts.groupBy("contig", PART).agg(F.min("pos").alias("first"))
+    following = following.withColumn("next_range", F.lead("first").over(Window.partitionBy("contig").orderBy(PART))).drop("first")
+    within = F.lead("pos").over(Window.partitionBy("contig", PART).orderBy("pos"))
+    rows = by_range(rows.withColumn("within", within), following, ["contig", PART]).withColumn("stop", F.coalesce("within", "next_range"))
     return rows.where("stop is not null").select("contig", F.col("pos").alias("start"), "stop", "depth")
 
 
 def number_rows(rows: DataFrame, order: str, name: str = "number") -> DataFrame:
-    """Adds consecutive numbers by an ordered key of a dimension table."""
-    return rows.withColumn(name, F.row_number().over(Window.orderBy(order)))
+    """Adds consecutive numbers from 1 by an ordered key."""
+    return numbered(rows, order, name=name)
 
 
 def unique_names(rows: DataFrame, name: str, order: str, separator: str = "_") -> DataFrame:
@@ -56,12 +60,18 @@ def first_distances(states: DataFrame, distances: DataFrame) -> DataFrame:
 
 
 def bh_adjust(rows: DataFrame, group: str, p: str = "p") -> DataFrame:
-    """Adds ``padj``: Benjamini-Hochberg within each group; null p-values stay null and don't count."""
-    some = rows.where(F.col(p).isNotNull())
-    w = Window.partitionBy(group)
-    ranked = some.withColumn("n", F.count(F.lit(1)).over(w)).withColumn("k", F.rank().over(w.orderBy(p)) + F.count(F.lit(1)).over(Window.partitionBy(group, p)) - 1)
-    raised = ranked.withColumn("padj", F.least(F.lit(1.0), F.min(F.col(p) * F.col("n") / F.col("k")).over(w.orderBy("k").rangeBetween(0, Window.unboundedFollowing)))).drop("n", "k")
-    return raised.unionByName(rows.where(F.col(p).isNull()).withColumn("padj", F.lit(None).cast("double")))
+    """Adds ``padj``: Benjamini-Hochberg within each group; null p-values stay null and don't count.
+
+    Ranks and minima are taken over the distinct p-values of a group, in ranges.
+    """
+    per = with_totals(rows.where(F.col(p).isNotNull()).groupBy(F.col(group).alias("bh_group"), F.col(p).alias("bh_p")).agg(F.count(F.lit(1)).alias("t")), ["bh_group"], n=F.sum("t"))
+    parts = ranged(per, "bh_group", "bh_p")
+    placed = sum_before(parts, ["bh_group"], ["bh_p"], "t", "before").withColumn("raised", F.col("bh_p") * F.col("n") / (F.col("before") + F.col("t")))
+    lowest = placed.groupBy("bh_group", PART).agg(F.min("raised").alias("lowest"))
+    later = lowest.withColumn("later", F.min("lowest").over(Window.partitionBy("bh_group").orderBy(PART).rowsBetween(1, Window.unboundedFollowing))).drop("lowest")
+    here = F.min("raised").over(Window.partitionBy("bh_group", PART).orderBy("bh_p").rowsBetween(0, Window.unboundedFollowing))
+    adjusted = by_range(placed.withColumn("here", here), later, ["bh_group", PART]).select("bh_group", "bh_p", F.least(F.lit(1.0), "here", "later").alias("padj"))
+    return rows.join(adjusted, F.col(group).eqNullSafe(F.col("bh_group")) & (F.col(p) == F.col("bh_p")), "left").drop("bh_group", "bh_p")
 
 
 def first_per_key(rows: DataFrame, key: str, *order: Column | str) -> DataFrame:
@@ -94,12 +104,26 @@ def clip_percentile(rows: DataFrame, p: float = 0.995) -> DataFrame:
     return rows.crossJoin(F.broadcast(top)).withColumn("clipped", F.greatest(F.lit(0.0), F.least("value", "top"))).drop("top")
 
 
+def call_counts(calls: DataFrame, by: str) -> DataFrame:
+    """``(by, molecules, calls)`` of ``(chromosome, barcode, molecule)`` call rows, by chromosome or barcode.
+
+    A molecule's number is its own within a chromosome; a call without one is
+    counted as a call only.
+    """
+    molecule = F.when(F.col("molecule").isNotNull(), F.struct("chromosome", "molecule"))
+    return calls.groupBy(by).agg(F.countDistinct(molecule).alias("molecules"), F.count(F.lit(1)).alias("calls"))
+
+
 def merge_intervals(intervals: DataFrame) -> DataFrame:
     """Overlapping and touching intervals of a contig as one."""
-    before = Window.partitionBy("contig").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
-    marked = intervals.select("contig", "start", "stop").distinct().withColumn("new", F.coalesce((F.col("start") > F.max("stop").over(before)).cast("int"), F.lit(1)))
-    island = F.sum("new").over(Window.partitionBy("contig").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, 0))
-    return marked.withColumn("island", island).groupBy("contig", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("island")
+    parts = ranged(intervals.select("contig", "start", "stop").distinct(), "contig", "start", "stop")
+    earlier = (Window.unboundedPreceding, -1)
+    far = parts.groupBy("contig", PART).agg(F.max("stop").alias("far"))
+    far = far.withColumn("range_far", F.max("far").over(Window.partitionBy("contig").orderBy(PART).rowsBetween(*earlier))).drop("far")
+    inner = F.max("stop").over(Window.partitionBy("contig", PART).orderBy("start", "stop").rowsBetween(*earlier))
+    reached = by_range(parts.withColumn("inner_far", inner), far, ["contig", PART]).withColumn("new", F.coalesce((F.col("start") > F.greatest("range_far", "inner_far")).cast("int"), F.lit(1)))
+    islands = sum_before(reached, ["contig"], ["start", "stop"], "new", "before").withColumn("island", F.col("before") + F.col("new"))
+    return islands.groupBy("contig", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("island")
 
 
 def expand_cds(rows: DataFrame) -> DataFrame:
@@ -136,9 +160,9 @@ def taxon_edges(report: DataFrame, ranks: list[str]) -> DataFrame:
 
 
 def rank_by(rows: DataFrame, key: str, agg: Column) -> DataFrame:
-    """``(key, amount, rank)`` by an aggregate, largest first; ties by key.  Keys are a summary's rows."""
-    sums = rows.groupBy(key).agg(agg.alias("amount"))
-    return sums.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(F.round("amount", 9)), key)))
+    """``(key, amount, rank)`` by an aggregate, largest first; ties by key."""
+    sums = rows.groupBy(key).agg(agg.alias("amount")).withColumn("low", -F.round("amount", 9))
+    return numbered(sums, "low", key, name="rank").drop("low")
 
 
 def take_with_overflow(items: Column, n: int = 8) -> Column:

@@ -51,19 +51,23 @@ def _(spark, d):
     return table(spark, d, "part").select("p_partkey", *[c.alias(n) for n, c in C.gene_flags(F.concat(prefix, "p_name")).items()])
 
 
-ANNOT = "SELECT doc_id, concat(CASE doc_id % 6 WHEN 0 THEN 'hsa-miR-' WHEN 1 THEN 'piR-' WHEN 2 THEN 'tRNA-Ala-AGC-' WHEN 3 THEN 'rRNA|' WHEN 4 THEN 'let-7 ' ELSE 'x ' END, source, CASE doc_id % 4 WHEN 0 THEN ' (1-22)' WHEN 1 THEN '-(3)' WHEN 2 THEN '(A->G)' ELSE '' END) AS name FROM documents"
+ANNOT = """SELECT doc_id, concat(CASE doc_id % 11 WHEN 0 THEN 'hsa-miR-' WHEN 1 THEN 'piR-' WHEN 2 THEN 'tRNA-Ala-AGC-' WHEN 3 THEN 'rRNA|' WHEN 4 THEN 'let-7 ' WHEN 5 THEN 'outlet ' WHEN 6 THEN 'tRNA-Leu-TAAx' WHEN 7 THEN 'tRNA-Lys-TT1'
+WHEN 8 THEN 'a-(2)b ' WHEN 9 THEN 'a(b)c ' ELSE 'x ' END, source, CASE doc_id % 7 WHEN 0 THEN ' (1-22)' WHEN 1 THEN '-(3)' WHEN 2 THEN '(A->G)' WHEN 3 THEN ' (u) (v' WHEN 4 THEN ' (1-2)-(3)' WHEN 5 THEN ' (p) (A->G)' ELSE '' END) AS name FROM documents"""
 
 
 def _annot(spark, d):
     return spark.sql(ANNOT.replace("FROM documents", "FROM {documents}"), documents=table(spark, d, "documents"))
 
 
-@query("p9_p10_p12_annotation_names", f"""WITH a AS ({ANNOT}), c AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(name, ' \\(\\d+-\\d+\\)', '', 'g'), '-\\(\\d+\\)', '', 'g'), '\\([^()]*->[^()]*\\)', '', 'g') AS plain FROM a)
-SELECT doc_id, CASE WHEN regexp_matches(name, 'miR|let') THEN 'miRNA' WHEN contains(name, 'piR') THEN 'piRNA' WHEN regexp_matches(name, 'tRNA|tRF|-tR') THEN 'tRNA' WHEN contains(name, '|') THEN split_part(name, '|', 1) ELSE 'unknown' END AS class,
-CASE WHEN regexp_extract(plain, '(tRNA-[A-Za-z]+-[A-Za-z]+)', 1) <> '' THEN regexp_extract(plain, '(tRNA-[A-Za-z]+-[A-Za-z]+)', 1) ELSE plain END AS cleaned, regexp_replace(name, '\\s*\\([^()]*\\)$', '') AS base FROM c""")
+@query("p9_p10_p12_annotation_names", rf"""WITH a AS ({ANNOT}), p AS (SELECT *, regexp_replace(regexp_replace(name, '\s\(\d+-\d+\)$', ''), '-\(\d+\)$', '') AS plain FROM a),
+c AS (SELECT *, CASE WHEN contains(plain, 'miR') THEN plain ELSE regexp_replace(plain, '\(.*->.*\)$', '') END AS short, regexp_replace(plain, '\(.*->.*\)$', '') AS shorter FROM p)
+SELECT doc_id, CASE WHEN contains(name, 'miR') OR starts_with(name, 'let') THEN 'miRNA' WHEN contains(name, 'piR') THEN 'piRNA' WHEN contains(name, 'tRNA') OR contains(name, 'tRF') OR contains(name, '-tR') THEN 'tRNA' WHEN contains(name, '|') THEN split_part(name, '|', 1) ELSE 'unknown' END AS class,
+CASE WHEN contains(name, '|') AND NOT (contains(name, 'miR') OR starts_with(name, 'let') OR contains(name, 'piR') OR contains(name, 'tRNA') OR contains(name, 'tRF') OR contains(name, '-tR')) THEN split_part(name, '|', 2) ELSE name END AS feature,
+CASE WHEN contains(name, 'tRNA') AND regexp_matches(short, 'tRNA-\w{{3}}-\w{{3}}') THEN regexp_extract(short, '^.*(tRNA-\w{{3}}-\w{{3}})', 1) ELSE short END AS cleaned, shorter AS simplified,
+trim(CASE WHEN regexp_matches(name, '\(.*\)') THEN regexp_extract(name, '^(.*)\(.*\)', 1) ELSE name END) AS base FROM c""")
 def _(spark, d):
     n = F.col("name")
-    return _annot(spark, d).select("doc_id", C.feature_class(n).alias("class"), C.clean_annotation(n).alias("cleaned"), C.base_name(n).alias("base"))
+    return _annot(spark, d).select("doc_id", C.feature_class(n).alias("class"), C.feature_name(n).alias("feature"), C.clean_annotation(n).alias("cleaned"), C.clean_annotation(n, False, True).alias("simplified"), C.base_name(n).alias("base"))
 
 
 @query("p11_rewrite_header", f"WITH a AS ({ANNOT}) SELECT doc_id, concat('Spike|', replace(replace(concat(name, '_', doc_id), '|', '::'), '_', '')) AS header FROM a")
@@ -84,18 +88,19 @@ def _(spark, d):
     return table(spark, d, "orders").select("o_orderkey", *[c.alias(n) for n, c in C.strand_from_coords(F.col("o_custkey"), F.col("o_orderkey")).items()])
 
 
-@query("p15_read_strand", """WITH f AS (SELECT event_id, event_id % 256 AS f FROM events), m AS (SELECT *, CASE WHEN f & 1 = 0 THEN 1 WHEN f & 64 <> 0 THEN 1 WHEN f & 128 <> 0 THEN 2 END AS mate FROM f)
-SELECT event_id, CASE WHEN (f & 16 <> 0) <> (mate <> 1) THEN '-' ELSE '+' END AS strand FROM m""")
+@query("p15_read_strand", """WITH f AS (SELECT event_id, event_id % 256 AS f FROM events), m AS (SELECT *, CASE WHEN f & 1 = 0 THEN 1 ELSE (f & 64) // 64 + 2 * ((f & 128) // 128) END AS mate, (f & 16) // 16 AS rev FROM f)
+SELECT event_id, CASE WHEN mate IN (1, 2) THEN CASE WHEN (CASE WHEN mate <> 1 THEN 1 - rev ELSE rev END) = 1 THEN '-' ELSE '+' END END AS first, CASE WHEN mate IN (1, 2) THEN CASE WHEN (CASE WHEN mate <> 2 THEN 1 - rev ELSE rev END) = 1 THEN '-' ELSE '+' END END AS second FROM m""")
 def _(spark, d):
-    return table(spark, d, "events").select("event_id", C.read_strand(F.col("event_id") % 256).alias("strand"))
+    flag = F.col("event_id") % 256
+    return table(spark, d, "events").select("event_id", C.read_strand(flag).alias("first"), C.read_strand(flag, 2).alias("second"))
 
 
-SEQ = "SELECT doc_id AS name, upper(substr(regexp_replace(lower(text), '[^acgtn]', '', 'g'), 1, 400)) AS seq FROM documents"
+SEQ = "SELECT doc_id AS name, upper(regexp_replace(lower(text), '[^acgtn]', '', 'g')) AS seq FROM documents"
 
 
 def seqs(spark, d):
     """Documents as sequences of the letters that nucleotides use."""
-    return table(spark, d, "documents").select(F.col("doc_id").alias("name"), F.upper(F.substr(F.regexp_replace(F.lower("text"), "[^acgtn]", ""), F.lit(1), F.lit(400))).alias("seq"))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("name"), F.upper(F.regexp_replace(F.lower("text"), "[^acgtn]", "")).alias("seq"))
 
 
 @query("p16_p17_sequence_columns", f"""WITH s AS ({SEQ}) SELECT name, length(seq) - length(ltrim(seq, 'N')) AS leading, length(seq) - length(rtrim(seq, 'N')) AS trailing, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) AS rc, translate(replace(seq, 'T', 'U'), 'Uu', 'Tt') AS dna,
@@ -149,11 +154,11 @@ def _(spark, d):
     return rows.select("n", *[c.alias(k) for k, c in C.side_from_suffix(F.col("n")).items()])
 
 
-@query("p25_mask_intervals", """WITH s AS (SELECT doc_id AS name, substr(text, 1, 60) AS seq FROM documents), v AS (SELECT s.name, start, stop FROM (SELECT o_orderkey % 1000 AS name, o_custkey % 50 AS start, o_custkey % 50 + 1 + o_orderkey % 9 AS stop FROM orders) v JOIN s USING (name)),
+@query("p25_mask_intervals", """WITH s AS (SELECT doc_id AS name, text AS seq FROM documents), v AS (SELECT s.name, start, stop FROM (SELECT o_orderkey % 1000 AS name, o_custkey % 50 AS start, o_custkey % 50 + 1 + o_orderkey % 9 AS stop FROM orders) v JOIN s USING (name)),
 p AS (SELECT name, seq, unnest(range(length(seq))) AS i FROM s), m AS (SELECT DISTINCT name, unnest(range(start, stop)) AS i FROM v)
 SELECT p.name, string_agg(CASE WHEN m.i IS NULL THEN substr(seq, p.i + 1, 1) ELSE 'N' END, '' ORDER BY p.i) AS seq FROM p LEFT JOIN m ON m.name = p.name AND m.i = p.i GROUP BY 1""")
 def _(spark, d):
-    rows = table(spark, d, "documents").select(F.col("doc_id").alias("name"), F.substr("text", F.lit(1), F.lit(60)).alias("seq"))
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("name"), F.col("text").alias("seq"))
     spans = table(spark, d, "orders").select((F.col("o_orderkey") % 1000).alias("name"), (F.col("o_custkey") % 50).alias("start"), (F.col("o_custkey") % 50 + 1 + F.col("o_orderkey") % 9).alias("stop"))
     return C.mask_intervals(rows, spans)
 
@@ -182,11 +187,11 @@ def _(spark, d):
     return seqs(spark, d).select("name", C.extract_region(F.col("seq"), C.iupac_regex("ART"), C.iupac_regex("NGY")).alias("region"))
 
 
-@query("m25_demultiplex", f"""WITH s AS ({SEQ}), p AS (SELECT name, substr(seq, 1, 100) AS r1, reverse(substr(seq, 1, 100)) AS r2 FROM s)
+@query("m25_demultiplex", f"""WITH s AS ({SEQ}), p AS (SELECT name, seq AS r1, reverse(seq) AS r2 FROM s)
 SELECT name, CASE WHEN regexp_matches(r1, '^(?:[AG]T)') AND regexp_matches(r2, '^(?:[ACGT])') THEN 'v1' WHEN regexp_matches(r1, '^(?:A)') AND regexp_matches(r2, '^(?:[CT])') THEN 'v2' ELSE 'unknown' END AS region,
 CASE WHEN regexp_matches(r1, '^(?:[AG]T)') AND regexp_matches(r2, '^(?:[ACGT])') THEN regexp_replace(r1, '^(?:[AG]T)', '') WHEN regexp_matches(r1, '^(?:A)') AND regexp_matches(r2, '^(?:[CT])') THEN regexp_replace(r1, '^(?:A)', '') ELSE r1 END AS trimmed_1 FROM p""")
 def _(spark, d):
-    pairs = seqs(spark, d).select("name", F.substr("seq", F.lit(1), F.lit(100)).alias("r1")).withColumn("r2", F.reverse("r1"))
+    pairs = seqs(spark, d).select("name", F.col("seq").alias("r1")).withColumn("r2", F.reverse("r1"))
     primers = [("v1", C.iupac_regex("RT"), C.iupac_regex("N")), ("v2", "A", C.iupac_regex("Y"))]
     return C.demultiplex(pairs, primers).select("name", "region", "trimmed_1")
 
@@ -324,13 +329,14 @@ def _(spark, d):
     return Q.filter_flags(_aln(spark, d))
 
 
-@query("f17_filter_residual", """WITH p AS (SELECT doc_id, substr(text, 1, 300) AS r1, substr(text, 301, 300) AS r2 FROM documents), a AS (SELECT substr(text, 1, 25) AS adapter FROM benchmark UNION SELECT substr(text, 30, 4) FROM benchmark)
+@query("f17_filter_residual", """WITH p AS (SELECT doc_id, substr(text, 1, length(text) // 2) AS r1, substr(text, length(text) // 2 + 1) AS r2 FROM documents), a AS (SELECT text AS adapter FROM benchmark UNION SELECT unnest(regexp_extract_all(text, '[a-z]{12,}')) FROM benchmark)
 SELECT doc_id FROM p WHERE NOT EXISTS (SELECT 1 FROM a WHERE contains(r1, adapter) OR (length(r1) >= 10 AND contains(adapter, right(r1, 10))) OR contains(r2, adapter) OR (length(r2) >= 10 AND contains(adapter, right(r2, 10))))""")
 def _(spark, d):
-    s = lambda a, n: F.substr("text", F.lit(a), F.lit(n))
-    bench = table(spark, d, "benchmark")
-    adapters = bench.select(s(1, 25).alias("adapter")).union(bench.select(s(30, 4))).distinct()
-    return Q.filter_residual(table(spark, d, "documents").select("doc_id", s(1, 300).alias("r1"), s(301, 300).alias("r2")), adapters).select("doc_id")
+    bench, half = table(spark, d, "benchmark"), F.floor(F.length("text") / 2).cast("int")
+    words = F.explode(F.regexp_extract_all("text", F.lit("[a-z]{12,}"), F.lit(0)))
+    adapters = bench.select(F.col("text").alias("adapter")).union(bench.select(words)).distinct()
+    pairs = table(spark, d, "documents").select("doc_id", F.substr("text", F.lit(1), half).alias("r1"), F.substr("text", half + 1, F.length("text")).alias("r2"))
+    return Q.filter_residual(pairs, adapters, "doc_id").select("doc_id")
 
 
 @query("f18_grep_headers", "SELECT p_partkey, p_name AS name FROM part WHERE NOT regexp_matches(p_name, '(?i)(?:RED)|(?:sm.ll)')")
@@ -338,7 +344,7 @@ def _(spark, d):
     return Q.grep_headers(table(spark, d, "part").select("p_partkey", F.col("p_name").alias("name")), ["RED", "sm.ll"], invert=True)
 
 
-VCF = "SELECT concat(l_suppkey, ':', l_linenumber) AS key, l_discount * 10 AS af, l_orderkey AS id FROM lineitem WHERE l_orderkey % 10 = 0"
+VCF = "SELECT concat(l_suppkey, ':', l_linenumber) AS key, l_discount * 10 AS af, l_orderkey AS id FROM lineitem"
 
 
 @query("f19_filter_vcf_af", f"WITH v AS ({VCF}) SELECT key, id, round(af, 6) AS af FROM v WHERE key IN (SELECT key FROM v WHERE af > 0.95)")
@@ -362,12 +368,26 @@ def _(spark, d):
     return Q.subsample_every(table(spark, d, "conversations"), "conv_id", 4).select("conv_id", "turn")
 
 
-@query("f22_subsample_reads")
+DRAW = "md5(concat('{s}:', {k}))"
+
+
+@query("f22_subsample_reads", f"SELECT conv_id, turn FROM conversations WHERE substr({DRAW.format(s=0, k='conv_id')}, 1, 8) < '66666666'")
+def _(spark, d):
+    return Q.subsample_reads(table(spark, d, "conversations"), "conv_id", 0.4).select("conv_id", "turn")
+
+
+@query("f22_subsample_number", f"SELECT conv_id, turn FROM conversations WHERE conv_id IN (SELECT conv_id FROM (SELECT DISTINCT conv_id, {DRAW.format(s=7, k='conv_id')} AS m FROM conversations) ORDER BY m LIMIT 25)")
+def _(spark, d):
+    return Q.subsample_reads(table(spark, d, "conversations"), "conv_id", n=25, seed=7).select("conv_id", "turn")
+
+
+@query("f22_subsample_then_head", f"SELECT conv_id, turn FROM conversations WHERE conv_id IN (SELECT DISTINCT conv_id FROM conversations WHERE substr({DRAW.format(s=0, k='conv_id')}, 1, 8) < '66666666' ORDER BY conv_id LIMIT 20)")
 def _(spark, d):
-    return Q.subsample_reads(table(spark, d, "conversations"), 0.4, "conv_id").select("conv_id", "turn")
+    return Q.subsample_reads(table(spark, d, "conversations"), "conv_id", 0.4, 20).select("conv_id", "turn")
 
 
-@query("f23_downsample_counts")
+@query("f23_downsample_counts", """WITH t AS (SELECT sample_id, feature_id, CAST(value AS HUGEINT) AS v, sum(value) OVER (PARTITION BY sample_id)::HUGEINT AS total, coalesce(sum(value) OVER (PARTITION BY sample_id ORDER BY md5(concat('0:', sample_id, ':', feature_id)) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS before FROM otus),
+l AS (SELECT min(total) AS least FROM t), k AS (SELECT sample_id, feature_id, (before + v) * least // total - before * least // total AS value FROM t, l) SELECT sample_id, feature_id, CAST(value AS DOUBLE) AS value FROM k WHERE value > 0""", "otus")
 def _(spark, d):
     return Q.downsample_counts(view(spark, d, "otus").select("sample_id", "feature_id", "value"))
 

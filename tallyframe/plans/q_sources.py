@@ -47,11 +47,14 @@ def _(spark, d):
     return rows.withColumn("sample_id", F.regexp_replace("sample_id", "^sample=", ""))
 
 
-@query("s4_read_skip", "SELECT p_partkey, p_name FROM part WHERE p_partkey % 5 <> 0")
+@query("s4_read_skip", "SELECT p_partkey, p_name FROM part")
 def _(spark, d):
     path = folder(spark, "skip")
-    body = F.concat_ws("\n", F.lit("# header"), F.lit("name\tx"), F.array_join(F.sort_array(F.collect_list(_join("p_partkey", "p_name"))), "\n"))
-    table(spark, d, "part").where("p_partkey % 5 <> 0").groupBy("p_brand").agg(body.alias("value")).repartition("p_brand").select("value", "p_brand").write.partitionBy("p_brand").text(path)
+    part = table(spark, d, "part")
+    heads = part.select("p_brand").distinct().select("p_brand", F.posexplode(F.array(F.lit("# header"), F.lit("name\tx"))).alias("k", "value"))
+    rows = heads.unionByName(part.select("p_brand", (F.col("p_partkey") + 2).alias("k"), _join("p_partkey", "p_name")))
+    # one file for each brand, its head first
+    rows.repartition("p_brand").sortWithinPartitions("p_brand", "k").select("value", "p_brand").write.partitionBy("p_brand").text(path)
     return R.read_skip(spark, f"{path}/*/*.txt", 2, "p_partkey long, p_name string")
 
 
@@ -97,18 +100,22 @@ def _(spark, d):
     return R.read_fasta(spark, path)
 
 
-@query("s10_read_fastq_interleave", "SELECT ordinal, mate, concat('r', ordinal) AS name, s AS seq FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, regexp_replace(substr(text, 1, 30), '\\s', '.', 'g') AS a, regexp_replace(substr(text, 1, 20), '\\s', '.', 'g') AS b FROM documents WHERE doc_id % 3 = 0), LATERAL (SELECT 1 AS mate, a AS s UNION ALL SELECT 2, b)")
+LANES = "SELECT doc_id // 1000 AS lane, row_number() OVER (PARTITION BY doc_id // 1000 ORDER BY doc_id) - 1 AS ordinal, doc_id, regexp_replace(text, '\\s', '.', 'g') AS s FROM documents"
+
+
+@query("s10_read_fastq_interleave", f"WITH l AS ({LANES}) SELECT lane, ordinal, 1 AS mate, concat('@r', doc_id) AS name, s AS seq FROM l UNION ALL SELECT lane, ordinal, 2, concat('@r', doc_id), concat('N', s) FROM l")
 def _(spark, d):
     found = []
-    for size in (30, 20):
-        seq = F.regexp_replace(F.substr("text", F.lit(1), F.lit(size)), r"\s", ".")
-        docs = table(spark, d, "documents").where("doc_id % 3 = 0").select("doc_id", seq.alias("s"))
-        # one file in order of the ids; the reader numbers its records
-        ordered = docs.coalesce(1).sortWithinPartitions("doc_id")
-        path = _text(ordered.select(F.concat_ws("\n", F.expr("concat('@r', doc_id / 3)"), "s", F.lit("+"), F.repeat(F.lit("I"), F.length("s")))), folder(spark, "fastq"))
-        rows = R.read_fastq(spark, f"{path}/*.txt")
-        found.append(rows.select("ordinal", F.concat(F.lit("r"), F.col("ordinal").cast("string")).alias("name"), "seq"))
-    return R.interleave(*found, ["ordinal"]).select("ordinal", "mate", "name", "seq")
+    for mate, start in ((1, ""), (2, "N")):
+        seq = F.concat(F.lit(start), F.regexp_replace(F.coalesce("text", F.lit("")), r"\s", "."))
+        docs = table(spark, d, "documents").select("doc_id", F.floor(F.col("doc_id") / 1000).alias("lane"), seq.alias("s"))
+        record = F.concat_ws("\n", F.concat(F.lit("@r"), F.col("doc_id").cast("string")), "s", F.lit("+"), F.repeat(F.lit("I"), F.length("s"))).alias("value")
+        # a file for each lane, as sequencers write them, in order of the ids; the reader numbers its records
+        path = folder(spark, "fastq")
+        docs.repartition("lane").sortWithinPartitions("lane", "doc_id").select("lane", record).write.partitionBy("lane").text(path)
+        rows = R.read_fastq(spark, f"{path}/*/*.txt")
+        found.append(rows.select(F.regexp_extract("file", r"lane=(\d+)", 1).cast("long").alias("lane"), "ordinal", "name", "seq"))
+    return R.interleave(*found, ["lane", "ordinal"]).select("lane", "ordinal", "mate", "name", "seq")
 
 
 @query("s10_interleave_turns", "SELECT conv_id, turn, 1 AS mate FROM conversations WHERE turn % 2 = 0 AND (conv_id, turn + 1) IN (SELECT (conv_id, turn) FROM conversations) UNION ALL SELECT conv_id, turn - 1, 2 FROM conversations WHERE turn % 2 = 1 AND (conv_id, turn - 1) IN (SELECT (conv_id, turn) FROM conversations)")
@@ -130,10 +137,10 @@ def _(spark, d):
     return R.read_umi_counts(spark, _tsv(rows, folder(spark, "umi")))
 
 
-@query("s13_read_vcf", "SELECT CAST(l_suppkey % 10 AS VARCHAR) AS chrom, l_partkey AS pos, concat(l_suppkey % 10, ':', l_partkey) AS key, CAST(l_linenumber AS VARCHAR) AS dp FROM lineitem WHERE l_orderkey % 10 = 0")
+@query("s13_read_vcf", "SELECT CAST(l_suppkey % 10 AS VARCHAR) AS chrom, l_partkey AS pos, concat(l_suppkey % 10, ':', l_partkey) AS key, CAST(l_linenumber AS VARCHAR) AS dp FROM lineitem")
 def _(spark, d):
     line = F.expr("concat_ws('\t', concat('chr', l_suppkey % 10), l_partkey, '.', 'A', 'C', '50', 'PASS', concat('DP=', l_linenumber, ';AF=0.5;DB'))")
-    path = _text(table(spark, d, "lineitem").where("l_orderkey % 10 = 0").select(line), folder(spark, "vcf"))
+    path = _text(table(spark, d, "lineitem").select(line), folder(spark, "vcf"))
     _text(spark.range(1).select(F.lit("##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO")), f"{path}/head")
     return R.read_vcf(spark, [path, f"{path}/head"]).select("chrom", "pos", "key", F.col("info")["DP"].alias("dp"))
 
@@ -162,22 +169,28 @@ def _(spark, d):
     return R.read_indented(text, 3)
 
 
-@query("s17_extract_fields", "SELECT doc_id AS file, min(CAST(nullif(regexp_extract(l, '(\\d+)', 1), '') AS BIGINT)) AS low, sum(CAST(nullif(regexp_extract(l, 'License, Version (\\d)', 1), '') AS BIGINT))::BIGINT AS versions FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents WHERE doc_id % 2 = 0) GROUP BY 1")
+LINES = "SELECT doc_id AS file, unnest(string_split(text, chr(10))) AS l FROM documents"
+
+
+def _lines(spark, d):
+    return table(spark, d, "documents").select(F.col("doc_id").alias("file"), F.explode(F.split("text", "\n")).alias("text"))
+
+
+@query("s17_extract_fields", f"SELECT file, min(CAST(nullif(regexp_extract(l, '(\\d+)', 1), '') AS BIGINT)) AS low, sum(CAST(nullif(regexp_extract(l, 'License, Version (\\d)', 1), '') AS BIGINT))::BIGINT AS versions FROM ({LINES}) GROUP BY 1")
 def _(spark, d):
-    lines = table(spark, d, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").alias("file"), F.explode(F.split("text", "\n")).alias("text"))
-    values, _ = R.extract_fields(lines, [("low", r"(\d+)", "bigint", "min"), ("versions", r"License, Version (\d)", "bigint", "sum")])
-    return values
+    return R.extract_fields(_lines(spark, d), [("low", r".*?(\d+)", "bigint", "min", False), ("versions", r".*?License, Version (\d)", "bigint", "sum", False)])[0]
 
 
-@query("s17_field_violations")
+@query("s17_field_violations", f"""WITH c AS (SELECT file, count(*) FILTER (starts_with(l, 'The ')) AS a, count(*) FILTER (regexp_matches(l, '[0-9A-Za-z_]\\.\\z')) AS w, count(*) FILTER (regexp_matches(l, 'License, Version \\d')) AS v FROM ({LINES}) GROUP BY 1)
+SELECT file, 'first' AS field, a AS matches FROM c WHERE a > 1 UNION ALL SELECT file, 'words', w FROM c WHERE w <> 1 UNION ALL SELECT file, 'versions', v FROM c WHERE v = 0""")
 def _(spark, d):
-    lines = table(spark, d, "documents").select(F.col("doc_id").alias("file"), F.explode(F.split("text", "\n")).alias("text"))
-    return R.extract_fields(lines, [("first", r"^(The) ", "string", None), ("words", r"(\w+)\.$", "string", None)])[1]
+    specs = [("first", "(The) ", "string", None, False), ("words", r".*?(\w+)\.\z", "string", None, True), ("versions", r".*?License, Version (\d)", "bigint", "sum", True)]
+    return R.extract_fields(_lines(spark, d), specs)[1]
 
 
-@query("s18_aligner_summary", "SELECT o_orderkey AS file, CAST(o_custkey * 10 AS DOUBLE) AS total, o_custkey + o_orderkey % 7 + (o_orderkey % 9) / 2 AS \"unique\", o_custkey % 5 + (o_orderkey % 3) / 2 AS multi, (o_orderkey % 11) / 2 AS unmapped FROM orders WHERE o_orderkey % 5 = 0")
+@query("s18_aligner_summary", "SELECT o_orderkey AS file, CAST(o_custkey * 10 AS DOUBLE) AS total, o_custkey + o_orderkey % 7 + (o_orderkey % 9) / 2 AS \"unique\", o_custkey % 5 + (o_orderkey % 3) / 2 AS multi, (o_orderkey % 11) / 2 AS unmapped FROM orders")
 def _(spark, d):
-    rows = table(spark, d, "orders").where("o_orderkey % 5 = 0")
+    rows = table(spark, d, "orders")
     log = F.expr("array(concat(o_custkey * 10, ' reads; of these:'), concat('  ', o_custkey * 10, ' (100.00%) were paired; of these:'), concat('    ', o_custkey, ' (1%) aligned concordantly exactly 1 time'), concat('    ', o_custkey % 5, ' (1%) aligned concordantly >1 times'), concat('      ', o_orderkey % 7, ' (1%) aligned discordantly 1 time'), concat('        ', o_orderkey % 11, ' (1%) aligned 0 times'), concat('        ', o_orderkey % 9, ' (1%) aligned exactly 1 time'), concat('        ', o_orderkey % 3, ' (1%) aligned >1 times'))")
     return R.aligner_summary(rows.select(F.col("o_orderkey").alias("file"), F.explode(log).alias("text")))
 
@@ -209,9 +222,10 @@ def _(spark, d):
     return R.reports_json(table(spark, d, "events"), "props", ["k", "absent"], "user_id")
 
 
-@query("s24_report_section")
+@query("s24_report_section", """WITH t AS (SELECT sample_id, CAST(sum(value) AS BIGINT) AS total, count(*) AS features FROM counts GROUP BY 1)
+SELECT concat('{"id":"counts","section_name":"Counts by sample","categories":["total","features"],"data":{', string_agg(concat('"', sample_id, '":{"total":', total, ',"features":', features, '}'), ',' ORDER BY sample_id), '}}') AS document FROM t""", "counts")
 def _(spark, d):
-    totals = view(spark, d, "counts").groupBy("sample_id").agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("features"))
+    totals = view(spark, d, "counts").groupBy("sample_id").agg(F.sum("value").cast("long").alias("total"), F.count(F.lit(1)).alias("features"))
     return S.report_section(totals, "counts", "Counts by sample", "sample_id", ["total", "features"])
 
 

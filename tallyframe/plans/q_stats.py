@@ -84,9 +84,16 @@ def _(spark, d):
     return rounded(N.highly_variable(view(spark, d, "counts"), 100).select("feature_id", "bin", "score"), "score")
 
 
-@query("m9_pca")
+@query("m9_pca", """
+WITH g AS (SELECT s.sample_id, f.feature_id, coalesce(value, 0) AS value FROM (SELECT DISTINCT sample_id FROM counts) s CROSS JOIN (SELECT DISTINCT feature_id FROM counts) f LEFT JOIN counts c ON c.sample_id = s.sample_id AND c.feature_id = f.feature_id),
+c AS (SELECT sample_id, feature_id, value - avg(value) OVER (PARTITION BY feature_id) AS x FROM g)
+SELECT p.sample_id AS a, q.sample_id AS b, round(sum(p.x * q.x), 2) AS gram FROM c p JOIN c q ON p.feature_id = q.feature_id AND p.sample_id <= q.sample_id GROUP BY 1, 2""", "counts")
 def _(spark, d):
-    return rounded(N.pca(complete_grid(view(spark, d, "counts")), 3), "score", "variance", digits=3)
+    """All components' scores, as the products of samples that they must give back."""
+    scores = N.pca(complete_grid(view(spark, d, "counts")), 8).select("sample_id", "component", "score")
+    other = scores.select(F.col("sample_id").alias("b"), "component", F.col("score").alias("y"))
+    pairs = scores.join(other, "component").where("sample_id <= b").groupBy(F.col("sample_id").alias("a"), "b")
+    return rounded(pairs.agg(F.sum(F.col("score") * F.col("y")).alias("gram")), "gram", digits=2)
 
 
 @query("m10_correlation", """
@@ -152,6 +159,18 @@ def _(spark, d):
     return rounded(N.rarefy_expected(view(spark, d, "otus"), [10, 100, 500]), "expected", digits=4)
 
 
+@query("m15_rarefy_draws", """
+WITH h AS (SELECT CAST(floor(quantile_cont(t, 0.5) / 2) AS BIGINT) AS depth FROM (SELECT sum(value) AS t FROM otus GROUP BY sample_id)),
+s AS (SELECT DISTINCT CAST(round_even(1 + (depth - 1) * k / 3.0, 0) AS BIGINT) AS depth FROM h, range(4) AS r(k)),
+o AS (SELECT sample_id, feature_id, CAST(value AS HUGEINT) AS v, i AS iteration, md5(concat('0:', i, ':', feature_id)) AS draw FROM otus, range(1, 4) AS r(i)),
+b AS (SELECT *, sum(v) OVER (PARTITION BY sample_id, iteration) AS total, coalesce(sum(v) OVER (PARTITION BY sample_id, iteration ORDER BY draw ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS before FROM o),
+n AS (SELECT sample_id, depth, iteration, (before + v) * depth // total::HUGEINT - before * depth // total::HUGEINT AS n FROM b, s WHERE depth <= total)
+SELECT sample_id, depth, CAST(iteration AS INTEGER) AS iteration, count(*) AS observed, round(sum(-n / depth::DOUBLE * log2(n / depth::DOUBLE)), 6) AS shannon FROM n WHERE n > 0 GROUP BY 1, 2, 3""", "otus")
+def _(spark, d):
+    otus = view(spark, d, "otus").select("sample_id", "feature_id", "value")
+    return rounded(N.rarefy(otus, N.rarefaction_depths(otus, steps=4), 3), "shannon")
+
+
 @query("m16_clr", "SELECT sample_id, feature_id, round(ln(value + 1) - avg(ln(value + 1)) OVER (PARTITION BY sample_id), 6) AS clr FROM counts", "counts")
 def _(spark, d):
     return rounded(N.clr(view(spark, d, "counts")), "clr").select("sample_id", "feature_id", "clr")
@@ -178,7 +197,8 @@ def _(spark, d):
     return rounded(N.rank_test(rows).select("h", "df"), "h", digits=5)
 
 
-@query("m17_rank_test_p")
+# with two degrees of freedom the chi-square tail is exp(-h / 2)
+@query("m17_rank_test_p", "WITH k AS (" + KRUSKAL.format(g="l_returnflag", v="l_quantity", t="lineitem").replace(", 5) AS h", ", 12) AS h") + ") SELECT round(h, 5) AS h, df, round(exp(-h / 2), 5) AS p FROM k WHERE df = 2")
 def _(spark, d):
     return rounded(N.rank_test(table(spark, d, "lineitem").select(F.col("l_returnflag").alias("grp"), F.col("l_quantity").alias("value"))), "h", "p", digits=5)
 
@@ -207,7 +227,15 @@ def _(spark, d):
     return rounded(N.permanova_f(_coords(spark, d)), "f", digits=5)
 
 
-@query("m19_permanova")
+@query("m19_permanova", """
+WITH c AS (SELECT c_custkey AS id, 'a' AS axis, c_acctbal AS value FROM customer UNION ALL SELECT c_custkey, 'b', c_custkey % 97 FROM customer),
+l AS (SELECT c_custkey AS id, c_mktsegment AS grp FROM customer), r AS (SELECT id, run, CASE WHEN run = 0 THEN '' ELSE md5(concat(id, ':', run, ':1')) END AS draw FROM l, range(20) AS t(run)),
+k AS (SELECT id, run, row_number() OVER (PARTITION BY run ORDER BY draw, id) AS k FROM r), p AS (SELECT grp, row_number() OVER (ORDER BY id) AS k FROM l),
+x AS (SELECT run, p.grp, axis, value, c.id FROM k JOIN p USING (k) JOIN c ON c.id = k.id),
+w AS (SELECT *, value - avg(value) OVER (PARTITION BY run, grp, axis) AS w, value - avg(value) OVER (PARTITION BY run, axis) AS t FROM x),
+s AS (SELECT run, sum(w * w) AS within, sum(t * t) AS total, count(DISTINCT grp) AS g, count(DISTINCT id) AS n FROM w GROUP BY 1),
+f AS (SELECT run, ((total - within) / (g - 1)) / (within / (n - g)) AS f FROM s)
+SELECT round(q.f, 5) AS f, round(avg(CASE WHEN f.f >= q.f - 1e-9 THEN 1.0 ELSE 0 END), 5) AS p FROM f, (SELECT f FROM f WHERE run = 0) q GROUP BY q.f""")
 def _(spark, d):
     return rounded(N.permanova(_coords(spark, d), 19), "f", "p", digits=5)
 
@@ -231,12 +259,30 @@ def _(spark, d):
     return rounded(rounded(N.fit_two_groups(view(spark, d, "counts"), _groups(spark, d)), "lfc"), "t", digits=5)
 
 
-@query("m20_fit_features")
+@query("m20_fit_features", f"""
+WITH g AS ({GROUPED}), c AS (SELECT counts.*, log2((value + 0.5) / sum(value + 0.5) OVER (PARTITION BY sample_id) * 1e6) AS y FROM counts),
+r AS (SELECT feature_id, y, CASE WHEN grp = 'b' THEN 1.0 ELSE 0 END AS x, CAST(CAST(substr(sample_id, 2) AS INTEGER) % 2 AS DOUBLE) AS z FROM c JOIN g USING (sample_id)),
+s AS (SELECT feature_id, count(*)::DOUBLE AS n, sum(x) AS x, sum(z) AS z, sum(x * z) AS xz, sum(y) AS y, sum(x * y) AS xy, sum(z * y) AS zy, sum(y * y) AS yy FROM r GROUP BY 1),
+i AS (SELECT *, x * z - xz * xz AS c00, xz * z - x * z AS c01, x * xz - x * z AS c02, n * z - z * z AS c11, x * z - n * xz AS c12, n * x - x * x AS c22, n * (x * z - xz * xz) - x * (x * z - xz * z) + z * (x * xz - x * z) AS det FROM s),
+b AS (SELECT *, (c00 * y + c01 * xy + c02 * zy) / det AS b0, (c01 * y + c11 * xy + c12 * zy) / det AS b1, (c02 * y + c12 * xy + c22 * zy) / det AS b2 FROM i WHERE abs(det) > 0.5 AND n > 3),
+v AS (SELECT *, (yy - b0 * y - b1 * xy - b2 * zy) / (n - 3) AS sigma FROM b)
+SELECT feature_id, term, round(coefficient, 5) AS coefficient, round(coefficient / sqrt(greatest(d / det * sigma, 1e-300)), 3) AS t FROM (
+  SELECT feature_id, det, sigma, unnest(['intercept', 'grp_b', 'batch']) AS term, unnest([b0, b1, b2]) AS coefficient, unnest([c00, c11, c22]) AS d FROM v) WHERE sigma > 1e-9""", "counts")
 def _(spark, d):
     logged = N.cpm(view(spark, d, "counts"), 0.5).join(_groups(spark, d), "sample_id").withColumn("y", F.log2("cpm"))
-    rows = logged.withColumn("grp_b", (F.col("grp") == "b").cast("double")).withColumn("batch", (F.xxhash64("sample_id") % 2).cast("double"))
-    fitted = N.fit_features(rows, ["grp_b", "batch"])
-    return rounded(W.bh_adjust(fitted.where("not isnan(p)"), "term"), "coefficient", "t", "p", "padj", digits=5)
+    rows = logged.withColumn("grp_b", (F.col("grp") == "b").cast("double")).withColumn("batch", (F.expr("CAST(substring(sample_id, 2) AS int)") % 2).cast("double"))
+    fitted = N.fit_features(rows, ["grp_b", "batch"]).where("not isnan(p) and sigma > 1e-9")
+    return rounded(rounded(fitted.select("feature_id", "term", "coefficient", "t"), "coefficient", digits=5), "t", digits=3)
+
+
+@query("m20_significance_counts", """
+WITH p AS (SELECT l_returnflag AS term, l_partkey AS id, avg(l_discount) - 0.05 AS lfc, round(avg(l_tax) * 2, 6) AS p FROM lineitem GROUP BY 1, 2),
+r AS (SELECT *, count(*) OVER (PARTITION BY term) AS n, rank() OVER (PARTITION BY term ORDER BY p) + count(*) OVER (PARTITION BY term, p) - 1 AS k FROM p),
+a AS (SELECT *, least(1.0, min(p * n / k) OVER (PARTITION BY term ORDER BY k RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS padj FROM r)
+SELECT term, count(*) FILTER (padj < 0.06 AND lfc < 0) AS down, count(*) FILTER (NOT (padj < 0.06 AND lfc <> 0)) AS not_significant, count(*) FILTER (padj < 0.06 AND lfc > 0) AS up FROM a GROUP BY 1""")
+def _(spark, d):
+    rows = table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("term"), F.col("l_partkey").alias("id")).agg((F.avg("l_discount") - 0.05).alias("lfc"), F.round(F.avg("l_tax") * 2, 6).alias("p"))
+    return N.significance_counts(W.bh_adjust(rows, "term"), "term", 0.06)
 
 
 @query("m21_remove_batch", """
@@ -271,11 +317,11 @@ def _(spark, d):
     return rounded(N.contrast_tables(view(spark, d, "counts"), _groups(spark, d)), "mean_a", "mean_b", "base_mean", "lfc", digits=5)
 
 
-RESULTS = "SELECT l_partkey AS feature_id, concat('c', l_linenumber % 3) AS contrast, round(avg(l_discount), 6) AS lfc, round(avg(l_tax), 6) AS p FROM lineitem WHERE l_orderkey % 4 = 0 GROUP BY l_partkey, l_linenumber % 3"
+RESULTS = "SELECT l_partkey AS feature_id, concat('c', l_linenumber % 3) AS contrast, round(avg(l_discount), 6) AS lfc, round(avg(l_tax), 6) AS p FROM lineitem GROUP BY l_partkey, l_linenumber % 3"
 
 
 def _results(spark, d):
-    rows = table(spark, d, "lineitem").where("l_orderkey % 4 = 0")
+    rows = table(spark, d, "lineitem")
     return rows.groupBy(F.col("l_partkey").alias("feature_id"), F.concat(F.lit("c"), (F.col("l_linenumber") % 3).cast("string")).alias("contrast")).agg(F.round(F.avg("l_discount"), 6).alias("lfc"), F.round(F.avg("l_tax"), 6).alias("p"))
 
 
@@ -287,9 +333,11 @@ def _(spark, d):
 @query("m31_design_checks", """
 WITH l AS (SELECT sample_group AS level, count(*) AS n FROM samples GROUP BY 1)
 SELECT 'no replicates' AS problem, level FROM l WHERE n < 2 AND level IS NOT NULL UNION ALL SELECT 'null in design', level FROM l WHERE level IS NULL
-UNION ALL SELECT 'missing reference', 'CONTROL' WHERE NOT EXISTS (SELECT 1 FROM l WHERE level = 'CONTROL')""", "samples")
+UNION ALL SELECT 'missing reference', 'CONTROL' WHERE NOT EXISTS (SELECT 1 FROM l WHERE level = 'CONTROL')
+UNION ALL SELECT 'pair not of two', batch FROM samples GROUP BY batch HAVING count(*) <> 2
+UNION ALL SELECT 'condition repeats in pair', batch FROM (SELECT batch, sample_group, count(*) AS n FROM samples GROUP BY 1, 2) GROUP BY batch HAVING max(n) > 1""", "samples")
 def _(spark, d):
-    return N.design_checks(view(spark, d, "samples"), "sample_group", "CONTROL")
+    return N.design_checks(view(spark, d, "samples"), "sample_group", "CONTROL", "batch")
 
 
 @query("m32_euclidean", "SELECT x.sample_id AS a, y.sample_id AS b, round(sqrt(sum(pow(x.value - y.value, 2))), 6) AS distance FROM counts x JOIN counts y ON x.feature_id = y.feature_id AND x.sample_id < y.sample_id GROUP BY 1, 2", "counts")
@@ -307,7 +355,11 @@ def _(spark, d):
     return rounded(N.set_score(cells, sets), "s_score", "g2m_score")
 
 
-@query("w11_explained_variance")
+@query("w11_explained_variance", """
+WITH v AS (SELECT c_nationkey + 1 AS component, sum(c_acctbal * c_acctbal / (c_nationkey + 1)) AS variance FROM customer GROUP BY 1),
+r AS (SELECT component, variance / sum(variance) OVER () AS ratio, sum(variance) OVER (ORDER BY component ROWS UNBOUNDED PRECEDING) / sum(variance) OVER () AS cumulative FROM v),
+n AS (SELECT greatest(2, least(20, count(*) FILTER (cumulative < 0.9))) AS n FROM r)
+SELECT component, round(ratio, 6) AS ratio, round(cumulative, 6) AS cumulative, component <= n AS kept FROM r, n""")
 def _(spark, d):
-    parts = N.pca(complete_grid(view(spark, d, "counts")), 8).groupBy("component").agg(F.max("variance").alias("variance"))
-    return rounded(N.explained_variance(parts), "ratio", "cumulative", digits=4)
+    parts = table(spark, d, "customer").groupBy((F.col("c_nationkey") + 1).alias("component")).agg(F.sum(F.col("c_acctbal") * F.col("c_acctbal") / (F.col("c_nationkey") + 1)).alias("variance"))
+    return rounded(N.explained_variance(parts), "ratio", "cumulative")

@@ -91,10 +91,20 @@ def _(spark, d):
     return rounded(W.clip_percentile(table(spark, d, "events")), "clipped").select("event_id", "clipped")
 
 
-@query("w16_merge_intervals", """WITH v AS (SELECT DISTINCT contig, start, stop FROM intervals WHERE name % 40 = 0), m AS (SELECT *, max(stop) OVER (PARTITION BY contig ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM v),
+CALLED = "SELECT l_suppkey % 10 AS chromosome, l_partkey % 50 AS barcode, CASE WHEN l_linenumber < 7 THEN l_orderkey % 900 END AS molecule FROM lineitem"
+
+
+@query("w15_call_counts", f"WITH c AS ({CALLED}) SELECT 'chromosome' AS what, chromosome AS id, count(DISTINCT molecule) AS molecules, count(*) AS calls FROM c GROUP BY 2 UNION ALL SELECT 'barcode', barcode, count(DISTINCT chromosome * 1000 + molecule), count(*) FROM c GROUP BY 2")
+def _(spark, d):
+    rows = spark.sql(CALLED.replace("FROM lineitem", "FROM {lineitem}"), lineitem=table(spark, d, "lineitem"))
+    both = [W.call_counts(rows, by).select(F.lit(by).alias("what"), F.col(by).alias("id"), "molecules", "calls") for by in ("chromosome", "barcode")]
+    return both[0].unionByName(both[1])
+
+
+@query("w16_merge_intervals", """WITH v AS (SELECT DISTINCT contig, start, stop FROM intervals), m AS (SELECT *, max(stop) OVER (PARTITION BY contig ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM v),
 i AS (SELECT *, sum(CASE WHEN before IS NULL OR start > before THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY start, stop ROWS UNBOUNDED PRECEDING) AS island FROM m) SELECT contig, min(start) AS start, max(stop) AS stop FROM i GROUP BY contig, island""", "intervals")
 def _(spark, d):
-    return W.merge_intervals(view(spark, d, "intervals").where("name % 40 = 0"))
+    return W.merge_intervals(view(spark, d, "intervals"))
 
 
 CDS = "SELECT user_id AS contig, event_id AS line, CASE event_type WHEN 'view' THEN 'gene' WHEN 'purchase' THEN 'start_codon' WHEN 'error' THEN 'stop_codon' ELSE 'CDS' END AS feature, event_id AS start, event_id + 90 AS stop, '+' AS strand, concat(event_type, event_id) AS id FROM events"

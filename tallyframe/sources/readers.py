@@ -42,10 +42,17 @@ def read_per_sample(spark: SparkSession, paths: str | list[str], schema: str) ->
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(file, line, text)`` of small reports, each file one row before it is split."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    lines = F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")
-    return whole.select("file", F.posexplode(lines).alias("line", "text"))
+    """``(file, line, text)``, lines numbered from 0 by place in the file.
+
+    Lines are numbered within the block of the file that a task reads, and the
+    blocks' numbers of lines are added up; so a plain file is read in parallel
+    and a compressed one, which can't be split, as one stream.
+    """
+    source = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("text"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = source.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    return source.join(sizes, ["file", "block"]).select("file", (F.col("before") + F.col("id") - F.col("first")).alias("line"), "text")
 
 
 def read_skip(spark: SparkSession, path: str | list[str], skip: int, schema: str) -> DataFrame:
@@ -102,29 +109,10 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(file, ordinal, name, seq, qual)``: four lines a record, numbered by place in the file.
-
-    Lines are numbered within the block of the file that a task reads, and the
-    blocks' numbers of lines are added up; so a plain file is read in parallel
-    and a compressed one, which can't be split, as one stream.
-    """
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple, int] = {}
-        for batch in batches:
-            places = []
-            for key in zip(batch.column("file").to_pylist(), batch.column("block").to_pylist()):
-                places.append(seen.get(key, 0))
-                seen[key] = places[-1] + 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, type=pa.int64())], [*batch.schema.names, "k"])
-
-    source = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
-    lines = source.mapInArrow(number, "file string, block long, value string, k long")
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    placed = lines.join(sizes, ["file", "block"]).withColumn("line", F.col("before") + F.col("k"))
-    part = lambda i: F.max(F.when(F.col("line") % 4 == i, F.col("value")))
-    return placed.groupBy("file", F.floor(F.col("line") / 4).alias("ordinal")).agg(part(0).alias("name"), part(1).alias("seq"), part(3).alias("qual")).where("qual is not null")
+    """``(file, ordinal, name, seq, qual)``: four lines a record, numbered by place in the file."""
+    part = lambda i: F.max(F.when(F.col("line") % 4 == i, F.col("text")))
+    records = numbered_lines(spark, path).groupBy("file", F.floor(F.col("line") / 4).alias("ordinal"))
+    return records.agg(part(0).alias("name"), part(1).alias("seq"), part(3).alias("qual")).where("qual is not null")
 
 
 def interleave(r1: DataFrame, r2: DataFrame, keys: list[str]) -> DataFrame:
@@ -199,21 +187,24 @@ def read_indented(lines: DataFrame, indent: int, levels: int = 3) -> DataFrame:
     return rows.select("file", "line", *cols, "count")
 
 
-def extract_fields(lines: DataFrame, specs: list[tuple[str, str, str, str | None]]) -> tuple[DataFrame, DataFrame]:
-    """Fields (name, pattern with one group, type, reducer) of ``(file, text)`` lines, one row per file.
+#: A field: name, pattern that must match from the start of a line, type, reducer ("min", "sum" or None), required.
+Field = tuple[str, str, str, str | None, bool]
+
+
+def extract_fields(lines: DataFrame, specs: list[Field]) -> tuple[DataFrame, DataFrame]:
+    """Fields of ``(file, text)`` lines, one row per file: the pattern's first group, cast to the type and reduced.
 
-    The second table has the violations: (file, field, matches) of fields that
-    match more than once without a reducer ("min" or "sum").
+    The second table has the violations, ``(file, field, matches)``: fields
+    that match more than once without a reducer, and required ones that never do.
     """
     reducers = {"min": F.min, "sum": F.sum, None: F.min}
-    found = lambda p: F.when(F.col("text").rlike(p), F.regexp_extract("text", p, 1))
-    values = lines.groupBy("file").agg(*[reducers[r](found(p).cast(t)).alias(n) for n, p, t, r in specs])
-    single = [(n, p) for n, p, _, r in specs if r is None]
-    counts = lines.groupBy("file").agg(*[F.count(found(p)).alias(n) for n, p in single]) if single else None
-    if counts is None:
-        return values, values.select("file", F.lit("").alias("field"), F.lit(0).cast("long").alias("matches")).limit(0)
-    bad = counts.unpivot("file", [n for n, _ in single], "field", "matches").where("matches > 1")
-    return values, bad
+    found = lambda p: F.when(F.col("text").rlike(f"^(?:{p})"), F.regexp_extract("text", f"^(?:{p})", 1))
+    values = lines.groupBy("file").agg(*[reducers[r](found(p).cast(t)).alias(n) for n, p, t, r, _ in specs])
+    counts = lines.groupBy("file").agg(*[F.count(found(p)).alias(n) for n, p, *_ in specs])
+    rules = F.create_map(*[F.lit(x) for n, _, _, r, required in specs for x in (n, f"{r is None}{required}")])
+    rule = rules[F.col("field")]
+    bad = rule.startswith("True") & (F.col("matches") > 1) | rule.endswith("True") & (F.col("matches") == 0)
+    return values, counts.unpivot("file", [n for n, *_ in specs], "field", "matches").where(bad)
 
 
 def aligner_summary(lines: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ranges import numbered
+
 
 def wide(counts: DataFrame, samples: list | None = None) -> DataFrame:
     """A column per sample; the pivot's values are the samples given or found."""
@@ -18,7 +20,7 @@ def write_wide(counts: DataFrame, path: str) -> None:
 
 def _numbered(rows: DataFrame, name: str) -> DataFrame:
     """Distinct names numbered from 1 in order; a dimension list, written as one file."""
-    return rows.select(name).distinct().withColumn(f"{name}_no", F.row_number().over(Window.orderBy(name)))
+    return numbered(rows.select(name).distinct(), name, name=f"{name}_no")
 
 
 def write_mtx(cells: DataFrame, folder: str, version: int = 3) -> None:
