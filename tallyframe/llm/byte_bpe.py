@@ -12,8 +12,8 @@ as numbers of their block's words, are put together.
 
 What is shuffled is a block's distinct words, their ids, and the documents as
 compressed word numbers (about a byte and a half for each pre-token); the
-number of buckets follows the number of input partitions, so buckets don't grow
-with the table.
+number of buckets and of tasks follows the number of input partitions, so
+neither grows with the table.
 
 Defined results: null text is encoded as empty text (no ids); null or repeated
 ids stay as they are, one output row per input row; columns that are not named
@@ -191,7 +191,7 @@ def _close(block: int, held: list[np.ndarray], numbers: _Numbers, buckets: int)
     by_count = np.argsort(-np.bincount(np.concatenate(held), minlength=len(words)), kind="stable")
     number = np.empty(len(words), dtype=np.int64)
     number[by_count] = np.arange(len(words))
-    sizes, pack = np.array([len(d) for d in held]), zstandard.ZstdCompressor().compress
+    sizes, pack = np.array([len(d) for d in held]), zstandard.ZstdCompressor(level=9).compress
     part = np.cumsum(sizes) // GROUP
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(held)]
     for a, b in zip(cuts, cuts[1:]):
@@ -205,7 +205,7 @@ def _close(block: int, held: list[np.ndarray], numbers: _Numbers, buckets: int)
         yield {"block": block, "bucket": int(bucket[mine[0]]), "at": to_varints(np.diff(mine, prepend=0)), "sizes": to_varints(np.array([len(w) for w in words[mine]])), "data": pack(b"".join(words[mine]))}
 
 
-def word_blocks(docs: DataFrame, pattern: str, limit: int = BLOCK) -> DataFrame:
+def word_blocks(docs: DataFrame, pattern: str, buckets: int, limit: int = BLOCK) -> DataFrame:
     """Of ``docs(id, text)``, cut into blocks of about ``limit`` characters, two kinds of rows.
 
     Documents: ``(block, ids array, sizes, data)``, the words of each document
@@ -214,7 +214,6 @@ def word_blocks(docs: DataFrame, pattern: str, limit: int = BLOCK) -> DataFrame:
     of the block's words in that bucket (as differences), their lengths and bytes.
     ``data`` is compressed in both.
     """
-    buckets = max(1, docs.rdd.getNumPartitions())  # asks for the plan's partitions, runs nothing
     schema = StructType().add("block", "long").add("ids", ArrayType(docs.schema["id"].dataType)).add("bucket", "integer").add("at", "binary").add("sizes", "binary").add("data", "binary")
     target = to_arrow_schema(schema)
 
@@ -324,11 +323,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     ``limit`` is the size of a block in characters; a longer text is a block of its own.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    coded = materialise(word_blocks(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), pattern, limit), "word-blocks")
-    words = replay_words(coded.where("bucket is not null"), ranks_path)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    parts = max(1, rows.rdd.getNumPartitions())  # asks for the plan's partitions, runs nothing
+    coded = materialise(word_blocks(rows, pattern, parts, limit), "word-blocks")
+    words = replay_words(coded.where("bucket is not null").repartition(parts, "bucket"), ranks_path)
     texts = coded.where("bucket is null").select("block", "ids", "sizes", "data")
     # a block's words, then its documents, in one task
-    rows = words.select("block", "at", "sizes", "data").unionByName(texts, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", F.col("at").isNull())
+    rows = words.select("block", "at", "sizes", "data").unionByName(texts, allowMissingColumns=True).repartition(parts, "block").sortWithinPartitions("block", F.col("at").isNull())
     schema = f"id {kind}, ids array<int>" + (", decoded binary" if decoded else "")
     return rows.mapInArrow(_assembled(ranks_path, decoded), schema).withColumnRenamed("id", id_col)
 

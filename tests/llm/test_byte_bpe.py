@@ -55,7 +55,7 @@ def test_small_blocks_and_one_merge_a_word(spark, reference):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = {r.doc_id: r.ids for r in encode(docs, PATH, P.PATTERN, limit=500).collect()}
     assert got == {k: reference.encode_ordinary(t or "") for k, t in enumerate(texts)}
-    coded = word_blocks(docs.selectExpr("doc_id AS id", "text"), P.PATTERN, 500).cache()
+    coded = word_blocks(docs.selectExpr("doc_id AS id", "text"), P.PATTERN, 3, 500).cache()
     assert coded.select("block").distinct().count() > 20
     distinct = {w for t in texts for w in regex.findall(P.PATTERN, t or "")}
     merged = replay_words(coded.where("bucket is not null"), PATH).agg({"merged": "sum"}).first()[0]
