@@ -1,12 +1,13 @@
 """Licence scan: exact phrases and fuzzy search for short notices.
 
 A notice of ``m`` characters that may differ in ``k`` edits is split into
-``k + 1`` pieces; by the pigeonhole principle one piece at least stands in any
-match unchanged.  All pieces of all notices are found in one pass of an
-Aho-Corasick automaton over the normalised text; each hit opens a window wide
-enough for the whole notice and its edits but not for two copies, and the
-``regex`` library's best bounded-error match there gives a span and its edits.
-Of overlapping spans of one notice the one with the fewest edits stays.
+``k + EXTRA`` pieces; by the pigeonhole principle ``EXTRA`` of them at least
+stand in any match unchanged, each moved by ``k`` characters at most.  All
+pieces of all notices are found in one pass of an Aho-Corasick automaton over
+the normalised text; so many pieces of one notice at about the same place open
+a window wide enough for the whole notice and its edits but not for two copies,
+and the ``regex`` library's best bounded-error match there gives a span and its
+edits.  Of overlapping spans of one notice the one with the fewest edits stays.
 
 Text is normalised by lower-casing A-Z and joining the words, runs of ASCII
 letters, digits and any non-ASCII characters, by one space.
@@ -57,6 +58,8 @@ NOTICES = {
 
 #: One edit for so many characters of a notice.
 CHARS_PER_EDIT = 12
+#: Pieces that must stand unchanged for a window to be searched.
+EXTRA = 4
 
 #: Bytes of words stay (A-Z as a-z), all else becomes a space.
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -70,6 +73,21 @@ def words_of(text: str | None) -> str:
     return b" ".join((text or "").encode().translate(_NORMAL).split()).decode()
 
 
+def _gathered(hits: list[tuple[int, int]], reach: int, least: int) -> Iterator[tuple[int, int]]:
+    """First and last start of hits (start, piece) that lie within ``reach`` of the first, where ``least`` pieces are."""
+    k = 0
+    while k < len(hits):
+        first, n = hits[k][0], k
+        while n < len(hits) and hits[n][0] - first <= reach:
+            n += 1
+        if len({piece for _, piece in hits[k:n]}) >= least:
+            yield first, hits[n - 1][0]
+            while k < len(hits) and hits[k][0] <= first:
+                k += 1
+        else:
+            k += 1
+
+
 class Scanner:
     def __init__(self, phrases: Mapping[str, str], notices: Mapping[str, str], chars_per_edit: int) -> None:
         self.phrases = list(phrases.items())
@@ -78,8 +96,9 @@ class Scanner:
         for text, label in notices.items():
             edits = len(text) // chars_per_edit
             self.notices.append((text, label, edits, regex.compile(rf"(?b)(?<=^| )(?:{regex.escape(text)}){{e<={edits}}}(?= |$)")))
-            for k in range(edits + 1):
-                a, b = k * len(text) // (edits + 1), (k + 1) * len(text) // (edits + 1)
+            pieces = min(edits + EXTRA, len(text))
+            for k in range(pieces):
+                a, b = k * len(text) // pieces, (k + 1) * len(text) // pieces
                 seeds.setdefault(text[a:b], []).append((len(self.notices) - 1, a))
         self.automaton = ahocorasick.Automaton()
         for seed, uses in seeds.items():
@@ -101,24 +120,28 @@ class Scanner:
 
     def fuzzy(self, text: str) -> list[tuple]:
         """Verified places of the notices, each with its edits."""
-        windows: dict[int, set[tuple[int, int]]] = {}
+        starts: dict[int, set[tuple[int, int]]] = {}
         for end, (size, uses) in self.automaton.iter(text):
             for notice, offset in uses:
-                full, _, edits, _ = self.notices[notice]
-                start = end + 1 - size - offset
-                windows.setdefault(notice, set()).add((max(0, start - 2 * edits - 1), min(len(text), start + len(full) + 2 * edits + 1)))
-        found = []
-        for notice, spans in windows.items():
-            full, label, _, pattern = self.notices[notice]
-            places = {(sum(m.fuzzy_counts), m.start(), m.end()) for a, b in spans for m in pattern.finditer(text, a, b)}
+                starts.setdefault(notice, set()).add((end + 1 - size - offset, offset))
+        kept = []
+        for notice, hits in starts.items():
+            full, _, edits, pattern = self.notices[notice]
+            places = set()
+            for low, high in _gathered(sorted(hits), 2 * edits, min(EXTRA, len(full) - edits)):
+                a, b = max(0, low - edits - 1), min(len(text), high + len(full) + edits + 1)
+                places.update((sum(m.fuzzy_counts), m.start(), m.end()) for m in pattern.finditer(text, a, b))
             taken: list[tuple[int, int]] = []  # in order and apart
             for edits, a, b in sorted(places):
                 k = bisect(taken, (a, b))
                 if (k and taken[k - 1][1] > a) or (k < len(taken) and taken[k][0] < b):
                     continue
                 taken.insert(k, (a, b))
-                first = text.count(" ", 0, a)
-                found.append((label, first, first + text.count(" ", a, b) + 1, edits, full))
+                kept.append((a, b, edits, notice))
+        found, words, done = [], 0, 0
+        for a, b, edits, notice in sorted(kept):
+            words, done = words + text.count(" ", done, a), a
+            found.append((self.notices[notice][1], words, words + text.count(" ", a, b) + 1, edits, self.notices[notice][0]))
         return sorted(found, key=lambda s: (s[1], s[2], s[0]))
 
 

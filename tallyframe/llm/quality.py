@@ -268,7 +268,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str =
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score``: every row is scored where it stands, whatever its id."""
+    """``docs`` with ``score``, which replaces a column of that name: every row is scored where it stands, whatever its id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, text_col):

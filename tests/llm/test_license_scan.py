@@ -88,3 +88,55 @@ def test_edited_copies_before_better_ones_are_found():
         spans = [s for s in scanner.fuzzy(" ".join(words)) if s[4] == notice]
         assert [" ".join(words[a:b]) for _, a, b, _, _ in spans] == [c for c in copies if c != "and"]
         assert [e for *_, e, _ in spans] == [edits(c, notice) for c in copies if c != "and"]
+
+
+def every_span(words, notice, allowed):
+    """All runs of words within the edits, the fewest edits first; of those that overlap the first stays."""
+    found = []
+    for a in range(len(words)):
+        for b in range(a + 1, len(words) + 1):
+            run = " ".join(words[a:b])
+            if len(run) > len(notice) + allowed:
+                break
+            if len(run) >= len(notice) - allowed and (e := edits(run, notice)) <= allowed:
+                found.append((e, a, b))
+    kept = []
+    for e, a, b in sorted(found):
+        if all(b <= c or d <= a for _, c, d in kept):
+            kept.append((e, a, b))
+    return sorted((a, b, e) for e, a, b in kept)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sampled_from(sorted(NOTICES)), st.lists(st.tuples(st.lists(st.tuples(st.integers(0, 200), st.sampled_from(["", "q", "qz"])), max_size=4), st.sampled_from(["", "and", "see also"])), min_size=1, max_size=5))
+def test_touching_edited_notices_equal_all_spans(notice, copies):
+    """One to five copies side by side, each with its own edits: as many spans with as many edits as a search of all spans finds."""
+    allowed, parts = len(notice) // CHARS_PER_EDIT, []
+    for changes, between in copies:
+        text = notice
+        for at, new in changes[:allowed]:
+            at = 1 + at % (len(text) - 2)
+            if text[at] != " ":
+                text = text[:at] + new + text[at + 1 :]
+        parts += [text, between]
+    words = words_of(" ".join(parts)).split()
+    got = [s for s in Scanner(PHRASES, NOTICES, CHARS_PER_EDIT).fuzzy(" ".join(words)) if s[4] == notice]
+    want = every_span(words, notice, allowed)
+    assert [s[3] for s in got] == [e for *_, e in want]
+    assert all(max(s[1], a) < min(s[2], b) for s, (a, b, _) in zip(got, want))
+
+
+def test_a_long_licence_text_takes_linear_time():
+    """A megabyte of notices with an edit each, within two minutes and all found; twice the text takes about twice as long."""
+    import time
+
+    scanner, took = Scanner(PHRASES, NOTICES, CHARS_PER_EDIT), []
+    notices = [n[:7] + "q" + n[8:] for n in NOTICES]
+    for size in (500_000, 1_000_000):
+        copies = size // sum(len(n) + 1 for n in notices)
+        text = words_of(" ".join(notices * copies))
+        start = time.perf_counter()
+        spans, base = scanner.fuzzy(text), scanner.base(text)
+        took.append(time.perf_counter() - start)
+        assert len(spans) >= copies * len(notices) and base
+    assert took[1] < 120 and took[1] < 4 * took[0]
