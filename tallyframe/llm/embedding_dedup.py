@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise, written
 from .components import components
 
 #: Vectors the rotation is learned on, chosen by hash; all vectors are indexed.
@@ -325,8 +325,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float =
                     yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("weight"), batch.column("v"), pa.array(plan.of(_unit(batch)), type=pa.binary())], ["uid", "weight", "v", "code"])
 
         first = valid.join(copies, valid.uid == copies.rep).select("uid", "weight", "v")
-        coded = materialise(first.mapInArrow(code, "uid long, weight long, v binary, code binary"), "vector-codes")
+        coded, path = written(first.mapInArrow(code, "uid long, weight long, v binary, code binary"), "vector-codes")
         found = materialise(link_counts(coded.select("uid", "weight", "code"), coded, plan, threshold), "vector-links")
+        discard(spark, path)
     counts = found.groupBy("uid").agg(F.sum("links").alias("n"))
     groups = materialise(components(found.select(F.col("uid").alias("a"), F.col("root").alias("b")), "vector-components"), "vector-groups")
     # of each distinct vector: links of a row of it, and the smallest id of its component's rows

@@ -116,14 +116,14 @@ def _pair(k: int):
     return pair
 
 
-def suffix_ranks(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(uid, id, places array<struct<q, p, n, ranks>>, windows array<struct<i, m>>)`` of documents with a window.
+def suffix_ranks(base: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, str]:
+    """``(uid, places array<struct<q, p, n, ranks>>, windows array<struct<i, m>>)`` of documents with a window, and its folder.
 
     ``ranks[k]`` is a place's rank in the suffix array by its first ``2**k`` lines.
     """
     spark = base.sparkSession
     letters, letters_path = written(_letters(base), "line-letters")
-    ranks = materialise(_first_ranks(letters), "line-ranks")
+    ranks, ranks_path = written(_first_ranks(letters), "line-ranks")
     place = F.struct("q", "p", "n", F.array("rank").alias("ranks"))
     grouped = letters.join(ranks, ["h", "g"]).groupBy("uid").agg(F.sort_array(F.collect_list(place)).alias("places"))
     grouped = grouped.withColumn("windows", _windows("places", min_words)).where(F.size("windows") > 0)
@@ -144,12 +144,13 @@ def suffix_ranks(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         state, path = written(state.join(new, "uid").select("uid", longer.alias("places"), "windows"), "line-places")
         discard(spark, old_path)
         k += 1
-    return state
+    discard(spark, ranks_path)
+    return state, path
 
 
 def _later_windows(base: DataFrame, min_words: int) -> DataFrame:
     """``(uid, i, m, q, lines, first)``: windows of documents that stand at an earlier place ``first`` (doc, i, q, line) too."""
-    state = suffix_ranks(base, min_words)
+    state, path = suffix_ranks(base, min_words)
     window = F.explode("windows").alias("w")
     level = F.floor(F.log2(F.col("w.m") + 0.5)).cast("int")
     rank = lambda i: F.get(F.get(F.col("places"), i)["ranks"], F.col("level"))
@@ -168,6 +169,7 @@ def _later_windows(base: DataFrame, min_words: int) -> DataFrame:
     )
     order = base.select("uid", F.struct(F.col("id").isNull().alias("none"), "id", "uid").alias("doc"))
     named = materialise(named.join(order, "uid"), "line-windows")
+    discard(base.sparkSession, path)
     # windows of one name are an interval of the suffix array
     first = named.groupBy("m", "a", "b").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "i", "q", F.col("lines")[0].alias("line"))).alias("first")).where("copies > 1")
     return named.join(first, ["m", "a", "b"]).where(F.struct("doc", "i") > F.struct("first.doc", "first.i")).select("uid", "i", "m", "q", "lines", "first")

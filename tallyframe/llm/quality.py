@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import blocks, materialise
+from .common import blocks, discard, materialise, written
 
 #: Characters with a class of their own; others fall in lower, upper, other letter, digit, space, punctuation or rest.
 MARKS = "\n.,;:!?|*#$%&<>/\\{}[]()=_-\"'@+~^`"
@@ -259,7 +259,10 @@ def _trained(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str
     x = materialise(featurise(docs, id_col, text_col, train_rows), "quality-features")
     positives = labels.groupBy(F.col(id_col).alias("labelled")).agg(F.max(label_col).alias("q")).where("q = 1")
     rows = x.where("train").join(positives, F.col(id_col) == F.col("labelled"), "left")
-    return x, fit(materialise(rows.select("x", F.col("labelled").isNotNull().alias("positive")), "quality-training"))
+    training, path = written(rows.select("x", F.col("labelled").isNotNull().alias("positive")), "quality-training")
+    model = fit(training)
+    discard(docs.sparkSession, path)
+    return x, model
 
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
