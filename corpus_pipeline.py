@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import quality
-from tallyframe.llm.common import materialise, table
+from tallyframe.llm.common import discard, materialise, table, written
 from tallyframe.llm.language import held_out
 from tallyframe.llm.line_dedup import dedup_lines
 from tallyframe.llm.packing import pack
@@ -68,10 +68,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written as Parquet and read again by the next, then deleted."""
+    docs, path = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs, new = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if path:
+            discard(spark, path)
+        path = new
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
