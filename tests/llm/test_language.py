@@ -1,8 +1,9 @@
+import math
 import zlib
 
 import numpy as np
 
-from tallyframe.llm.language import BUCKETS, gram_counts, grams, held_out, identify, mixtures, train
+from tallyframe.llm.language import BUCKETS, EM_ROUNDS, SMOOTHING, gram_counts, grams, held_out, identify, mixtures, train
 from tallyframe.llm.queries import op2_language_mixture
 
 
@@ -64,3 +65,59 @@ def test_held_out_and_accuracy(spark):
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held)
     assert spark.createDataFrame([(None,)], "doc_id long").select(held_out("doc_id").alias("h")).first().h
+
+
+def plain_mixture(counts, table):
+    """Proportions of one document by loops: EM over a growing set of languages as long as BIC rises."""
+    langs = range(len(table))
+
+    def em(theta):
+        for _ in range(EM_ROUNDS):
+            new = dict.fromkeys(theta, 0.0)
+            for g, n in counts.items():
+                whole = sum(theta[k] * table[k][g] for k in theta)
+                for k in theta:
+                    new[k] += n * theta[k] * table[k][g] / whole
+            theta = {k: v / total for k, v in new.items()}
+        return theta, sum(n * math.log(sum(theta[k] * table[k][g] for k in theta)) for g, n in counts.items())
+
+    total = sum(counts.values())
+    soft, _ = em({k: 1 / len(table) for k in langs})
+    single = [sum(n * math.log(table[k][g]) for g, n in counts.items()) for k in langs]
+    best, score = {single.index(max(single)): 1.0}, max(single)
+    members = set(best)
+    for size in range(2, len(table) + 1):
+        tried = sorted(langs, key=lambda k: (k not in members, -soft[k]))[:size]
+        theta, fit = em({k: 1 / size for k in tried})
+        if (fit - score) / 3 <= math.log(max(total / 3, 2)) / 2:
+            break
+        best, score, members = theta, fit, set(tried)
+    return best
+
+
+def test_query_equals_loops(spark):
+    """Counts, EM, language sets and predictions of every document against plain loops."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    found = {r.doc_id: {} for r in docs}
+    for r in docs:
+        for g in grams([r.text])[1].tolist():
+            found[r.doc_id][g] = found[r.doc_id].get(g, 0) + 1
+    sums = {}
+    for r in docs:
+        if zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and r.lang is not None:
+            for g, n in found[r.doc_id].items():
+                sums.setdefault(r.lang, {}).setdefault(g, 0)
+                sums[r.lang][g] += n
+    names = sorted(sums)
+    table = []
+    for k in names:
+        whole = sum(sums[k].values()) + SMOOTHING * BUCKETS
+        table.append([(sums[k].get(g, 0) + SMOOTHING) / whole for g in range(BUCKETS)])
+    for r in op2_language_mixture(spark, sf).collect():
+        if not found[r.doc_id]:
+            assert r.lang_pred == "und" and r.score == 0
+            continue
+        best = plain_mixture(found[r.doc_id], table)
+        top = max(best, key=best.get)
+        assert abs(r.score - best[top]) < 1e-6 and (r.lang_pred == names[top] or abs(best[names.index(r.lang_pred)] - best[top]) < 1e-6)

@@ -1,5 +1,6 @@
-import numpy as np
+import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tallyframe.llm import quality
@@ -78,3 +79,49 @@ def test_held_out_accuracy(spark):
     held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     assert sum(a == b for a, b in held) >= 0.9 * len(held)
     assert all(r.predicted == (r.score >= 0.5) for r in rows)
+
+
+def plain_scores(texts, positive, train):
+    """The whole fit on arrays in one piece: prior from sorted scores, Newton steps over plain means."""
+    x = features(texts).astype("<f4").astype(float)
+    rows, p = x[train], positive[train]
+    mean, scale = rows.mean(axis=0), np.sqrt(np.maximum((rows**2).mean(axis=0) - rows.mean(axis=0) ** 2, 1e-12))
+    scale = np.where(scale < 1e-5, 1.0, scale)
+    mean[-1], scale[-1] = 0.0, 1.0
+    z = (rows - mean) / scale
+    ridge = quality.RIDGE * np.diag([*[1.0] * (DIM - 1), 1e-3])
+
+    def means(w):
+        f = z @ w
+        s, soft = 1 / (1 + np.exp(-f)), np.log1p(np.exp(f))
+        hess = lambda q: (z[q].T * (s * (1 - s))[q]) @ z[q] / q.sum()
+        every = np.ones(len(z), dtype=bool)
+        return {"soft_u": soft.mean(), "soft_p": soft[p].mean(), "f_p": f[p].mean(), "s_u": (z * s[:, None]).mean(axis=0), "x_p": z[p].mean(axis=0), "s_p": (z * s[:, None])[p].mean(axis=0), "curve_u": hess(every), "curve_p": hess(p)}
+
+    def against(w):
+        r = means(w)
+        return r["soft_p"] - r["f_p"] + r["soft_u"] + w @ ridge @ w / 2, r["s_p"] - r["x_p"] + r["s_u"] + ridge @ w, r["curve_p"] + r["curve_u"] + ridge, False
+
+    scores = np.minimum((1 / (1 + np.exp(-z @ quality._newton(np.zeros(DIM), against, 6))) * quality.BINS).astype(int), quality.BINS - 1)
+    margin = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(len(z)) + 1 / np.sqrt(p.sum()))
+    ratios = []
+    for low in range(quality.BINS):
+        u, q = (scores >= low).mean(), (scores[p] >= low).mean()
+        if q > 0:
+            ratios.append(((u + margin) / q, -low, u / q))
+    prior = float(np.clip(min(ratios)[2], 0.01, 0.99))
+    start = np.zeros(DIM)
+    start[-1] = np.log(prior / (1 - prior))
+    w = quality._newton(start, lambda w: quality.nonnegative_risk(means(w), w, prior, ridge))
+    return 1 / (1 + np.exp(-((x - mean) / scale) @ w))
+
+
+def test_query_equals_a_plain_fit(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
+    good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.quality == 1}
+    train = np.array([zlib.crc32(str(r.doc_id).encode()) % 3 != 1 for r in docs])
+    want = plain_scores([r.text for r in docs], np.array([r.doc_id in good for r in docs]), train)
+    got = {r.doc_id: r for r in op1_quality_pu(spark, sf).collect()}
+    assert len(got) == len(docs) and all(got[r.doc_id].held_out == (not t) for r, t in zip(docs, train))
+    assert np.allclose([got[r.doc_id].score for r in docs], want, atol=1e-3)
