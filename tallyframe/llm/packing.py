@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import blocks, written
 
 #: Chunks between white space that a task keeps with their ids; bounds memory only.
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 800_000
 #: Numbers of a table of rounds and queues that a task holds at once; bounds memory only.
 TABLE = 1 << 20
 
