@@ -114,23 +114,31 @@ SEED = 16
 def contains_join(reads: DataFrame, panel: DataFrame, seed: int = SEED) -> DataFrame:
     """``(read_id, probe)`` where a read's text contains a probe, each pair of different ones once.
 
-    A probe of ``2 * seed - 1`` letters or more covers one of the consecutive
-    pieces of ``seed`` letters of a text that contains it, so texts and probes
-    meet on such pieces and are then compared.  Shorter probes meet the texts'
-    substrings of their own lengths, at most ``2 * seed - 1`` of them (the
-    lengths are asked for when the query is built).
+    A probe of ``2 * n - 1`` letters or more covers one of the consecutive
+    pieces of ``n`` letters of a text that contains it, so texts and probes
+    meet on such pieces and are then compared.  Probes are taken together by
+    length, each group from one length to less than twice of it, the longest
+    with pieces of ``seed`` letters; their lengths up to ``2 * seed - 1`` are
+    asked for when the query is built.
     """
     probes = panel.select("probe").where("probe is not null").distinct()
-    short = F.length("probe") < 2 * seed - 1
-    pieces = F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?s).{{{seed}}}"), F.lit(0)))
-    mine = reads.select("read_id", F.explode(pieces).alias("piece"))
-    theirs = probes.where(~short).select("probe", F.explode(kmers(F.col("probe"), seed)).alias("piece"))
-    met = mine.join(theirs, "piece").select("read_id", "probe").distinct()
-    found = reads.join(met, "read_id").where(F.col("text").contains(F.col("probe"))).select("read_id", "probe")
-    for (n,) in probes.where(short).select(F.length("probe")).distinct().orderBy(F.length("probe")).collect():
-        some = probes.where(F.length("probe") == n)
-        cut = reads.select("read_id", F.explode(kmers(F.col("text"), n)).alias("probe")) if n else reads.where("text is not null").select("read_id", F.lit("").alias("probe"))
-        found = found.unionByName(cut.join(some, "probe").select("read_id", "probe"))
+    top = 2 * seed - 1
+    lengths = [r[0] for r in probes.select(F.least(F.length("probe"), F.lit(top)).alias("n")).distinct().orderBy("n").collect()]
+    found = reads.where("text = ''").select("read_id", F.col("text").alias("probe")).limit(0)
+    while lengths:
+        low = lengths[0]
+        high = low if low == 0 else min(2 * low, top) - 1 if low < top else None
+        lengths = [n for n in lengths if high is not None and n > high]
+        some = probes.where(F.length("probe") >= low) if high is None else probes.where(F.length("probe").between(low, high))
+        if low == 0:
+            found = found.unionByName(reads.where("text is not null").select("read_id", F.lit("").alias("probe")))
+            continue
+        size = (low + 1) // 2
+        pieces = F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?s).{{{size}}}"), F.lit(0)))
+        mine = reads.select("read_id", F.explode(pieces).alias("piece"))
+        theirs = some.select("probe", F.explode(kmers(F.col("probe"), size)).alias("piece"))
+        met = mine.join(theirs, "piece").select("read_id", "probe").distinct()
+        found = found.unionByName(reads.join(met, "read_id").where(F.col("text").contains(F.col("probe"))).select("read_id", "probe"))
     return found.distinct()
 
 
