@@ -37,7 +37,7 @@ MISSING = ("", "nan", "NaN", "NA", "N/A", "None", "null")
 
 
 def drop_empty_columns(rows: DataFrame, digits: int = 2) -> DataFrame:
-    """Missing-value texts to null, all-null columns dropped, numbers rounded, remaining nulls as ''."""
+    """Missing-value texts to null, all-null columns dropped (found by one pass when this is called), numbers rounded, remaining nulls as ''."""
     text = [c for c, t in rows.dtypes if t == "string"]
     rows = rows.withColumns({c: F.when(~F.col(c).isin(*MISSING), F.col(c)) for c in text})
     filled = rows.agg(*[F.count(F.col(c)).alias(c) for c in rows.columns]).first()
@@ -47,7 +47,7 @@ def drop_empty_columns(rows: DataFrame, digits: int = 2) -> DataFrame:
 
 
 def drop_duplicate_columns(rows: DataFrame, key: str) -> DataFrame:
-    """Of columns with equal contents the first stays; one pass of checksums over (key, value)."""
+    """Of columns with equal contents the first stays; one pass of checksums over (key, value) when this is called."""
     names = [c for c in rows.columns if c != key]
     if not names:
         return rows

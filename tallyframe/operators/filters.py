@@ -103,7 +103,7 @@ def min_group_total(counts: DataFrame, group: str, least: float) -> DataFrame:
 
 
 def var_filter(counts: DataFrame, fraction: float = 0.5, lowest: float = 0.1) -> DataFrame:
-    """``(feature_id, total, variance, rank)``: features above the lowest decile of totals, then the most variable fraction, 3 at least."""
+    """``(feature_id, total, variance, rank)``: features above the lowest decile of totals, then the most variable fraction, 3 at least.  Counts them when it is called."""
     stats = counts.groupBy("feature_id").agg(F.sum("value").alias("total"), F.var_samp("value").alias("variance"))
     floor = stats.agg(F.percentile("total", F.lit(lowest)).alias("floor"))
     rows = stats.crossJoin(F.broadcast(floor)).where("total > floor and variance is not null").drop("floor")

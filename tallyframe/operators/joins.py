@@ -31,7 +31,7 @@ def check_keys(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
 
 
 def align_samples(counts: DataFrame, samples: DataFrame, strict: bool = True) -> DataFrame:
-    """Inner join on sample ids; with ``strict`` a sample without counts is an error."""
+    """Inner join on sample ids; with ``strict`` a sample without counts is an error, looked for when this is called."""
     if strict and check_keys(samples, counts, "sample_id").take(1):
         raise ValueError("samples without counts")
     return counts.join(samples, "sample_id")
@@ -62,7 +62,7 @@ def merge_calls(calls: DataFrame, callers: list) -> DataFrame:
 
 
 def attach_one_to_one(rows: DataFrame, info: DataFrame, key: str, suffix: str) -> DataFrame:
-    """Left join that fails on repeated keys of ``info``; its other columns get the suffix."""
+    """Left join that fails, when it is called, on repeated keys of ``info``; its other columns get the suffix."""
     if info.groupBy(key).count().where("count > 1").take(1):
         raise ValueError(f"{key} is not unique")
     return rows.join(info.withColumnsRenamed({c: f"{c}{suffix}" for c in info.columns if c != key}), key, "left")

@@ -460,7 +460,7 @@ def contrast_tables(counts: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def wide_contrasts(results: DataFrame) -> DataFrame:
-    """One row per feature over ``(feature_id, contrast, lfc, p)``: missing log fold changes 0, missing p-values 1."""
+    """One row per feature over ``(feature_id, contrast, lfc, p)``: missing log fold changes 0, missing p-values 1.  Asks for the contrasts when it is called."""
     contrasts = [r.contrast for r in results.select("contrast").distinct().orderBy("contrast").collect()]
     wide = results.groupBy("feature_id").pivot("contrast", contrasts).agg(F.first("lfc").alias("lfc"), F.first("p").alias("p"))
     return wide.fillna(0.0, [f"{c}_lfc" for c in contrasts]).fillna(1.0, [f"{c}_p" for c in contrasts])

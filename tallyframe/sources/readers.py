@@ -25,7 +25,7 @@ def read_matrix(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
-    """Sample sheet of texts: ``sample_name`` as ``Sample_ID``, that column first, empty columns dropped."""
+    """Sample sheet of texts: ``sample_name`` as ``Sample_ID``, that column first, empty columns dropped.  Reads the table once to find those."""
     rows = read_tsv(spark, path)
     if "sample_name" in rows.columns and "Sample_ID" not in rows.columns:
         rows = rows.withColumnRenamed("sample_name", "Sample_ID")
@@ -66,7 +66,7 @@ QUANT = {"featurecounts": (0, 6, 5), "star": (0, 2, None)}
 
 
 def read_quant(spark: SparkSession, paths: str | list[str], tool: str) -> DataFrame:
-    """``(sample_id, feature_id, value, length)``; a feature that some sample lacks is an error."""
+    """``(sample_id, feature_id, value, length)``; a feature that some sample lacks is an error, which is looked for when this is called."""
     name, count, length = QUANT[tool]
     parts = F.split("value", "\t")
     lines = spark.read.text(paths).select("value", F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1).alias("sample_id"))
@@ -161,7 +161,7 @@ def read_taxon_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_blocks(text: DataFrame, titles: list[str] | None = None) -> DataFrame:
-    """``(doc, block, title, rows array)`` of texts split at blank lines; empty blocks stay, unknown titles are an error."""
+    """``(doc, block, title, rows array)`` of texts split at blank lines; empty blocks stay, unknown titles are an error, looked for when this is called."""
     blocks = text.select("doc", F.posexplode(F.split("text", "\n\n")).alias("block", "body"))
     lines = F.split("body", "\n")
     out = blocks.select("doc", "block", F.get(lines, F.lit(0)).alias("title"), F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))).alias("rows"))

@@ -9,7 +9,7 @@ from ..operators.ranges import numbered
 
 
 def wide(counts: DataFrame, samples: list | None = None) -> DataFrame:
-    """A column per sample; the pivot's values are the samples given or found."""
+    """A column per sample; the pivot's values are the samples given, or found by a query when this is called."""
     names = samples or [r.sample_id for r in counts.select("sample_id").distinct().orderBy("sample_id").collect()]
     return counts.groupBy("feature_id").pivot("sample_id", names).agg(F.first("value"))
 
