@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks
+from .common import BLOCK_BYTES, blocks
 
 #: Hash buckets of trigrams.
 BUCKETS = 1 << 15
@@ -143,10 +143,11 @@ def mixtures(texts: list[str | None], table: np.ndarray) -> np.ndarray:
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, lang_pred, score, proportions map<string,double>)`` of every whole text."""
     langs, table = model
+    limit = 8 * BLOCK_BYTES // max(8, len(langs))  # a block holds a number for each trigram and language
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", limit):
             share = mixtures(batch.column("text").to_pylist(), shared.value)
             known = share.sum(axis=1) > 0 if len(langs) else np.zeros(len(share), dtype=bool)
             top = share.argmax(axis=1) if len(langs) else known

@@ -290,7 +290,9 @@ def pack(
     ``ids`` holds the piece's ids as little-endian unsigned 32-bit numbers.
     ``weights`` are the target token proportions by source (missing sources: 0,
     packed last); None takes the corpus's own, which hold to the last window.
-    Every source is a queue; the driver holds one name and total for each.
+    Every source is a queue; the driver holds one name and total for each.  A
+    document's place in its queue is summed up in a window over one source's
+    documents of one partition of the token table, then over the partitions.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     coded, _ = written(tokenize(docs, tokenizer_path, end_id, id_col, text_col, source_col).withColumn("uid", F.monotonically_increasing_id()), "tokens")
