@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality_rules
+from . import line_dedup, merkle, quality_rules
 from .common import table
 
 
@@ -90,7 +90,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_pu, op2_language_mixture, op3_byte_bpe, op4_html_wrappers, op5_embedding_itq, op6_license_scan, op7_quality_rules, op8_packing, op9_simhash, op10_line_dedup)}
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import leaf_digest, manifest
+
+    docs = table(spark, sf_dir, "documents")
+    leaf = leaf_digest(docs[c] for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    tampered = leaf_digest([docs.doc_id, docs.source, docs.lang, docs.n_chars + 1, docs.text])
+    seventh = F.crc32(docs.doc_id.cast("string").cast("binary")) % 7 == 0
+    proven = manifest(docs, "doc_id", "lang", leaf, F.when(seventh, tampered))
+    text = lambda c: F.lower(F.hex(c))
+    return proven.select(
+        "doc_id",
+        *[text(c).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(F.array_join(F.transform("proof", text), "").cast("binary"), 256).alias("proof_sha256"),
+        text("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_pu, op2_language_mixture, op3_byte_bpe, op4_html_wrappers, op5_embedding_itq, op6_license_scan, op7_quality_rules, op8_packing, op9_simhash, op10_line_dedup, op12_merkle_manifest)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op7_quality_rules": quality_rules.ORACLE_SQL, "op10_line_dedup": line_dedup.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_quality_rules": quality_rules.ORACLE_SQL, "op10_line_dedup": line_dedup.ORACLE_SQL, "op12_merkle_manifest": merkle.ORACLE_SQL}
