@@ -108,7 +108,36 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_pu, op2_language_mixture, op3_byte_bpe, op4_html_wrappers, op5_embedding_itq, op6_license_scan, op7_quality_rules, op8_packing, op9_simhash, op10_line_dedup, op12_merkle_manifest)}
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import find_runs
+
+    docs = table(spark, sf_dir, "documents")
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h, n = F.crc32(F.col("doc_id").cast("string").cast("binary")), F.size(words)
+    g = F.floor(h / 10)
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+    found = find_runs(docs.select("doc_id", F.when((h % 10 == 0) & (n > 0), planted).otherwise(F.col("text")).alias("text")))
+    # greatest length first, then smallest start, then period
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r.length).alias("less"), r.start.alias("start"), r.period.alias("period"))))
+    found = found.withColumn("best", best)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start.cast("string"), r.length.cast("string"), r.period.cast("string")), F.lit("\n")))
+    length = -F.col("best.less")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * length / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_pu, op2_language_mixture, op3_byte_bpe, op4_html_wrappers, op5_embedding_itq, op6_license_scan, op7_quality_rules, op8_packing, op9_simhash, op10_line_dedup, op12_merkle_manifest, op13_periodic_runs)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {"op7_quality_rules": quality_rules.ORACLE_SQL, "op10_line_dedup": line_dedup.ORACLE_SQL, "op12_merkle_manifest": merkle.ORACLE_SQL}
