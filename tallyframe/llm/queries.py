@@ -90,6 +90,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import classify, held_out
+
+    scored = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out("doc_id"))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .merkle import leaf_digest, manifest
 
@@ -137,7 +144,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_pu, op2_language_mixture, op3_byte_bpe, op4_html_wrappers, op5_embedding_itq, op6_license_scan, op7_quality_rules, op8_packing, op9_simhash, op10_line_dedup, op12_merkle_manifest, op13_periodic_runs)}
+QUERIES = {f.__name__: f for f in (op1_quality_pu, op2_language_mixture, op3_byte_bpe, op4_html_wrappers, op5_embedding_itq, op6_license_scan, op7_quality_rules, op8_packing, op9_simhash, op10_line_dedup, op11_toxicity_knn, op12_merkle_manifest, op13_periodic_runs)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {"op7_quality_rules": quality_rules.ORACLE_SQL, "op10_line_dedup": line_dedup.ORACLE_SQL, "op12_merkle_manifest": merkle.ORACLE_SQL}
