@@ -222,19 +222,20 @@ def subsample_every(reads: DataFrame, key: str, step: int) -> DataFrame:
     return reads.where(F.col(key) % step == 0)
 
 
-def downsample_counts(counts: DataFrame, group: str = "sample_id", seed: int = 0) -> DataFrame:
-    """Each group thinned to the smallest group's total without replacement.
+def downsample_counts(counts: DataFrame, group: str = "sample_id", seed: int = 0, replace: bool = True) -> DataFrame:
+    """Each group thinned to the smallest group's total by random draws, with replacement unless told otherwise.
 
-    Units stand in the md5 order of their features and every total/least-th of
-    them is drawn, so a row is read once however large its count is.
+    The smallest group (the first by name, if several are) stays as it is.
     """
-    from .normalise import drawn
+    from .draws import draw
 
     rows = counts.where("value > 0").select(group, "feature_id", F.col("value").cast("long").alias("value"))
-    least = rows.groupBy(group).agg(F.sum("value").alias("t")).agg(F.min("t").alias("least"))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(group).cast("string"), F.col("feature_id").cast("string")))
-    placed = running_sum(rows.withColumn("draw", key), [group], ["draw"], "value").crossJoin(F.broadcast(least))
-    return drawn(placed, [group], F.col("least")).where("drawn > 0").select(group, "feature_id", F.col("drawn").cast("double").alias("value"))
+    totals = rows.groupBy(group).agg(F.sum("value").alias("total"))
+    least = totals.agg(F.min(F.struct("total", group)).alias("least"))  # one row
+    runs = totals.crossJoin(F.broadcast(least)).where(~F.col(group).eqNullSafe(F.col(f"least.{group}"))).select(group, F.lit(0).alias("run"), F.col("least.total").alias("depth"))
+    smallest = rows.join(F.broadcast(least), F.col(group).eqNullSafe(F.col(f"least.{group}"))).select(group, "feature_id", F.col("value").cast("double").alias("value"))
+    thinned = draw(rows, runs, group, seed, replace)
+    return thinned.select(group, "feature_id", F.col("drawn").cast("double").alias("value")).unionByName(smallest)
 
 
 def trim_reads(reads: DataFrame, trim_5: int, min_length: int, min_quality: float, min_complexity: float) -> DataFrame:

@@ -150,19 +150,6 @@ def rarefy_expected(counts: DataFrame, depths: list[int]) -> DataFrame:
     return rows.groupBy("sample_id", "depth").agg(F.sum(1 - missing).alias("expected"))
 
 
-def drawn(rows: DataFrame, group: list[str], depth: Column) -> DataFrame:
-    """Adds ``drawn``: of ``depth`` units drawn from the group, those of each row; whole numbers that add up to ``depth``.
-
-    ``rows`` has ``value`` (whole numbers), ``draw`` (the order of the draw) and
-    ``before``, the sum of earlier values in that order.  The draw takes every
-    total/depth-th unit, so a row is read once, however large its value is.
-    """
-    rows = with_totals(rows, group, total=F.sum("value"))
-    whole = lambda c: c.cast("decimal(19,0)")
-    upto = lambda x: F.call_function("div", whole(x) * whole(depth), whole(F.col("total")))
-    return rows.withColumn("drawn", upto(F.col("before") + F.col("value")) - upto(F.col("before"))).drop("total")
-
-
 def rarefaction_depths(counts: DataFrame, depth: int | None = None, steps: int = 20) -> list[int]:
     """Depths from 1 to ``depth`` in equal steps; without one, half the median of the samples' totals.  Runs a query."""
     if depth is None:
@@ -172,20 +159,17 @@ def rarefaction_depths(counts: DataFrame, depth: int | None = None, steps: int =
 
 
 def rarefy(counts: DataFrame, depths: list[int], iterations: int = 30, seed: int = 0) -> DataFrame:
-    """``(sample_id, depth, iteration, observed, shannon)`` of subsamples; depths above a sample's total are left out.
+    """``(sample_id, depth, iteration, observed, shannon)`` of random subsamples without replacement; depths above a sample's total are left out.
 
-    The order of a draw is the md5 of seed, iteration and feature, so that it
-    can be repeated elsewhere.
+    Draws are those of :func:`tallyframe.operators.draws.draw`, run by iteration.
     """
-    runs = counts.where("value > 0").select("sample_id", "feature_id", F.col("value").cast("long").alias("value"), F.explode(F.sequence(F.lit(1), F.lit(iterations))).alias("iteration"))
-    runs = runs.withColumn("draw", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("iteration").cast("string"), F.col("feature_id").cast("string"))))
-    group = ["sample_id", "iteration"]
-    placed = running_sum(runs, group, ["draw"], "value").withColumn("depth", F.explode(F.array(*[F.lit(d).cast("long") for d in depths])))
-    rows = drawn(placed, [*group, "depth"], F.col("depth"))
+    from .draws import draw
+
+    runs = counts.select("sample_id").distinct().withColumn("run", F.explode(F.sequence(F.lit(1), F.lit(iterations))))
+    runs = runs.withColumn("depth", F.explode(F.array(*[F.lit(d).cast("long") for d in depths]).cast("array<bigint>")))
     p = F.col("drawn") / F.col("depth")
-    some = rows.where("drawn > 0").groupBy("sample_id", "depth", "iteration").agg(F.count(F.lit(1)).alias("observed"), F.sum(-p * F.log2(p)).alias("shannon"), F.sum("drawn").alias("n"))
-    totals = counts.where("value > 0").groupBy("sample_id").agg(F.sum("value").alias("all_units"))
-    return some.join(totals, "sample_id").where("depth <= all_units").select("sample_id", "depth", "iteration", "observed", "shannon")
+    some = draw(counts, runs, seed=seed).groupBy("sample_id", "depth", F.col("run").alias("iteration"))
+    return some.agg(F.count(F.lit(1)).alias("observed"), F.sum(-p * F.log2(p)).alias("shannon"))
 
 
 def _log_factorial(n: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import filters as Q
+from ..operators.draws import draw_sql
 from .registry import query
 from .standins import rounded, table, view
 
@@ -386,8 +387,11 @@ def _(spark, d):
     return Q.subsample_reads(table(spark, d, "conversations"), "conv_id", 0.4, 20).select("conv_id", "turn")
 
 
-@query("f23_downsample_counts", """WITH t AS (SELECT sample_id, feature_id, CAST(value AS HUGEINT) AS v, sum(value) OVER (PARTITION BY sample_id)::HUGEINT AS total, coalesce(sum(value) OVER (PARTITION BY sample_id ORDER BY md5(concat('0:', sample_id, ':', feature_id)) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS before FROM otus),
-l AS (SELECT min(total) AS least FROM t), k AS (SELECT sample_id, feature_id, (before + v) * least // total - before * least // total AS value FROM t, l) SELECT sample_id, feature_id, CAST(value AS DOUBLE) AS value FROM k WHERE value > 0""", "otus")
+LEAST = "(SELECT min({total: t, name: sample_id}) FROM (SELECT sample_id, sum(value) AS t FROM otus GROUP BY 1))"
+
+
+@query("f23_downsample_counts", f"""WITH {draw_sql("SELECT sample_id, feature_id, value FROM otus", f"SELECT DISTINCT sample_id, 0 AS run, {LEAST}.total AS depth FROM otus WHERE sample_id <> {LEAST}.name", replace=True)}
+SELECT sample_id, feature_id, CAST(drawn AS DOUBLE) AS value FROM drawn UNION ALL SELECT sample_id, feature_id, value FROM otus WHERE sample_id = {LEAST}.name""", "otus")
 def _(spark, d):
     return Q.downsample_counts(view(spark, d, "otus").select("sample_id", "feature_id", "value"))
 

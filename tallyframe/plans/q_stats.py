@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import normalise as N
 from ..operators import windows as W
+from ..operators.draws import draw_sql
 from ..operators.joins import complete_grid
 from .registry import query
 from .standins import rounded, table, view
@@ -159,13 +160,12 @@ def _(spark, d):
     return rounded(N.rarefy_expected(view(spark, d, "otus"), [10, 100, 500]), "expected", digits=4)
 
 
-@query("m15_rarefy_draws", """
-WITH h AS (SELECT CAST(floor(quantile_cont(t, 0.5) / 2) AS BIGINT) AS depth FROM (SELECT sum(value) AS t FROM otus GROUP BY sample_id)),
-s AS (SELECT DISTINCT CAST(round_even(1 + (depth - 1) * k / 3.0, 0) AS BIGINT) AS depth FROM h, range(4) AS r(k)),
-o AS (SELECT sample_id, feature_id, CAST(value AS HUGEINT) AS v, i AS iteration, md5(concat('0:', i, ':', feature_id)) AS draw FROM otus, range(1, 4) AS r(i)),
-b AS (SELECT *, sum(v) OVER (PARTITION BY sample_id, iteration) AS total, coalesce(sum(v) OVER (PARTITION BY sample_id, iteration ORDER BY draw ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS before FROM o),
-n AS (SELECT sample_id, depth, iteration, (before + v) * depth // total::HUGEINT - before * depth // total::HUGEINT AS n FROM b, s WHERE depth <= total)
-SELECT sample_id, depth, CAST(iteration AS INTEGER) AS iteration, count(*) AS observed, round(sum(-n / depth::DOUBLE * log2(n / depth::DOUBLE)), 6) AS shannon FROM n WHERE n > 0 GROUP BY 1, 2, 3""", "otus")
+RUNS = """SELECT DISTINCT sample_id, i AS run, CAST(round_even(1 + (depth - 1) * k / 3.0, 0) AS BIGINT) AS depth
+FROM (SELECT CAST(floor(quantile_cont(t, 0.5) / 2) AS BIGINT) AS depth FROM (SELECT sum(value) AS t FROM otus GROUP BY sample_id)), otus, range(4) AS r(k), range(1, 4) AS q(i)"""
+
+
+@query("m15_rarefy_draws", f"""WITH {draw_sql("SELECT sample_id, feature_id, value FROM otus", RUNS)}
+SELECT sample_id, depth, CAST(run AS INTEGER) AS iteration, count(*) AS observed, round(sum(-drawn / depth::DOUBLE * log2(drawn / depth::DOUBLE)), 6) AS shannon FROM drawn GROUP BY 1, 2, 3""", "otus")
 def _(spark, d):
     otus = view(spark, d, "otus").select("sample_id", "feature_id", "value")
     return rounded(N.rarefy(otus, N.rarefaction_depths(otus, steps=4), 3), "shannon")

@@ -48,7 +48,7 @@ def test_queries_without_sql():
 
 
 #: Queries that parse or fit in Python, as the operator's docstring says.
-PYTHON = {"j17_knn", "s20_html_tables", "m17_rank_test", "m17_rank_test_p", "m20_fit_features"}
+PYTHON = {"j17_knn", "f23_downsample_counts", "m15_rarefy_draws", "s20_html_tables", "m17_rank_test", "m17_rank_test_p", "m20_fit_features"}
 
 
 def test_sql_queries_stay_in_the_jvm(spark):
