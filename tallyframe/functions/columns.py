@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ranges import carried
+
 
 def feature_table(gtf: DataFrame, kind: str, drop: list[str] = ()) -> DataFrame:
     """Rows of one feature kind, its id first, ``seqname`` as ``chrom``."""
@@ -168,8 +170,9 @@ def flag_qc(value: Column, passes: float, warns: float) -> Column:
     return F.when(value.isNull(), "MISSING").when(value >= passes, "PASS").when(value >= warns, "WARN").otherwise("FAIL")
 
 
-def fill_forward(column: str, group: str, order: str) -> Column:
-    return F.last(column, ignorenulls=True).over(Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+def fill_forward(rows: DataFrame, column: str, group: str, order: str, name: str) -> DataFrame:
+    """Adds ``name``: the column, or where it is null its last value before that in the group's order."""
+    return carried(rows, [group], [order], **{name: F.col(column)}).withColumn(name, F.coalesce(column, name))
 
 
 def clean_names(name: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import overlap_join
-from .ranges import with_totals
+from .ranges import quantiles, running_sum, with_totals
 
 
 def collapse_junctions(junctions: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def biotype_totals(counts: DataFrame, features: DataFrame, rel: float = 0.01, fr
 def top_features(counts: DataFrame, n: int = 10) -> DataFrame:
     """``(sample_id, feature, value)``: the features with the largest totals by name, all others as "other"."""
     top = counts.groupBy("feature_id").agg(F.sum("value").alias("t")).orderBy(F.desc("t"), "feature_id").limit(n).select("feature_id", F.lit(True).alias("top"))
-    named = counts.join(F.broadcast(top), "feature_id", "left").withColumn("feature", F.when(F.col("top"), F.col("feature_id").cast("string")).otherwise("other"))
+    named = counts.join(top, "feature_id", "left").withColumn("feature", F.when(F.col("top"), F.col("feature_id").cast("string")).otherwise("other"))
     return named.groupBy("sample_id", "feature").agg(F.sum("value").alias("value"))
 
 
@@ -98,9 +98,10 @@ def collapse_reads(reads: DataFrame) -> DataFrame:
 
 
 def mark_duplicates(reads: DataFrame) -> DataFrame:
-    """Adds ``duplicate``: all but the best read (quality, then name) of a contig, position and strand."""
-    order = Window.partitionBy("contig", "start", "strand").orderBy(F.desc("quality"), "name")
-    return reads.withColumn("duplicate", F.row_number().over(order) > 1)
+    """Adds ``duplicate``: all but the best read (quality, then name) of a contig, position and strand; rows of that quality and name are that read."""
+    mine = F.struct((-F.col("quality")).alias("less"), F.col("name"))
+    rows = with_totals(reads, ["contig", "start", "strand"], best_read=F.min(mine))
+    return rows.withColumn("duplicate", ~mine.eqNullSafe(F.col("best_read"))).drop("best_read")
 
 
 def count_by(rows: DataFrame, *keys: str) -> DataFrame:
@@ -114,7 +115,9 @@ def depth_stats(depth: DataFrame) -> DataFrame:
     bins = [F.count_if(d == 0).alias("depth_0")]
     bins += [F.count_if((d > a) & (d <= b)).alias(f"depth_{b}") for a, b in zip(edges, edges[1:])]
     bins.append(F.count_if(d > edges[-1]).alias("depth_more"))
-    return depth.groupBy("contig").agg(F.avg(d).alias("mean"), F.percentile(d, F.lit(0.5)).alias("median"), F.min(d).alias("min"), F.max(d).alias("max"), F.avg((d >= 100).cast("double")).alias("share_100"), *bins)
+    middle = quantiles(depth, ["contig"], d, [0.5]).select(F.col("contig").alias("of"), F.get("quantiles", F.lit(0)).alias("median"))
+    rest = depth.groupBy("contig").agg(F.avg(d).alias("mean"), F.min(d).alias("min"), F.max(d).alias("max"), F.avg((d >= 100).cast("double")).alias("share_100"), *bins)
+    return rest.join(middle, F.col("contig").eqNullSafe(F.col("of")), "left").drop("of")
 
 
 def qc_per_cell(cells: DataFrame, mt: Column) -> DataFrame:
@@ -240,12 +243,10 @@ def saturation(rows: DataFrame, key: str, feature: str, steps: int = 10) -> Data
 def taxon_summary(reads: DataFrame, covered: float = 0.9, special: str = "(?i)plasmid|phage") -> DataFrame:
     """Per file: best taxon, its percentage to one decimal, how many taxa cover the share, how many match the special names."""
     per = reads.groupBy("file", "taxon").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("file").orderBy(F.desc("n"), "taxon")
-    rows = per.withColumn("total", F.sum("n").over(Window.partitionBy("file"))).withColumn("before", F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("k", F.row_number().over(order))
-    first = F.col("k") == 1
+    rows = with_totals(running_sum(per, ["file"], [F.desc("n"), "taxon"], "n"), ["file"], total=F.sum("n"))
     return rows.groupBy("file").agg(
-        F.max(F.when(first, F.col("taxon"))).alias("best"),
-        F.floor(F.max(F.when(first, F.col("n") * 1000 / F.col("total"))) + 0.5).alias("per_mille"),
+        F.min_by("taxon", F.struct((-F.col("n")).alias("less"), "taxon")).alias("best"),
+        F.floor(F.max(F.col("n") * 1000 / F.col("total")) + 0.5).alias("per_mille"),
         F.count_if(F.col("before") < covered * F.col("total")).alias("covering"),
         F.count_if(F.col("taxon").rlike(special)).alias("special"),
     )

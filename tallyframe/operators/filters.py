@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranges import first_keys, running_sum
+from ..scratch import materialise
+from .ranges import first_keys, quantiles, running_sum
 
 def filter_junctions(junctions: DataFrame, min_unique: float = 3, min_overhang: float = 0, min_samples: float = 0.2) -> DataFrame:
     """All criteria are strict; below 1, ``min_samples`` is a fraction of the largest sample count, cut to an integer."""
@@ -87,7 +88,7 @@ def filter_abundance(otus: DataFrame, above: float, share: float, groups: int) -
     seen = otus.groupBy("feature_id").agg(F.count_if(F.col("value") > above).alias("k")).crossJoin(F.broadcast(n)).where(F.col("k") > share * F.col("samples"))
     rows = otus.join(seen, "feature_id", "left_semi")
     top = rows.groupBy("phylum").agg(F.sum("value").alias("t")).orderBy(F.desc("t"), "phylum").limit(groups)
-    return rows.join(F.broadcast(top), "phylum", "left_semi")
+    return rows.join(top, "phylum", "left_semi")
 
 
 def require_taxa(taxa: DataFrame, required: dict[str, str], excluded: dict[str, str]) -> DataFrame:
@@ -105,7 +106,8 @@ def min_group_total(counts: DataFrame, group: str, least: float) -> DataFrame:
 def var_filter(counts: DataFrame, fraction: float = 0.5, lowest: float = 0.1) -> DataFrame:
     """``(feature_id, total, variance, rank)``: features above the lowest decile of totals, then the most variable fraction, 3 at least.  Counts them when it is called."""
     stats = counts.groupBy("feature_id").agg(F.sum("value").alias("total"), F.var_samp("value").alias("variance"))
-    floor = stats.agg(F.percentile("total", F.lit(lowest)).alias("floor"))
+    stats = materialise(stats, "feature-variances")
+    floor = quantiles(stats, [], "total", [lowest]).select(F.get("quantiles", F.lit(0)).alias("floor"))
     rows = stats.crossJoin(F.broadcast(floor)).where("total > floor and variance is not null").drop("floor")
     n = int(rows.count() * fraction)
     top = rows.orderBy(F.desc(F.round("variance", 9)), "feature_id").limit(max(3, n))
@@ -114,9 +116,11 @@ def var_filter(counts: DataFrame, fraction: float = 0.5, lowest: float = 0.1) ->
 
 def filter_low_var(counts: DataFrame, top: float, min_mean: float = 5) -> DataFrame:
     """Features with a mean above ``min_mean`` and among the top fraction by median absolute deviation."""
-    rows = counts.join(counts.groupBy("feature_id").agg(F.avg("value").alias("m"), F.percentile("value", F.lit(0.5)).alias("median")).where(F.col("m") > min_mean), "feature_id")
-    mads = rows.groupBy("feature_id").agg(F.percentile(F.abs(F.col("value") - F.col("median")), F.lit(0.5)).alias("mad"))
-    edge = mads.agg(F.percentile("mad", F.lit(1 - top)).alias("edge"))
+    middle = lambda rows, v, n: quantiles(rows, ["feature_id"], v, [0.5]).select("feature_id", F.get("quantiles", F.lit(0)).alias(n))
+    large = counts.groupBy("feature_id").agg(F.avg("value").alias("m")).where(F.col("m") > min_mean)
+    rows = counts.join(large, "feature_id", "left_semi")
+    mads = middle(rows.join(middle(rows, "value", "median"), "feature_id"), F.abs(F.col("value") - F.col("median")), "mad")
+    edge = quantiles(mads, [], "mad", [1 - top]).select(F.get("quantiles", F.lit(0)).alias("edge"))
     return mads.crossJoin(F.broadcast(edge)).where("mad >= edge").drop("edge")
 
 

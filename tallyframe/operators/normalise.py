@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranges import running_sum, with_totals
+from ..scratch import materialise
+from .ranges import quantiles, running_sum, with_totals
 
 
 def _over(column: Column, key: str) -> Column:
@@ -53,12 +54,17 @@ def size_factors(counts: DataFrame, mode: str = "nonzero") -> DataFrame:
         n = counts.agg(F.countDistinct("sample_id").alias("n"))
         means = positive.groupBy("feature_id").agg(F.sum(F.ln("value")).alias("s")).crossJoin(F.broadcast(n)).select("feature_id", (F.col("s") / F.col("n")).alias("log_mean"))
     ratio = F.exp(F.ln("value") - F.col("log_mean"))
-    return positive.join(means, "feature_id").groupBy("sample_id").agg(F.percentile(ratio, F.lit(0.5)).alias("size_factor"))
+    return quantiles(positive.join(means, "feature_id"), ["sample_id"], ratio, [0.5]).select("sample_id", F.get("quantiles", F.lit(0)).alias("size_factor"))
 
 
-def log_normalise(cells: DataFrame, target: float = 1e6) -> DataFrame:
-    """Adds ``log_value``: log1p of counts scaled to ``target`` per barcode."""
-    return with_totals(cells, ["barcode"], total=F.sum("value")).withColumn("log_value", F.log1p(F.col("value") / F.col("total") * target)).drop("total")
+def log_normalise(cells: DataFrame, target: float | None = 1e6) -> DataFrame:
+    """Adds ``log_value``: log1p of counts scaled to ``target`` per barcode; None: to the median of the barcodes' totals above 0.  Null where a total is 0."""
+    rows = with_totals(cells, ["barcode"], total=F.sum("value"))
+    if target is not None:
+        return rows.withColumn("log_value", F.log1p(F.col("value") / F.nullif(F.col("total"), F.lit(0.0)) * target)).drop("total")
+    totals = cells.groupBy("barcode").agg(F.sum("value").cast("double").alias("value")).where("value > 0")
+    middle = quantiles(totals, [], "value", [0.5]).select(F.get("quantiles", 0).alias("middle"))
+    return rows.crossJoin(middle).withColumn("log_value", F.log1p(F.col("value") / F.nullif(F.col("total"), F.lit(0.0)) * F.col("middle"))).drop("total", "middle")
 
 
 def variance_stabilise(counts: DataFrame, size: float | None = None) -> DataFrame:
@@ -74,17 +80,24 @@ def variance_stabilise(counts: DataFrame, size: float | None = None) -> DataFram
 
 def scale(counts: DataFrame) -> DataFrame:
     """Adds ``z``: z-score per feature over the rows given; null where the deviation is 0."""
-    return counts.withColumn("z", (F.col("value") - _over(F.avg("value"), "feature_id")) / F.nullif(_over(F.stddev_samp("value"), "feature_id"), F.lit(0.0)))
+    rows = with_totals(counts, ["feature_id"], centre=F.avg("value"), spread=F.stddev_samp("value"))
+    return rows.withColumn("z", (F.col("value") - F.col("centre")) / F.nullif(F.col("spread"), F.lit(0.0))).drop("centre", "spread")
+
+
+def median_by(rows: DataFrame, group: str, value: Column | str, name: str) -> DataFrame:
+    """``(group, name)``: the exact median of each group."""
+    return quantiles(rows, [group], value, [0.5]).select(group, F.get("quantiles", F.lit(0)).alias(name))
 
 
 def highly_variable(counts: DataFrame, n: int, bins: int = 10) -> DataFrame:
     """The ``n`` features with the largest dispersion, normalised by median and MAD within bins of the mean."""
     stats = counts.groupBy("feature_id").agg(F.avg("value").alias("mean"), (F.var_samp("value") / F.avg("value")).alias("dispersion")).where("dispersion is not null")
-    edges = stats.agg(F.percentile("mean", F.array(*[F.lit(k / bins) for k in range(1, bins)])).alias("edges"))
+    stats = materialise(stats, "feature-dispersions")
+    edges = quantiles(stats, [], "mean", [k / bins for k in range(1, bins)]).withColumnRenamed("quantiles", "edges")
     binned = stats.crossJoin(F.broadcast(edges)).withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("mean")))).drop("edges")
-    medians = binned.groupBy("bin").agg(F.percentile("dispersion", F.lit(0.5)).alias("median"))
+    medians = median_by(binned, "bin", "dispersion", "median")
     centred = binned.join(F.broadcast(medians), "bin").withColumn("off", F.abs(F.col("dispersion") - F.col("median")))
-    mads = centred.groupBy("bin").agg(F.percentile("off", F.lit(0.5)).alias("mad"))
+    mads = median_by(centred, "bin", "off", "mad")
     score = (F.col("dispersion") - F.col("median")) / F.nullif(F.col("mad"), F.lit(0.0))
     ranked = centred.join(F.broadcast(mads), "bin").withColumn("score", score).where("score is not null")
     return ranked.select("feature_id", "mean", "dispersion", "bin", "score").orderBy(F.desc(F.round("score", 9)), "feature_id").limit(n)
@@ -154,7 +167,7 @@ def rarefaction_depths(counts: DataFrame, depth: int | None = None, steps: int =
     """Depths from 1 to ``depth`` in equal steps; without one, half the median of the samples' totals.  Runs a query."""
     if depth is None:
         totals = counts.groupBy("sample_id").agg(F.sum("value").alias("t"))
-        depth = int((totals.agg(F.percentile("t", F.lit(0.5))).first()[0] or 0) / 2)
+        depth = int((quantiles(totals, [], "t", [0.5]).first().quantiles[0] or 0) / 2)
     return sorted({round(1 + (depth - 1) * k / max(1, steps - 1)) for k in range(steps)} - {0}) if depth >= 1 else []
 
 
@@ -214,6 +227,51 @@ def rank_test(rows: DataFrame, group: str = "grp", value: str = "value") -> Data
     return out.withColumn("p", chi2_sf(F.col("h"), F.col("df")))
 
 
+def rank_markers(cells: DataFrame, groups: DataFrame) -> DataFrame:
+    """Wilcoxon rank-sum of each feature, each group of cells against all other cells.
+
+    ``cells`` is (barcode, feature, value), zeros left out or not; ``groups`` is
+    (barcode, grp), one row for every cell that counts, also for those without
+    a value.  Returns ``(feature, grp, n, detected, rank_sum, u, auc, z, p)``: z
+    with tie correction, p two-sided; null where all cells tie or a group has
+    all cells.  Cells without a group are left out; null values are 0.
+
+    A feature's values are a histogram by value and group, and its zeros one
+    block of ties that is never a row: rank sums are closed sums over the
+    histogram, whose running totals go by value ranges.
+    """
+    sizes = groups.where("grp is not null").groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    everyone = sizes.agg(F.sum("n").alias("all_cells"))
+    rows = cells.where(F.col("value") != 0).join(groups, "barcode").where("grp is not null")
+    each = materialise(rows.groupBy("feature", "value", "grp").agg(F.count(F.lit(1)).alias("c")), "marker-histogram")
+    values = running_sum(each.groupBy("feature", "value").agg(F.sum("c").alias("t")), ["feature"], ["value"], "t")
+    t = F.col("t").cast("double")
+    blocks = values.groupBy("feature").agg(F.sum("t").alias("some"), F.coalesce(F.sum(F.when(F.col("value") < 0, F.col("t"))), F.lit(0)).alias("negative"), F.sum(t * t * t - t).alias("ties"))
+    silent = cells.select("feature").distinct().join(blocks, "feature", "left").fillna(0, ["some", "negative"]).fillna(0.0, ["ties"]).crossJoin(everyone)
+    zeros = (F.col("all_cells") - F.col("some")).cast("double")
+    blocks = silent.select("feature", "all_cells", zeros.alias("zeros"), (F.col("negative") + (zeros + 1) / 2).alias("zero_rank"), (F.col("ties") + zeros * zeros * zeros - zeros).alias("ties"))
+    ranked = values.join(blocks.select("feature", "zeros"), "feature").select("feature", "value", (F.col("before") + (t + 1) / 2 + F.when(F.col("value") > 0, F.col("zeros")).otherwise(0.0)).alias("rank"))
+    held = each.join(ranked, ["feature", "value"]).groupBy("feature", "grp").agg(F.sum(F.col("c") * F.col("rank")).alias("r"), F.sum("c").alias("detected"))
+    grid = blocks.crossJoin(sizes).join(held, ["feature", "grp"], "left").fillna(0, ["detected"]).fillna(0.0, ["r"])
+    n, total = F.col("n").cast("double"), F.col("all_cells").cast("double")
+    rank_sum = F.col("r") + (n - F.col("detected")) * F.col("zero_rank")
+    u = F.col("rank_sum") - n * (n + 1) / 2
+    spread = n * (total - n) / 12 * (total + 1 - F.col("ties") / F.nullif(total * (total - 1), F.lit(0.0)))
+    z = (F.col("u") - n * (total - n) / 2) / F.nullif(F.sqrt(F.greatest(spread, F.lit(0.0))), F.lit(0.0))
+    out = grid.withColumn("rank_sum", rank_sum).withColumn("u", u).withColumn("auc", F.col("u") / F.nullif(n * (total - n), F.lit(0.0))).withColumn("z", z)
+    return out.select("feature", "grp", "n", "detected", "rank_sum", "u", "auc", "z", normal_p(F.col("z")).alias("p"))
+
+
+def normal_p(z: Column) -> Column:
+    """Two-sided p-value of a standard normal."""
+
+    @F.pandas_udf("double")
+    def tail(v: pd.Series) -> pd.Series:
+        return (v.abs() / math.sqrt(2)).map(math.erfc, na_action="ignore").astype("float64")
+
+    return tail(z.cast("double"))
+
+
 def _gamma_q(a: float, x: float) -> float:
     """Upper regularised incomplete gamma function."""
     if x <= 0:
@@ -377,21 +435,10 @@ def remove_batch(rows: DataFrame) -> DataFrame:
 
 
 def pca(counts: DataFrame, k: int) -> DataFrame:
-    """``(sample_id, component, score)`` of centred features, by the samples' Gram matrix.
-
-    Only the samples x samples matrix is gathered; features are never wide.
-    """
-    import numpy as np
+    """``(sample_id, component, score, variance)`` of centred features; loadings are in :mod:`tallyframe.operators.decompose`."""
+    from .decompose import principal_components
 
-    centred = counts.withColumn("value", F.col("value") - _over(F.avg("value"), "feature_id")).select("sample_id", "feature_id", "value")
-    other = centred.select(F.col("sample_id").alias("other"), "feature_id", F.col("value").alias("y"))
-    gram = centred.join(other, "feature_id").groupBy("sample_id", "other").agg(F.sum(F.col("value") * F.col("y")).alias("g")).toPandas()
-    names = sorted(set(gram.sample_id))
-    g = gram.pivot(index="sample_id", columns="other", values="g").reindex(index=names, columns=names).fillna(0).to_numpy()
-    values, vectors = np.linalg.eigh(g)
-    order = np.argsort(-values)[:k]
-    rows = [(names[i], c + 1, float(vectors[i, o] * np.sqrt(max(values[o], 0))), float(max(values[o], 0))) for c, o in enumerate(order) for i in range(len(names))]
-    return counts.sparkSession.createDataFrame(rows, "sample_id string, component int, score double, variance double")
+    return principal_components(counts, k)[0]
 
 
 def explained_variance(variances: DataFrame, most: int = 20, least: int = 2, share: float = 0.9) -> DataFrame:
@@ -428,8 +475,10 @@ def module_eigenvector(counts: DataFrame, modules: DataFrame) -> DataFrame:
 
 def expression_summary(counts: DataFrame) -> DataFrame:
     """Minimum, quartiles (of the values themselves), median, mean and maximum of each sample."""
-    disc = lambda p: F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY value)")
-    return counts.groupBy("sample_id").agg(F.min("value").alias("min"), disc(0.25).alias("q1"), disc(0.5).alias("median"), F.avg("value").alias("mean"), disc(0.75).alias("q3"), F.max("value").alias("max"))
+    four = quantiles(counts, ["sample_id"], "value", [0.25, 0.5, 0.75], discrete=True).withColumnRenamed("sample_id", "of")
+    q = lambda k, n: F.get("quantiles", F.lit(k)).alias(n)
+    plain = counts.groupBy("sample_id").agg(F.min("value").alias("min"), F.avg("value").alias("mean"), F.max("value").alias("max"))
+    return plain.join(four, F.col("sample_id").eqNullSafe(F.col("of")), "left").select("sample_id", "min", q(0, "q1"), q(1, "median"), "mean", q(2, "q3"), "max")
 
 
 def contrast_tables(counts: DataFrame, groups: DataFrame) -> DataFrame:
@@ -496,16 +545,18 @@ def two_sample_z(pairs: DataFrame, bins: int = 20) -> DataFrame:
     excess variance on the squared median gives the dispersion.
     """
     x = pairs.withColumn("d", (F.col("value") - F.col("baseline")) / math.sqrt(2)).where("baseline + value > 0")
-    edges = x.agg(F.percentile("baseline", F.array(*[F.lit(k / bins) for k in range(1, bins)])).alias("edges"))
+    edges = quantiles(x, [], "baseline", [k / bins for k in range(1, bins)]).withColumnRenamed("quantiles", "edges")
     binned = x.crossJoin(F.broadcast(edges)).withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("baseline"))))
-    centre = binned.groupBy("bin").agg(F.percentile("d", F.lit(0.5)).alias("centre"), F.percentile("baseline", F.lit(0.5)).alias("mu"))
-    spread = binned.join(F.broadcast(centre), "bin").groupBy("bin", "mu").agg(F.pow(1.4826 * F.percentile(F.abs(F.col("d") - F.col("centre")), F.lit(0.5)), 2).alias("v"))
+    centre = median_by(binned, "bin", "d", "centre").join(median_by(binned, "bin", "baseline", "mu"), "bin")
+    spread = median_by(binned.join(F.broadcast(centre), "bin"), "bin", F.abs(F.col("d") - F.col("centre")), "off").join(centre, "bin").withColumn("v", F.pow(1.4826 * F.col("off"), 2))
     fit = spread.agg((F.sum((F.col("v") - F.col("mu")) * F.col("mu") * F.col("mu")) / F.sum(F.pow("mu", F.lit(4.0)))).alias("dispersion"))
     size = F.when(F.col("dispersion") > 0, 1 / F.col("dispersion")).otherwise(1e9)
     stable = lambda c: F.sqrt("size") * F.asinh(F.sqrt(F.col(c) / F.col("size")))
     diff = x.crossJoin(F.broadcast(fit.select(size.alias("size")))).withColumn("diff", stable("value") - stable("baseline"))
-    mad = diff.agg(F.percentile("diff", F.lit(0.5)).alias("middle"))
+    diff = materialise(diff, "two-sample-differences")
+    middle = lambda rows, v, n: quantiles(rows, [], v, [0.5]).select(F.get("quantiles", F.lit(0)).alias(n))
+    mad = middle(diff, "diff", "middle")
     off = diff.crossJoin(F.broadcast(mad))
-    scale_ = off.agg((1.4826 * F.percentile(F.abs(F.col("diff") - F.col("middle")), F.lit(0.5))).alias("scale"))
+    scale_ = middle(off, 1.4826 * F.abs(F.col("diff") - F.col("middle")), "scale")
     tested = off.crossJoin(F.broadcast(scale_)).select("feature_id", (F.col("diff") / F.nullif(F.col("scale"), F.lit(0.0))).alias("z"))
     return pairs.select("feature_id").join(tested, "feature_id", "left").fillna(0.0, ["z"])

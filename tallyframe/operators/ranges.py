@@ -49,6 +49,22 @@ def by_range(parts: DataFrame, sums: DataFrame, keys: list[str]) -> DataFrame:
     return parts.join(named, same).drop(*[f"range_{k}" for k in keys])
 
 
+def carried(rows: DataFrame, group: list[str], order: list[str], **values: Column) -> DataFrame:
+    """Adds the last non-null of each value over the rows of the same group that sort earlier (a scan with the last value as its sum).
+
+    Rows should not tie in ``order``.
+    """
+    parts = ranged(rows.withColumns(values), *group, *order)
+    keys, earlier = [*group, PART], (Window.unboundedPreceding, -1)
+    place = F.struct(*order)
+    ends = parts.groupBy(*keys).agg(*[F.max_by(n, F.when(F.col(n).isNotNull(), place)).alias(f"range_{n}") for n in values])
+    ranges_ = Window.partitionBy(*group).orderBy(PART).rowsBetween(*earlier)
+    ends = ends.withColumns({f"range_{n}": F.last(f"range_{n}", ignorenulls=True).over(ranges_) for n in values})
+    inner = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*earlier)
+    met = by_range(parts.withColumns({n: F.last(n, ignorenulls=True).over(inner) for n in values}), ends, keys)
+    return met.withColumns({n: F.coalesce(n, f"range_{n}") for n in values}).drop(PART, *[f"range_{n}" for n in values])
+
+
 def numbered(rows: DataFrame, *order: Column | str, name: str = "number") -> DataFrame:
     """Adds consecutive numbers from 1 in the order given, which should have no ties."""
     return running_sum(rows, [], list(order), F.lit(1), name).withColumn(name, F.col(name) + 1)
@@ -63,4 +79,37 @@ def first_keys(rows: DataFrame, key: str, order: Column, n: int) -> DataFrame:
 def with_totals(rows: DataFrame, keys: list[str], **totals: Column) -> DataFrame:
     """Adds aggregates of each row's group: summed up first and joined back, so a large group is no shuffle partition."""
     sums = rows.groupBy(*[F.col(k).alias(f"total_{k}") for k in keys]).agg(*[v.alias(n) for n, v in totals.items()])
+    if not keys:
+        return rows.crossJoin(sums)  # one row
     return rows.join(sums, [F.col(k).eqNullSafe(F.col(f"total_{k}")) for k in keys]).drop(*[f"total_{k}" for k in keys])
+
+
+def quantiles(rows: DataFrame, group: list[str], value: Column | str, shares: list[float], discrete: bool = False) -> DataFrame:
+    """``(group..., quantiles array<double>)``: exact quantiles of the non-null values, by selection.
+
+    Continuous ones lie between two values of neighbouring rank, discrete ones
+    are the first value whose share of rows is reached.  Values are counted,
+    the counts summed over value ranges, and the wanted ranks picked from the
+    running sums, so a group of any size is never one task; without values, no
+    row (without ``group``: one row of nulls).
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    each = rows.select(*group, value.cast("double").alias("quantile_value")).where("quantile_value is not null").groupBy(*group, "quantile_value").agg(F.count(F.lit(1)).alias("quantile_count"))
+    placed = running_sum(each, group, ["quantile_value"], "quantile_count", "quantile_before")
+    sized = with_totals(placed, group, quantile_rows=F.sum("quantile_count"))
+    n, before, count = F.col("quantile_rows"), F.col("quantile_before"), F.col("quantile_count")
+    # ranks from 0; a value holds those from before to below before + count
+    holds = lambda rank: (before <= rank) & (rank < before + count)
+    picked, found = [], []
+    for k, share in enumerate(shares):
+        if discrete:
+            place = F.greatest(F.ceil(n * F.lit(share)) - 1, F.lit(0))
+            picked.append(F.max(F.when(holds(place), F.col("quantile_value"))).alias(f"q{k}"))
+            found.append(F.col(f"q{k}"))
+        else:
+            place = (n - 1) * F.lit(float(share))
+            low, high = (F.max(F.when(holds(f(place)), F.col("quantile_value"))) for f in (F.floor, F.ceil))
+            part = F.max(place - F.floor(place))
+            picked += [low.alias(f"l{k}"), high.alias(f"h{k}"), part.alias(f"p{k}")]
+            found.append(F.col(f"l{k}") + (F.col(f"h{k}") - F.col(f"l{k}")) * F.col(f"p{k}"))
+    return sized.groupBy(*group).agg(*picked).select(*group, F.array(*found).alias("quantiles"))

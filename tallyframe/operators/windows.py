@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranges import PART, by_range, numbered, ranged, running_sum, sum_before, with_totals
+from .ranges import PART, by_range, carried, numbered, quantiles, ranged, running_sum, sum_before, with_totals
 
 
 def cumulative_share(rows: DataFrame, group: str, share: float = 0.9) -> DataFrame:
@@ -35,8 +35,8 @@ def number_rows(rows: DataFrame, order: str, name: str = "number") -> DataFrame:
 
 def unique_names(rows: DataFrame, name: str, order: str, separator: str = "_") -> DataFrame:
     """The second and later rows of a name get their number as a suffix."""
-    k = F.row_number().over(Window.partitionBy(name).orderBy(order))
-    return rows.withColumn("k", k).withColumn("unique_name", F.when(F.col("k") == 1, F.col(name)).otherwise(F.concat_ws(separator, F.col(name), (F.col("k") - 1).cast("string")))).drop("k")
+    placed = running_sum(rows, [name], [order], F.lit(1), "earlier")
+    return placed.withColumn("unique_name", F.when(F.col("earlier") == 0, F.col(name)).otherwise(F.concat_ws(separator, F.col(name), F.col("earlier").cast("string")))).drop("earlier")
 
 
 def dominant_feature(counts: DataFrame) -> DataFrame:
@@ -75,7 +75,9 @@ def bh_adjust(rows: DataFrame, group: str, p: str = "p") -> DataFrame:
 
 
 def first_per_key(rows: DataFrame, key: str, *order: Column | str) -> DataFrame:
-    return rows.withColumn("k", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("k = 1").drop("k")
+    """The first row of each key by ascending ``order``, nulls first."""
+    first = rows.groupBy(key).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("first_row"))
+    return first.select("first_row.*")
 
 
 def chunk_profile(depth: DataFrame, size: int = 2500) -> DataFrame:
@@ -100,7 +102,7 @@ def final_droplet(votes: DataFrame) -> DataFrame:
 
 def clip_percentile(rows: DataFrame, p: float = 0.995) -> DataFrame:
     """Adds ``clipped``: values within 0 and the percentile over all rows."""
-    top = rows.agg(F.percentile("value", F.lit(p)).alias("top"))
+    top = quantiles(rows, [], "value", [p]).select(F.get("quantiles", F.lit(0)).alias("top"))
     return rows.crossJoin(F.broadcast(top)).withColumn("clipped", F.greatest(F.lit(0.0), F.least("value", "top"))).drop("top")
 
 
@@ -131,9 +133,8 @@ def expand_cds(rows: DataFrame) -> DataFrame:
 
     ``rows`` is (contig, line, feature, start, stop, strand, id).
     """
-    w = Window.partitionBy("contig").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    gene = F.last(F.when(F.col("feature") == "gene", F.struct("id", "start", "stop")), ignorenulls=True).over(w)
-    known = rows.withColumn("gene", gene)
+    own = F.when(F.col("feature") == "gene", F.struct("id", "start", "stop"))
+    known = carried(rows, ["contig"], ["line"], gene=own).withColumn("gene", F.coalesce(own, "gene"))
     cds = known.where("feature = 'CDS' and gene is not null")
     parts = F.explode(F.array(*[F.lit(x) for x in ("gene", "CDS", "transcript", "exon")])).alias("feature")
     whole = F.col("feature") == "gene"
@@ -146,10 +147,10 @@ def expand_cds(rows: DataFrame) -> DataFrame:
 
 def taxon_edges(report: DataFrame, ranks: list[str]) -> DataFrame:
     """``(file, line, name, parent, path)``: a row's parent is the latest row before it one rank up, two if there is none."""
-    w = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    rows = report.withColumn("top", F.last(F.when(F.col("rank") == ranks[0], F.col("line")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    domain = Window.partitionBy("file", "top").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumns({f"last_{k}": F.last(F.when(F.col("rank") == r, F.col("name")), ignorenulls=True).over(domain) for k, r in enumerate(ranks)})
+    rows = carried(report, ["file"], ["line"], **{f"last_{k}": F.when(F.col("rank") == r, F.struct("name", "line")) for k, r in enumerate(ranks)})
+    # what stands before the current domain doesn't count
+    top = F.when(F.col("rank") == ranks[0], F.col("line")).otherwise(F.col("last_0.line"))
+    rows = rows.withColumn("top", top).withColumns({f"last_{k}": F.when(F.col("top").isNull() | (F.col(f"last_{k}.line") >= F.col("top")), F.col(f"last_{k}.name")) for k in range(len(ranks))})
     parent = F.lit(None).cast("string")
     path = F.col("name")
     for k in range(len(ranks) - 1, 0, -1):

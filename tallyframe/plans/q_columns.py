@@ -134,7 +134,7 @@ def _(spark, d):
 @query("p21_fill_forward", "SELECT event_id, last_value(CASE WHEN event_id % 3 = 0 THEN event_type END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS filled FROM events")
 def _(spark, d):
     rows = table(spark, d, "events").withColumn("x", F.when(F.col("event_id") % 3 == 0, F.col("event_type")))
-    return rows.select("event_id", C.fill_forward("x", "user_id", "event_id").alias("filled"))
+    return C.fill_forward(rows, "x", "user_id", "event_id", "filled").select("event_id", "filled")
 
 
 @query("p22_clean_names", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE array_to_string(list_transform(string_split(p_name, ' '), lambda w: concat(upper(w[1]), lower(w[2:]))), ' ') END AS clean FROM part")

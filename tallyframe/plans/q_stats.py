@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import normalise as N
 from ..operators import windows as W
+from ..operators.decompose import principal_components
 from ..operators.draws import draw_sql
 from ..operators.joins import complete_grid
 from .registry import query
@@ -97,6 +98,16 @@ def _(spark, d):
     return rounded(pairs.agg(F.sum(F.col("score") * F.col("y")).alias("gram")), "gram", digits=2)
 
 
+@query("m9_pca_reconstruction", """
+WITH g AS (SELECT s.sample_id, f.feature_id, coalesce(value, 0) AS value FROM (SELECT DISTINCT sample_id FROM counts) s CROSS JOIN (SELECT DISTINCT feature_id FROM counts) f LEFT JOIN counts c ON c.sample_id = s.sample_id AND c.feature_id = f.feature_id)
+SELECT sample_id, feature_id, round(value - avg(value) OVER (PARTITION BY feature_id), 4) AS centred FROM g""", "counts")
+def _(spark, d):
+    """Scores times loadings of all components give the centred table back."""
+    scores, loadings = principal_components(view(spark, d, "counts"), 8)
+    back = scores.join(loadings, "component").groupBy("sample_id", "feature_id").agg(F.sum(F.col("score") * F.col("loading")).alias("centred"))
+    return back.withColumn("centred", F.round("centred", 4) + 0.0)
+
+
 @query("m10_correlation", """
 WITH k AS (SELECT sample_id, feature_id, value, rank() OVER (PARTITION BY sample_id ORDER BY value) + (count(*) OVER (PARTITION BY sample_id, value) - 1) / 2.0 AS r FROM counts)
 SELECT x.sample_id AS a, y.sample_id AS b, round(corr(x.value, y.value), 6) AS pearson, round(corr(x.r, y.r), 6) AS spearman
@@ -203,6 +214,21 @@ def _(spark, d):
     return rounded(N.rank_test(table(spark, d, "lineitem").select(F.col("l_returnflag").alias("grp"), F.col("l_quantity").alias("value"))), "h", "p", digits=5)
 
 
+@query("m17_rank_markers", """
+WITH cells AS (SELECT user_id AS barcode, event_type AS feature, CAST(count(*) AS DOUBLE) AS value FROM events WHERE value > 60 GROUP BY 1, 2),
+g AS (SELECT user_id AS barcode, user_id % 3 AS grp FROM events GROUP BY 1, 2),
+x AS (SELECT f.feature, g.barcode, g.grp, coalesce(c.value, 0) AS value FROM (SELECT DISTINCT feature FROM cells) f CROSS JOIN g LEFT JOIN cells c ON c.feature = f.feature AND c.barcode = g.barcode),
+r AS (SELECT *, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS r, count(*) OVER (PARTITION BY feature, value) AS t FROM x),
+k AS (SELECT feature, count(*)::DOUBLE AS m, sum(t * t - 1.0) AS ties FROM r GROUP BY 1),
+s AS (SELECT feature, grp, count(*)::DOUBLE AS n, count(*) FILTER (value > 0) AS detected, sum(r) AS rank_sum, sum(r) - count(*) * (count(*) + 1) / 2.0 AS u FROM r GROUP BY 1, 2)
+SELECT feature, grp, detected, rank_sum, u, round(u / (n * (m - n)), 6) AS auc, round((u - n * (m - n) / 2) / sqrt(n * (m - n) / 12 * (m + 1 - ties / (m * (m - 1)))), 6) AS z FROM s JOIN k USING (feature)""")
+def _(spark, d):
+    events = table(spark, d, "events")
+    cells = events.where("value > 60").groupBy(F.col("user_id").alias("barcode"), F.col("event_type").alias("feature")).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    groups = events.select(F.col("user_id").alias("barcode"), (F.col("user_id") % 3).alias("grp")).distinct()
+    return rounded(N.rank_markers(cells, groups).drop("n", "p"), "auc", "z")
+
+
 @query("m18_rank_correlation", """
 WITH j AS (SELECT c_acctbal AS x, t.y FROM customer JOIN (SELECT o_custkey, sum(o_totalprice) AS y FROM orders GROUP BY 1) t ON c_custkey = o_custkey),
 r AS (SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM j)

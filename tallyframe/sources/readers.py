@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranges import carried
+
 
 def read_tsv(spark: SparkSession, path: str | list[str], schema: str | None = None, header: bool = True, **options) -> DataFrame:
     reader = spark.read.option("sep", "\t").option("header", header).options(**options)
@@ -175,10 +177,9 @@ def read_indented(lines: DataFrame, indent: int, levels: int = 3) -> DataFrame:
     name, count = F.split_part("text", F.lit("\t"), F.lit(1)), F.split_part("text", F.lit("\t"), F.lit(2))
     depth = F.floor((F.length(name) - F.length(F.ltrim(name))) / indent)
     rows = lines.withColumn("depth", depth.cast("int")).withColumn("name", F.trim(name)).withColumn("count", count.cast("double"))
-    w = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    for k in range(levels):
-        seen = F.last(F.when(F.col("depth") == k, F.struct("name", "line")), ignorenulls=True).over(w)
-        rows = rows.withColumn(f"s{k}", F.when(F.col("depth") >= k, seen))
+    own = {f"s{k}": F.when(F.col("depth") == k, F.struct("name", "line")) for k in range(levels)}
+    rows = carried(rows, ["file"], ["line"], **own)
+    rows = rows.withColumns({f"s{k}": F.when(F.col("depth") >= k, F.coalesce(own[f"s{k}"], f"s{k}")) for k in range(levels)})
     cols = []
     for k in range(levels):
         # a level counts only if it stands after the one above it

@@ -48,7 +48,7 @@ def test_queries_without_sql():
 
 
 #: Queries that parse or fit in Python, as the operator's docstring says.
-PYTHON = {"j17_knn", "f23_downsample_counts", "m15_rarefy_draws", "s20_html_tables", "m17_rank_test", "m17_rank_test_p", "m20_fit_features"}
+PYTHON = {"j17_knn", "m9_pca", "m9_pca_reconstruction", "m17_rank_markers", "w11_explained_variance", "f23_downsample_counts", "m15_rarefy_draws", "s20_html_tables", "m17_rank_test", "m17_rank_test_p", "m20_fit_features"}
 
 
 def test_sql_queries_stay_in_the_jvm(spark):
@@ -66,8 +66,9 @@ def test_totals_are_summed_before_they_are_shuffled(spark, name):
     assert not re.search(r"Window \[[^\n]*\[(sample_id|barcode|contig)#\d+L?\]", plan) or name == "entry_biotype_shares"
 
 
-@pytest.mark.parametrize("name", ["w2_cumulative_share", "w3_depth_profile", "w9_bh_adjust", "w16_merge_intervals", "m17_rank_test", "m18_rank_correlation", "o1_rank_by", "w4_number_rows", "j10_cluster_sizes", "f23_downsample_counts"])
+@pytest.mark.parametrize("name", ["w2_cumulative_share", "w3_depth_profile", "w9_bh_adjust", "w16_merge_intervals", "m17_rank_test", "m18_rank_correlation", "o1_rank_by", "w4_number_rows", "j10_cluster_sizes", "f23_downsample_counts", "p21_fill_forward", "w5_unique_names", "w10_first_per_key", "w17_expand_cds", "w18_taxon_edges", "s16_read_indented", "a12_mark_duplicates", "a30_taxon_summary", "m3_size_factors", "m6_two_sample_z", "m8_highly_variable", "m17_rank_markers", "m28_expression_summary", "a14_depth_stats", "f12_var_filter", "f13_filter_low_var", "w15_clip_percentile"])
 def test_windows_see_ranges(spark, name):
     """No window gathers a contig, a sample or a table: each is over a value range or over the ranges."""
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert all("range_part" in line for line in plan.split("\n") if re.search(r"\bWindow \[", line)), plan
+    assert "percentile" not in plan

@@ -369,3 +369,37 @@ def test_classified_texts_equal_naive_bayes(spark):
     assert sum(got[r.doc_id] == best(r.text) for r in docs) >= 0.95 * len(docs)
     held = [r for r in docs if r.doc_id % 5 and r.lang is not None]
     assert sum(got[r.doc_id] == r.lang for r in held) >= 0.95 * len(held)
+
+
+def test_quantiles_are_exact_for_any_group(spark):
+    """Ties, one row, nulls, a null group and one that holds most rows; against numpy."""
+    rng = random.Random(11)
+    rows = [("big", float(rng.randint(0, 40))) for _ in range(3000)] + [("one", 3.0), ("none", None), ("two", 1.0), ("two", 2.0), (None, -1.5), (None, 7.0), (None, 7.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.995, 1.0]
+    groups = {}
+    for g, v in rows:
+        if v is not None:
+            groups.setdefault(g, []).append(v)
+    for discrete, method in ((False, "linear"), (True, "inverted_cdf")):
+        got = {r.g: r.quantiles for r in X.quantiles(df, ["g"], "v", shares, discrete).collect()}
+        assert set(got) == set(groups)
+        for g, v in groups.items():
+            assert np.allclose(got[g], np.quantile(v, shares, method=method)), (g, discrete)
+        every = [v for vs in groups.values() for v in vs]
+        assert np.allclose(X.quantiles(df, [], "v", shares, discrete).first().quantiles, np.quantile(every, shares, method=method))
+    assert X.quantiles(df.limit(0), [], "v", [0.5]).first().quantiles == [None] and X.quantiles(df.limit(0), ["g"], "v", [0.5]).count() == 0
+
+
+def test_values_are_carried_across_ranges(spark):
+    rng = random.Random(12)
+    rows = [(rng.choice(["a", None]), k, rng.choice([None] * 60 + ["x", "y"]), rng.choice([None, k])) for k in range(2000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = X.carried(spark.createDataFrame(rows, "g string, k long, s string, n long"), ["g"], ["k"], last_s=F.col("s"), last_n=F.when(F.col("n") % 50 == 0, F.struct("n"))).collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want, last = {}, {}
+    for g, k, s, n in rows:
+        want[k] = last.get(g, (None, None))
+        a, b = want[k]
+        last[g] = (s or a, n if n is not None and n % 50 == 0 else b)
+    assert {r.k: (r.last_s, r.last_n and r.last_n.n) for r in got} == want
