@@ -103,16 +103,23 @@ def highly_variable(counts: DataFrame, n: int, bins: int = 10) -> DataFrame:
     return ranked.select("feature_id", "mean", "dispersion", "bin", "score").orderBy(F.desc(F.round("score", 9)), "feature_id").limit(n)
 
 
-def correlation(counts: DataFrame, method: str = "pearson") -> DataFrame:
-    """``(a, b, r)`` for each pair of samples over the features both have."""
-    x = counts
+def correlation(counts: DataFrame, method: str = "pearson", least: float | None = None) -> DataFrame:
+    """``(a, b, r)`` for each pair of samples over the features both have, null where one doesn't vary; of at least ``least`` in size, if given."""
+    x = counts.select("sample_id", "feature_id", "value")
     if method == "spearman":
         tied = counts.groupBy("sample_id", "value").agg(F.count(F.lit(1)).alias("t"))
         ranks = running_sum(tied, ["sample_id"], ["value"], "t").select("sample_id", "value", (F.col("before") + (F.col("t") + 1) / 2.0).alias("rank"))
         x = counts.join(ranks, ["sample_id", "value"]).select("sample_id", "feature_id", F.col("rank").alias("value"))
-    from .joins import pairwise_self
+    from .pairs import pair_sums
 
-    return pairwise_self(x).groupBy("a", "b").agg(F.corr("x", "y").alias("r"))
+    # values about their sample's mean, so that sums of squares keep their digits
+    x = with_totals(x, ["sample_id"], mean=F.avg("value")).withColumn("value", F.col("value") - F.col("mean"))
+    n = F.col("n").cast("double")
+    spread = lambda s, ss: n * F.col(ss) - F.col(s) * F.col(s)
+    flat = lambda s, ss: F.when(spread(s, ss) > 1e-12 * n * F.col(ss), F.sqrt(spread(s, ss)))
+    r = (n * F.col("xy") - F.col("x") * F.col("y")) / (flat("x", "xx") * flat("y", "yy"))
+    edges = pair_sums(x, ["x", "y", "xx", "yy", "xy"]).select("a", "b", r.alias("r"))
+    return edges if least is None else edges.where(F.abs("r") >= least)
 
 
 def soft_threshold(edges: DataFrame, powers: list[int]) -> DataFrame:
@@ -124,9 +131,11 @@ def soft_threshold(edges: DataFrame, powers: list[int]) -> DataFrame:
 
 def beta_distance(counts: DataFrame, metric: str = "bray") -> DataFrame:
     """``(a, b, distance)`` for each pair of samples: Bray-Curtis or Jaccard."""
-    from .joins import pairwise_self
+    from .pairs import pair_sums
 
-    shared = pairwise_self(counts.where("value > 0")).groupBy("a", "b").agg(F.sum(F.least("x", "y")).alias("low"), F.count(F.lit(1)).alias("both"))
+    shared = pair_sums(counts.where("value > 0"), ["low"] if metric == "bray" else []).withColumnRenamed("n", "both")
+    if metric != "bray":
+        shared = shared.withColumn("low", F.lit(0.0))
     totals = counts.where("value > 0").groupBy("sample_id").agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("n"))
     one = totals.select(F.col("sample_id").alias("a"), F.col("total").alias("ta"), F.col("n").alias("na"))
     two = totals.select(F.col("sample_id").alias("b"), F.col("total").alias("tb"), F.col("n").alias("nb"))
@@ -522,9 +531,9 @@ def design_checks(samples: DataFrame, column: str, reference: str | None = None,
 
 def euclidean(counts: DataFrame) -> DataFrame:
     """``(a, b, distance)`` of samples over the features both have."""
-    from .joins import pairwise_self
+    from .pairs import pair_sums
 
-    return pairwise_self(counts).groupBy("a", "b").agg(F.sqrt(F.sum((F.col("x") - F.col("y")) * (F.col("x") - F.col("y")))).alias("distance"))
+    return pair_sums(counts, ["off"]).select("a", "b", F.sqrt("off").alias("distance"))
 
 
 def set_score(cells: DataFrame, sets: DataFrame) -> DataFrame:
