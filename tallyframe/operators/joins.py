@@ -5,6 +5,7 @@ A side is broadcast only by Spark's own size check or where its size is fixed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -75,24 +76,62 @@ def semi_join_list(rows: DataFrame, keys: DataFrame, key: str, invert: bool = Fa
 def overlap_join(a: DataFrame, b: DataFrame, bin_size: int, min_overlap: int = 1) -> DataFrame:
     """Pairs of half-open intervals (contig, start, stop) that share ``min_overlap`` positions or more.
 
-    Both sides stand in every bin they touch; a pair is emitted only in the bin
-    of the later start, so it appears once and no theta join is needed.
+    Bins are of ``bin_size`` positions on level 0 and ``WIDER`` times as many on
+    each level above.  An interval's own level is the lowest whose bins are as
+    long as it is, so it touches two bins at the most there and on any level
+    above.  The longer of a pair waits on its own level, the shorter visits the
+    levels that the other side has; a pair is emitted only in the bin of the
+    later start, so it appears once and no theta join is needed.
     """
-    bins = lambda s, e: F.sequence(F.floor(F.col(s) / bin_size), F.floor((F.col(e) - 1) / bin_size))
-    one = a.where("start < stop").select(*[F.col(c).alias(f"a_{c}") for c in a.columns], F.explode(bins("start", "stop")).alias("bin"))
-    two = b.where("start < stop").select(*[F.col(c).alias(f"b_{c}") for c in b.columns], F.explode(bins("start", "stop")).alias("b_bin"))
+    one, two = _levelled(a, "a", bin_size), _levelled(b, "b", bin_size)
+    size = bin_size * F.pow(F.lit(float(WIDER)), F.col("a_level"))
     shared = F.least("a_stop", "b_stop") - F.greatest("a_start", "b_start")
-    joined = one.join(two, (F.col("a_contig") == F.col("b_contig")) & (F.col("bin") == F.col("b_bin")))
-    first = F.floor(F.greatest("a_start", "b_start") / bin_size) == F.col("bin")
-    return joined.where((shared >= min_overlap) & first).withColumn("overlap", shared).drop("bin", "b_bin")
+    first = F.floor(F.greatest("a_start", "b_start") / size) == F.col("a_bin")
+    met = (F.col("a_contig") == F.col("b_contig")) & (F.col("a_level") == F.col("b_level")) & (F.col("a_bin") == F.col("b_bin"))
+    longer = _waiting(one, "a", bin_size).join(_visiting(two, "b", one, "a", bin_size, above=False), met)
+    shorter = _visiting(one, "a", two, "b", bin_size, above=True).join(_waiting(two, "b", bin_size), met)
+    found = longer.unionByName(shorter).where((shared >= min_overlap) & first).withColumn("overlap", shared)
+    return found.drop("a_level", "b_level", "a_bin", "b_bin", "a_own", "b_own")
+
+
+#: How much longer the bins of the next level are.
+WIDER = 4
+
+
+def _levelled(rows: DataFrame, side: str, bin_size: int) -> DataFrame:
+    """Columns named by side, and ``own``, the lowest level whose bins are as long as the interval."""
+    length = (F.col("stop") - F.col("start")).cast("double")
+    own = F.greatest(F.lit(0.0), F.ceil(F.log(length / bin_size) / math.log(WIDER))).cast("int")
+    return rows.where("start < stop").select(*[F.col(c).alias(f"{side}_{c}") for c in rows.columns], own.alias(f"{side}_own"))
+
+
+def _bins(side: str, bin_size: int) -> Column:
+    size = bin_size * F.pow(F.lit(float(WIDER)), F.col(f"{side}_level"))
+    return F.explode(F.sequence(F.floor(F.col(f"{side}_start") / size), F.floor((F.col(f"{side}_stop") - 1) / size))).alias(f"{side}_bin")
+
+
+def _waiting(rows: DataFrame, side: str, bin_size: int) -> DataFrame:
+    """Intervals in the bins of their own level."""
+    return rows.withColumn(f"{side}_level", F.col(f"{side}_own")).select("*", _bins(side, bin_size))
+
+
+def _visiting(rows: DataFrame, side: str, others: DataFrame, other: str, bin_size: int, above: bool) -> DataFrame:
+    """Intervals in the bins of every level that the other side has, from their own (``above``: from the next) up."""
+    there = others.agg(F.collect_set(f"{other}_own").alias("levels_there"))  # one row of a few dozen numbers
+    own = F.col(f"{side}_own")
+    levels = F.filter("levels_there", lambda v: (v > own) if above else (v >= own))
+    placed = rows.crossJoin(F.broadcast(there)).withColumn(f"{side}_level", F.explode(levels)).drop("levels_there")
+    return placed.select("*", _bins(side, bin_size))
 
 
 def point_in_interval(points: DataFrame, intervals: DataFrame, bin_size: int) -> DataFrame:
     """Points (contig, pos) with each interval that holds them."""
-    one = points.withColumn("bin", F.floor(F.col("pos") / bin_size))
-    two = intervals.where("start < stop").select(*[F.col(c).alias(f"i_{c}") for c in intervals.columns], F.explode(F.sequence(F.floor(F.col("start") / bin_size), F.floor((F.col("stop") - 1) / bin_size))).alias("i_bin"))
-    held = (F.col("contig") == F.col("i_contig")) & (F.col("bin") == F.col("i_bin")) & (F.col("pos") >= F.col("i_start")) & (F.col("pos") < F.col("i_stop"))
-    return one.join(two, held).drop("bin", "i_bin")
+    two = _levelled(intervals, "i", bin_size)
+    there = two.agg(F.collect_set("i_own").alias("levels_there"))  # one row of a few dozen numbers
+    size = bin_size * F.pow(F.lit(float(WIDER)), F.col("level"))
+    one = points.crossJoin(F.broadcast(there)).withColumn("level", F.explode("levels_there")).drop("levels_there").withColumn("bin", F.floor(F.col("pos") / size))
+    held = (F.col("contig") == F.col("i_contig")) & (F.col("level") == F.col("i_level")) & (F.col("bin") == F.col("i_bin")) & (F.col("pos") >= F.col("i_start")) & (F.col("pos") < F.col("i_stop"))
+    return one.join(_waiting(two, "i", bin_size), held).drop("level", "bin", "i_level", "i_bin", "i_own")
 
 
 def cluster_sizes(points: DataFrame, window: int) -> DataFrame:

@@ -407,30 +407,6 @@ def fit_two_groups(counts: DataFrame, groups: DataFrame) -> DataFrame:
     return stats.select("feature_id", lfc.alias("lfc"), t.alias("t"), df.alias("df"))
 
 
-def fit_features(rows: DataFrame, terms: list[str]) -> DataFrame:
-    """Least squares per feature of ``y`` on numeric design columns: coefficient, t and p of every term, residual variance sigma.
-
-    A feature's rows are its samples, so each group has as many rows as there
-    are samples.
-    """
-    import numpy as np
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = np.column_stack([np.ones(len(pdf)), pdf[terms].to_numpy(float)]), pdf["y"].to_numpy(float)
-        df = len(y) - x.shape[1]
-        out = {"feature_id": pdf["feature_id"].iloc[0], "term": ["intercept", *terms]}
-        if df < 1 or np.linalg.matrix_rank(x) < x.shape[1]:
-            return pd.DataFrame(out | {"coefficient": np.nan, "t": np.nan, "p": np.nan, "sigma": np.nan})
-        inverse = np.linalg.inv(x.T @ x)
-        beta = inverse @ x.T @ y
-        sigma = ((y - x @ beta) ** 2).sum() / df
-        t = beta / np.sqrt(np.maximum(np.diag(inverse) * sigma, 1e-300))
-        return pd.DataFrame(out | {"coefficient": beta, "t": t, "p": [_t_p(v, df) for v in t], "sigma": sigma})
-
-    kind = rows.schema["feature_id"].dataType.simpleString()
-    return rows.select("feature_id", "y", *terms).groupBy("feature_id").applyInPandas(fit, f"feature_id {kind}, term string, coefficient double, t double, p double, sigma double")
-
-
 def significance_counts(results: DataFrame, group: str = "term", alpha: float = 0.05) -> DataFrame:
     """``(group, down, not_significant, up)`` of ``(group, lfc, padj)``: features below alpha by the sign of their change."""
     low = F.coalesce(F.col("padj") < alpha, F.lit(False))
@@ -438,9 +414,24 @@ def significance_counts(results: DataFrame, group: str = "term", alpha: float =
     return results.groupBy(group).agg(F.count_if(down).alias("down"), F.count_if(~up & ~down).alias("not_significant"), F.count_if(up).alias("up"))
 
 
-def remove_batch(rows: DataFrame) -> DataFrame:
-    """Adds ``adjusted``: value minus its (feature, batch) mean plus the feature's mean."""
-    return rows.withColumn("adjusted", F.col("value") - F.avg("value").over(Window.partitionBy("feature_id", "batch")) + _over(F.avg("value"), "feature_id"))
+def significant_lists(results: DataFrame, group: str = "contrast", alpha: float = 0.05) -> DataFrame:
+    """``(group, direction, place, feature_id, lfc, padj)``: features below alpha as a list up and a list down, by padj, then id."""
+    low = results.where((F.col("padj") < alpha) & (F.col("lfc") != 0)).withColumn("direction", F.when(F.col("lfc") > 0, "up").otherwise("down"))
+    placed = running_sum(low, [group, "direction"], ["padj", "feature_id"], F.lit(1), "before")
+    return placed.select(group, "direction", (F.col("before") + 1).alias("place"), "feature_id", "lfc", "padj")
+
+
+def module_traits(profiles: DataFrame, traits: DataFrame) -> DataFrame:
+    """``(module, trait, n, r, p)``: Pearson correlation of ``(module, sample_id, profile)`` with numeric ``(sample_id, trait, value)`` over shared samples.
+
+    r is null where either doesn't vary, p where n is below 3.
+    """
+    rows = profiles.join(traits.where("value is not null"), "sample_id").where("profile is not null")
+    sums = rows.groupBy("module", "trait").agg(F.count(F.lit(1)).alias("n"), (F.covar_pop("profile", "value") / F.nullif(F.stddev_pop("profile") * F.stddev_pop("value"), F.lit(0.0))).alias("r"))
+    sums = sums.withColumn("r", F.when(F.col("r").isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), "r"))))
+    t = F.col("r") * F.sqrt((F.col("n") - 2) / F.nullif(1 - F.col("r") * F.col("r"), F.lit(0.0)))
+    p = F.when((F.abs("r") == 1) & (F.col("n") > 2), F.lit(0.0)).when(F.col("n") > 2, t_p_value(t, F.col("n") - 2))
+    return sums.select("module", "trait", "n", "r", p.alias("p"))
 
 
 def pca(counts: DataFrame, k: int) -> DataFrame:

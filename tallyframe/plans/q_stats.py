@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import least_squares as L
 from ..operators import normalise as N
 from ..operators import windows as W
 from ..operators.decompose import principal_components
@@ -297,7 +298,7 @@ SELECT feature_id, term, round(coefficient, 5) AS coefficient, round(coefficient
 def _(spark, d):
     logged = N.cpm(view(spark, d, "counts"), 0.5).join(_groups(spark, d), "sample_id").withColumn("y", F.log2("cpm"))
     rows = logged.withColumn("grp_b", (F.col("grp") == "b").cast("double")).withColumn("batch", (F.expr("CAST(substring(sample_id, 2) AS int)") % 2).cast("double"))
-    fitted = N.fit_features(rows, ["grp_b", "batch"]).where("not isnan(p) and sigma > 1e-9")
+    fitted = L.fit_features(rows, ["grp_b", "batch"]).where("not isnan(t) and sigma > 1e-9")
     return rounded(rounded(fitted.select("feature_id", "term", "coefficient", "t"), "coefficient", digits=5), "t", digits=3)
 
 
@@ -316,7 +317,40 @@ WITH b AS (SELECT *, CASE WHEN sample_id IN ('S0', 'S2', 'S4', 'S6') THEN 'even'
 SELECT sample_id, feature_id, round(value - avg(value) OVER (PARTITION BY feature_id, batch) + avg(value) OVER (PARTITION BY feature_id), 6) AS adjusted FROM b""", "counts")
 def _(spark, d):
     rows = view(spark, d, "counts").withColumn("batch", F.when(F.col("sample_id").isin("S0", "S2", "S4", "S6"), "even").otherwise("odd"))
-    return rounded(N.remove_batch(rows), "adjusted").select("sample_id", "feature_id", "adjusted")
+    return rounded(L.remove_batch(rows), "adjusted").select("sample_id", "feature_id", "adjusted")
+
+
+@query("m21_remove_terms", f"""
+WITH g AS ({GROUPED}), r AS (SELECT feature_id, sample_id, value, CASE WHEN grp = 'b' THEN 1.0 ELSE 0 END AS x, CAST(CAST(substr(sample_id, 2) AS INTEGER) % 2 AS DOUBLE) AS z FROM counts JOIN g USING (sample_id)),
+s AS (SELECT feature_id, count(*)::DOUBLE AS n, avg(x) AS mx, avg(z) AS mz, avg(value) AS my, sum(x * x) - sum(x) * avg(x) AS xx, sum(z * z) - sum(z) * avg(z) AS zz, sum(x * z) - sum(x) * avg(z) AS xz, sum(x * value) - sum(x) * avg(value) AS xy, sum(z * value) - sum(z) * avg(value) AS zy FROM r GROUP BY 1),
+b AS (SELECT feature_id, mz, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS bz FROM s WHERE xx > 0.01 AND xx * zz - xz * xz > 0.01)
+SELECT feature_id, sample_id, round(value - bz * (z - mz), 5) AS adjusted FROM r JOIN b USING (feature_id)""", "counts")
+def _(spark, d):
+    rows = view(spark, d, "counts").join(_groups(spark, d), "sample_id").withColumn("x", (F.col("grp") == "b").cast("double")).withColumn("z", (F.expr("CAST(substring(sample_id, 2) AS int)") % 2).cast("double"))
+    two = rows.groupBy("feature_id").agg((F.sum(F.col("x") * F.col("x")) - F.sum("x") * F.avg("x")).alias("xx"), (F.sum(F.col("z") * F.col("z")) - F.sum("z") * F.avg("z")).alias("zz"), (F.sum(F.col("x") * F.col("z")) - F.sum("x") * F.avg("z")).alias("xz"))
+    full = two.where("xx > 0.01 and xx * zz - xz * xz > 0.01")  # elsewhere the group explains the nuisance term
+    return rounded(L.remove_terms(rows.join(full, "feature_id", "left_semi"), ["z"], ["x"]).select("feature_id", "sample_id", "adjusted"), "adjusted", digits=5)
+
+
+@query("m29_significant_lists", """
+WITH r AS (SELECT l_returnflag AS contrast, l_partkey AS feature_id, avg(l_discount) - 0.05 AS lfc, round(avg(l_tax), 6) AS padj FROM lineitem GROUP BY 1, 2),
+k AS (SELECT *, CASE WHEN lfc > 0 THEN 'up' ELSE 'down' END AS direction FROM r WHERE padj < 0.03 AND abs(lfc) > 1e-9)
+SELECT contrast, direction, row_number() OVER (PARTITION BY contrast, direction ORDER BY padj, feature_id) AS place, feature_id, round(lfc, 6) AS lfc, padj FROM k""")
+def _(spark, d):
+    rows = table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("contrast"), F.col("l_partkey").alias("feature_id")).agg((F.avg("l_discount") - 0.05).alias("lfc"), F.round(F.avg("l_tax"), 6).alias("padj"))
+    return rounded(N.significant_lists(rows.where("abs(lfc) > 1e-9"), alpha=0.03), "lfc")
+
+
+@query("m12_module_traits", f"""
+WITH z AS (SELECT sample_id, feature_id, (value - avg(value) OVER (PARTITION BY feature_id)) / nullif(stddev_samp(value) OVER (PARTITION BY feature_id), 0) AS z FROM counts), m AS ({MODULES}),
+p AS (SELECT module, sample_id, avg(z) AS profile FROM z JOIN m USING (feature_id) WHERE z IS NOT NULL GROUP BY 1, 2),
+t AS (SELECT sample_id, 'total' AS trait, sum(value) AS value FROM counts GROUP BY 1 UNION ALL SELECT sample_id, 'features', count(*) FROM counts GROUP BY 1)
+SELECT module, trait, count(*) AS n, round(corr(profile, value), 6) AS r FROM p JOIN t USING (sample_id) GROUP BY 1, 2 HAVING count(*) > 3""", "counts features")
+def _(spark, d):
+    counts = view(spark, d, "counts")
+    modules = view(spark, d, "features").where("biotype = 'PROMO'").select("feature_id", F.col("gene").alias("module"))
+    traits = counts.groupBy("sample_id").agg(F.sum("value").alias("total"), F.count(F.lit(1)).cast("double").alias("features")).unpivot("sample_id", ["total", "features"], "trait", "value")
+    return rounded(N.module_traits(N.module_profile(counts, modules), traits).where("n > 3").drop("p"), "r")
 
 
 @query("m22_classify_text")

@@ -48,7 +48,7 @@ def test_queries_without_sql():
 
 
 #: Queries that parse or fit in Python, as the operator's docstring says.
-PYTHON = {"j17_knn", "m10_correlation", "m11_soft_threshold", "m13_beta_distance", "m32_euclidean", "w8_first_distances", "m9_pca", "m9_pca_reconstruction", "m17_rank_markers", "w11_explained_variance", "f23_downsample_counts", "m15_rarefy_draws", "s20_html_tables", "m17_rank_test", "m17_rank_test_p", "m20_fit_features"}
+PYTHON = {"j17_knn", "m10_correlation", "m11_soft_threshold", "m13_beta_distance", "m32_euclidean", "w8_first_distances", "m9_pca", "m9_pca_reconstruction", "m17_rank_markers", "w11_explained_variance", "f23_downsample_counts", "m15_rarefy_draws", "s20_html_tables", "m17_rank_test", "m17_rank_test_p", "m12_module_traits"}
 
 
 def test_sql_queries_stay_in_the_jvm(spark):

@@ -11,6 +11,7 @@ from tallyframe.functions import columns as C
 from tallyframe.operators import aggregates as A
 from tallyframe.operators import filters as Q
 from tallyframe.operators import joins as J
+from tallyframe.operators import least_squares as L
 from tallyframe.operators import normalise as N
 from tallyframe.operators import windows as W
 from tallyframe.operators import ranges as X
@@ -95,7 +96,7 @@ def test_pca_keeps_the_variance(counts):
 
 def test_fit_features_recovers_coefficients(spark):
     rows = spark.createDataFrame([(1, 2.0 + 3 * x - z + 1e-3 * (-1) ** k, float(x), float(z)) for k, (x, z) in enumerate([(0, 0), (1, 0), (0, 1), (1, 1), (2, 1), (2, 0)])], "feature_id long, y double, x double, z double")
-    got = {r.term: r.coefficient for r in N.fit_features(rows, ["x", "z"]).collect()}
+    got = {r.term: r.coefficient for r in L.fit_features(rows, ["x", "z"]).collect()}
     assert math.isclose(got["intercept"], 2, abs_tol=0.01) and math.isclose(got["x"], 3, abs_tol=0.01) and math.isclose(got["z"], -1, abs_tol=0.01)
 
 
