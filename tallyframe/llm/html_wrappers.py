@@ -29,7 +29,7 @@ import html as entities
 import json
 from collections.abc import Iterator
 from difflib import SequenceMatcher
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import pyarrow as pa
 import regex
@@ -256,6 +256,7 @@ class Wrapper:
     """A host's expression, compiled over one character per token, with its text slots captured by number."""
 
     def __init__(self, expression: list) -> None:
+        self.expression = expression
         self.codes: dict[str, str] = {}
         self.kinds: list[str] = []
         self.pattern = regex.compile("".join(map(self._compile, expression)))
@@ -267,16 +268,73 @@ class Wrapper:
                 return code
             self.kinds.append(node)
             return f"({code})"
-        # possessive: a wrapper is read once, without trying other divisions
+        # possessive: read once, without trying other divisions; what that can't read is aligned
         return f"(?:{''.join(map(self._compile, node[1]))}){'+' if node[0] == '+' else '?'}+"
 
     def places(self, tokens: list[str]) -> list[tuple[int, int]] | None:
         """Number of the slot and place of every text token; None if the wrapper can't parse the stream."""
-        match = self.pattern.fullmatch("".join(self.codes.get(t, "") for t in tokens))
-        if match is None:
+        if any(t not in self.codes for t in tokens):
             return None
+        match = self.pattern.fullmatch("".join(self.codes[t] for t in tokens))
+        if match is None:
+            return self._aligned(tokens)
         return [(slot, at) for slot in range(len(self.kinds)) for at, _ in match.spans(slot + 1)]
 
+    @cached_property
+    def _program(self) -> tuple[list[tuple[str, int]], list[list[int]], list[int]]:
+        """Tokens of the expression with their slots (-1: none), what may follow each, and what may come first; len(tokens) is the end."""
+        tokens: list[tuple[str, int]] = []
+        follow: list[list[int]] = []
+
+        def read(nodes: list) -> tuple[list[int], list[int], bool]:
+            """First and last tokens of a sequence, and whether it may be empty."""
+            first: list[int] = []
+            last: list[int] = []
+            empty = True
+            for node in nodes:
+                if isinstance(node, str):
+                    tokens.append((node, sum(s >= 0 for _, s in tokens) if node[0] == "#" else -1))
+                    follow.append([])
+                    a, b, void = [len(tokens) - 1], [len(tokens) - 1], False
+                else:
+                    a, b, void = read(node[1])
+                    if node[0] == "+":
+                        for x in b:
+                            follow[x] += [y for y in a if y not in follow[x]]
+                    void |= node[0] == "?"
+                for x in last:
+                    follow[x] += [y for y in a if y not in follow[x]]
+                first += a if empty else []
+                last = last + b if void else b
+                empty &= void
+            return first, last, empty
+
+        first, last, empty = read(self.expression)
+        for x in last:
+            follow[x].append(len(tokens))
+        return tokens, follow, first + [len(tokens)] * empty
+
+    def _aligned(self, tokens: list[str]) -> list[tuple[int, int]] | None:
+        """:meth:`places` by aligning the stream with the expression: for each token the places of the expression that it can be, by what comes before."""
+        known, follow, first = self._program
+        came: list[dict[int, int]] = []
+        reach = dict.fromkeys(first, -1)
+        for token in tokens:
+            here = {x: before for x, before in reach.items() if x < len(known) and known[x][0] == token}
+            came.append(here)
+            reach = {}
+            for x in here:
+                for y in follow[x]:
+                    reach.setdefault(y, x)
+        if len(known) not in reach:
+            return None
+        out, at = [], reach[len(known)]
+        for k in range(len(tokens) - 1, -1, -1):
+            if known[at][1] >= 0:
+                out.append((known[at][1], k))
+            at = came[k][at]
+        return sorted(out)
+
     def slots(self, tokens: list[str], template: frozenset[int] = frozenset()) -> list[int] | None:
         """Places of the tokens in content slots; None if the wrapper can't parse the stream."""
         places = self.places(tokens)

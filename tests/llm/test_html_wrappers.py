@@ -1,6 +1,9 @@
 import html as entities
 import re
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from tallyframe.llm.html_wrappers import Wrapper, align, extract, extract_pages, fold, stream
 from tallyframe.llm.queries import op4_html_wrappers
 
@@ -116,3 +119,26 @@ def test_the_wrapper_decides_on_hosts_without_semantic_tags(spark):
     assert all(r.parsed for r in got.values())
     assert {k: r.text for k, r in got.items()} == want
     assert all(extract(html, None)[0] != want[k] for k, _, html in rows)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<ul", ">ul", "li", "p", "#t", "#a"]), max_size=9), min_size=1, max_size=4))
+def test_a_wrapper_parses_every_stream_it_was_learned_from(streams):
+    """Optional parts side by side, repeats inside optional parts: each text token gets one slot of its kind."""
+    whole = None
+    for s in sorted(map(fold, streams), key=lambda e: (len(str(e)), str(e))):
+        whole = s if whole is None else align(whole, s)
+    wrapper = Wrapper(whole)
+    for tokens in streams:
+        for places in (wrapper.places(tokens), wrapper._aligned(tokens)):
+            assert places is not None, (whole, tokens)
+            assert sorted(at for _, at in places) == [k for k, t in enumerate(tokens) if t[0] == "#"]
+            assert all(wrapper.kinds[slot] == tokens[at] for slot, at in places)
+
+
+def test_unknown_tokens_are_not_parsed():
+    wrapper = Wrapper(fold(stream("<div><p>A</p></div>")[0]))
+    html = "<div><h1></h1><p>A</p></div>"
+    assert wrapper.places(stream(html)[0]) is None or "h1" in str(wrapper.expression)
+    assert extract(html, wrapper) == ("A", False)
+    assert wrapper._aligned(["<nothing", "#t"]) is None
