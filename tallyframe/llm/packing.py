@@ -45,7 +45,8 @@ class ChunkTokenizer:
     and split here in bulk, and the vocabulary's merges are replayed by rank
     with a byte as the end-of-word mark; the result is the library's as long as
     every token is what its own merges make of its characters (the tests hold
-    the vocabulary to that).  Any other chunk goes through the library itself.
+    the vocabulary to that).  Any other chunk goes through the library itself,
+    and so does a whole text that holds a special token's string.
     """
 
     END = "\x01"
@@ -59,6 +60,8 @@ class ChunkTokenizer:
         ranks = end_ranks(settings["model"]["merges"])
         ids = np.zeros(len(ranks), dtype=np.int64)
         special = {t["content"] for t in settings["added_tokens"]}
+        # texts with one of these strings are read by the library, which makes them one token each
+        self.marked = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True))) or "(?!)").search
         for token, number in settings["model"]["vocab"].items():
             if token not in special:
                 ids[ranks[_as_bytes(token)]] = number
@@ -73,9 +76,7 @@ class ChunkTokenizer:
         """The library's tokenizer, loaded where a text needs it."""
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(self.path)
-        tokenizer.encode_special_tokens = True
-        return tokenizer
+        return Tokenizer.from_file(self.path)
 
     def learn(self, chunks: set[str]) -> None:
         if len(self.cache) + len(chunks) > CACHE_CHUNKS:
@@ -163,7 +164,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
         end, size = np.array([end_id], dtype=model.width).tobytes(), model.width.itemsize
         for batch in blocks(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            chunks = [None if ODD.search(t) else t.split() for t in texts]
+            chunks = [None if ODD.search(t) or model.marked(t) else t.split() for t in texts]
             model.learn(set().union(*(c for c in chunks if c)))
             find = model.cache.__getitem__
             ids = [(model.all(t) if c is None else b"".join(map(find, c))) + end for t, c in zip(texts, chunks)]

@@ -15,9 +15,7 @@ PATH = P.path("word_bpe_49k.json")
 
 
 def library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 @settings(max_examples=120, deadline=None)
@@ -146,3 +144,14 @@ def test_every_source_keeps_its_share_and_its_weight(spark):
     rows = pack(small, PATH, 1, window=32, weights={"wanted": 1.0}).select("doc_id", "sequence_id", "offset").collect()
     assert min(rows, key=lambda r: (r.sequence_id, r.offset)).doc_id == 800
     assert {r.doc_id for r in rows if r.sequence_id == 0} == {800}
+
+
+def test_special_strings_are_the_librarys_tokens(spark):
+    texts = ["a <|endoftext|> b", "<|startoftext|>", "x<|endoftext|>y\x1cz", "<|ENDOFTEXT|>", "<| endoftext |>", "é<|endoftext|><|endoftext|>", "<|endoftext"]
+    docs = spark.createDataFrame([(k, t, "s") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    found = {}
+    for r in pack(docs, PATH, end_id=1).collect():
+        found.setdefault(r.doc_id, []).append((r.start, np.frombuffer(r.ids, dtype="<u4").tolist()))
+    for k, t in enumerate(texts):
+        assert [i for _, ids in sorted(found[k]) for i in ids] == [*library().encode(t, add_special_tokens=False).ids, 1]
+    assert library().encode(texts[0], add_special_tokens=False).ids == [320, 49407, 321]

@@ -27,7 +27,6 @@ def test_run_equals_a_plain_version(spark):
     docs = {d: t for d, t in docs.items() if least[d] == d}
     assert {r.doc_id for r in rows} == set(docs) and len(docs) > 50
     lib = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    lib.encode_special_tokens = True
     pieces = defaultdict(list)
     for r in rows:
         pieces[r.doc_id].append(r)
