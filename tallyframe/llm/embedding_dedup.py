@@ -134,8 +134,10 @@ class Codes:
         while True:
             self.mean, self.projection = learn_rotations(x, -(-self.tables // self.per))
             found, self.far = measured(pairs, self.mean, self.projection, self.bits, self.tables)
-            # no more tables than rows: with as many, all pairs could be compared
-            if found >= recall or self.tables >= rows:
+            if found >= recall:
+                return
+            if self.tables >= rows:  # comparing all pairs costs no more: one table, one chunk, any distance
+                self.tables, self.bits, self.far = 1, 0, WORD * self.projection.shape[1]
                 return
             miss = np.log(1 - recall) / np.log(1 - found) if found > 0 else 2.0
             self.tables = min(max(rows, self.tables + 1), int(np.ceil(self.tables * np.clip(miss, 1 + 1 / self.tables, 2))))
@@ -288,13 +290,26 @@ def link_counts(distinct: DataFrame, coded: DataFrame, plan: Codes, threshold: f
     return rows.select(*KEYS, "own", "uid", "code", "weight", "v").mapInArrow(compare, "uid long, links long, root long")
 
 
+def _coded(first: DataFrame, plan: Codes) -> DataFrame:
+    """``first(uid, weight, v)`` with the plan's ``code``."""
+    shared = first.sparkSession.sparkContext.broadcast(plan)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("weight"), batch.column("v"), pa.array(shared.value.of(_unit(batch)), type=pa.binary())], ["uid", "weight", "v", "code"])
+
+    return first.mapInArrow(code, "uid long, weight long, v binary, code binary")
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = SAMPLE) -> DataFrame:
     """``(id_col, n_links, component_id, kept)``: one row per vector.
 
     ``recall`` is that wanted of pairs exactly at ``threshold``; closer pairs
     are found more surely.  ``sample`` bounds the vectors the rotation is
     learned on and the number of tables is measured on.  Vectors are equal if
-    128 bits of hashes of their components are.
+    128 bits of hashes of their components are.  Vectors of different lengths
+    don't link; each length has an index of its own, one after the other.
     """
     kind = vectors.schema[id_col].dataType.simpleString()
 
@@ -308,25 +323,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, recall: float =
     keys = {"h": F.when(F.col("v").isNull(), F.col("uid")).otherwise(F.xxhash64("v")), "g": F.when(F.col("v").isNull(), F.lit(0)).otherwise(F.xxhash64(F.lit(1), "v"))}
     rows = materialise(rows.withColumn("uid", F.monotonically_increasing_id()).withColumns(keys), "vectors")
     valid = rows.where("v is not null")
-    dims = valid.groupBy(F.octet_length("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
     spark = vectors.sparkSession
-    if dims is None:
-        found = spark.createDataFrame([], "uid long, links long, root long")
-        copies = spark.createDataFrame([], "h long, g long, rep long, weight long")
-    else:
-        valid = valid.where(F.octet_length("v") == dims["size"])
-        copies = materialise(valid.groupBy("h", "g").agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("weight")), "distinct-vectors")
-        some = valid.join(copies, valid.uid == copies.rep, "left_semi").orderBy(F.xxhash64("v"), "uid").limit(sample).select("v").toArrow()
-        plan = Codes(_unit(some), copies.count(), threshold, recall)
-
-        def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("weight"), batch.column("v"), pa.array(plan.of(_unit(batch)), type=pa.binary())], ["uid", "weight", "v", "code"])
-
-        first = valid.join(copies, valid.uid == copies.rep).select("uid", "weight", "v")
-        coded, path = written(first.mapInArrow(code, "uid long, weight long, v binary, code binary"), "vector-codes")
-        found = materialise(link_counts(coded.select("uid", "weight", "code"), coded, plan, threshold), "vector-links")
+    found = spark.createDataFrame([], "uid long, links long, root long")
+    copies = materialise(valid.groupBy("h", "g").agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min(F.octet_length("v")).alias("size")), "distinct-vectors")
+    # a length with one vector only has nothing to compare
+    for length in copies.groupBy("size").agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(F.desc("n"), "size").collect():
+        own = copies.where(F.col("size") == length["size"])
+        first = valid.join(own, valid.uid == own.rep).select("uid", "weight", "v")
+        some = first.orderBy(F.xxhash64("v"), "uid").limit(sample).select("v").toArrow()
+        plan = Codes(_unit(some), length["n"], threshold, recall)
+        coded, path = written(_coded(first, plan), "vector-codes")
+        found = found.union(materialise(link_counts(coded.select("uid", "weight", "code"), coded, plan, threshold), "vector-links"))
         discard(spark, path)
     counts = found.groupBy("uid").agg(F.sum("links").alias("n"))
     groups = materialise(components(found.select(F.col("uid").alias("a"), F.col("root").alias("b")), "vector-components"), "vector-groups")

@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from tallyframe.llm.embedding_dedup import near_duplicates, plan_tables
+from tallyframe.llm.embedding_dedup import Codes, near_duplicates, plan_tables
 from tallyframe.llm.queries import op5_embedding_itq
 
 
@@ -109,3 +109,26 @@ def test_query_finds_the_links_and_components(spark):
     got = {r.vec_id: r for r in op5_embedding_itq(spark, sf).collect()}
     assert all(got[i].n_links <= want[k].sum() for k, i in enumerate(ids))
     assert np.mean([got[i].component_id == ids[label[k]] for k, i in enumerate(ids)]) >= 0.95
+
+
+def test_each_length_has_its_index(spark):
+    """Links within every length, the rare ones too, none between lengths; one vector of a length links with nothing."""
+    rng = np.random.default_rng(2)
+    rows, want = [], {}
+    for dim, n in ((3, 6), (2, 2), (8, 40), (5, 1)):
+        x = rng.normal(size=(n, dim))
+        x[1:2] = 2 * x[:1]
+        links, label = brute(x)
+        for k, v in enumerate(x):
+            want[len(rows)] = (int(links[k].sum()), len(rows) - k + int(label[k]))
+            rows.append((len(rows), v.tolist()))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == want
+
+
+def test_a_plan_that_misses_the_recall_compares_all_pairs():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(30, 6)) * 0.01 + 1
+    plan = Codes(x / np.linalg.norm(x, axis=1, keepdims=True), 30, 0.9, 1.1)
+    codes = np.frombuffer(b"".join(plan.of(x)), dtype="<u8").reshape(30, -1)
+    assert plan.tables == 1 and (plan.chunk(codes, 0) == 0).all() and plan.far >= 64 * codes.shape[1]
