@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from tallyframe.llm import embedding_dedup
 from tallyframe.llm.embedding_dedup import Codes, near_duplicates, plan_tables
 from tallyframe.llm.queries import op5_embedding_itq
 
@@ -126,9 +127,10 @@ def test_each_length_has_its_index(spark):
     assert got == want
 
 
-def test_a_plan_that_misses_the_recall_compares_all_pairs():
+def test_a_plan_that_misses_the_recall_compares_all_pairs(monkeypatch):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(30, 6)) * 0.01 + 1
-    plan = Codes(x / np.linalg.norm(x, axis=1, keepdims=True), 30, 0.9, 1.1)
+    monkeypatch.setattr(embedding_dedup, "measured", lambda *a: (0.0, 1))  # a recall that no number of tables reaches
+    plan = Codes(x / np.linalg.norm(x, axis=1, keepdims=True), 30, 0.9, 0.95)
     codes = np.frombuffer(b"".join(plan.of(x)), dtype="<u8").reshape(30, -1)
     assert plan.tables == 1 and (plan.chunk(codes, 0) == 0).all() and plan.far >= 64 * codes.shape[1]
