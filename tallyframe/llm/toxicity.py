@@ -6,8 +6,8 @@ words of letters.  The index keeps the terms that tell the labels apart: those
 whose likelihood ratio (G squared, one degree of freedom) over the examples is
 at least twice the logarithm of the number of terms tried, so that chance finds
 stay out and the vectors of long texts aren't all filler.  Examples are numbered by label and length of their vectors
-and cut into blocks; each term has its postings by block and, for each block,
-the greatest weight in it.
+and cut into blocks; each block has its postings by term, and each term its
+greatest weight in every block.
 
 A text's terms and a block's greatest weights bound the cosine with each
 example of the block.  Blocks are opened from the highest bound down, until no
@@ -50,6 +50,8 @@ NEIGHBOURS = 16
 BLOCK = 64
 #: Votes that the share of toxic examples counts for.
 PRIOR_VOTES = 0.5
+#: Bounds are sums in another order than cosines.
+MARGIN = 1e-10
 #: Cells of the calibration.
 CELLS = 20
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -66,59 +68,62 @@ def terms(text: str | None) -> list[str]:
 
 
 class Index(NamedTuple):
-    """Examples by number: ids, labels; for each term its place, its weight in a text, and rows ``at[t] : at[t + 1]`` of the postings."""
+    """Examples by number, with ids and labels; terms with their place and weight; postings by block, then term.
+
+    The postings of block ``b`` stand in rows ``at[b] : at[b + 1]``.
+    """
 
     ids: list
     labels: np.ndarray
     vocabulary: dict[str, int]
     idf: np.ndarray
     at: np.ndarray
+    term: np.ndarray
     example: np.ndarray
     weight: np.ndarray
     peaks: np.ndarray  # terms x blocks: the greatest weight
 
     def vector(self, words: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
         """Terms of a text and their weights, of length 1."""
-        counts = Counter(filter(None, (self.vocabulary.get(w, -1) + 1 for w in words)))
-        found = np.fromiter(counts, dtype=np.int64, count=len(counts)) - 1
-        weights = (1 + np.log(np.fromiter(counts.values(), dtype=float, count=len(counts)))) * self.idf[found]
+        held = [t for t in map(self.vocabulary.get, words) if t is not None]
+        found, times = np.unique(np.array(held, dtype=np.int64), return_counts=True)
+        weights = (1 + np.log(times)) * self.idf[found]
         norm = np.sqrt(weights @ weights)
         return found, weights / norm if norm else weights
 
     def nearest(self, found: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of the greatest cosine above 0, ties by number, and their cosines; ``skip`` is no candidate."""
+        """The ``k`` examples of the greatest cosine above 0 and their cosines to twelve digits, ties by number; ``skip`` is no candidate."""
         best, cosine = np.zeros(0, dtype=np.int64), np.zeros(0)
         if not len(found) or not self.peaks.shape[1]:
             return best, cosine
         bound = weights @ self.peaks[found]
         order = np.argsort(-bound, kind="stable")
-        opened, step = 0, 4
+        order = order[bound[order] > 0]
+        query = np.zeros(len(self.idf))
+        query[found] = weights
+        opened, step = 0, 16
         while opened < len(order):
-            floor = cosine[-1] if len(best) == k else 0.0
             some = order[opened : opened + step]
-            # bounds are sums in another order than cosines, so they get a margin
-            some = some[bound[some] + 1e-9 >= floor]
-            if not len(some) or bound[some[0]] <= 0:
-                break
-            scores = self._open(found, weights, np.sort(some))
-            numbers = np.flatnonzero(scores)
-            numbers = numbers[numbers != skip]
-            best, cosine = np.concatenate([best, numbers]), np.concatenate([cosine, scores[numbers]])
+            if len(best) == k:
+                if bound[some[0]] < cosine[-1] - MARGIN:
+                    break
+                # a block that can only tie has something to add if its numbers come first
+                some = some[(bound[some] > cosine[-1] + MARGIN) | (some * BLOCK < best[-1])]
+            numbers, scores = self._open(query, some)
+            new = numbers != skip
+            best, cosine = np.concatenate([best, numbers[new]]), np.concatenate([cosine, scores[new]])
             keep = np.lexsort((best, -cosine))[:k]
             best, cosine = best[keep], cosine[keep]
             opened, step = opened + step, 2 * step
         return best, cosine
 
-    def _open(self, found: np.ndarray, weights: np.ndarray, some: np.ndarray) -> np.ndarray:
-        """Cosines of all examples of the blocks ``some``, 0 elsewhere."""
-        scores = np.zeros(len(self.labels))
-        for t, w in zip(found, weights):
-            own = self.example[self.at[t] : self.at[t + 1]]
-            first, last = np.searchsorted(own, some * BLOCK), np.searchsorted(own, (some + 1) * BLOCK)
-            for a, b in zip(first.tolist(), last.tolist()):
-                if a < b:
-                    scores[own[a:b]] += w * self.weight[self.at[t] + a : self.at[t] + b]
-        return scores
+    def _open(self, query: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of the blocks ``some`` that share a term with the query, and their cosines."""
+        size = self.at[some + 1] - self.at[some]
+        rows = np.repeat(self.at[some] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        scores = np.round(np.bincount(self.example[rows], query[self.term[rows]] * self.weight[rows]), 12)
+        numbers = np.flatnonzero(scores)
+        return numbers, scores[numbers]
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
         """Share of toxic votes; a neighbour's vote falls with its distance, and none counts more than 20."""
@@ -143,11 +148,13 @@ def build(ids: list, labels: list[int], counts: list[dict[str, int]], chosen: di
     example = np.concatenate([np.full(len(vectors[k][0]), n) for n, k in enumerate(order)] + [np.zeros(0, dtype=np.int64)]).astype(np.int64)
     term = np.concatenate([vectors[k][0] for k in order] + [np.zeros(0, dtype=np.int64)]).astype(np.int64)
     weight = np.concatenate([vectors[k][1] for k in order] + [np.zeros(0)])
-    by_term = np.lexsort((example, term))
-    example, term, weight = example[by_term], term[by_term], weight[by_term]
-    peaks = np.zeros((len(names), -(-len(ids) // BLOCK)))
+    n_blocks = -(-len(ids) // BLOCK)
+    by_block = np.lexsort((example, term, example // BLOCK))
+    example, term, weight = example[by_block], term[by_block], weight[by_block]
+    peaks = np.zeros((len(names), n_blocks))
     np.maximum.at(peaks, (term, example // BLOCK), weight)
-    return Index([ids[k] for k in order], np.array([labels[k] for k in order], dtype=float), vocabulary, idf, np.searchsorted(term, np.arange(len(names) + 1)), example.astype(np.int32), weight, peaks)
+    at = np.searchsorted(example // BLOCK, np.arange(n_blocks + 1))
+    return Index([ids[k] for k in order], np.array([labels[k] for k in order], dtype=float), vocabulary, idf, at, term.astype(np.int32), example.astype(np.int32), weight, peaks)
 
 
 def _counted(examples: DataFrame) -> DataFrame:
@@ -239,7 +246,7 @@ def calibrate(index: Index, spark, k: int = NEIGHBOURS) -> Calibration:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        term = np.repeat(np.arange(len(own.idf)), np.diff(own.at))
+        term = own.term.astype(np.int64)
         by_example = np.lexsort((term, own.example))
         edges = np.searchsorted(own.example[by_example], np.arange(n + 1))
         for batch in batches:
