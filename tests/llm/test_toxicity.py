@@ -33,7 +33,7 @@ def plain(docs, labels):
         table = ((a, held[t], ones), (b, held[t], n - ones), (ones - a, n - held[t], ones), (n - ones - b, n - held[t], n - ones))
         return 2 * sum(x * math.log(x * n / (r * c)) for x, r, c in table if x)
 
-    names = sorted((t for t in tried if ratio(t) >= 2 * math.log(max(len(tried), 1))), key=lambda t: (-ratio(t), t))[: T.TERMS]
+    names = sorted((t for t in tried if ratio(t) >= max(2 * math.log(max(len(tried), 1)), T.GAIN * held[t])), key=lambda t: (-ratio(t), t))[: T.TERMS]
     idf = {t: math.log1p(n / held[t]) for t in names}
 
     def vector(d):
