@@ -124,6 +124,13 @@ def _(spark, d):
     return rounded(J.knn(vectors.where("vec_id % 20 = 0"), vectors, 5), "similarity")
 
 
+@query("j17_neighbour_graph")
+def _(spark, d):
+    from ..operators.neighbours import neighbour_graph, neighbour_lists
+
+    return rounded(neighbour_graph(neighbour_lists(table(spark, d, "embeddings"), 15)), "weight")
+
+
 @query("j18_merge_layers", "SELECT a.sample_id, a.feature_id, a.value AS spliced, b.v AS unspliced FROM counts a JOIN (SELECT concat('S', l_suppkey % 8) AS sample_id, l_partkey AS feature_id, CAST(count(*) AS DOUBLE) AS v FROM lineitem WHERE l_linenumber > 3 GROUP BY 1, 2) b ON a.sample_id = b.sample_id AND a.feature_id = b.feature_id", "counts")
 def _(spark, d):
     other = table(spark, d, "lineitem").where("l_linenumber > 3").groupBy(F.concat(F.lit("S"), (F.col("l_suppkey") % 8).cast("string")).alias("sample_id"), F.col("l_partkey").alias("feature_id")).agg(F.count(F.lit(1)).cast("double").alias("value"))

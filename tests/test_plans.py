@@ -44,7 +44,7 @@ def test_query_equals_sql(spark, db, name):
 
 def test_queries_without_sql():
     """Held to a plain version of the whole result in test_properties.py."""
-    assert set(QUERIES) - set(ORACLE_SQL) == {"m12_module_eigenvector", "m22_classify_text"}
+    assert set(QUERIES) - set(ORACLE_SQL) == {"j17_neighbour_graph", "m12_module_eigenvector", "m22_classify_text"}
 
 
 #: Queries that parse or fit in Python, as the operator's docstring says.
