@@ -361,6 +361,24 @@ def _(spark, d):
     return rounded(classify_text(docs.where("id % 5 = 0"), docs.drop("label"), 3), "confidence", digits=4)
 
 
+@query("m22_classify_lineage", """
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), '') AS c, CASE WHEN doc_id % 5 = 0 AND lang <> '' THEN list_filter([lang, source], lambda x: x <> '') END AS leaf FROM documents),
+km AS (SELECT doc_id, leaf, kmer, count(*) AS n FROM (SELECT doc_id, leaf, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS kmer FROM d) GROUP BY ALL),
+cnt AS (SELECT leaf, kmer, sum(n) AS n FROM km WHERE leaf IS NOT NULL GROUP BY 1, 2),
+leaves AS (SELECT leaf, ln(members / sum(members) OVER ()) AS prior, ln(coalesce(total, 0) + (SELECT count(DISTINCT kmer) FROM cnt)) AS rarest FROM (SELECT leaf, count(*) AS members FROM d WHERE leaf IS NOT NULL GROUP BY 1) LEFT JOIN (SELECT leaf, sum(n) AS total FROM cnt GROUP BY 1) USING (leaf)),
+words AS (SELECT doc_id, sum(n) AS words FROM km SEMI JOIN cnt USING (kmer) GROUP BY 1),
+more AS (SELECT km.doc_id, cnt.leaf, sum(km.n * ln(1 + cnt.n)) AS more FROM km JOIN cnt ON km.kmer = cnt.kmer GROUP BY 1, 2),
+s AS (SELECT d.doc_id, l.leaf, prior + coalesce(more, 0) - coalesce(words, 0) * rarest AS score FROM d CROSS JOIN leaves l LEFT JOIN words w ON w.doc_id = d.doc_id LEFT JOIN more m ON m.doc_id = d.doc_id AND m.leaf = l.leaf),
+b AS (SELECT doc_id, max(score) AS top, (array_agg(leaf ORDER BY score DESC, leaf))[1] AS best FROM s GROUP BY 1),
+p AS (SELECT doc_id, best, sum(CASE WHEN leaf[1] = best[1] THEN exp(score - top) ELSE 0 END) / sum(exp(score - top)) AS p1, CASE WHEN len(best) > 1 THEN sum(CASE WHEN leaf[:2] = best[:2] THEN exp(score - top) ELSE 0 END) / sum(exp(score - top)) END AS p2 FROM s JOIN b USING (doc_id) GROUP BY 1, 2)
+SELECT doc_id AS id, array_to_string(CASE WHEN p2 >= 0.7 THEN best WHEN p1 >= 0.7 THEN best[:1] ELSE [] END, '; ') AS lineage, round(CASE WHEN p2 >= 0.7 THEN p2 WHEN p1 >= 0.7 THEN p1 END, 4) AS confidence FROM p""")
+def _(spark, d):
+    from ..operators.classify import classify_lineage
+
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.array("lang", "source").alias("lineage"))
+    return rounded(classify_lineage(docs.where("id % 5 = 0"), docs.drop("lineage"), 3), "confidence", digits=4).withColumn("lineage", F.array_join("lineage", "; "))
+
+
 @query("m28_expression_summary", "SELECT sample_id, min(value) AS min, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.5) AS median, round(avg(value), 6) AS mean, quantile_disc(value, 0.75) AS q3, max(value) AS max FROM counts GROUP BY 1", "counts")
 def _(spark, d):
     return rounded(N.expression_summary(view(spark, d, "counts")), "mean")
