@@ -206,7 +206,7 @@ def ngram_screen(docs: DataFrame, panel: DataFrame, k: int) -> DataFrame:
     size = (k + 1) // 2
     piece = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
     around = lambda p, x, i: F.struct(x.alias("piece"), F.coalesce(F.get(p, i - 1), F.lit("")).alias("left"), F.coalesce(F.get(p, i + 1), F.lit("")).alias("right"))
-    mine = docs.select("read_id", piece.alias("p")).select("read_id", F.explode(F.array_distinct(F.transform("p", lambda x, i: around(F.col("p"), x, i)))).alias("s")).select("read_id", "s.*").where(F.length("piece") == size)
+    mine = docs.select("read_id", piece.alias("p")).select("read_id", F.explode(F.transform("p", lambda x, i: around(F.col("p"), x, i))).alias("s")).select("read_id", "s.*").where(F.length("piece") == size)
     cut = panel.select("panel_id", "text", all_kmers(F.col("text"), size).alias("p"))
     before = lambda i: F.coalesce(F.get("p", i - size), F.substring(F.col("text"), F.lit(1), i))
     after = lambda i: F.coalesce(F.get("p", i + size), F.substring(F.col("text"), i + size + 1, F.lit(size)))

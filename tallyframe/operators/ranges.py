@@ -9,6 +9,8 @@ summed up in a second window.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +20,21 @@ from ..scratch import materialise
 PART = "range_part"
 
 
+def _small(rows: DataFrame) -> bool:
+    """Whether Spark's own estimate would let the rows be broadcast, and nothing in their plan multiplies rows unseen or may differ when run again."""
+    limit = rows.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    return plan.deterministic() and plan.stats().sizeInBytes() <= limit and not re.search(r"\b(Generate|Expand|MapIn\w+|FlatMap\w+|\w+EvalPython|Sample)\b", plan.toString())
+
+
 def ranged(rows: DataFrame, *order: Column | str) -> DataFrame:
-    """``rows`` with their range of the order; equal keys share a range."""
+    """``rows`` with their range of the order; equal keys share a range.
+
+    Rows of so small a plan that Spark would send them whole to each task are
+    one range, which needs no edges and so isn't written.
+    """
+    if _small(rows):
+        return rows.repartition(1).withColumn(PART, F.spark_partition_id())
     return materialise(rows.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()), "ranges")
 
 

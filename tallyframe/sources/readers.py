@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranges import carried
+from ..scratch import materialise
 
 
 def read_tsv(spark: SparkSession, path: str | list[str], schema: str | None = None, header: bool = True, **options) -> DataFrame:
@@ -48,9 +49,11 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     Lines are numbered within the block of the file that a task reads, and the
     blocks' numbers of lines are added up; so a plain file is read in parallel
-    and a compressed one, which can't be split, as one stream.
+    and a compressed one, which can't be split, as one stream.  The lines are
+    written when this is called.
     """
     source = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("text"))
+    source = materialise(source, "lines")  # sizes and lines must come of one division into blocks
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = source.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
     sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
