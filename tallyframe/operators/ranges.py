@@ -27,23 +27,23 @@ def _small(rows: DataFrame) -> bool:
     return plan.deterministic() and plan.stats().sizeInBytes() <= limit and not re.search(r"\b(Generate|Expand|MapIn\w+|FlatMap\w+|\w+EvalPython|Sample)\b", plan.toString())
 
 
-def ranged(rows: DataFrame, *order: Column | str) -> DataFrame:
+def ranged(rows: DataFrame, *order: Column | str, write: bool = False) -> DataFrame:
     """``rows`` with their range of the order; equal keys share a range.
 
     Rows of so small a plan that Spark would send them whole to each task are
-    one range, which needs no edges and so isn't written.
+    one range, which needs no edges and so isn't written unless asked for.
     """
-    if _small(rows):
+    if not write and _small(rows):
         return rows.repartition(1).withColumn(PART, F.spark_partition_id())
     return materialise(rows.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()), "ranges")
 
 
-def running_sum(rows: DataFrame, group: list[str], order: list[Column | str], value: Column | str, name: str = "before") -> DataFrame:
+def running_sum(rows: DataFrame, group: list[str], order: list[Column | str], value: Column | str, name: str = "before", write: bool = False) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over rows of the same group that sort earlier (0 for the first).
 
     Rows that tie in ``order`` come in any order, one after the other.
     """
-    return sum_before(ranged(rows, *group, *order), group, order, value, name).drop(PART)
+    return sum_before(ranged(rows, *group, *order, write=write), group, order, value, name).drop(PART)
 
 
 def sum_before(parts: DataFrame, group: list[str], order: list[Column | str], value: Column | str, name: str) -> DataFrame:
