@@ -225,11 +225,11 @@ def manifest(rows: DataFrame, id_col: str, group_col: str, leaf: Column, claimed
     key, kind = rows.schema[id_col].dataType.simpleString(), rows.schema[group_col].dataType.simpleString()
     other = F.lit(None) if claimed is None else claimed
     leaves = rows.select(F.col(group_col).alias("grp"), F.col(id_col).alias("id"), leaf.alias("node"), other.cast("binary").alias("claimed"))
-    leaves = running_sum(leaves, ["grp"], ["id", "node"], F.lit(1).cast("long"), "pos")
+    leaves = running_sum(leaves, ["grp"], ["id", "node"], F.lit(1).cast("long"), "pos", write=True)
     blocks = _blocks(leaves, "merkle-leaves", "claimed", "id")
     nodes, subroots = _tree(blocks, kind)
 
-    tops = running_sum(subroots.select(F.lit(0).alias("grp"), F.col("grp").alias("name"), F.col("top").alias("node")), ["grp"], ["name"], F.lit(1).cast("long"), "pos")
+    tops = running_sum(subroots.select(F.lit(0).alias("grp"), F.col("grp").alias("name"), F.col("top").alias("node")), ["grp"], ["name"], F.lit(1).cast("long"), "pos", write=True)
     over = _blocks(tops.withColumn("claimed", F.lit(None).cast("binary")), "merkle-subroots", "claimed", "name")
     upper, root = _tree(over, "int")
     ends = _fetched(over, upper, "int").withColumns({"rest": F.array().cast("array<binary>"), "rest_sides": F.lit("")})
