@@ -6,9 +6,10 @@ proportions; the set of languages grows by one as long as the penalised
 likelihood (BIC, over non-overlapping trigrams) rises.  The languages'
 distributions are counted over all labelled training documents.
 
-Only the model, languages x ``BUCKETS`` numbers, is gathered and broadcast; its
-size depends on the number of languages, not on the corpus.  More labels than
-``MOST_LANGUAGES`` are no languages and raise an error before that.
+Only the model, languages x buckets numbers, is gathered and broadcast.  It
+holds at most ``MODEL_CELLS`` of them: the trigrams' hash buckets are halved
+until it does, so a table with very many labels gives coarser distributions,
+yet of every label, and neither a task nor the driver holds more for it.
 
 Defined results: text that is null or has no letter gives ``und`` with score 0
 and no proportions; a null id counts as held out, since it has no fold; rows
@@ -27,11 +28,13 @@ from pyspark.sql import functions as F
 
 from .common import BLOCK_BYTES, blocks
 
-#: Hash buckets of trigrams.
+#: Hash buckets of trigrams, the most that a model has.
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
-#: Labels that a model may have: 256 MB of probabilities.
-MOST_LANGUAGES = (256 << 20) // (8 * BUCKETS)
+#: Probabilities of a model: 128 MB; 512 languages have all buckets.
+MODEL_CELLS = 1 << 24
+#: Languages whose counts a task holds at once before it hands them on.
+HELD_LANGUAGES = 256
 EM_ROUNDS = 8
 
 
@@ -63,35 +66,64 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 def gram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``(lang, bucket, n)`` over all rows with a language; counted in each task first."""
 
+    def given(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for lang, counts in sums.items():
+            some = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), type=pa.string()), pa.array(some.astype(np.int32)), pa.array(counts[some])], ["lang", "bucket", "n"])
+        sums.clear()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in blocks(batches, "text"):
-            langs = batch.column("lang").to_pylist()
-            names = sorted(set(langs))
-            number = np.array([names.index(x) for x in langs])
+            coded = batch.column("lang").dictionary_encode()
             doc, bucket = grams(batch.column("text").to_pylist())
-            for k, counts in enumerate(np.bincount(number[doc] * BUCKETS + bucket, minlength=len(names) * BUCKETS).reshape(-1, BUCKETS)):
-                sums[names[k]] = sums.get(names[k], 0) + counts
-        for lang, counts in sums.items():
-            some = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), type=pa.string()), pa.array(some.astype(np.int32)), pa.array(counts[some])], ["lang", "bucket", "n"])
+            keys, counts = np.unique(coded.indices.to_numpy()[doc].astype(np.int64) * BUCKETS + bucket, return_counts=True)
+            names = coded.dictionary.to_pylist()
+            edges = np.searchsorted(keys, np.arange(len(names) + 1) * BUCKETS)
+            for lang, a, b in zip(names, edges, edges[1:]):
+                if lang not in sums:
+                    if len(sums) == HELD_LANGUAGES:
+                        yield from given(sums)
+                    sums[lang] = np.zeros(BUCKETS, dtype=np.int64)
+                sums[lang][keys[a:b] % BUCKETS] += counts[a:b]
+        yield from given(sums)
 
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     return rows.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
+def buckets_of(languages: int) -> int:
+    """Buckets of a model: ``BUCKETS``, halved until all languages fit in ``MODEL_CELLS``."""
+    width = BUCKETS
+    while width > 1 and width * languages > MODEL_CELLS:
+        width //= 2
+    return width
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages and their smoothed trigram probabilities, shape (languages, BUCKETS)."""
-    labels = docs.where(F.col(lang_col).isNotNull()).select(lang_col).distinct().limit(MOST_LANGUAGES + 1).count()
-    if labels > MOST_LANGUAGES:
-        raise ValueError(f"{lang_col} has more than {MOST_LANGUAGES} values")
-    counted = gram_counts(docs, text_col, lang_col).groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts"))
-    rows = sorted(counted.toArrow().to_pylist(), key=lambda r: r["lang"])
-    table = np.full((len(rows), BUCKETS), SMOOTHING)
-    for k, row in enumerate(rows):
-        for c in row["counts"]:
-            table[k, c["bucket"]] += c["n"]
-    return [r["lang"] for r in rows], table / table.sum(axis=1, keepdims=True)
+    """Languages and their smoothed trigram probabilities, shape (languages, buckets).
+
+    Buckets are as many as :func:`buckets_of` says; two halves of a bucket's number are folded onto each other.
+    """
+    width = buckets_of(docs.where(F.col(lang_col).isNotNull()).select(lang_col).distinct().count())
+    folded = gram_counts(docs, text_col, lang_col).groupBy("lang", (F.col("bucket") % width).alias("bucket")).agg(F.sum("n").alias("n"))
+    counted = folded.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts")).toArrow().sort_by("lang").combine_chunks()
+    langs = counted.column("lang").to_pylist()
+    table = np.full((len(langs), width), SMOOTHING)
+    for lists, first in _lists(counted.column("counts")):
+        cells = lists.flatten()
+        of = first + np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        table[of, cells.field("bucket").to_numpy()] += cells.field("n").to_numpy()
+    table /= table.sum(axis=1, keepdims=True)
+    return langs, table
+
+
+def _lists(column: pa.ChunkedArray) -> Iterator[tuple[pa.ListArray, int]]:
+    """Chunks of a column with the number of their first row."""
+    first = 0
+    for chunk in column.chunks:
+        yield chunk, first
+        first += len(chunk)
 
 
 def _em(theta: np.ndarray, probs: np.ndarray, count: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,8 +143,9 @@ def mixtures(texts: list[str | None], table: np.ndarray) -> np.ndarray:
     doc, bucket = grams(texts)
     if not len(doc) or not len(table):
         return out
-    keys, count = np.unique(doc * BUCKETS + bucket, return_counts=True)
-    doc, bucket, count = keys // BUCKETS, keys % BUCKETS, count.astype(float)
+    width = table.shape[1]
+    keys, count = np.unique(doc * width + bucket % width, return_counts=True)
+    doc, bucket, count = keys // width, keys % width, count.astype(float)
     present, starts, sizes = np.unique(doc, return_index=True, return_counts=True)
     probs = table.T[bucket]
     uniform = np.full((len(present), len(table)), 1 / len(table))

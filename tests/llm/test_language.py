@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 
+from tallyframe.llm import language
 from tallyframe.llm.language import BUCKETS, EM_ROUNDS, SMOOTHING, gram_counts, grams, held_out, identify, mixtures, train
 from tallyframe.llm.queries import op2_language_mixture
 
@@ -67,6 +68,33 @@ def test_held_out_and_accuracy(spark):
     assert spark.createDataFrame([(None,)], "doc_id long").select(held_out("doc_id").alias("h")).first().h
 
 
+def test_many_labels_give_coarser_models(spark):
+    assert [language.buckets_of(n) for n in (0, 1, 512, 513, 1024, 3_000, 1 << 24, 1 << 26)] == [BUCKETS, BUCKETS, BUCKETS, BUCKETS // 2, BUCKETS // 2, 4096, 1, 1]
+    rows = [(k, "".join(chr(97 + k // 26**p % 26) for p in range(3)) + "zq", f"l{k:04}") for k in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    langs, table = train(docs)
+    assert langs == sorted(r[2] for r in rows) and table.shape == (3_000, 4096)
+    for k in (0, 1, 1_234, 2_999):  # the counts of a loop, folded onto the buckets left
+        plain = np.full(4096, SMOOTHING)
+        for b in grams([rows[k][1]])[1]:
+            plain[b % 4096] += 1
+        assert np.allclose(table[k], plain / plain.sum())
+    # as many texts of one label as it takes to be told from 2,999 others
+    out = identify(docs.where("doc_id < 40"), (langs, table)).collect()
+    assert len(out) == 40 and all(0 <= r.score <= 1 for r in out)
+    assert sum(r.lang_pred == f"l{r.doc_id:04}" for r in out) >= 36
+
+
+def test_counts_of_more_labels_than_a_task_holds(spark, monkeypatch):
+    monkeypatch.setattr(language, "HELD_LANGUAGES", 2)
+    rows = [(k, "the cat " * (k + 1), f"l{k % 5}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    got = {}
+    for r in gram_counts(docs).collect():
+        got[r.lang] = got.get(r.lang, 0) + r.n
+    assert got == {f"l{j}": sum(6 * (k + 1) for k in range(40) if k % 5 == j) for j in range(5)}
+
+
 def plain_mixture(counts, table):
     """Proportions of one document by loops: EM over a growing set of languages as long as BIC rises."""
     langs = range(len(table))
