@@ -16,7 +16,11 @@ headers, footers, sidebars, notices, adverts, forms and comments are taken only
 where nothing else varies.  Where no slot of a page varies, and on a page that
 its wrapper can't parse, all slots outside such furniture are its text.  A
 ``header`` inside an article or ``main`` is the article's own and content; a
-paragraph, list item or the like whose class marks it is furniture.
+paragraph, list item or the like whose class marks it is furniture.  Inside an
+article what a marked region holds counts too: one with the article's title is
+content, and so is a related section of prose that isn't mostly links.  A
+region there that is marked only in part of a token (``page-notice-large``) is
+decided by what was learned: its slots are left out where they are template.
 
 Defined results: null or empty html gives empty text; ids and urls may be null
 or repeat; pages without a host share one wrapper; every row gives one row.
@@ -30,6 +34,7 @@ import json
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import cached_property, lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 import regex
@@ -65,6 +70,12 @@ MARKED_LEAVES = frozenset("p li dt dd address figcaption center label legend".sp
 #: Furniture in which articles are no content of the page.
 SHUT_ELEMENTS = frozenset("nav footer aside menu dialog".split())
 SHUT_WORDS = frozenset("comment comments disqus related replies reply respond".split())
+#: Words of lists of other posts; a section of prose under such a name can be the article's own.
+RELATED_WORDS = frozenset(["related"])
+#: Pieces that mark readers' comments, adverts and consent in any token, but for tokens that tell a state.
+COMMENT_PIECE = regex.compile(r"comments?|comments?(?:list|area|box|form|wrap|thread|body|text|section)|disqus")
+ADVERT_PIECE = regex.compile(r"ads?|adverts?|advertisements?|advertising|sponsor(?:s|ed)?|promo|cookies?|newsletter")
+STATE_PIECES = frozenset("no not has have with without is are open opened closed enabled disabled allowed free off count ready policy".split())
 
 TOKEN = regex.compile(
     rf"""<!--.*?(?:-->|\Z)
@@ -78,47 +89,118 @@ ATTRIBUTE = regex.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^
 WORD = regex.compile(r"[a-z]+")
 
 
+class Mark(NamedTuple):
+    """What a tag's name, class, id and role say of its region."""
+
+    key: str
+    #: furniture by the element, or by whole tokens of its words
+    element: bool
+    marked: bool
+    content: bool
+    #: furniture without content; comments among its words; only words of related posts
+    shut: bool
+    comment: bool
+    related: bool
+    #: some piece of a token is a furniture word
+    partly: bool
+
+
 @lru_cache(maxsize=4096)
-def _region(name: str, rest: str) -> tuple[str, bool, bool, bool]:
-    """A container's token, and whether it opens furniture, content or furniture without content.
+def _mark(name: str, rest: str) -> Mark:
+    """A tag's mark.
 
     A class, id or role marks furniture as a whole token, or as one in which
     all pieces are furniture or place words: ``site-header`` is, ``no-sidebar``
-    and ``search-results`` are not.
+    and ``search-results`` are not.  Comments, adverts and consent mark by any
+    piece of a token (``user-comment-box``), unless another piece tells a state
+    (``comments-open``).
     """
     found = [(m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in ATTRIBUTE.finditer(rest)] if "=" in rest else []
     words = [w for _, value in found for w in WORD.findall(value)]
     pieces = [[w for w in WORD.findall(token) if len(w) > 1] for _, value in found for token in value.split()]
     marked = [p for p in pieces if FURNITURE_WORDS.intersection(p) and FURNITURE_WORDS.union(PLACE_WORDS).issuperset(p)]
-    comment = any(SHUT_WORDS.intersection(p) for p in marked)
+    lasting = [p for p in pieces if not STATE_PIECES.intersection(p)]
+    said = [] if name in PAGE_ELEMENTS else [p for p in lasting if any(map(COMMENT_PIECE.fullmatch, p))]
+    paid = [] if name in PAGE_ELEMENTS else [p for p in lasting if any(map(ADVERT_PIECE.fullmatch, p))]
+    comment = bool(said) or any(SHUT_WORDS.intersection(p) for p in marked)
     content = name in ("article", "main") or any(a == "role" and "main" in v.split() or a == "itemprop" and "articlebody" in v.split() for a, v in found)
-    furniture = name in FURNITURE or bool(marked) and name not in PAGE_ELEMENTS
-    shut = name in SHUT_ELEMENTS or comment and name not in ("html", "body", "main")
-    return ".".join([name, *words]), furniture, content, shut
+    return Mark(
+        ".".join([name, *words]),
+        name in FURNITURE,
+        bool(marked or said or paid) and name not in PAGE_ELEMENTS,
+        content,
+        name in SHUT_ELEMENTS or comment and name not in ("html", "body", "main"),
+        comment,
+        bool(marked) and not paid and all(RELATED_WORDS.intersection(p) for p in marked + said),
+        name not in PAGE_ELEMENTS and any(FURNITURE_WORDS.intersection(p) for p in lasting),
+    )
+
+
+class Region:
+    """An open or closed container: its mark, and what stands in it."""
+
+    __slots__ = ("name", "mark", "parent", "content", "title", "articles", "prose", "chars", "linked", "furniture", "shut", "weak")
+
+    def __init__(self, name: str, mark: Mark, parent: Region | None) -> None:
+        self.name, self.mark, self.parent = name, mark, parent
+        self.content = mark.content or parent is not None and parent.content
+        self.title = self.articles = self.prose = self.furniture = self.shut = self.weak = False
+        self.chars = self.linked = 0
+
+    def note(self, what: str) -> None:
+        """Set a flag here and in all regions around."""
+        region: Region | None = self
+        while region is not None and not getattr(region, what):
+            setattr(region, what, True)
+            region = region.parent
+
+    def settle(self) -> None:
+        """Furniture or content, once the page is read and the region around is settled."""
+        mark, around = self.mark, self.parent
+        in_content, in_furniture, in_shut, in_weak = (around.content, around.furniture, around.shut, around.weak) if around else (False, False, False, False)
+        by_words, shut = mark.marked, mark.shut
+        if in_content and not in_shut and self.name not in SHUT_ELEMENTS:
+            if mark.related and self.prose and not self.articles and 2 * self.linked < self.chars:
+                by_words = shut = False
+            elif self.title and not mark.comment:
+                by_words = False
+        furniture = (mark.element or by_words) and not (self.name == "header" and in_content)
+        self.shut = shut or in_shut
+        self.furniture = self.shut or not mark.content and (furniture or in_furniture)
+        self.weak = not mark.content and (in_weak or in_content and mark.partly and not by_words and not mark.related and not self.title)
 
 
 def stream(html: str) -> tuple[list[str], list[str]]:
     """Block tokens of a page and the text of each slot, in order.
 
-    Slots are ``#a`` in content elements, ``#t`` elsewhere, ``#f`` in furniture.
-    Of furniture and content the innermost counts, but comments, related posts
-    and elements like ``aside`` hold no content.
+    Slots are ``#a`` in content elements, ``#w`` there in regions marked in
+    part, ``#t`` elsewhere, ``#f`` in furniture.  Of furniture and content the
+    innermost counts, but comments, related posts and elements like ``aside``
+    hold no content.
     """
     tokens, texts, parts = [], [], []
-    stack: list[tuple[str, bool, bool, bool]] = []
-    at, leaf = 0, False
+    stack: list[Region] = []
+    regions: list[Region] = []
+    slots: list[tuple[int, Region | None, bool]] = []
+    at, leaf, link, titled = 0, False, False, False
+
+    def read(piece: str) -> None:
+        parts.append(piece)
+        if stack:
+            stack[-1].chars += len(piece.strip())
+            stack[-1].linked += len(piece.strip()) * link
 
     def flush() -> None:
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, furniture, content, _ = stack[-1] if stack else ("", False, False, False)
-            tokens.append("#f" if furniture or leaf else "#a" if content else "#t")
+            slots.append((len(tokens), stack[-1] if stack else None, leaf))
+            tokens.append("#")
             texts.append(text)
 
     for m in TOKEN.finditer(html):
         if m.start() > at:
-            parts.append(html[at : m.start()])
+            read(html[at : m.start()])
         at = m.end()
         name = m["name"]
         if not name:
@@ -126,28 +208,47 @@ def stream(html: str) -> tuple[list[str], list[str]]:
         name = name.lower()
         if name == "br":
             parts.append(" ")
+        elif name == "a":
+            link = not m["end"]
         elif name in LEAVES:
             flush()
-            leaf = not m["end"] and name in MARKED_LEAVES and "=" in m["rest"] and _region(name, m["rest"])[1]
+            mark = _mark(name, m["rest"]) if not m["end"] and name in MARKED_LEAVES and "=" in m["rest"] else None
+            leaf = mark is not None and mark.marked and not (name == "p" and mark.comment)
             if not m["end"]:
                 tokens.append(name)
+                if name == "p" and stack:
+                    stack[-1].note("prose")
+                elif name == "h1" and not titled and stack and stack[-1].content:
+                    titled = True
+                    stack[-1].note("title")
         elif name in CONTAINERS:
             flush()
             leaf = False
             if not m["end"]:
-                key, furniture, content, shut = _region(name, m["rest"])
-                _, in_furniture, in_content, in_shut = stack[-1] if stack else ("", False, False, False)
-                furniture = furniture and not (name == "header" and in_content)
-                shut = shut or in_shut
-                furniture = shut or not content and (furniture or in_furniture)
-                stack.append((name, furniture, in_content or content, shut))
-                tokens.append("<" + key)
-            elif any(s[0] == name for s in stack):
-                while stack.pop()[0] != name:
+                if name == "article" and stack:
+                    stack[-1].note("articles")
+                stack.append(Region(name, _mark(name, m["rest"]), stack[-1] if stack else None))
+                regions.append(stack[-1])
+                tokens.append("<" + stack[-1].mark.key)
+            elif any(s.name == name for s in stack):
+                while stack.pop().name != name:
                     pass
                 tokens.append(">" + name)
-    parts.append(html[at:])
+    read(html[at:])
     flush()
+    for region in reversed(regions):
+        if region.parent:
+            region.parent.chars += region.chars
+            region.parent.linked += region.linked
+    for region in regions:
+        region.settle()
+    for k, region, in_leaf in slots:
+        if in_leaf or region and region.furniture:
+            tokens[k] = "#f"
+        elif region and region.content:
+            tokens[k] = "#w" if region.weak else "#a"
+        else:
+            tokens[k] = "#t"
     return tokens, texts
 
 
@@ -342,7 +443,7 @@ class Wrapper:
             return None
         of = lambda kind, left_out=frozenset(): sorted(at for slot, at in places if self.kinds[slot] == kind and slot not in left_out)
         varying = of("#t", template) or (template and of("#f", template))
-        return of("#a") or varying or of("#t")
+        return sorted(of("#a") + of("#w", template)) or of("#w") or varying or of("#t")
 
 
 @lru_cache(maxsize=512)
@@ -356,8 +457,7 @@ def extract(html: str | None, wrapper: Wrapper | None, template: frozenset[int]
     found = wrapper.slots(tokens, template) if wrapper else None
     parsed = found is not None
     if found is None:
-        kind = "#a" if "#a" in tokens else "#t"
-        found = [k for k, t in enumerate(tokens) if t == kind]
+        found = [k for k, t in enumerate(tokens) if t in ("#a", "#w")] or [k for k, t in enumerate(tokens) if t == "#t"]
     number = {k: n for n, k in enumerate(k for k, t in enumerate(tokens) if t[0] == "#")}
     return " ".join(texts[number[k]] for k in found), parsed
 

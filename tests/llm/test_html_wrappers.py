@@ -142,3 +142,41 @@ def test_unknown_tokens_are_not_parsed():
     assert wrapper.places(stream(html)[0]) is None or "h1" in str(wrapper.expression)
     assert extract(html, wrapper) == ("A", False)
     assert wrapper._aligned(["<nothing", "#t"]) is None
+
+
+def test_comments_adverts_and_consent_mark_by_any_piece():
+    for mark in ("post-comments", "commentlist", "user-comment-box", "ad-slot", "cookie-notice-bar", "comments"):
+        assert extract(f"<article><p>kept</p><div class='{mark}'><p>gone</p></div></article>", None)[0] == "kept", mark
+    for mark in ("comments-open", "no-ads", "commentary", "has-comments", "adaptive", "promotion-theory"):
+        assert extract(f"<article><div class='{mark}'><p>kept</p></div></article>", None)[0] == "kept", mark
+    assert extract("<article class='ad-free comments-open'><p>kept</p></article>", None)[0] == "kept"
+
+
+def test_what_a_marked_region_holds_counts_inside_an_article():
+    pages = {
+        "<article><p>Body</p><p class='comment'>a remark of the author</p></article>": "Body a remark of the author",
+        "<article><p>Body</p><ol class='commentlist'><li class='comment'>First!</ol></article>": "Body",
+        "<article><div class='banner'><h1>Title</h1></div><p>Body</p></article>": "Title Body",
+        "<article><h1>Title</h1><div class='banner'><h1>Buy</h1></div><p>Body</p></article>": "Title Body",
+        "<article><p>Body</p><section class='related'><h2>Related work</h2><p>Others <a href='x'>tried</a> before us.</p></section></article>": "Body Related work Others tried before us.",
+        "<article><p>Body</p><section class='related'><p><a href='x'>Another post</a></p><p><a href='y'>One more</a></p></section></article>": "Body",
+        "<article><p>Body</p><div class='related'><article><p>Teaser</p></article></div></article>": "Body",
+        "<article><p>Body</p><section class='comments'><h1>Comments</h1><p>First!</p></section></article>": "Body",
+        "<article><p>Body</p><aside class='related'><p>gone</p></aside></article>": "Body",
+    }
+    for page, text in pages.items():
+        assert extract(page, None)[0] == text, page
+
+
+def test_the_wrapper_decides_on_regions_marked_in_part_inside_articles(spark):
+    """A box whose class holds a furniture word goes where its text is the host's, and stays where it is the page's; a fixed line that nothing marks stays."""
+    page = "<article><h1>T {k}</h1><p>Story {k}</p><div class='{mark}-large-x1'><p>{text}</p></div><p>The end</p></article>"
+    rows = [(k, f"http://fixed.org/{k}", page.format(k=k, mark="notice", text="Read our terms")) for k in range(6)]
+    rows += [(10 + k, f"http://own.org/{k}", page.format(k=k, mark="notice", text=f"Note {k} of the author")) for k in range(6)]
+    rows += [(20 + k, f"http://unmarked.org/{k}", page.format(k=k, mark="figure", text="Read our terms")) for k in range(6)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(6):
+        assert got[k] == f"T {k} Story {k} The end"
+        assert got[10 + k] == f"T {k} Story {k} Note {k} of the author The end"
+        assert got[20 + k] == f"T {k} Story {k} Read our terms The end"
+    assert all(extract(html, None)[0] != got[k] for k, _, html in rows[:6])
