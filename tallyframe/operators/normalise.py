@@ -8,12 +8,14 @@ operators that need them say so and take the complete grid (see
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scratch import materialise
+from ..scratch import discard, materialise, written
 from .ranges import quantiles, running_sum, with_totals
 
 
@@ -281,70 +283,95 @@ def normal_p(z: Column) -> Column:
     return tail(z.cast("double"))
 
 
-def _gamma_q(a: float, x: float) -> float:
-    """Upper regularised incomplete gamma function."""
-    if x <= 0:
-        return 1.0
-    if x < a + 1:
-        term = total = 1 / a
-        k = a
-        while abs(term) > abs(total) * 1e-16:
-            k += 1
-            term *= x / k
-            total += term
-        return 1 - total * math.exp(-x + a * math.log(x) - math.lgamma(a))
+def _log_gamma(a: np.ndarray) -> np.ndarray:
+    """Logarithms of the gamma function, one call for each distinct value (degrees of freedom are few)."""
+    values, at = np.unique(a, return_inverse=True)
+    return np.array([math.lgamma(v) for v in values])[at.reshape(a.shape)]
+
+
+def _fraction(terms: Iterator[tuple[np.ndarray, np.ndarray]], start: float, first: np.ndarray, exact: float) -> np.ndarray:
+    """A continued fraction by its steps (numerator, denominator), for many arguments at once; ``start`` and ``first`` are what the ratios of numerators and denominators begin with."""
     tiny = 1e-300
-    b = x + 1 - a
-    c, d = 1 / tiny, 1 / b
-    h = d
-    for i in range(1, 500):
-        an = -i * (i - a)
-        b += 2
-        d = 1 / (an * d + b or tiny)
-        c = b + an / c or tiny
-        h *= d * c
-        if abs(d * c - 1) < 1e-16:
+    sure = lambda v: np.where(v == 0, tiny, v)
+    c, d = np.full_like(first, start), 1 / sure(first)
+    h, open_ = d.copy(), np.ones(first.shape, dtype=bool)
+    for above, below in terms:
+        d = 1 / sure(above * d + below)
+        c = sure(below + above / c)
+        h = np.where(open_, h * d * c, h)
+        open_ &= np.abs(d * c - 1) >= exact
+        if not open_.any():
             break
-    return h * math.exp(-x + a * math.log(x) - math.lgamma(a))
+    return h
+
+
+def _gamma_q(a: float | np.ndarray, x: float | np.ndarray) -> np.ndarray:
+    """Upper regularised incomplete gamma function."""
+    shape = np.broadcast(a, x).shape
+    a, x = (np.array(np.broadcast_to(v, shape), dtype=float).ravel() for v in (a, x))
+    out = np.where(np.isnan(a + x), np.nan, np.where((x > 0) & (a <= 0), 0.0, 1.0))
+    near, far = (a > 0) & (x > 0) & (x < a + 1), (a > 0) & (x > 0) & (x >= a + 1)
+    front = lambda a, x: np.exp(-x + a * np.log(x) - _log_gamma(a))
+    if near.any():
+        p, q = a[near], x[near]
+        term = total = 1 / p
+        k = p
+        while (np.abs(term) > np.abs(total) * 1e-16).any():
+            k = k + 1
+            term = term * q / k
+            total = total + term
+        out[near] = 1 - total * front(p, q)
+    if far.any():
+        p, q = a[far], x[far]
+        out[far] = _fraction(((-i * (i - p), q + 1 - p + 2 * i) for i in range(1, 500)), 1e300, q + 1 - p, 1e-16) * front(p, q)
+    return out.reshape(shape)[()]
 
 
 def chi2_sf(x: Column, df: Column) -> Column:
-    """Upper tail of the chi-square distribution."""
+    """Upper tail of the chi-square distribution; null where either is."""
+
     @F.pandas_udf("double")
     def tail(v: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([None if pd.isna(a) or pd.isna(b) else _gamma_q(b / 2, a / 2) for a, b in zip(v, n)], dtype="float64")
+        p = pd.Series(_gamma_q(n.to_numpy(dtype=float) / 2, v.to_numpy(dtype=float) / 2), index=v.index)
+        return p.where(v.notna() & n.notna())
 
     return tail(x.cast("double"), df.cast("double"))
 
 
-def _beta_cf(a: float, b: float, x: float) -> float:
-    tiny, c, d = 1e-300, 1.0, 1 - (a + b) * x / (a + 1)
-    d = 1 / (d or tiny)
-    h = d
-    for m in range(1, 500):
-        for an in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1 / (1 + an * d or tiny)
-            c = 1 + an / c or tiny
-            h *= d * c
-        if abs(d * c - 1) < 1e-15:
-            break
-    return h
+def _beta_cf(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    one = np.ones_like(x)
 
+    def steps() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for m in range(1, 500):
+            yield m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), one
+            yield -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)), one
 
-def _t_p(t: float, df: float) -> float:
+    return _fraction(steps(), 1.0, 1 - (a + b) * x / (a + 1), 1e-15)
+
+
+def _t_p(t: float | np.ndarray, df: float | np.ndarray) -> np.ndarray:
     """Two-sided p-value of Student's t."""
-    x = df / (df + t * t)
-    a, b = df / 2, 0.5
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) if 0 < x < 1 else 0.0
-    if x >= 1:
-        return 1.0
-    return front * _beta_cf(a, b, x) / a if x < (a + 1) / (a + b + 2) else 1 - front * _beta_cf(b, a, 1 - x) / b
+    shape = np.broadcast(t, df).shape
+    t, df = (np.array(np.broadcast_to(v, shape), dtype=float).ravel() for v in (t, df))
+    x, a, b = df / (df + t * t), df / 2, np.full(t.shape, 0.5)
+    out = np.where(np.isnan(t + df), np.nan, np.where(x >= 1, 1.0, 0.0))
+    inner = (x > 0) & (x < 1)
+    direct = inner & (x < (a + 1) / (a + b + 2))
+    for some, p, q, y in ((direct, a, b, x), (inner & ~direct, b, a, 1 - x)):
+        if some.any():
+            p, q, y = p[some], q[some], y[some]
+            share = np.exp(_log_gamma(p + q) - _log_gamma(p) - _log_gamma(q) + p * np.log(y) + q * np.log1p(-y)) * _beta_cf(p, q, y) / p
+            out[some] = share if some is direct else 1 - share
+    return out.reshape(shape)[()]
 
 
 def t_p_value(t: Column, df: Column) -> Column:
+    """Two-sided p-value of Student's t; null where either is, or without degrees of freedom."""
+
     @F.pandas_udf("double")
     def tail(v: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([None if pd.isna(a) or pd.isna(b) or b <= 0 else _t_p(a, b) for a, b in zip(v, n)], dtype="float64")
+        n = n.where(n > 0)
+        return pd.Series(_t_p(v.to_numpy(dtype=float), n.to_numpy(dtype=float)), index=v.index).where(v.notna() & n.notna())
 
     return tail(t.cast("double"), df.cast("double"))
 
@@ -455,22 +482,63 @@ def module_profile(counts: DataFrame, modules: DataFrame) -> DataFrame:
     return scale(counts).join(modules, "feature_id").where("z is not null").groupBy("module", "sample_id").agg(F.avg("z").alias("profile"))
 
 
+#: Directions of a module that :func:`module_eigenvector` follows at once, its rounds at the most, and the relative change of the greatest eigenvalue at which they end.
+DIRECTIONS = 6
+ROUNDS = 40
+SETTLED = 1e-12
+
+
+def _orthonormal(products: pd.Series) -> pd.DataFrame:
+    """For each module: what turns its directions, given their products, into orthonormal ones, strongest first, and the greatest length."""
+    at = np.triu_indices(DIRECTIONS)
+    grams = np.zeros((len(products), DIRECTIONS, DIRECTIONS))
+    grams[:, at[0], at[1]] = grams[:, at[1], at[0]] = np.stack(products.to_list()) if len(products) else 0.0
+    values, turns = np.linalg.eigh(grams)
+    values, turns = values[:, ::-1], turns[:, :, ::-1]
+    lasting = values > 1e-14 * values[:, :1]  # a module has no more directions than samples
+    turns = np.where(lasting[:, None, :], turns / np.sqrt(np.where(lasting, values, 1.0))[:, None, :], 0.0)
+    return pd.DataFrame({"turn": list(turns.reshape(len(turns), -1)), "top": np.sqrt(np.maximum(values[:, 0], 0.0))})
+
+
 def module_eigenvector(counts: DataFrame, modules: DataFrame) -> DataFrame:
     """``(module, sample_id, profile)``: first principal component of a module, signed like its mean profile.
 
-    A module's matrix is one pandas group; modules are parts of a gene list, so
-    they stay small.
+    Power iteration of a few directions of all modules at once: a round sums
+    cells to (module, feature), then to (module, sample), and makes each
+    module's directions orthonormal by their products, so no module is a group
+    of its own, and all that a module has alone is one row of products.  Rounds
+    are written; cells that are left out are 0; features of a null module are
+    left out.  Runs jobs when called.
     """
-    import numpy as np
-
-    def first(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf.pivot_table(index="feature_id", columns="sample_id", values="z").fillna(0.0)
-        _, _, v = np.linalg.svd(wide.to_numpy(), full_matrices=False)
-        sign = 1.0 if np.dot(v[0], wide.mean().to_numpy()) >= 0 else -1.0
-        return pd.DataFrame({"module": pdf["module"].iloc[0], "sample_id": wide.columns, "profile": sign * v[0]})
-
-    rows = scale(counts).join(modules, "feature_id").where("z is not null").select("module", "feature_id", "sample_id", "z")
-    return rows.groupBy("module").applyInPandas(first, "module string, sample_id string, profile double")
+    cells = scale(counts).join(modules.where("module is not null"), "feature_id").where("z is not null").select("module", "feature_id", "sample_id", "z")
+    cells = materialise(cells, "module-cells")
+    names = [f"b{k}" for k in range(DIRECTIONS)]
+    sums = lambda: [F.sum(F.col("z") * F.col(c)).alias(c) for c in names]
+    # the mean profile, and others of no direction
+    drawn = [F.xxhash64(F.lit(k), "sample_id").cast("double") / 2.0**63 for k in range(1, DIRECTIONS)]
+    means = cells.groupBy("module", "sample_id").agg(F.sum("z").alias("mean"))
+    block, old = written(means.select("module", "sample_id", F.col("mean").alias("b0"), *[d.alias(c) for d, c in zip(drawn, names[1:])]), "module-directions")
+    orthonormal = F.pandas_udf(_orthonormal, "struct<turn:array<double>,top:double>")
+    last = None
+    for _ in range(ROUNDS):
+        features = cells.join(block, ["module", "sample_id"]).groupBy("module", "feature_id").agg(*sums())
+        raw, path = written(cells.join(features, ["module", "feature_id"]).groupBy("module", "sample_id").agg(*sums()), "module-products")
+        products = F.array(*[F.sum(F.col(a) * F.col(b)) for k, a in enumerate(names) for b in names[k:]])
+        turns = raw.groupBy("module").agg(products.alias("products")).select("module", orthonormal("products").alias("turn")).select("module", "turn.turn", "turn.top")
+        turned = [sum(F.col(a) * F.get("turn", i * DIRECTIONS + k) for i, a in enumerate(names)).alias(c) for k, c in enumerate(names)]
+        block, new = written(raw.join(turns, "module").select("module", "sample_id", "top", *turned), "module-directions")
+        tops = block.groupBy("module").agg(F.first("top").alias("top"))
+        if last is not None:
+            still = F.max(F.abs(F.col("top") - F.col("before")) / F.greatest("top", F.lit(1e-300)))
+            if (tops.join(last, "module").agg(still.alias("moved")).first().moved or 0.0) <= SETTLED:
+                break
+        last = materialise(tops.withColumnRenamed("top", "before"), "module-tops")
+        for gone in (old, path):
+            discard(cells.sparkSession, gone)
+        old, block = new, block.drop("top")
+    rows = block.join(means, ["module", "sample_id"])
+    signed = rows.groupBy("module").agg(F.sum(F.col("b0") * F.col("mean")).alias("along"))
+    return rows.join(signed, "module").select("module", "sample_id", F.when(F.col("along") < 0, -F.col("b0")).otherwise(F.col("b0")).alias("profile"))
 
 
 def expression_summary(counts: DataFrame) -> DataFrame:

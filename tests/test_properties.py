@@ -348,6 +348,51 @@ def test_module_eigenvectors_equal_numpy(spark, counts):
         assert v @ z.mean(axis=0) >= -1e-3
 
 
+def test_eigenvectors_of_lopsided_modules(spark):
+    """A module of one feature, one of fewer samples than directions, one with a third of all cells, a null one; no pandas group."""
+    rng, shapes = np.random.default_rng(3), {"one": (1, 9), "few": (12, 3), "wide": (4, 60), "tall": (80, 7)}
+    cells, members, z = [], [], {}
+    for m, (p, n) in shapes.items():
+        x = rng.normal(size=(p, 1)) * rng.normal(size=(1, n)) * 2 + rng.normal(size=(p, n))
+        z[m] = (x - x.mean(axis=1, keepdims=True)) / x.std(axis=1, ddof=1, keepdims=True)
+        cells += [(f"s{j:02}", f"{m}{i}", float(x[i, j])) for i in range(p) for j in range(n)]
+        members += [(f"{m}{i}", m) for i in range(p)]
+    counts = spark.createDataFrame([*cells, ("s00", "lost", 1.0), ("s01", "lost", 2.0)], "sample_id string, feature_id string, value double")
+    modules = spark.createDataFrame([*members, ("lost", None)], "feature_id string, module string")
+    frame = N.module_eigenvector(counts, modules)
+    assert "Pandas" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    got = {}
+    for r in frame.collect():
+        got.setdefault(r.module, []).append((r.sample_id, r.profile))
+    assert set(got) == set(shapes)
+    for m, (p, n) in shapes.items():
+        v = np.array([x for _, x in sorted(got[m])])
+        want = np.linalg.svd(z[m], full_matrices=False)[2][0]
+        want *= np.sign(want @ z[m].mean(axis=0))
+        assert len(v) == n and np.allclose(v, want, atol=1e-4), m
+    assert N.module_eigenvector(counts.limit(0), modules).count() == 0
+
+
+def test_p_values_of_columns_equal_single_ones(spark):
+    """Series, fractions, ends and nulls in one batch; closed forms of the tails where they have one."""
+    rows = [(float(x), float(n)) for x in (0, 0.1, 1, 3.7, 20, 150, 800) for n in (1, 2, 3, 10, 300)]
+    frame = spark.createDataFrame([*rows, (None, 3.0), (1.0, None), (1.0, 0.0)], "x double, n double").coalesce(1)
+    got = frame.select("x", "n", N.chi2_sf(F.col("x"), F.col("n")).alias("q"), N.t_p_value(F.col("x"), F.col("n")).alias("t")).collect()
+    for r in got:
+        if r.x is None or r.n is None:
+            assert r.q is None and r.t is None
+        elif r.n == 0:
+            assert r.q == 0 and r.t is None
+        else:
+            assert r.q == N._gamma_q(r.n / 2, r.x / 2) and r.t == N._t_p(r.x, r.n) and 0 <= r.q <= 1 and 0 <= r.t <= 1
+            if r.n == 2:
+                assert math.isclose(r.q, math.exp(-r.x / 2), rel_tol=1e-9, abs_tol=1e-300)
+                assert math.isclose(r.t, 1 - r.x / math.sqrt(2 + r.x * r.x), rel_tol=1e-6, abs_tol=1e-12)
+            if r.n == 1:
+                assert math.isclose(r.q, math.erfc(math.sqrt(r.x / 2)), rel_tol=1e-9, abs_tol=1e-300)
+                assert math.isclose(r.t, 1 - 2 * math.atan(r.x) / math.pi, rel_tol=1e-9, abs_tol=1e-12)
+
+
 def test_classified_texts_equal_naive_bayes(spark):
     """The whole query against multinomial naive Bayes over exact 3-mers; hashing may change a few texts in a hundred."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
