@@ -353,12 +353,16 @@ def _(spark, d):
     return rounded(N.module_traits(N.module_profile(counts, modules), traits).where("n > 3").drop("p"), "r")
 
 
+#: The classifiers' training rows are those whose id this number divides; all rows are classified.  Their SQL repeats it.
+FIT_EVERY = 5
+
+
 @query("m22_classify_text")
 def _(spark, d):
     from ..operators.classify import classify_text
 
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("label"))
-    return rounded(classify_text(docs.where("id % 5 = 0"), docs.drop("label"), 3), "confidence", digits=4)
+    return rounded(classify_text(docs.where(F.col("id") % FIT_EVERY == 0), docs.drop("label"), 3), "confidence", digits=4)
 
 
 @query("m22_classify_lineage", """
@@ -376,7 +380,7 @@ def _(spark, d):
     from ..operators.classify import classify_lineage
 
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.array("lang", "source").alias("lineage"))
-    return rounded(classify_lineage(docs.where("id % 5 = 0"), docs.drop("lineage"), 3), "confidence", digits=4).withColumn("lineage", F.array_join("lineage", "; "))
+    return rounded(classify_lineage(docs.where(F.col("id") % FIT_EVERY == 0), docs.drop("lineage"), 3), "confidence", digits=4).withColumn("lineage", F.array_join("lineage", "; "))
 
 
 @query("m28_expression_summary", "SELECT sample_id, min(value) AS min, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.5) AS median, round(avg(value), 6) AS mean, quantile_disc(value, 0.75) AS q3, max(value) AS max FROM counts GROUP BY 1", "counts")
