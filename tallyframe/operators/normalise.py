@@ -483,7 +483,7 @@ def module_profile(counts: DataFrame, modules: DataFrame) -> DataFrame:
 
 
 #: Directions of a module that :func:`module_eigenvector` follows at once, its rounds at the most, and the relative change of the greatest eigenvalue at which they end.
-DIRECTIONS = 6
+DIRECTIONS = 12
 ROUNDS = 40
 SETTLED = 1e-12
 
