@@ -105,7 +105,9 @@ SELECT sample_id, feature_id, round(value - avg(value) OVER (PARTITION BY featur
 def _(spark, d):
     """Scores times loadings of all components give the centred table back."""
     scores, loadings = principal_components(view(spark, d, "counts"), 8)
-    back = scores.join(loadings, "component").groupBy("sample_id", "feature_id").agg(F.sum(F.col("score") * F.col("loading")).alias("centred"))
+    listed = lambda d, key, v: d.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("component", v))), lambda c: c[v]).alias(v))
+    product = F.aggregate(F.zip_with("score", "loading", lambda x, y: x * y), F.lit(0.0), lambda a, v: a + v)
+    back = listed(loadings, "feature_id", "loading").crossJoin(listed(scores, "sample_id", "score")).select("sample_id", "feature_id", product.alias("centred"))
     return back.withColumn("centred", F.round("centred", 4) + 0.0)
 
 

@@ -61,6 +61,15 @@ def test_components_equal_numpy(spark, n, p, k):
         assert col[np.abs(col).round(9).argmax()] > 0
 
 
+def test_the_driver_holds_the_shorter_side(spark, monkeypatch):
+    """Few samples of many features: what a pass sends to the driver grows with the samples."""
+    sizes, plain = [], D._multiplied
+    monkeypatch.setattr(D, "_multiplied", lambda packed, w, *more: sizes.append(w.shape[0]) or plain(packed, w, *more))
+    rows = [(f"s{i}", j, float((i + 1) * j % 11)) for i in range(4) for j in range(300)]
+    D.principal_components(spark.createDataFrame(rows, "sample_id string, feature_id long, value double"), 2)
+    assert set(sizes) == {4}
+
+
 def test_components_of_nothing(spark):
     none = spark.createDataFrame([], "sample_id string, feature_id long, value double")
     assert [d.count() for d in D.principal_components(none, 3)] == [0, 0]
