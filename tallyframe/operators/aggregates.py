@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import overlap_join
-from .ranges import quantiles, running_sum, with_totals
+from .ranges import quantiles, ranged, running_max, running_sum, with_totals
 
 
 def collapse_junctions(junctions: DataFrame) -> DataFrame:
@@ -78,14 +80,40 @@ def fractional_counts(seqs: DataFrame, split: bool = True) -> DataFrame:
     return rows.select(share.alias("value"), F.explode("annotations").alias("feature")).groupBy("feature").agg(F.sum("value").alias("value"))
 
 
-def assign_reads(reads: DataFrame, exons: DataFrame, stranded: int = 0, bin_size: int = 64) -> DataFrame:
-    """``(gene, reads)``: reads that overlap exactly one gene; strand 1 must equal, 2 must differ, 0 is ignored."""
-    hits = overlap_join(reads.select("name", "contig", "start", "stop", "strand"), exons.select("gene", "contig", "start", "stop", "strand"), bin_size)
-    if stranded:
-        same = F.col("a_strand") == F.col("b_strand")
-        hits = hits.where(same if stranded == 1 else ~same)
-    genes = hits.groupBy("a_name").agg(F.countDistinct("b_gene").alias("n"), F.min("b_gene").alias("gene"))
-    return genes.where("n = 1").groupBy("gene").agg(F.count(F.lit(1)).alias("reads"))
+def _swept(reads: DataFrame, features: DataFrame, group: list[str], label: str) -> tuple[DataFrame, list[str]]:
+    """Distinct places of reads (kind 0) and stops of features by start and label (kind 1), dealt out by group and ``place``, with the order.
+
+    A read stands at its stop, before features that start there.  So the
+    features before it start before its stop, and it meets those of them whose
+    stop is behind its start: how far they reach tells it, and no pair of a
+    read and a feature is ever a row.
+    """
+    named = [F.col(c).isNotNull() for c in group]
+    some = lambda d: d.where(reduce(and_, [F.col("start") < F.col("stop"), *named]))
+    held = some(features).where(F.col(label).isNotNull()).groupBy(*group, F.col("start").alias("place"), label).agg(F.max("stop").alias("reach")).withColumn("kind", F.lit(1))
+    asked = some(reads).select(*group, "start", "stop").distinct().withColumn("place", F.col("stop")).withColumn("kind", F.lit(0))
+    order = ["place", "kind", label, "start"]
+    return ranged(held.unionByName(asked, allowMissingColumns=True), *group, *order), order
+
+
+def assign_reads(reads: DataFrame, exons: DataFrame, stranded: int = 0) -> DataFrame:
+    """``(gene, reads)``: reads that overlap exactly one gene; strand 1 must equal, 2 must differ, 0 is ignored.
+
+    Rows of one name are parts of one read.
+    """
+    group = ["contig", "strand"] if stranded else ["contig"]
+    if stranded == 2:
+        strands = reads.select(F.col("strand").alias("other")).where("other is not null").distinct()  # a few
+        exons = exons.join(F.broadcast(strands), F.col("strand") != F.col("other")).withColumn("strand", F.col("other"))
+    rows, order = _swept(reads, exons, group, "gene")
+    held = F.col("kind") == 1
+    rows = running_max(rows, group, order, top=F.when(held, F.struct("reach", "gene")))
+    # of two genes the one that reaches less far is beaten: the furthest beaten stop is that of the second gene
+    beaten = F.when(held & (F.col("gene") != F.col("top.gene")), F.least("reach", "top.reach"))
+    rows = running_max(rows, group, order, second=beaten).where("kind = 0 and top.reach > start")
+    met = rows.select(*group, "start", "stop", F.when(F.coalesce(F.col("second") > F.col("start"), F.lit(False)), F.lit(2)).otherwise(1).alias("n"), F.col("top.gene").alias("gene"))
+    reads_ = reads.select("name", *group, "start", "stop").join(met, [*group, "start", "stop"]).groupBy("name").agg(F.max("n").alias("n"), F.min("gene").alias("gene"), F.max("gene").alias("last"))
+    return reads_.where("n = 1 and gene = last").groupBy("gene").agg(F.count(F.lit(1)).alias("reads"))
 
 
 def umi_count(cells: DataFrame) -> DataFrame:
@@ -224,14 +252,19 @@ def histogram(rows: DataFrame, column: str, low: float, high: float, bins: int)
     return rows.groupBy(F.width_bucket(F.col(column), F.lit(low), F.lit(high), F.lit(bins)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def read_distribution(reads: DataFrame, features: DataFrame, priority: list[str], bin_size: int = 64) -> DataFrame:
-    """``(class, reads)``: each read in the first class of the priority list it overlaps, else "intergenic"."""
-    hits = overlap_join(reads.select("name", "contig", "start", "stop"), features.select("class", "contig", "start", "stop"), bin_size)
-    place = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col("b_class"))
-    best = hits.where(place > 0).groupBy("a_name").agg(F.min(place).alias("place"))
-    names = F.element_at(F.array(*[F.lit(p) for p in priority]), F.col("place").cast("int"))
-    classed = reads.select("name").join(best, F.col("name") == F.col("a_name"), "left")
-    return classed.groupBy(F.coalesce(F.when(F.col("place").isNotNull(), names), F.lit("intergenic")).alias("class")).agg(F.count(F.lit(1)).alias("reads"))
+def read_distribution(reads: DataFrame, features: DataFrame, priority: list[str]) -> DataFrame:
+    """``(class, reads)``: each read in the first class of the priority list it overlaps, else "intergenic".
+
+    Rows of one name are parts of one read, and each is counted.
+    """
+    rows, order = _swept(reads, features.where(F.col("class").isin(priority)), ["contig"], "class")
+    names = [f"reach_{k}" for k in range(len(priority))]
+    rows = running_max(rows, ["contig"], order, **{n: F.when((F.col("kind") == 1) & (F.col("class") == c), F.col("reach")) for n, c in zip(names, priority)})
+    place = F.coalesce(*[F.when(F.col(n) > F.col("start"), F.lit(k)) for k, n in enumerate(names)])
+    met = rows.where("kind = 0").select("contig", "start", "stop", place.alias("place"))
+    each = reads.select("name", "contig", "start", "stop").join(met, ["contig", "start", "stop"], "left").groupBy("name").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n"))
+    found = F.get(F.array(*[F.lit(p) for p in priority]), F.when(F.col("name").isNotNull(), F.col("place")))
+    return each.groupBy(F.coalesce(found, F.lit("intergenic")).alias("class")).agg(F.sum("n").alias("reads"))
 
 
 def saturation(rows: DataFrame, key: str, feature: str, steps: int = 10) -> DataFrame:

@@ -57,6 +57,17 @@ def sum_before(parts: DataFrame, group: list[str], order: list[Column | str], va
     return by_range(parts.withColumn("range_within", inner), sums, keys).withColumn(name, F.col("range_before") + F.col("range_within")).drop("range_before", "range_within")
 
 
+def running_max(parts: DataFrame, group: list[str], order: list[str], **values: Column) -> DataFrame:
+    """Adds the greatest of each value over the rows of the same group that sort earlier (null for none), over rows that :func:`ranged` has dealt out by group and order."""
+    keys, earlier = [*group, PART], (Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*group).orderBy(PART).rowsBetween(*earlier)
+    tops = parts.groupBy(*keys).agg(*[F.max(v).alias(f"range_{n}") for n, v in values.items()])
+    tops = tops.withColumns({f"range_{n}": F.max(f"range_{n}").over(before) for n in values})
+    inner = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*earlier)
+    met = by_range(parts.withColumns({n: F.max(v).over(inner) for n, v in values.items()}), tops, keys)
+    return met.withColumns({n: F.greatest(n, f"range_{n}") for n in values}).drop(*[f"range_{n}" for n in values])
+
+
 def by_range(parts: DataFrame, sums: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with what is known of their group's range; null groups are groups."""
     named = sums.withColumnsRenamed({k: f"range_{k}" for k in keys})
