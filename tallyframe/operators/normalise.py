@@ -230,7 +230,8 @@ def rank_test(rows: DataFrame, group: str = "grp", value: str = "value") -> Data
     per = rows.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("t"))
     ranked = running_sum(per, [], ["v"], "t").withColumn("rank", F.col("before") + (F.col("t") + 1) / 2.0)
     sums = rows.join(ranked, rows[value] == ranked.v).groupBy(group).agg(F.sum("rank").alias("r"), F.count(F.lit(1)).alias("n"))
-    ties = per.agg(F.sum("t").alias("total"), F.sum(F.col("t") * F.col("t") * F.col("t") - F.col("t")).alias("ties"))
+    t = F.col("t").cast("double")  # cubes of large groups are beyond a long
+    ties = per.agg(F.sum("t").alias("total"), F.sum(t * t * t - t).alias("ties"))
     joined = sums.agg(F.sum(F.col("r") * F.col("r") / F.col("n")).alias("s"), (F.count(F.lit(1)) - 1).alias("df")).crossJoin(ties)
     n = F.col("total").cast("double")
     h = (12.0 / (n * (n + 1)) * F.col("s") - 3 * (n + 1)) / (1 - F.col("ties") / (n * n * n - n))
