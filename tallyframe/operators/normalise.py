@@ -164,14 +164,15 @@ def alpha_diversity(counts: DataFrame) -> DataFrame:
 
 
 def rarefy_expected(counts: DataFrame, depths: list[int]) -> DataFrame:
-    """``(sample_id, depth, expected)``: expected distinct features in a subsample of each depth (hypergeometric)."""
-    rows = with_totals(counts.where("value > 0"), ["sample_id"], total=F.sum("value")).withColumn("depth", F.explode(F.array(*[F.lit(float(d)) for d in depths])))
+    """``(sample_id, depth, expected)``: expected distinct features in a subsample of each depth (hypergeometric).
+
+    Features of equal value in a sample are one row with their number.
+    """
+    each = counts.where("value > 0").groupBy("sample_id", "value").agg(F.count(F.lit(1)).alias("n"))
+    rows = with_totals(each, ["sample_id"], total=F.sum(F.col("value") * F.col("n"))).withColumn("depth", F.explode(F.array(*[F.lit(float(d)) for d in depths])))
     rows = rows.where("depth <= total")
-    lg = lambda x: _log_factorial(x)
-    missing = F.when(F.col("total") - F.col("value") < F.col("depth"), F.lit(0.0)).otherwise(
-        F.exp(lg(F.col("total") - F.col("value")) - lg(F.col("total") - F.col("value") - F.col("depth")) - lg(F.col("total")) + lg(F.col("total") - F.col("depth")))
-    )
-    return rows.groupBy("sample_id", "depth").agg(F.sum(1 - missing).alias("expected"))
+    seen = F.when(F.col("total") - F.col("value") < F.col("depth"), F.lit(1.0)).otherwise(-F.expm1(_log_missed(F.col("total"), F.col("value"), F.col("depth"))))
+    return rows.groupBy("sample_id", "depth").agg(F.sum(F.col("n") * seen).alias("expected"))
 
 
 def rarefaction_depths(counts: DataFrame, depth: int | None = None, steps: int = 20) -> list[int]:
@@ -196,13 +197,19 @@ def rarefy(counts: DataFrame, depths: list[int], iterations: int = 30, seed: int
     return some.agg(F.count(F.lit(1)).alias("observed"), F.sum(-p * F.log2(p)).alias("shannon"))
 
 
-def _log_factorial(n: Column) -> Column:
-    """ln n! by Stirling's series, shifted by 8 for small n."""
-    x = n + 9
-    series = (x - 0.5) * F.ln(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * F.pow(x, F.lit(5.0)))
+def _log_missed(total: Column, value: Column, depth: Column) -> Column:
+    """Log of the share of draws of ``depth`` from ``total`` units that hold none of ``value`` units.
+
+    Four factorials by Stirling's series, shifted by 8 for small numbers; what
+    they have in common is taken out, so large totals cost no digits.
+    """
+    a = total + 8
+    part = lambda less: (a - less + 0.5) * F.log1p(-less / a)
+    rest = lambda x: 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * F.pow(x, F.lit(5.0)))
+    out = part(value) + part(depth) - part(value + depth) + (rest(a - value) - rest(a)) + (rest(a - depth) - rest(a - value - depth))
     for k in range(1, 9):
-        series = series - F.ln(n + k)
-    return series
+        out = out - F.log1p(value * depth / ((total - value - depth + k) * (total + k)))
+    return out
 
 
 def clr(counts: DataFrame, pseudocount: float = 1.0) -> DataFrame:

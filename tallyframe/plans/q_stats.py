@@ -167,8 +167,8 @@ def _(spark, d):
 
 
 @query("m15_rarefy", """
-WITH t AS (SELECT *, sum(value) OVER (PARTITION BY sample_id) AS total FROM otus), e AS (SELECT *, unnest([10.0, 100.0, 500.0]) AS depth FROM t)
-SELECT sample_id, depth, round(sum(1 - CASE WHEN total - value < depth THEN 0 ELSE exp(lgamma(total - value + 1) - lgamma(total - value - depth + 1) - lgamma(total + 1) + lgamma(total - depth + 1)) END), 4) AS expected
+WITH n AS (SELECT sample_id, value, count(*) AS n FROM otus GROUP BY 1, 2), t AS (SELECT *, sum(value * n) OVER (PARTITION BY sample_id) AS total FROM n), e AS (SELECT *, unnest([10.0, 100.0, 500.0]) AS depth FROM t)
+SELECT sample_id, depth, round(sum(n * (1 - CASE WHEN total - value < depth THEN 0 ELSE list_product(list_transform(range(depth::BIGINT), lambda i: 1 - value / (total - i))) END)), 4) AS expected
 FROM e WHERE depth <= total GROUP BY 1, 2""", "otus")
 def _(spark, d):
     return rounded(N.rarefy_expected(view(spark, d, "otus"), [10, 100, 500]), "expected", digits=4)

@@ -1,5 +1,7 @@
 """Statistics of groups whose cubes and sums are beyond a long or a double's digits."""
 
+from fractions import Fraction
+
 from pyspark.sql import functions as F
 
 from tallyframe.operators import normalise as N
@@ -9,3 +11,17 @@ def test_rank_test_of_millions_of_ties(spark):
     rows = spark.range(4_400_000).select((F.col("id") % 3).alias("grp"), (F.col("id") % 2).cast("double").alias("value"))
     found = N.rank_test(rows).first()
     assert found.df == 2 and abs(found.h) < 1e-3 and found.p > 0.99
+
+
+def test_rarefied_features_keep_their_digits_in_large_samples(spark):
+    """A million features of few units in billions: each is missed with a chance next to 1."""
+    counts = spark.range(1_000_000).select(F.lit("s").alias("sample_id"), F.col("id").alias("feature_id"), (4000 + F.col("id") % 3).cast("double").alias("value"))
+    total, depth = sum(v * len(range(v - 4000, 1_000_000, 3)) for v in (4000, 4001, 4002)), 500
+    want = 0.0
+    for v in (4000, 4001, 4002):
+        missed = Fraction(1)
+        for i in range(depth):
+            missed *= Fraction(total - v - i, total - i)
+        want += len(range(v - 4000, 1_000_000, 3)) * float(1 - missed)
+    found = {r.depth: r.expected for r in N.rarefy_expected(counts, [1, depth]).collect()}
+    assert abs(found[float(depth)] - want) < 1e-6 and abs(found[1.0] - 1) < 1e-7
