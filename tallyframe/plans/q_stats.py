@@ -233,12 +233,13 @@ def _(spark, d):
 
 
 @query("m18_rank_correlation", """
-WITH j AS (SELECT c_acctbal AS x, t.y FROM customer JOIN (SELECT o_custkey, sum(o_totalprice) AS y FROM orders GROUP BY 1) t ON c_custkey = o_custkey),
+WITH j AS (SELECT c_acctbal AS x, t.y FROM customer JOIN (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS y FROM orders GROUP BY 1) t ON c_custkey = o_custkey),
 r AS (SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM j)
 SELECT round(corr(rx, ry), 6) AS rho, count(*) AS n FROM r""")
 def _(spark, d):
     alpha = table(spark, d, "customer").select(F.col("c_custkey").alias("sample_id"), F.col("c_acctbal").alias("x"))
-    meta = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("sample_id")).agg(F.sum("o_totalprice").alias("y"))
+    # exact sums of cents: sums of doubles tie or not by their order
+    meta = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("sample_id")).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("y"))
     return rounded(N.rank_correlation(alpha, meta), "rho")
 
 
