@@ -147,11 +147,12 @@ def draw(counts: DataFrame, runs: DataFrame, group: str = "sample_id", seed: int
     return found.select(F.col("grp").alias(group), "run", "depth", F.col("child").alias("feature_id"), F.col("draws").alias("drawn"))
 
 
-def draw_sql(counts: str, runs: str, group: str = "sample_id", seed: int = 0, replace: bool = False, levels: int = 15) -> str:
+def draw_sql(counts: str, runs: str, group: str = "sample_id", seed: int = 0, replace: bool = False, levels: int = 30) -> str:
     """CTEs of DuckDB that end in ``drawn(group, run, depth, feature_id, drawn)``: the same tree, level by level.
 
     ``counts`` and ``runs`` are SELECTs of the tables of :func:`draw`; features
-    of a group may be 2 ** ``levels`` at most.
+    of a group may be 2 ** ``levels`` at most.  Levels above all of a group draw
+    nothing, so more of them give the same draws.
     """
     keys = f"{group}, run, depth, k"
     part = f"PARTITION BY {keys}"

@@ -2,6 +2,7 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -99,3 +100,11 @@ def test_downsampling(spark):
     less = Q.downsample_counts(rows, replace=False).where("sample_id = 'a'").agg(F.max("value"), F.sum("value")).first()
     assert less[0] <= 3 and less[1] == 300
     assert Q.downsample_counts(rows.limit(0)).count() == 0
+
+
+def test_sql_draws_from_more_features_than_fifteen_levels_hold(spark):
+    n = 40_000
+    found = D.draw(spark.range(n).selectExpr("'s' AS sample_id", "id AS feature_id", "1 + id % 3 AS value"), spark.sql("SELECT 's' AS sample_id, 1 AS run, 60L AS depth"))
+    sql = D.draw_sql(f"SELECT 's' AS sample_id, i AS feature_id, 1 + i % 3 AS value FROM range({n}) r(i)", "SELECT 's' AS sample_id, 1 AS run, 60 AS depth")
+    want = duckdb.connect().sql(f"WITH {sql} SELECT feature_id, drawn FROM drawn").fetchall()
+    assert sum(k for _, k in want) == 60 and sorted(want) == sorted((r.feature_id, r.drawn) for r in found.collect())
