@@ -200,10 +200,16 @@ def extract_fields(lines: DataFrame, specs: list[Field]) -> tuple[DataFrame, Dat
 
     The second table has the violations, ``(file, field, matches)``: fields
     that match more than once without a reducer, and required ones that never do.
+    What the type can't hold, as a number of too many digits, is null: a sum
+    with it is null too, a minimum is that of the others.
     """
-    reducers = {"min": F.min, "sum": F.sum, None: F.min}
     found = lambda p: F.when(F.col("text").rlike(f"^(?:{p})"), F.regexp_extract("text", f"^(?:{p})", 1))
-    values = lines.groupBy("file").agg(*[reducers[r](found(p).cast(t)).alias(n) for n, p, t, r, _ in specs])
+
+    def reduced(p: str, kind: str, how: str | None) -> Column:
+        value = found(p).try_cast(kind)
+        return F.when(F.count(found(p)) == F.count(value), F.try_sum(value)) if how == "sum" else F.min(value)
+
+    values = lines.groupBy("file").agg(*[reduced(p, t, r).alias(n) for n, p, t, r, _ in specs])
     counts = lines.groupBy("file").agg(*[F.count(found(p)).alias(n) for n, p, *_ in specs])
     rules = F.create_map(*[F.lit(x) for n, _, _, r, required in specs for x in (n, f"{r is None}{required}")])
     rule = rules[F.col("field")]
