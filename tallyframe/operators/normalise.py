@@ -395,11 +395,21 @@ def rank_correlation(alpha: DataFrame, metadata: DataFrame) -> DataFrame:
     return ranked.agg(F.corr("rx", "ry").alias("rho"), F.count(F.lit(1)).alias("n"))
 
 
+def _squares(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys..., within, total)``: squares about the means of group and axis and about those of the axis, for each of ``keys``.
+
+    They are put together from counts, means and variances of the groups, so no
+    row is joined to the mean of a group or an axis, of which there are few.
+    """
+    cells = rows.groupBy(*keys, "grp", "axis").agg(F.count("value").alias("cells"), F.avg("value").alias("mean"), F.var_pop("value").alias("var"))
+    about = with_totals(cells, [*keys, "axis"], all_mean=F.sum(F.col("cells") * F.col("mean")) / F.nullif(F.sum("cells"), F.lit(0)))
+    off = F.col("mean") - F.col("all_mean")
+    return about.groupBy(*keys).agg(F.sum(F.col("cells") * F.col("var")).alias("within"), F.sum(F.col("cells") * (F.col("var") + off * off)).alias("total"))
+
+
 def permanova_f(coords: DataFrame) -> DataFrame:
     """Pseudo-F of ``coords(sample_id, grp, axis, value)``: between over within sums of squares."""
-    centred = with_totals(with_totals(coords, ["grp", "axis"], mean=F.avg("value")), ["axis"], all_mean=F.avg("value"))
-    centred = centred.withColumn("w", F.col("value") - F.col("mean")).withColumn("t", F.col("value") - F.col("all_mean"))
-    sums = centred.agg(F.sum(F.col("w") * F.col("w")).alias("within"), F.sum(F.col("t") * F.col("t")).alias("total"), F.countDistinct("grp").alias("g"), F.countDistinct("sample_id").alias("n"))
+    sums = _squares(coords, []).crossJoin(coords.agg(F.countDistinct("grp").alias("g"), F.countDistinct("sample_id").alias("n")))
     f = ((F.col("total") - F.col("within")) / (F.col("g") - 1)) / (F.col("within") / (F.col("n") - F.col("g")))
     return sums.select(f.alias("f"), "g", "n")
 
@@ -418,9 +428,8 @@ def permanova(coords: DataFrame, permutations: int = 99, seed: int = 1) -> DataF
     plain = running_sum(groups, [], ["sample_id"], F.lit(1), "k").select("k", F.col("grp").alias("new"))
     relabelled = shuffled.join(plain, "k").select("run", "sample_id", F.col("new").alias("grp"))
     rows = coords.drop("grp").join(relabelled, "sample_id")
-    centred = with_totals(with_totals(rows, ["run", "grp", "axis"], mean=F.avg("value")), ["axis"], all_mean=F.avg("value"))
-    centred = centred.withColumn("w", F.col("value") - F.col("mean")).withColumn("t", F.col("value") - F.col("all_mean"))
-    sums = centred.groupBy("run").agg(F.sum(F.col("w") * F.col("w")).alias("within"), F.sum(F.col("t") * F.col("t")).alias("total"), F.countDistinct("grp").alias("g"), F.countDistinct("sample_id").alias("n"))
+    counted = relabelled.groupBy("run").agg(F.countDistinct("grp").alias("g"), F.countDistinct("sample_id").alias("n"))
+    sums = _squares(rows, ["run"]).join(counted, "run")
     f = ((F.col("total") - F.col("within")) / (F.col("g") - 1)) / (F.col("within") / (F.col("n") - F.col("g")))
     tested = sums.select("run", f.alias("f"))
     real = tested.where("run = 0").select(F.col("f").alias("real"))

@@ -40,3 +40,10 @@ def test_rank_correlation_ties_of_sums_are_no_matter_of_order(spark, tmp_path):
     want = sum((a - mean) * (b - mean) for a, b in zip(x, y)) / (sum((a - mean) ** 2 for a in x) * sum((b - mean) ** 2 for b in y)) ** 0.5
     found = QUERIES["m18_rank_correlation"](spark, str(tmp_path)).first()
     assert found.n == 8 and abs(found.rho - want) < 1e-6 and "DECIMAL" in ORACLE_SQL["m18_rank_correlation"]
+
+
+def test_permanova_joins_no_row_to_a_mean(spark):
+    """Axes and groups are few: joined by them, all rows would go to as many tasks."""
+    coords = spark.range(400).selectExpr("id AS sample_id", "id % 3 AS grp", "'a' AS axis", "CAST(id % 7 AS double) AS value")
+    plan = N.permanova(coords, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "total_grp" not in plan and "var_pop" in plan
