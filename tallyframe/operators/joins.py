@@ -256,6 +256,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 #: Queries that a nearest-neighbour pass compares with all rows at once.
 QUERY_BLOCK = 4096
+#: Rows that are compared with a block of queries at a time: a task holds so many similarities of each.
+ROW_BLOCK = 512
 
 
 def knn(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
@@ -278,6 +280,13 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     return reduce(lambda a, b: a.union(b), parts).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of ``ROW_BLOCK`` rows at the most, none empty."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROW_BLOCK):
+            yield batch.slice(at, ROW_BLOCK)
+
+
 def _nearest(asked: pa.Table, vectors: DataFrame, k: int) -> DataFrame:
     ids = asked.column("vec_id").to_numpy()
     q = np.array(asked.column("embedding").to_pylist(), dtype=float).reshape(len(ids), -1)
@@ -285,9 +294,7 @@ def _nearest(asked: pa.Table, vectors: DataFrame, k: int) -> DataFrame:
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top: dict[int, list] = {}
-        for batch in batches:
-            if not batch.num_rows or not len(ids):
-                continue
+        for batch in _sliced(batches) if len(ids) else ():
             x = np.array(batch.column("embedding").to_pylist(), dtype=float)
             names = batch.column("vec_id").to_numpy()
             scores = q @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T
