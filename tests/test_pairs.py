@@ -67,3 +67,26 @@ def test_pairs_of_nothing(spark):
     none = spark.createDataFrame([], "sample_id string, feature_id long, value double")
     one = spark.createDataFrame([("a", 1, 2.0), (None, 1, 3.0), ("b", None, 1.0)], "sample_id string, feature_id long, value double")
     assert P.pair_sums(none, ["xy"]).count() == 0 and P.pair_sums(one, ["xy"]).count() == 0 and N.correlation(none).count() == 0
+
+
+@pytest.mark.parametrize("pairs", [0, 4096])
+def test_features_are_summed_in_several_places(spark, monkeypatch, pairs):
+    """With few samples there is one pair of blocks; its features must still be dealt over tasks."""
+    monkeypatch.setattr(P, "FEATURES", 8)
+    monkeypatch.setattr(P, "PARTS", 2)
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random((3, 200)) < 0.7, rng.normal(size=(3, 200)), np.nan)
+    rows = [(f"s{i}", j, float(x[i, j])) for i in range(3) for j in range(200) if not np.isnan(x[i, j])]
+    found = P.pair_sums(spark.createDataFrame(rows, "sample_id string, feature_id long, value double"), list(P.SUMS))
+    got = {(r.a, r.b): r for r in found.collect()}
+    for i, j in ((0, 1), (0, 2), (1, 2)):
+        a, b = (x[k][~np.isnan(x[i]) & ~np.isnan(x[j])] for k in (i, j))
+        want = (len(a), a.sum(), b.sum(), a @ a, b @ b, a @ b, np.minimum(a, b).sum(), ((a - b) ** 2).sum())
+        assert np.allclose([got[f"s{i}", f"s{j}"][s] for s in P.SUMS], want)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "[i#" in plan and ", run#" in plan.split("RepartitionByExpression")[1].split("\n")[0]
+    held = (~np.isnan(x)).astype(float)
+    one = np.nan_to_num(x), held
+    monkeypatch.setattr(P, "FEW_PAIRS", pairs)
+    assert np.allclose(P.block_sums(one, one, ["low", "off"])["off"][0, 1], np.nansum((x[0] - x[1]) ** 2))
+    assert np.allclose(P.block_sums(one, one, ["low", "off"])["low"][0, 1], np.nansum(np.minimum(x[0], x[1]) * np.where(np.isnan(x[0] + x[1]), np.nan, 1)))
