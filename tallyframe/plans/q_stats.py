@@ -10,6 +10,7 @@ from ..operators import windows as W
 from ..operators.decompose import principal_components
 from ..operators.draws import draw_sql
 from ..operators.joins import complete_grid
+from ..scratch import materialise
 from .registry import query
 from .standins import rounded, table, view
 
@@ -116,7 +117,7 @@ WITH k AS (SELECT sample_id, feature_id, value, rank() OVER (PARTITION BY sample
 SELECT x.sample_id AS a, y.sample_id AS b, round(corr(x.value, y.value), 6) AS pearson, round(corr(x.r, y.r), 6) AS spearman
 FROM k x JOIN k y ON x.feature_id = y.feature_id AND x.sample_id < y.sample_id GROUP BY 1, 2""", "counts")
 def _(spark, d):
-    counts = view(spark, d, "counts")
+    counts = materialise(view(spark, d, "counts"), "counts")
     one, two = (N.correlation(counts, m).withColumnRenamed("r", m) for m in ("pearson", "spearman"))
     return rounded(one.join(two, ["a", "b"]), "pearson", "spearman")
 
@@ -153,7 +154,7 @@ s AS (SELECT x.sample_id AS a, y.sample_id AS b, sum(least(x.value, y.value)) AS
 SELECT p.sample_id AS a, q.sample_id AS b, round(1 - 2 * coalesce(low, 0) / (p.total + q.total), 6) AS bray, round(1 - coalesce(k, 0) / (p.n + q.n - coalesce(k, 0)), 6) AS jaccard
 FROM t p JOIN t q ON p.sample_id < q.sample_id LEFT JOIN s ON s.a = p.sample_id AND s.b = q.sample_id""", "otus")
 def _(spark, d):
-    otus = view(spark, d, "otus").select("sample_id", "feature_id", "value")
+    otus = materialise(view(spark, d, "otus").select("sample_id", "feature_id", "value"), "otus")
     one, two = (N.beta_distance(otus, m).withColumnRenamed("distance", m) for m in ("bray", "jaccard"))
     return rounded(one.join(two, ["a", "b"]), "bray", "jaccard")
 
