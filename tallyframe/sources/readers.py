@@ -38,10 +38,14 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("Sample_ID", *[c for c in rows.columns if c != "Sample_ID" and filled[c]])
 
 
+def _parent(path: Column) -> Column:
+    """The name of a file's folder, without a pattern: one that ends at the end of a path is tried from each of its letters."""
+    return F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+
+
 def read_per_sample(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
     """Tables of many samples, the sample's id from the folder of each file."""
-    sample = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1)
-    return read_tsv(spark, paths, schema).select("*", F.url_decode(sample).alias("sample_id"))
+    return read_tsv(spark, paths, schema).select("*", F.url_decode(_parent(F.col("_metadata.file_path"))).alias("sample_id"))
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -73,11 +77,10 @@ QUANT = {"featurecounts": (0, 6, 5), "star": (0, 2, None)}
 def read_quant(spark: SparkSession, paths: str | list[str], tool: str) -> DataFrame:
     """``(sample_id, feature_id, value, length)``; a feature that some sample lacks is an error, which is looked for when this is called."""
     name, count, length = QUANT[tool]
-    parts = F.split("value", "\t")
-    lines = spark.read.text(paths).select("value", F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1).alias("sample_id"))
-    value = F.expr(f"try_cast(split(value, '\t')[{count}] AS double)")
-    long = F.expr(f"try_cast(split(value, '\t')[{length}] AS bigint)") if length is not None else F.lit(None).cast("bigint")
-    rows = lines.where(~F.col("value").startswith("#")).select("sample_id", F.get(parts, F.lit(name)).alias("feature_id"), value.alias("v"), long.alias("length")).where("v is not null")
+    lines = spark.read.text(paths).where(~F.col("value").startswith("#")).select(F.split("value", "\t").alias("parts"), _parent(F.col("_metadata.file_path")).alias("sample_id"))
+    value = F.expr(f"try_cast(get(parts, {count}) AS double)")
+    long = F.expr(f"try_cast(get(parts, {length}) AS bigint)") if length is not None else F.lit(None).cast("bigint")
+    rows = lines.select("sample_id", F.get("parts", F.lit(name)).alias("feature_id"), value.alias("v"), long.alias("length")).where("v is not null")
     rows = rows.select("sample_id", "feature_id", F.col("v").alias("value"), "length")
     n = rows.agg(F.countDistinct("sample_id")).first()[0]
     if rows.groupBy("feature_id").agg(F.countDistinct("sample_id").alias("k")).where(F.col("k") != n).take(1):

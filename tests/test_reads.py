@@ -2,6 +2,7 @@
 
 import random
 
+from tallyframe.sources import readers as R
 from tallyframe.operators import aggregates as A
 
 
@@ -44,3 +45,14 @@ def test_reads_meet_no_feature_in_a_pair(spark):
     for frame in (A.assign_reads(r, e), A.read_distribution(r, e, ["P"])):
         plan = frame._jdf.queryExecution().optimizedPlan().toString()
         assert "levels_there" not in plan and "_bin" not in plan
+
+
+def test_folder_names_are_cut_without_a_pattern(spark, tmp_path):
+    """A pattern that ends at the end of a path took most of the time of a line."""
+    for sample in ("s a", "s%b"):
+        (tmp_path / sample).mkdir()
+        (tmp_path / sample / "quant.txt").write_text("#x\nGeneid\tChr\tStart\tEnd\tStrand\tLength\tn\nG1\tc\t1\t9\t+\t7\t3\nG2\tc\t1\t9\t+\n")
+    found = R.read_quant(spark, f"{tmp_path}/*/*.txt", "featurecounts")
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert [(r.feature_id, r.value, r.length) for r in found.collect()] == [("G1", 3.0, 7)] * 2
+    assert len({r.sample_id for r in found.collect()}) == 2
