@@ -96,7 +96,9 @@ def _round(lists: DataFrame, units: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("neighbour").orderBy(F.desc("fresh"), F.xxhash64("vec_id", "neighbour"), "vec_id")
     backward = lists.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= k).select(F.col("neighbour").alias("key"), F.col("vec_id").alias("member"), "fresh")
     own = units.select(F.col("vec_id").alias("key"), F.col("vec_id").alias("member"), F.lit(False).alias("fresh"))
-    around = _union([forward, backward, own]).groupBy("key", "member").agg(F.max("fresh").alias("fresh"))
+    around = _union([forward, backward, own]).repartition("key").groupBy("key", "member").agg(F.max("fresh").alias("fresh"))
+    # two members that are both old were compared before, so surroundings without a new one send no vectors
+    around = around.withColumn("any", F.max("fresh").over(Window.partitionBy("key"))).where("any").drop("any")
     least = lists.groupBy(F.col("vec_id").alias("member")).agg(F.when(F.count(F.lit(1)) >= k, F.min("similarity")).otherwise(-2.0).alias("least"))
     known = units.withColumnRenamed("vec_id", "member").join(least, "member", "left").fillna(-2.0, ["least"])
     return _compared(around.join(known, "member").select("key", "member", "fresh", "least", "unit"), k)

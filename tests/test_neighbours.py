@@ -79,3 +79,13 @@ def test_graph_of_all_embeddings(spark):
         assert w == pytest.approx(p + q - p * q, abs=1e-6) and 0 < w <= 1 + 1e-12
     named = {(r.a, r.b): r.weight for r in QUERIES["j17_neighbour_graph"](spark, SF).collect()}
     assert len(named) > 0.95 * len(graph)
+
+
+def test_surroundings_without_a_new_member_send_no_vectors(spark, monkeypatch):
+    from tallyframe.operators import neighbours as G
+
+    units = spark.createDataFrame([(i, [float(i % 4 + 1), 1.0]) for i in range(8)], "vec_id long, unit array<double>")
+    lists = spark.createDataFrame([(i, i // 4 * 4 + (i + 1) % 4, 0.5, i == 1) for i in range(8)], "vec_id long, neighbour long, similarity double, fresh boolean")
+    monkeypatch.setattr(G, "_compared", lambda rows, k: rows)
+    sent = {(r.key, r.member, r.fresh) for r in G._round(lists, units, 3).collect()}
+    assert sent == {(1, 0, False), (1, 1, False), (1, 2, True), (2, 1, True), (2, 2, False), (2, 3, False)}
