@@ -263,6 +263,20 @@ def demultiplex(pairs: DataFrame, primers: list[tuple[str, str, str]]) -> DataFr
     return pairs.withColumns({"region": region, "trimmed_1": t1, "trimmed_2": t2})
 
 
+#: Bytes of sequences that one task of :func:`dereplicate` tells apart.
+TASK_BYTES = 64 << 20
+
+
 def dereplicate(seqs: DataFrame, floors: DataFrame) -> DataFrame:
-    """Distinct (sequence, taxonomy) pairs at least as long as their domain's floor; ``floors`` has a row per domain."""
-    return seqs.join(floors, "domain").where(F.length("seq") >= F.col("floor")).select("domain", "seq").distinct()
+    """Distinct (sequence, taxonomy) pairs at least as long as their domain's floor; ``floors`` has a row per domain.
+
+    Floors go to every task, as domains are few and a join by them would put
+    all sequences of a domain into one.  The sequences' size is summed up when
+    this is called: tasks are as many as keep their share bounded.
+    """
+    rows = seqs.join(F.broadcast(floors), "domain").where(F.length("seq") >= F.col("floor")).select("domain", "seq")
+    size = rows.agg(F.sum(F.octet_length("seq").cast("long"))).first()[0] or 0
+    tasks = -(-size // TASK_BYTES)
+    if tasks > int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        rows = rows.repartition(tasks, "domain", "seq")
+    return rows.distinct()
