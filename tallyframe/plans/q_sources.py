@@ -110,10 +110,10 @@ def _(spark, d):
         seq = F.concat(F.lit(start), F.regexp_replace(F.coalesce("text", F.lit("")), r"\s", "."))
         docs = table(spark, d, "documents").select("doc_id", F.floor(F.col("doc_id") / 1000).alias("lane"), seq.alias("s"))
         record = F.concat_ws("\n", F.concat(F.lit("@r"), F.col("doc_id").cast("string")), "s", F.lit("+"), F.repeat(F.lit("I"), F.length("s"))).alias("value")
-        # a file for each lane, as sequencers write them, in order of the ids; the reader numbers its records
+        # a compressed file for each lane, as sequencers write them, in order of the ids; the reader numbers its records
         path = folder(spark, "fastq")
-        docs.repartition("lane").sortWithinPartitions("lane", "doc_id").select("lane", record).write.partitionBy("lane").text(path)
-        rows = R.read_fastq(spark, f"{path}/*/*.txt")
+        docs.repartition("lane").sortWithinPartitions("lane", "doc_id").select("lane", record).write.partitionBy("lane").option("compression", "gzip").text(path)
+        rows = R.read_fastq(spark, f"{path}/*/*.txt.gz")
         found.append(rows.select(F.regexp_extract("file", r"lane=(\d+)", 1).cast("long").alias("lane"), "ordinal", "name", "seq"))
     return R.interleave(*found, ["lane", "ordinal"]).select("lane", "ordinal", "mate", "name", "seq")
 

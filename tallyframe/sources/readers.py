@@ -61,7 +61,7 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = source.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
     sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    return source.join(sizes, ["file", "block"]).select("file", (F.col("before") + F.col("id") - F.col("first")).alias("line"), "text")
+    return source.join(F.broadcast(sizes), ["file", "block"]).select("file", (F.col("before") + F.col("id") - F.col("first")).alias("line"), "text")
 
 
 def read_skip(spark: SparkSession, path: str | list[str], skip: int, schema: str) -> DataFrame:
