@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tallyframe.operators import joins as J
 from tallyframe.operators import least_squares as L
@@ -87,3 +88,19 @@ def test_traits_and_lists(spark):
     assert got["flat", "t"].r is None and got["flat", "t"].p is None and got["m", "same"].n == 3
     results = spark.createDataFrame([("c", 1, 1.0, 0.01), ("c", 2, 2.0, 0.01), ("c", 3, -1.0, 0.001), ("c", 4, 3.0, 0.2), ("c", 5, 1.0, None), ("c", 6, 4.0, 0.001)], "contrast string, feature_id long, lfc double, padj double")
     assert sorted((r.direction, r.place, r.feature_id) for r in N.significant_lists(results).collect()) == [("down", 1, 3), ("up", 1, 6), ("up", 2, 1), ("up", 3, 2)]
+
+
+def test_equal_intervals_meet_as_blocks_and_every_pair_stays(spark):
+    """Copies of one interval are a row for each ``BLOCK`` of them in the join; pairs, other columns and nulls stay."""
+    some = spark.range(2500).select(F.col("id").alias("name"), F.lit("c").alias("contig"), F.lit(5).alias("start"), F.lit(9).alias("stop"), F.when(F.col("id") % 2 == 0, F.lit("x")).alias("tag"))
+    waiting = J._waiting(J._levelled(some, "b", 16), "b", 16)
+    assert sorted(len(r.b_rows) for r in J._blocks(waiting, "b").collect()) == [2500 - 2 * J.BLOCK, J.BLOCK, J.BLOCK]
+    one = spark.createDataFrame([(1, "c", 0, 6), (2, "c", 7, 40), (3, "c", 9, 12), (4, None, 0, 6)], "name long, contig string, start int, stop int")
+    got = J.overlap_join(one, some, 16)
+    assert got.columns == ["a_name", "a_contig", "a_start", "a_stop", "b_name", "b_contig", "b_start", "b_stop", "b_tag", "overlap"]
+    counted = got.groupBy("a_name", "overlap").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("b_name").alias("kinds"), F.count("b_tag").alias("tags")).collect()
+    assert sorted(map(tuple, counted)) == [(1, 1, 2500, 2500, 1250), (2, 2, 2500, 2500, 1250)]
+    points = spark.createDataFrame([(10, "c", 5), (11, "c", 9), (12, "c", 8)], "name long, contig string, pos long")
+    got = J.point_in_interval(points, some, 16)
+    assert got.columns == ["name", "contig", "pos", "i_name", "i_contig", "i_start", "i_stop", "i_tag"]
+    assert sorted(map(tuple, got.groupBy("name").agg(F.count(F.lit(1)), F.countDistinct("i_name"), F.count("i_tag")).collect())) == [(10, 2500, 2500, 1250), (12, 2500, 2500, 1250)]
