@@ -118,3 +118,22 @@ def test_pairs_of_places_take_few_bytes_in_files(spark, tmp_path):
     both = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("name", "i_name").cast("decimal(38,0)"))).first()
     assert both(held) == both(want)
     assert size < 0.5 * held.count()
+
+
+def test_large_bins_are_dealt_over_tasks(spark, monkeypatch):
+    """A bin of many rows on both sides is several parts, each pair of parts meets once, and no pair is lost or doubled; before, it was one task."""
+    monkeypatch.setattr(J, "HELD", 50, raising=False)
+    tasks = lambda df: [n for n in df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    a = spark.range(450).select(F.col("id").alias("name"), F.when(F.col("id") >= 0, "c").alias("contig"), (F.col("id") % 3).alias("start"), (F.col("id") % 3 + 2).alias("stop"))
+    b = spark.range(350).select(F.col("id").alias("name"), F.when(F.col("id") >= 0, "c").alias("contig"), (F.col("id") % 5).alias("start"), (F.col("id") % 5 + 1 + F.col("id") % 2 * 90).alias("stop"))
+    want = sorted((p.name, q.name, o) for p in a.collect() for q in b.collect() if (o := min(p.stop, q.stop) - max(p.start, q.start)) >= 1)
+    got = J.overlap_join(a, b, 16)
+    assert sorted((r.a_name, r.b_name, r.overlap) for r in got.select("a_name", "b_name", "overlap").collect()) == want
+    assert len(tasks(got)) > 1
+    points = a.select("name", "contig", F.col("start").alias("pos"))
+    got = J.point_in_interval(points, b, 16)
+    assert sorted((r.name, r.i_name) for r in got.collect()) == sorted((p.name, q.name) for p in points.collect() for q in b.collect() if q.start <= p.pos < q.stop)
+    assert len(tasks(got)) > 1
+    one, _ = J._split(points.select(F.col("name").alias("p_name"), F.col("contig").alias("p_contig"), F.col("pos").alias("p_start"), F.lit(0).alias("p_level"), F.lit(0).alias("p_bin")), "p", J._waiting(J._levelled(b, "i", 16), "i", 16), "i")
+    sizes = one.groupBy("p_one", "p_two").count().collect()
+    assert len({r.p_one for r in sizes}) == 9 and max(r["count"] for r in sizes) < 100
